@@ -136,8 +136,9 @@ def history(t: Tables) -> DataFrame:
                  .alias("items")))
 
 
-def alerts(t: Tables) -> DataFrame:
+def alerts(t: Tables, with_discount: bool = False) -> DataFrame:
     """pos_anomaly_alerts over events."""
+    extra = [F.col("value").cast("decimal(18,2)").alias("discount_usd")] if with_discount else []
     return t.events.select(
         F.col("event_id").alias("alert_id"),
         F.col("ts").alias("alert_ts"),
@@ -146,9 +147,15 @@ def alerts(t: Tables) -> DataFrame:
         F.when(F.col("event_type") == "error", F.lit("cashier_promo_abuse"))
          .otherwise(F.col("event_type")).alias("alert_type"),
         F.least(F.col("value") / F.lit(100.0), F.lit(1.0)).alias("risk_score"),
+        *extra,
     )
 
 
+def alert_events(t: Tables) -> DataFrame:
+    """Alerts plus the event value as the checkout discount (rt_metrics input)."""
+    return alerts(t, with_discount=True)
+
+
 def silver(t: Tables) -> DataFrame:
     """silver_pos_transactions (the federated checkout log) over orders."""
     k, c = F.col("o_orderkey"), F.col("o_custkey")

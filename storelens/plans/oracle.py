@@ -75,7 +75,13 @@ def with_views(sql: str, *names: str, extra: dict[str, str] | None = None) -> st
     """Prefix ``sql`` with CTEs for the named bound views (and extra CTEs)."""
     parts = [f"{n} AS ({VIEWS[n].strip()})" for n in names]
     parts += [f"{n} AS ({s.strip()})" for n, s in (extra or {}).items()]
-    return ("WITH " + ",\n".join(parts) + "\n" + sql.strip()) if parts else sql.strip()
+    body = sql.strip()
+    if not parts:
+        return body
+    if body[:5].upper() == "WITH ":
+        # merge the query's own CTE list after the view CTEs
+        return "WITH " + ",\n".join(parts) + ",\n" + body[5:]
+    return "WITH " + ",\n".join(parts) + "\n" + body
 
 
 def r4(expr: str, places: int = 4) -> str:
