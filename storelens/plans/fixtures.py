@@ -224,3 +224,42 @@ def vchunks(t: Tables) -> DataFrame:
         F.concat(F.lit("gs://manuals/doc_"), (v % 50).cast("string"), F.lit(".pdf")).alias("source_pdf_uri"),
         "embedding",
     )
+
+
+def inference_logs(t: Tables) -> DataFrame:
+    """gen_ai_client_inference_operation_details: camelCase top level and
+    a nested ``labels`` struct of strings. Calls with ``call_id % 5 = 0``
+    are exported twice, one second apart under a new insert id, which is
+    what the within-trace de-dup must remove; every 13th call has an
+    unparsable input-token count."""
+    r = log_refs(t)
+    base = F.timestamp_add("MINUTE", F.col("call_turn"), F.lit(TELEMETRY_BASE).cast("timestamp_ntz"))
+    copies = F.when(F.col("call_id") % 5 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    x = r.withColumn("_copy", F.explode(copies))
+    return x.select(
+        F.when(F.col("_copy") == 0, F.col("insert_id"))
+         .otherwise(F.concat(F.col("insert_id"), F.lit("-dup"))).alias("insertId"),
+        F.timestamp_add("SECOND", F.col("_copy"), base).alias("timestamp"),
+        "trace", F.col("span_id").alias("spanId"),
+        F.struct(
+            F.col("conversation_id").cast("string").alias("gen_ai_conversation_id"),
+            F.col("input_ref").alias("gen_ai_input_messages_ref"),
+            F.col("output_ref").alias("gen_ai_output_messages_ref"),
+            F.when(F.col("call_id") % 13 == 0, F.lit("n/a"))
+             .otherwise((F.col("call_turn") * 100).cast("string")).alias("gen_ai_usage_input_tokens"),
+            F.col("usage_output_tokens").alias("gen_ai_usage_output_tokens"),
+            F.lit("operations_agent").alias("gen_ai_agent_name"),
+            F.lit('["STOP"]').alias("gen_ai_response_finish_reasons"),
+            F.concat(F.lit("user-"), (F.col("conversation_id") % 10).cast("string")).alias("user_id"),
+        ).alias("labels"))
+
+
+def completions(t: Tables) -> DataFrame:
+    """Message files as rows: (file_name, role, index, parts); each line of
+    a message is one text part whose binary payload is its UTF-8 bytes."""
+    null_s = F.lit(None).cast("string")
+    parts = F.transform(F.split(F.col("content"), "\n"), lambda x: F.struct(
+        F.lit("text").alias("type"), x.alias("content"), null_s.alias("mime_type"), null_s.alias("uri"),
+        F.encode(x, "UTF-8").alias("data"), null_s.alias("id"), null_s.alias("name"),
+        null_s.alias("arguments"), null_s.alias("response")))
+    return messages(t).select("file_name", "role", F.col("idx").alias("index"), parts.alias("parts"))

@@ -1 +1,81 @@
-"""Registered queries (filled in per family)."""
+"""Registered telemetry-mart queries (F5) with their DuckDB twins."""
+
+from __future__ import annotations
+
+from storelens.operators import telemetry as tel
+from storelens.plans import fixtures as fx
+from storelens.plans.oracle import with_views
+from storelens.plans.registry import query
+
+LOGS_SQL = f"""
+SELECT CASE WHEN c = 0 THEN insert_id ELSE insert_id || '-dup' END AS insert_id,
+  TIMESTAMP '{fx.TELEMETRY_BASE}' + call_turn * INTERVAL 1 MINUTE + c * INTERVAL 1 SECOND AS timestamp,
+  trace, span_id, CAST(conversation_id AS VARCHAR) AS conversation_id, input_ref, output_ref,
+  CASE WHEN call_id % 13 = 0 THEN 'n/a' ELSE CAST(call_turn * 100 AS VARCHAR) END AS usage_input_tokens,
+  usage_output_tokens, 'operations_agent' AS agent_name, '["STOP"]' AS finish_reasons,
+  'user-' || CAST(conversation_id % 10 AS VARCHAR) AS user_id
+FROM log_refs, unnest(CASE WHEN call_id % 5 = 0 THEN [0, 1] ELSE [0] END) AS u(c)"""
+
+MART_SQL = """
+WITH refs AS (SELECT * FROM logs WHERE input_ref IS NOT NULL OR output_ref IS NOT NULL),
+unpivoted AS (
+  SELECT * EXCLUDE (input_ref, output_ref), input_ref AS messages_ref_uri, 'input' AS message_type FROM refs WHERE input_ref IS NOT NULL
+  UNION ALL
+  SELECT * EXCLUDE (input_ref, output_ref), output_ref, 'output' FROM refs WHERE output_ref IS NOT NULL),
+parts AS (
+  SELECT file_name, role, idx AS message_idx, u.i - 1 AS part_idx, u.line
+  FROM messages, unnest(string_split(content, chr(10))) WITH ORDINALITY AS u(line, i)),
+flat AS (
+  SELECT r.*, split_part(nullif(regexp_extract(r.messages_ref_uri, '/([^/]+)\\.jsonl', 1), ''), '_', 1) AS api_call_id,
+    p.role, p.message_idx, p.part_idx, 'text' AS part_type, p.line AS content, CAST(NULL AS VARCHAR) AS uri,
+    CAST(NULL AS VARCHAR) AS mime_type, md5(p.line) AS data_md5_hex, CAST(NULL AS VARCHAR) AS tool_name,
+    CAST(NULL AS VARCHAR) AS tool_args, CAST(NULL AS VARCHAR) AS tool_response
+  FROM unpivoted r JOIN parts p ON r.messages_ref_uri = p.file_name),
+w1 AS (
+  SELECT *, row_number() OVER (PARTITION BY conversation_id, trace, span_id, message_type, role, message_idx, part_idx
+                               ORDER BY timestamp DESC, insert_id ASC) AS rn1 FROM flat),
+w2 AS (
+  SELECT *, CASE WHEN message_type = 'input' THEN row_number() OVER (
+      PARTITION BY conversation_id, message_type, role, message_idx, part_idx ORDER BY timestamp ASC, insert_id ASC)
+    ELSE 1 END AS rn2
+  FROM w1 WHERE rn1 = 1)
+SELECT timestamp, insert_id, trace, span_id, conversation_id, api_call_id, message_type, role, message_idx, part_idx,
+  content, part_type, tool_name, tool_args, tool_response, usage_input_tokens, usage_output_tokens, agent_name,
+  finish_reasons, user_id, uri, mime_type, data_md5_hex, messages_ref_uri
+FROM w2 WHERE rn2 = 1 AND NOT (message_type = 'input' AND role = 'assistant')"""
+
+
+@query("completions_mart", "M-01 M-02 M-03 M-04 U-01 J-05 W-01 W-02 S-10",
+       with_views(MART_SQL, "log_refs", "messages", extra={"logs": LOGS_SQL}))
+def completions_mart(t):
+    """De-duplicated model-call message mart (24 columns)."""
+    return tel.completions_mart(fx.inference_logs(t), fx.completions(t))
+
+
+@query("completions_mart_counts", "M-04 W-01 W-02 L-03",
+       with_views(f"SELECT message_type, role, count(*) AS messages, count(DISTINCT api_call_id) AS calls "
+                  f"FROM ({MART_SQL}) GROUP BY 1, 2", "log_refs", "messages", extra={"logs": LOGS_SQL}))
+def completions_mart_counts(t):
+    """Mart rows and calls per message type and role."""
+    from pyspark.sql import functions as F
+    m = tel.completions_mart(fx.inference_logs(t), fx.completions(t))
+    return m.groupBy("message_type", "role").agg(F.count(F.lit(1)).alias("messages"),
+                                                 F.count_distinct("api_call_id").alias("calls"))
+
+
+@query("conversation_turns", "A-07", """
+SELECT conv_id, count(*) AS turns, count(*) FILTER (WHERE role = 'assistant') AS assistant_turns
+FROM conversations GROUP BY 1""")
+def conversation_turns(t):
+    """Turns per conversation."""
+    return tel.turn_count(t.conversations)
+
+
+@query("usage_by_agent_user", "A-08 M-01", with_views("""
+SELECT agent_name, user_id, count(*) AS calls, sum(TRY_CAST(usage_input_tokens AS BIGINT)) AS input_tokens,
+  sum(TRY_CAST(usage_output_tokens AS BIGINT)) AS output_tokens
+FROM (SELECT DISTINCT ON (insert_id) * FROM logs WHERE input_ref IS NOT NULL OR output_ref IS NOT NULL)
+GROUP BY 1, 2""", "log_refs", extra={"logs": LOGS_SQL}))
+def usage_by_agent_user(t):
+    """Token usage per agent and user, one row per log insert id."""
+    return tel.usage_by(fx.inference_logs(t))
