@@ -1 +1,207 @@
-"""Registered queries (filled in per family)."""
+"""Registered retrieval queries (F3) with their DuckDB twins."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from storelens.functions.text import DIAGNOSTIC_KEYWORDS, DECLINE_TEXT, search_terms
+from storelens.functions.vectors import embed
+from storelens.operators import chunking as ch
+from storelens.operators import retrieval as rt
+from storelens.plans import fixtures as fx
+from storelens.plans.oracle import r4, with_views
+from storelens.plans.registry import query
+
+CHUNKS_SQL = """
+SELECT concat('doc_', CAST(doc_id AS VARCHAR), '.pdf') AS document_filename, source AS document_title,
+  lang AS equipment_covered, concat('gs://manuals/doc_', CAST(doc_id AS VARCHAR), '.pdf') AS source_pdf_uri,
+  CAST(u.i - 1 AS BIGINT) AS chunk_index, substr(text, CAST(u.s AS BIGINT), 500) AS chunk_content
+FROM documents, unnest(generate_series(1, greatest(length(text), 1), 400)) WITH ORDINALITY AS u(s, i)
+WHERE length(trim(substr(text, CAST(u.s AS BIGINT), 500))) > 30"""
+
+COS = "list_cosine_similarity(CAST(q.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[]))"
+TOPK_SQL = f"""
+SELECT query_id, match_id, score, rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, match_id) AS rank FROM (
+    SELECT q.vec_id AS query_id, b.vec_id AS match_id, {r4(f'1 - (1 - {COS})')} AS score
+    FROM vchunks q JOIN vchunks b ON q.vec_id <> b.vec_id)) WHERE rank <= 5"""
+
+KW_LIST = "[" + ", ".join(f"'{k}'" for k in DIAGNOSTIC_KEYWORDS) + "]"
+TERMS_SQL = f"""
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY pos) - 1 AS INTEGER) AS term_pos, term FROM (
+  SELECT query_id, term, pos, row_number() OVER (PARTITION BY query_id, term ORDER BY pos) AS dup FROM (
+    SELECT query_id, u.term, u.pos FROM questions,
+      unnest(regexp_extract_all(text, '[A-Z0-9]+-[A-Z0-9-]+')) WITH ORDINALITY AS u(term, pos)
+    UNION ALL
+    SELECT query_id, k.term, 1000000 + k.pos FROM questions,
+      unnest({KW_LIST}) WITH ORDINALITY AS k(term, pos)
+    WHERE contains(lower(text), lower(k.term))))
+WHERE dup = 1"""
+
+QUESTIONS_SQL = "SELECT doc_id AS query_id, text FROM documents"
+
+FALLBACK_SQL = f"""
+SELECT query_id, matched_term, document_filename, chunk_index FROM (
+  SELECT t.query_id, t.term AS matched_term, c.document_filename, c.chunk_index,
+    row_number() OVER (PARTITION BY t.query_id ORDER BY t.term_pos, c.document_filename, c.chunk_index) AS rn
+  FROM terms t JOIN chunks c ON CASE WHEN contains(t.term, '-')
+      THEN regexp_matches(lower(c.chunk_content), '(^|[^a-z0-9])' || lower(t.term) || '($|[^a-z0-9])')
+      ELSE list_contains(string_split_regex(lower(c.chunk_content), '[^a-z0-9]+'), lower(t.term)) END)
+WHERE rn = 1"""
+
+
+def _questions(t):
+    """Every document used as a fault description (they quote codes)."""
+    return t.documents.select(F.col("doc_id").alias("query_id"), "text")
+
+
+def _vquestions(t):
+    """Each manual chunk used as a question: its text and its vector."""
+    return fx.vchunks(t).select(F.col("vec_id").alias("query_id"), F.col("chunk_content").alias("text"),
+                                "embedding")
+
+
+@query("manual_chunks", "R-01", CHUNKS_SQL)
+def manual_chunks(t):
+    """Sliding 500/400 character windows over every document."""
+    return ch.manual_chunks(t.documents)
+
+
+@query("vector_topk", "R-03 W-03 L-04", with_views(TOPK_SQL, "vchunks"))
+def vector_topk(t):
+    """Exact cosine top-5 neighbours of every manual chunk (self excluded)."""
+    v = fx.vchunks(t).select(F.col("vec_id").alias("query_id"), "embedding")
+    return rt.vector_search(v, fx.vchunks(t), 5, exclude_self=True)
+
+
+@query("vector_topk_blocked", "R-03", with_views(TOPK_SQL, "vchunks"))
+def vector_topk_blocked(t):
+    """The same top-5 through the block-replicated path used when neither
+    side can be broadcast (small blocks force several groups)."""
+    v = fx.vchunks(t).select(F.col("vec_id").alias("query_id"), "embedding")
+    return rt.vector_search(v, fx.vchunks(t), 5, exclude_self=True, strategy="blocked", block_rows=128)
+
+
+STITCH_SQL = """
+SELECT m.vec_id AS match_id, m.document_filename, m.chunk_index,
+  string_agg(c.chunk_content, chr(10) ORDER BY c.chunk_index) AS stitched_content, count(*) AS neighbour_rows
+FROM vchunks m JOIN vchunks c ON m.document_filename = c.document_filename
+  AND c.chunk_index BETWEEN m.chunk_index - 1 AND m.chunk_index + 1
+GROUP BY 1, 2, 3"""
+
+
+@query("stitched_neighbours", "J-04 A-05", with_views(STITCH_SQL, "vchunks"))
+def stitched_neighbours(t):
+    """Every chunk stitched with its index neighbours (radius 1)."""
+    m = fx.vchunks(t).select(F.col("vec_id").alias("match_id"), "document_filename", "chunk_index")
+    return rt.stitch(m, fx.vchunks(t))
+
+
+BEST_SQL = f"""
+SELECT k.query_id, b.document_filename, b.document_title, b.equipment_covered, b.source_pdf_uri, b.chunk_index,
+  k.score AS similarity_score
+FROM ({TOPK_SQL}) k JOIN vchunks b ON b.vec_id = k.match_id WHERE k.rank = 1"""
+
+
+@query("retrieval_gate", "R-05 R-03 J-04", with_views(f"""
+SELECT m.*, string_agg(c.chunk_content, chr(10) ORDER BY c.chunk_index) AS stitched_content,
+  count(*) AS neighbour_rows, m.similarity_score >= 0.70 AS accepted
+FROM ({BEST_SQL}) m JOIN vchunks c ON m.document_filename = c.document_filename
+  AND c.chunk_index BETWEEN m.chunk_index - 1 AND m.chunk_index + 1
+GROUP BY ALL""", "vchunks"))
+def retrieval_gate(t):
+    """Best stitched match per chunk-as-question and the 0.70 gate."""
+    return rt.retrieve(_vquestions(t), fx.vchunks(t), exclude_self=True)
+
+
+@query("search_terms", "R-06", with_views(TERMS_SQL, extra={"questions": QUESTIONS_SQL}))
+def search_terms_q(t):
+    """Ordered, de-duplicated search terms of every document-as-question."""
+    q = _questions(t)
+    return q.select("query_id", F.posexplode(search_terms("text")).alias("term_pos", "term"))
+
+
+@query("keyword_fallback", "R-07 R-06 R-01", with_views(FALLBACK_SQL, extra={
+    "questions": QUESTIONS_SQL, "terms": TERMS_SQL, "chunks": CHUNKS_SQL}))
+def keyword_fallback(t):
+    """First matching term and first matching manual chunk per document-as-question."""
+    return rt.fallback_search(_questions(t), ch.manual_chunks(t.documents))
+
+
+ANSWER_SQL = f"""
+WITH best AS ({BEST_SQL}),
+acc AS (SELECT query_id, document_filename, chunk_index, similarity_score, 'vector' AS route,
+               CAST(NULL AS VARCHAR) AS matched_term FROM best WHERE similarity_score >= 0.70),
+fb AS (SELECT f.query_id, f.document_filename, f.chunk_index, 0.85 AS similarity_score, 'fallback' AS route,
+              f.matched_term
+       FROM ({FALLBACK_SQL}) f WHERE f.query_id NOT IN (SELECT query_id FROM acc)),
+chosen AS (SELECT * FROM acc UNION ALL SELECT * FROM fb),
+st AS (
+  SELECT m.query_id, m.route, m.document_filename, m.chunk_index, m.similarity_score, m.matched_term,
+    any_value(meta.document_title) AS document_title, any_value(meta.equipment_covered) AS equipment_covered,
+    any_value(meta.source_pdf_uri) AS source_pdf_uri,
+    string_agg(c.chunk_content, chr(10) ORDER BY c.chunk_index) AS stitched_content
+  FROM chosen m
+  LEFT JOIN chunks meta ON meta.document_filename = m.document_filename AND meta.chunk_index = m.chunk_index
+  JOIN chunks c ON m.document_filename = c.document_filename
+    AND c.chunk_index BETWEEN m.chunk_index - 1 AND m.chunk_index + 1
+  GROUP BY 1, 2, 3, 4, 5, 6)
+SELECT query_id, route, document_filename, chunk_index, similarity_score, matched_term,
+  '### Certified POS Troubleshooting Runbook' || chr(10) || '- **Document Title:** '
+  || coalesce(nullif(document_title, ''), coalesce(nullif(document_filename, ''), 'POS Hardware Service Manual'))
+  || chr(10) || '- **Equipment Covered:** ' || coalesce(nullif(equipment_covered, ''), 'All compatible POS terminals')
+  || chr(10) || '- **Certified Source Manual:** [' || coalesce(nullif(document_filename, ''), 'POS Hardware Service Manual')
+  || '](' || replace(coalesce(source_pdf_uri, ''), 'gs://', 'https://storage.cloud.google.com/') || ')'
+  || chr(10) || '- **Retrieval Match:** '
+  || CASE WHEN route = 'vector' THEN 'Vector Similarity Search' ELSE 'Full-Text SEARCH Fallback (''' || matched_term || ''')' END
+  || ' (Relevance Score: ' || CAST(similarity_score AS VARCHAR) || ', Matched Chunk #' || CAST(chunk_index AS VARCHAR)
+  || ' with adjacent window stitching)' || chr(10) || chr(10) || '#### Runbook & Procedural Instructions:' || chr(10)
+  || coalesce(stitched_content, '') || chr(10) AS answer_text
+FROM st
+UNION ALL
+SELECT query_id, 'decline', NULL, NULL, NULL, NULL, '{DECLINE_TEXT}'
+FROM questions WHERE query_id NOT IN (SELECT query_id FROM chosen)"""
+
+
+@query("runbook_answers", "R-08 R-09 R-05 R-07", with_views(ANSWER_SQL, "vchunks", extra={
+    "chunks": "SELECT * FROM vchunks",
+    "questions": "SELECT vec_id AS query_id, chunk_content AS text FROM vchunks",
+    "terms": TERMS_SQL}))
+def runbook_answers(t):
+    """Vector / fallback / decline answer for every chunk-as-question."""
+    return rt.answer(_vquestions(t), fx.vchunks(t), exclude_self=True)
+
+
+@query("vector_topk_lsh", "R-04")
+def vector_topk_lsh(t):
+    """Approximate top-5 neighbours via random-projection LSH + exact re-rank."""
+    v = fx.vchunks(t).select(F.col("vec_id").alias("query_id"), "embedding")
+    return rt.vector_search_lsh(v, fx.vchunks(t), 5, exclude_self=True)
+
+
+@query("embedded_chunks", "R-02 J-08")
+def embedded_chunks(t):
+    """Manual chunks with their hashed-n-gram vectors attached."""
+    c = ch.manual_chunks(t.documents)
+    return ch.attach_embeddings(c, ch.embed_chunks(c))
+
+
+@query("chunking_comparison", "R-10 R-02 R-03")
+def chunking_comparison(t):
+    """Best score of each benchmark passage on whole documents vs windows."""
+    qs = embed(t.benchmark.select(F.col("item_id").alias("query_id"), "text"), "text")
+    docs = embed(t.documents.select(F.col("doc_id").alias("vec_id"), "text"), "text")
+    fine = ch.embed_chunks(ch.manual_chunks(t.documents)).withColumn(
+        "vec_id", F.xxhash64("document_filename", "chunk_index"))
+    return rt.compare_chunkings(qs, docs, fine)
+
+
+@query("store_name_resolution", "J-10")
+def store_name_resolution(t):
+    """Informal supplier names ("supplier 12") resolved to store ids."""
+    s = t.supplier
+    informal = s.select(F.col("s_suppkey").alias("qid"),
+                        F.lower(F.regexp_replace("s_name", "#0*", " ")).alias("informal_name"))
+    directory = s.select(F.concat(F.lit("STORE_"), F.lpad(F.col("s_suppkey").cast("string"), 3, "0")).alias("store_id"),
+                         "s_name")
+    return rt.resolve_entity(informal, directory, "qid", "informal_name", "store_id", "s_name")
