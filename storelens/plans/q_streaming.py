@@ -1 +1,127 @@
-"""Registered queries (filled in per family)."""
+"""Registered streaming queries (F4, telemetry routing, feedback).
+
+Each runs a Structured Streaming job over everything available
+(``availableNow``) from files Spark derived from the input tables, into
+an idempotent per-batch sink under the shared checkpoint folder, and
+returns the sink read back as a DataFrame.
+"""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import functions as F
+
+from storelens.plans import fixtures as fx
+from storelens.plans.oracle import with_views
+from storelens.plans.q_retail import ALERT_EVENTS, TRAILING_SQL
+from storelens.plans.registry import query
+from storelens.session import scratch_path
+from storelens.streaming import jobs as S
+
+PROJECT = "retail-ops"
+SERVICE = "operations-agent"
+
+
+def _scratch(t, name: str) -> str:
+    return scratch_path(t.spark, f"streams/{name}-{uuid.uuid4().hex[:12]}")
+
+
+def _trailing(t):
+    events = S.stream_events(t.spark, t.root)
+    return S.stream_trailing(S.alerts_stream(events))
+
+
+@query("stream_trailing_metrics", "T-01 T-02 A-04",
+       with_views(TRAILING_SQL, extra={"alert_events": ALERT_EVENTS}))
+def stream_trailing_metrics(t):
+    """Per-event trailing-hour cashier metrics computed by a stateful stream."""
+    base = _scratch(t, "trailing")
+    S.run_available(_trailing(t), S.parquet_sink(f"{base}/out"), f"{base}/ckpt")
+    return t.spark.read.parquet(f"{base}/out").drop("batch")
+
+
+LATEST_SQL = f"""
+SELECT * EXCLUDE (rn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY row_key_prefix ORDER BY event_ts DESC, row_key DESC) AS rn FROM (
+    SELECT *, regexp_extract(row_key, '^([^#]*#[^#]*)', 1) AS row_key_prefix,
+      CASE WHEN override_rate_pct >= 50.0 THEN 'flagged' WHEN override_rate_pct >= 25.0 THEN 'review'
+        ELSE 'clear' END AS audit_status
+    FROM ({TRAILING_SQL})))
+WHERE rn = 1"""
+
+
+@query("stream_latest_audit", "T-04 T-05 S-06", with_views(LATEST_SQL, extra={"alert_events": ALERT_EVENTS}))
+def stream_latest_audit(t):
+    """Latest audit state per STORE#CASHIER key, kept by a streaming upsert."""
+    base = _scratch(t, "latest")
+    m = S.audit_status(_trailing(t)).withColumn(
+        "row_key_prefix", F.regexp_extract("row_key", r"^([^#]*#[^#]*)", 1))
+    S.run_available(m, S.upsert_latest(f"{base}/table"), f"{base}/ckpt")
+    return S.read_latest(t.spark, f"{base}/table")
+
+
+@query("stream_sliding_windows", "T-03 T-01")
+def stream_sliding_windows(t):
+    """1-hour windows sliding by 5 minutes per cashier, closed by the watermark."""
+    base = _scratch(t, "sliding")
+    events = S.stream_events(t.spark, t.root)
+    S.run_available(S.stream_sliding(S.alerts_stream(events)), S.parquet_sink(f"{base}/out"), f"{base}/ckpt")
+    return t.spark.read.parquet(f"{base}/out").drop("batch")
+
+
+def _log_records(t):
+    """Inference log records and feedback records in one log stream."""
+    logs = fx.inference_logs(t)
+    refs = F.struct(
+        F.col("labels.gen_ai_conversation_id").alias("gen_ai_conversation_id"),
+        F.concat(F.lit(f"gs://{PROJECT}-logs"), F.col("labels.gen_ai_input_messages_ref")).alias("gen_ai_input_messages_ref"),
+        F.concat(F.lit(f"gs://{PROJECT}-logs"), F.col("labels.gen_ai_output_messages_ref")).alias("gen_ai_output_messages_ref"))
+    null_fb = F.lit(None).cast("struct<log_type:string,service_name:string,score:double,text:string>")
+    genai = logs.select(
+        "insertId", "timestamp",
+        F.lit(f"projects/{PROJECT}/logs/gen_ai.client.inference.operation.details").alias("log_name"),
+        refs.alias("labels"), null_fb.alias("json_payload"))
+    conv = t.conversations.where(F.col("role") == "assistant")
+    fb = conv.select(
+        F.concat(F.lit("fb-"), F.col("conv_id").cast("string"), F.lit("-"), F.col("turn").cast("string")).alias("insertId"),
+        F.timestamp_add("MINUTE", F.col("turn"), F.lit(fx.TELEMETRY_BASE).cast("timestamp_ntz")).alias("timestamp"),
+        F.lit(f"projects/{PROJECT}/logs/feedback").alias("log_name"),
+        F.lit(None).cast("struct<gen_ai_conversation_id:string,gen_ai_input_messages_ref:string,"
+                         "gen_ai_output_messages_ref:string>").alias("labels"),
+        F.struct(F.lit("feedback").alias("log_type"),
+                 F.when(F.col("conv_id") % 4 == 0, F.lit("other-service")).otherwise(F.lit(SERVICE)).alias("service_name"),
+                 (F.length("text") % 5 + 1).cast("double").alias("score"),
+                 F.substring("text", 1, 40).alias("text")).alias("json_payload"))
+    return genai.unionByName(fb)
+
+
+@query("stream_routed_logs", "T-06 S-04")
+def stream_routed_logs(t):
+    """Log stream routed to the inference-log and feedback tables (day partitions)."""
+    base = _scratch(t, "routes")
+    recs = _log_records(t)
+    recs.write.mode("overwrite").parquet(f"{base}/source")
+    stream = t.spark.readStream.schema(recs.schema).parquet(f"{base}/source")
+    routes = {"genai": (S.genai_route(PROJECT, PROJECT), f"{base}/genai"),
+              "feedback": (S.feedback_route(SERVICE), f"{base}/feedback")}
+    S.run_available(stream, S.route_logs(routes), f"{base}/ckpt")
+    g = t.spark.read.parquet(f"{base}/genai").withColumn("route", F.lit("genai"))
+    f = t.spark.read.parquet(f"{base}/feedback").withColumn("route", F.lit("feedback"))
+    return g.unionByName(f).select("route", "insertId", "timestamp", "log_date", "log_name")
+
+
+@query("stream_feedback", "T-07")
+def stream_feedback(t):
+    """Feedback JSON lines parsed with schema, defaults and validity."""
+    base = _scratch(t, "feedback")
+    conv = t.conversations.where(F.col("role") != "system")
+    rec = F.to_json(F.struct(
+        F.when(F.col("turn") % 11 != 5, (F.length("text") % 5 + 1)).alias("score"),
+        F.when(F.col("turn") % 3 != 0, F.substring("text", 1, 60)).alias("text"),
+        F.when(F.col("conv_id") % 2 == 0, F.concat(F.lit("user-"), (F.col("conv_id") % 10).cast("string"))).alias("user_id"),
+        F.concat(F.lit("session-"), F.col("conv_id").cast("string")).alias("session_id")))
+    conv.select(rec.alias("value")).write.mode("overwrite").text(f"{base}/source")
+    stream = t.spark.readStream.text(f"{base}/source")
+    S.run_available(S.ingest_feedback(stream, SERVICE), S.parquet_sink(f"{base}/out"), f"{base}/ckpt")
+    return t.spark.read.parquet(f"{base}/out").drop("batch")
