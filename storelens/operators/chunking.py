@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from storelens.functions.vectors import embed
+from storelens.operators.sizing import spread
 
 META = ("document_filename", "document_title", "equipment_covered", "source_pdf_uri")
 
@@ -19,7 +20,7 @@ def chunk(df: DataFrame, text_col: str = "text", size: int = 500, step: int = 40
     t = F.col(text_col)
     starts = F.sequence(F.lit(1), F.greatest(F.length(t), F.lit(1)), F.lit(step))
     keep = [c for c in meta if c in df.columns]
-    x = df.select(*keep, t.alias("_t"), F.posexplode(starts).alias("chunk_index", "_start"))
+    x = spread(df).select(*keep, t.alias("_t"), F.posexplode(starts).alias("chunk_index", "_start"))
     x = x.select(*keep, F.col("chunk_index").cast("long").alias("chunk_index"),
                  F.substring(F.col("_t"), F.col("_start"), F.lit(size)).alias("chunk_content"))
     return x.where(F.length(F.trim("chunk_content")) > min_len)

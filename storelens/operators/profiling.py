@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from storelens.functions.metrics import exact_ratio, round_half_up
+from storelens.operators.sizing import spread
 
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 _TEMPORAL = (T.DateType, T.TimestampType, T.TimestampNTZType)
@@ -53,8 +54,9 @@ def profile(df: DataFrame, exact: bool = False, quantiles=(0.25, 0.5, 0.75),
         kind = _kind(f.dataType)
         c = F.col(f"`{f.name}`")
         aggs.append(F.count(c).alias(f"_{i}_nn"))
+        if kind != "complex" and not exact:
+            aggs.append(F.approx_count_distinct(c).alias(f"_{i}_nd"))
         if kind != "complex":
-            aggs.append((F.count_distinct(c) if exact else F.approx_count_distinct(c)).alias(f"_{i}_nd"))
             if kind == "numeric":   # numbers stay numbers (text forms differ between engines)
                 aggs.append(F.min(c).cast("double").alias(f"_{i}_min"))
                 aggs.append(F.max(c).cast("double").alias(f"_{i}_max"))
@@ -67,7 +69,8 @@ def profile(df: DataFrame, exact: bool = False, quantiles=(0.25, 0.5, 0.75),
             if not exact and quantiles:
                 aggs.append(F.percentile_approx(d, list(quantiles), accuracy).alias(f"_{i}_q"))
         cols.append((i, f, kind))
-    one = df.agg(*aggs)
+    src = spread(df)
+    one = src.agg(*aggs)
     null_d = F.lit(None).cast("double")
     rows = []
     for i, f, kind in cols:
@@ -76,7 +79,8 @@ def profile(df: DataFrame, exact: bool = False, quantiles=(0.25, 0.5, 0.75),
         rows.append(F.struct(
             F.lit(f.name).alias("column_name"), F.lit(f.dataType.simpleString()).alias("data_type"),
             F.col(f"_{i}_nn").alias("non_null"),
-            (F.col(f"_{i}_nd") if has else F.lit(None).cast("long")).alias("distinct_count"),
+            F.lit(i).alias("_ci"),
+            (F.col(f"_{i}_nd") if has and not exact else F.lit(None).cast("long")).alias("distinct_count"),
             (F.col(f"_{i}_min") if has and not num else F.lit(None).cast("string")).alias("min_value"),
             (F.col(f"_{i}_max") if has and not num else F.lit(None).cast("string")).alias("max_value"),
             (F.col(f"_{i}_min") if num else null_d).alias("min_number"),
@@ -86,11 +90,33 @@ def profile(df: DataFrame, exact: bool = False, quantiles=(0.25, 0.5, 0.75),
             (F.col(f"_{i}_q") if num and not exact and quantiles
              else F.lit(None).cast("array<double>")).alias("quantiles")))
     out = one.select("_rows", F.explode(F.array(*rows)).alias("p")).select("_rows", "p.*")
+    if exact:
+        # one row per column on both sides; the equi-join is on the column index
+        nd = exact_distinct(src, [f.name for i, f, k in cols if k != "complex"])
+        out = (out.drop("distinct_count").join(F.broadcast(nd), "_ci", "left")
+                  .withColumnRenamed("_nd", "distinct_count"))
     out = out.withColumn("row_count", F.col("_rows")).withColumn("null_count", F.col("_rows") - F.col("non_null"))
     out = out.withColumn("null_ratio", exact_ratio("null_count", "row_count", 4))
     if exact:
         out = out.drop("quantiles")
-    return out.drop("_rows", "non_null")
+    return out.drop("_rows", "non_null", "_ci")
+
+
+def exact_distinct(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Exact distinct counts of many columns in one shuffle: (column,
+    value) pairs are de-duplicated map-side, shuffled once, then counted
+    per column. Returns (_ci, _nd): column position, distinct values."""
+    idx = {f.name: i for i, f in enumerate(df.schema.fields)}
+    if not columns:
+        return df.sparkSession.createDataFrame([], "_ci int, _nd long")
+    pairs = F.array(*[F.struct(F.lit(idx[c]).alias("_ci"), F.col(f"`{c}`").cast("string").alias("v"))
+                      for c in columns])
+    x = df.select(F.explode(pairs).alias("p")).select("p.*").where(F.col("v").isNotNull())
+    per = x.distinct().groupBy("_ci").agg(F.count(F.lit(1)).alias("_nd"))
+    zeros = df.sparkSession.createDataFrame([(idx[c], 0) for c in columns], "_ci int, _nd long")
+    # columns that are entirely null have no pairs: count 0
+    return zeros.join(per.withColumnRenamed("_nd", "_n"), "_ci", "left").select(
+        "_ci", F.coalesce("_n", "_nd").alias("_nd"))
 
 
 def profile_all(tables: dict[str, DataFrame], exact: bool = False, **kw) -> DataFrame:

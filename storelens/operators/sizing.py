@@ -27,3 +27,14 @@ def broadcast_if_small(df: DataFrame, max_rows: int = 1_000_000,
     if n <= max_rows and n * max(1, len(df.columns)) * 32 <= max_bytes:
         return F.broadcast(df)
     return df
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin repartition ``df`` only when it has fewer partitions than
+    the cluster's default parallelism (a single large file with one row
+    group scans as one task). Well-partitioned inputs pass through
+    unchanged, so no shuffle is added at scale. Planning only, no job."""
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df

@@ -117,7 +117,8 @@ def retrieval_gate(t):
 @query("search_terms", "R-06", with_views(TERMS_SQL, extra={"questions": QUESTIONS_SQL}))
 def search_terms_q(t):
     """Ordered, de-duplicated search terms of every document-as-question."""
-    q = _questions(t)
+    from storelens.operators.sizing import spread
+    q = spread(_questions(t))
     return q.select("query_id", F.posexplode(search_terms("text")).alias("term_pos", "term"))
 
 
