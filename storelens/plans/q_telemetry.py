@@ -79,3 +79,25 @@ GROUP BY 1, 2""", "log_refs", extra={"logs": LOGS_SQL}))
 def usage_by_agent_user(t):
     """Token usage per agent and user, one row per log insert id."""
     return tel.usage_by(fx.inference_logs(t))
+
+
+@query("completions_mart_from_files", "S-03 J-05 M-04 S-10",
+       with_views(MART_SQL, "log_refs", "messages", extra={"logs": LOGS_SQL}))
+def completions_mart_from_files(t):
+    """The mart with messages read back from NDJSON message files (one
+    folder per message file, plus a malformed line that the reader sets
+    aside under its bad-record limit)."""
+    import uuid
+
+    from pyspark.sql import functions as F
+
+    from storelens.session import scratch_path
+    from storelens.sources.messages import read_messages
+
+    base = scratch_path(t.spark, f"messages/{uuid.uuid4().hex[:12]}")
+    comp = fx.completions(t).withColumn("file_key", F.regexp_extract("file_name", r"([^/]+)$", 1))
+    comp.drop("file_name").repartition("file_key").write.partitionBy("file_key").json(base)
+    t.spark.createDataFrame([("{not json",)], "value string").write.text(f"{base}/file_key=broken.jsonl")
+    msgs = read_messages(t.spark, base, max_bad=1000)
+    msgs = msgs.withColumn("file_name", F.concat(F.lit("/logs/completions/"), F.col("file_key")))
+    return tel.completions_mart(fx.inference_logs(t), msgs)

@@ -79,3 +79,14 @@ def test_declared_schema_and_federated_pushdown(spark):
     plan = fed._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters" in plan and "o_custkey" in plan
     assert "ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint>" in plan
+
+
+def test_write_chunks_and_cap(spark):
+    from storelens.operators.chunking import manual_chunks
+    from storelens.operators.filters import cap_rows
+    t = Tables(spark, SF001)
+    c = manual_chunks(t.documents)
+    path = tempfile.mkdtemp(prefix="storelens-ch-") + "/chunks"
+    lg.write_chunks(c, path)
+    assert spark.read.parquet(path).count() == c.count()
+    assert cap_rows(c, 100).count() == 100
