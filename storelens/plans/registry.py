@@ -48,6 +48,8 @@ def registry() -> dict[str, Registered]:
 
 def runner(r: Registered) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        # the views and their oracles are defined in UTC (FIXTURES.md)
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
         return r.build(Tables(spark, sf_dir))
     run.__name__ = r.name
     run.__doc__ = f"{r.ops}: {r.build.__doc__ or ''}"
