@@ -12,6 +12,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from storelens.session import ship_package
 from storelens.sources.tables import Tables
 
 
@@ -50,6 +51,7 @@ def runner(r: Registered) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         # the views and their oracles are defined in UTC (FIXTURES.md)
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+        ship_package(spark)
         return r.build(Tables(spark, sf_dir))
     run.__name__ = r.name
     run.__doc__ = f"{r.ops}: {r.build.__doc__ or ''}"

@@ -22,6 +22,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from storelens.functions.metrics import PROMO_ABUSE, exact_ratio
 from storelens.operators.offenders import PROMO_EVENT, audit_status
 from storelens.sources.logs import write_logs
+from storelens.session import ship_package
 from storelens.sources.tables import SCHEMAS
 
 HOUR_US = 3600 * 1_000_000
@@ -105,6 +106,7 @@ def stream_trailing(alerts: DataFrame, window_us: int = HOUR_US, delay: str = "1
     are counted in the windows of events that arrive after them; state per
     cashier holds only ``window + delay`` of history. On in-order input
     the output equals the batch RANGE window (A-04)."""
+    ship_package(alerts.sparkSession)
     x = (alerts.withWatermark("alert_ts", delay)
          .withColumn("us", F.unix_micros("alert_ts"))
          .withColumn("kind", F.when(F.col("alert_type") == PROMO_ABUSE, 1)
