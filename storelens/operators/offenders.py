@@ -80,7 +80,7 @@ def _with_time_buckets(df: DataFrame, ts_col: str, window_micros: int, bucket_mi
 
 
 def trailing(df: DataFrame, key: str, ts_col: str, aggs: dict[str, Column],
-             window_micros: int = HOUR_MICROS, bucket_micros: int = 24 * HOUR_MICROS) -> DataFrame:
+             window_micros: int = HOUR_MICROS, bucket_micros: int = 6 * HOUR_MICROS) -> DataFrame:
     """W-04: per-event trailing aggregates over ``[ts - window, ts]``, peers at
     ``ts`` included (RANGE frame). Partitioned by (key, time bucket)."""
     x = _with_time_buckets(df, ts_col, window_micros, bucket_micros)
@@ -92,7 +92,7 @@ def trailing(df: DataFrame, key: str, ts_col: str, aggs: dict[str, Column],
 
 
 def rt_metrics(alerts: DataFrame, window_micros: int = HOUR_MICROS,
-               bucket_micros: int = 24 * HOUR_MICROS) -> DataFrame:
+               bucket_micros: int = 6 * HOUR_MICROS) -> DataFrame:
     """A-04: trailing-hour metrics per cashier at every event: transactions,
     overrides (promo abuse), promos, their rates, total and mean discount.
     ``row_key`` is ``STORE#CASHIER#event`` as in the key-value table.

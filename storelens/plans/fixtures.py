@@ -209,7 +209,8 @@ def messages(t: Tables) -> DataFrame:
 
 
 def vchunks(t: Tables) -> DataFrame:
-    """pos_manual_chunk_embeddings with vectors; gaps in chunk_index."""
+    """pos_manual_chunk_embeddings with vectors; gaps in chunk_index. Each
+    row carries the whole text of its document (no prefix is taken)."""
     e = t.embeddings.where(F.col("vec_id") % 11 != 5)
     d = t.documents.select("doc_id", "source", "lang", "text")
     j = e.join(d, F.col("doc_id") == F.col("vec_id") % 200)
@@ -220,7 +221,7 @@ def vchunks(t: Tables) -> DataFrame:
         F.floor(v / F.lit(50.0)).cast("long").alias("chunk_index"),
         F.when(v % 3 != 0, F.col("source")).alias("document_title"),
         F.col("lang").alias("equipment_covered"),
-        F.substring("text", 1, 500).alias("chunk_content"),
+        F.col("text").alias("chunk_content"),   # the whole document text, never a prefix
         F.concat(F.lit("gs://manuals/doc_"), (v % 50).cast("string"), F.lit(".pdf")).alias("source_pdf_uri"),
         "embedding",
     )

@@ -66,7 +66,7 @@ SELECT concat('/logs/completions/', cast(conv_id * 100 + turn AS VARCHAR(20)), '
     "vchunks": """
 SELECT vec_id, concat('doc_', cast(vec_id % 50 AS VARCHAR(20)), '.pdf') AS document_filename, CAST(floor(vec_id / 50.0) AS BIGINT) AS chunk_index,
   CASE WHEN vec_id % 3 <> 0 THEN source END AS document_title, lang AS equipment_covered,
-  substr(text, 1, 500) AS chunk_content, concat('gs://manuals/doc_', cast(vec_id % 50 AS VARCHAR(20)), '.pdf') AS source_pdf_uri, embedding
+  text AS chunk_content, concat('gs://manuals/doc_', cast(vec_id % 50 AS VARCHAR(20)), '.pdf') AS source_pdf_uri, embedding
 FROM embeddings JOIN documents ON doc_id = vec_id % 200 WHERE vec_id % 11 <> 5""",
 }
 

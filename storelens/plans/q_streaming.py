@@ -92,7 +92,7 @@ def _log_records(t):
         F.struct(F.lit("feedback").alias("log_type"),
                  F.when(F.col("conv_id") % 4 == 0, F.lit("other-service")).otherwise(F.lit(SERVICE)).alias("service_name"),
                  (F.length("text") % 5 + 1).cast("double").alias("score"),
-                 F.substring("text", 1, 40).alias("text")).alias("json_payload"))
+                 F.col("text").alias("text")).alias("json_payload"))
     return genai.unionByName(fb)
 
 
@@ -118,7 +118,7 @@ def stream_feedback(t):
     conv = t.conversations.where(F.col("role") != "system")
     rec = F.to_json(F.struct(
         F.when(F.col("turn") % 11 != 5, (F.length("text") % 5 + 1)).alias("score"),
-        F.when(F.col("turn") % 3 != 0, F.substring("text", 1, 60)).alias("text"),
+        F.when(F.col("turn") % 3 != 0, F.col("text")).alias("text"),
         F.when(F.col("conv_id") % 2 == 0, F.concat(F.lit("user-"), (F.col("conv_id") % 10).cast("string"))).alias("user_id"),
         F.concat(F.lit("session-"), F.col("conv_id").cast("string")).alias("session_id")))
     conv.select(rec.alias("value")).write.mode("overwrite").text(f"{base}/source")

@@ -119,3 +119,23 @@ def test_export_results(spark):
     export_results(gov.quality_scan(fx.pos_tx(t)), path, "2026-01-01")
     back = spark.read.parquet(path)
     assert back.count() == 3 and back.where("run_date = DATE'2026-01-01'").count() == 3
+
+
+def test_trailing_buckets_do_not_change_results(spark):
+    """Hot-key splitting by time bucket is exact, also at bucket edges."""
+    from storelens.operators.offenders import HOUR_MICROS, rt_metrics
+    t = Tables(spark, SF001)
+    ev = fx.alert_events(t)
+    # add events exactly on bucket boundaries and one window apart
+    edge = spark.createDataFrame(
+        [(10**9 + i, f"2024-01-0{d} {h}", "STORE_001", "CASH_1001", "cashier_promo_abuse", 0.5, 1.25)
+         for i, (d, h) in enumerate([(2, "00:00:00"), (2, "01:00:00"), (1, "23:00:00"), (2, "06:00:00"),
+                                     (2, "05:00:00"), (2, "05:59:59.999999")])],
+        "alert_id long, alert_ts string, store_id string, cashier_id string, alert_type string, "
+        "risk_score double, discount_usd double")
+    edge = edge.select("alert_id", F.col("alert_ts").cast("timestamp_ntz").alias("alert_ts"), "store_id",
+                       "cashier_id", "alert_type", "risk_score", F.col("discount_usd").cast("decimal(18,2)"))
+    ev = ev.unionByName(edge)
+    ref = rt_metrics(ev, bucket_micros=10_000 * 24 * HOUR_MICROS).collect()
+    for b in (HOUR_MICROS, 6 * HOUR_MICROS):
+        assert sorted(rt_metrics(ev, bucket_micros=b).collect()) == sorted(ref)
