@@ -7,6 +7,8 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
+ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 # Settings every job relies on: UTC so timestamps agree with the
 # oracle, AQE for runtime re-planning (partition coalescing, skew-join
 # splitting, broadcast conversion from real sizes), no UI server.
@@ -22,6 +24,9 @@ _DEFAULTS = {
     # Small dims broadcast automatically once their measured size is
     # below this bound; larger sides fall back to sort-merge joins.
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
+    # Streaming state off the JVM heap, checkpointed as change logs.
+    "spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER,
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 

@@ -223,7 +223,13 @@ def ingest_feedback(raw: DataFrame, service_name: str, value_col: str = "value")
 
 # ------------------------------------------------------------- runner
 def run_available(df: DataFrame, sink_fn, checkpoint: str, name: str | None = None) -> None:
-    """Run a stream over everything available now, then stop."""
+    """Run a stream over everything available now, then stop. State lives
+    in RocksDB unless the session chose another provider."""
+    from storelens.session import ROCKSDB_PROVIDER
+    conf = df.sparkSession.conf
+    if conf.get("spark.sql.streaming.stateStore.providerClass", "").endswith("HDFSBackedStateStoreProvider"):
+        conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
+        conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
     w = df.writeStream.foreachBatch(sink_fn).option("checkpointLocation", checkpoint).trigger(availableNow=True)
     if name:
         w = w.queryName(name)
