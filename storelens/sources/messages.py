@@ -31,9 +31,11 @@ def read_messages(spark: SparkSession, path: str, max_bad: int = 1000,
            .option("columnNameOfCorruptRecord", CORRUPT).json(path)
            .withColumn("file_name", normalise_path(F.col("_metadata.file_path"))))
     if check:
-        # cache() is needed: Spark refuses queries that reference only the
-        # corrupt-record column of an uncached JSON scan.
-        raw = raw.cache()
+        # Spark refuses a query over an unpersisted JSON scan that references
+        # only the corrupt-record column. Persisting (memory, spilling to
+        # disk) also lets the check and the caller's query share one parse.
+        from pyspark import StorageLevel
+        raw = raw.persist(StorageLevel.MEMORY_AND_DISK)
         bad = raw.where(F.col(CORRUPT).isNotNull()).count()
         if bad > max_bad:
             raise TooManyBadRecords(f"{bad} malformed records in {path} (limit {max_bad})")
