@@ -99,13 +99,81 @@ def _trailing_state_fn(window_us: int, keep_us: int):
     return fn
 
 
+_STATE_WM = T.StructType([T.StructField("ts", T.ArrayType(T.LongType())),
+                          T.StructField("kind", T.ArrayType(T.IntegerType())),
+                          T.StructField("cents", T.ArrayType(T.LongType())),
+                          T.StructField("eid", T.ArrayType(T.LongType())),
+                          T.StructField("store", T.ArrayType(T.StringType())),
+                          T.StructField("pending", T.ArrayType(T.BooleanType()))])
+
+
+def _trailing_watermark_fn(window_us: int, delay_us: int):
+    """Per cashier: events wait in state until the watermark passes them;
+    then every earlier event has arrived (later-than-watermark rows are
+    dropped by Spark), so their trailing counts are final and equal the
+    batch RANGE window whatever the arrival order."""
+
+    def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState):
+        wm_us = state.getCurrentWatermarkMs() * 1000
+        cols = ["us", "kind", "cents", "eid", "store", "pending"]
+        parts = []
+        if state.exists:
+            ts0, kind0, cents0, eid0, store0, pend0 = state.get
+            parts.append(pd.DataFrame({"us": np.asarray(ts0, np.int64), "kind": np.asarray(kind0, np.int32),
+                                       "cents": np.asarray(cents0, np.int64), "eid": np.asarray(eid0, np.int64),
+                                       "store": list(store0), "pending": np.asarray(pend0, bool)}))
+        if not state.hasTimedOut:
+            for p in pdfs:
+                parts.append(pd.DataFrame({"us": p["us"].to_numpy(np.int64), "kind": p["kind"].to_numpy(np.int32),
+                                           "cents": p["cents"].to_numpy(np.int64),
+                                           "eid": p["alert_id"].to_numpy(np.int64), "store": p["store_id"].tolist(),
+                                           "pending": np.ones(len(p), bool)}))
+        if not parts:
+            state.remove()
+            return
+        allv = pd.concat(parts, ignore_index=True).sort_values("us", kind="stable").reset_index(drop=True)
+        us = allv["us"].to_numpy(np.int64)
+        ready = allv["pending"].to_numpy(bool) & (us <= wm_us)
+        if ready.any():
+            ov = np.concatenate([[0], np.cumsum(allv["kind"].to_numpy() == 1)])
+            pr = np.concatenate([[0], np.cumsum(allv["kind"].to_numpy() == 2)])
+            ct = np.concatenate([[0], np.cumsum(allv["cents"].to_numpy(np.int64))])
+            t = us[ready]
+            lo = np.searchsorted(us, t - window_us, side="left")
+            hi = np.searchsorted(us, t, side="right")
+            yield pd.DataFrame({
+                "cashier_id": key[0], "store_id": allv.loc[ready, "store"].to_numpy(),
+                "event_id": allv.loc[ready, "eid"].to_numpy(np.int64), "event_us": t,
+                "txn_count": (hi - lo).astype(np.int64), "override_count": (ov[hi] - ov[lo]).astype(np.int64),
+                "promo_count": (pr[hi] - pr[lo]).astype(np.int64), "cents_sum": (ct[hi] - ct[lo]).astype(np.int64)})
+            allv.loc[ready, "pending"] = False
+        pend = allv["pending"].to_numpy(bool)
+        # keep pending events and the history a pending event can still look back on
+        floor = (us[pend].min() if pend.any() else wm_us) - window_us
+        kept = allv[pend | (us >= floor)]
+        if kept.empty:
+            state.remove()
+            return
+        state.update(tuple(kept[c].tolist() for c in cols))
+        if pend.any():
+            # wake up when the watermark passes the oldest pending event
+            state.setTimeoutTimestamp(max(int(us[pend].min()) // 1000, wm_us // 1000))
+        else:
+            state.setTimeoutTimestamp(int(us.max()) // 1000 + (window_us + delay_us) // 1000)
+    return fn
+
+
 def stream_trailing(alerts: DataFrame, window_us: int = HOUR_US, delay: str = "10 minutes",
-                    delay_us: int = 600 * 1_000_000) -> DataFrame:
+                    delay_us: int = 600 * 1_000_000, emit: str = "arrival") -> DataFrame:
     """T-02: per-event trailing-window cashier metrics on a stream, with
-    ``applyInPandasWithState``. Late events (within the watermark delay)
-    are counted in the windows of events that arrive after them; state per
-    cashier holds only ``window + delay`` of history. On in-order input
-    the output equals the batch RANGE window (A-04)."""
+    ``applyInPandasWithState``.
+
+    ``emit="arrival"`` answers at once (the live view): late events within
+    the watermark delay are counted in the windows of events that arrive
+    after them, and state per cashier holds ``window + delay`` of history.
+    On in-order input the output equals the batch RANGE window (A-04).
+    ``emit="watermark"`` holds each event until the watermark passes it and
+    is then exact for any arrival order, one watermark delay later."""
     ship_package(alerts.sparkSession)
     x = (alerts.withWatermark("alert_ts", delay)
          .withColumn("us", F.unix_micros("alert_ts"))
@@ -113,9 +181,11 @@ def stream_trailing(alerts: DataFrame, window_us: int = HOUR_US, delay: str = "1
                      .when(F.col("alert_type") == PROMO_EVENT, 2).otherwise(0))
          .withColumn("cents", (F.col("discount_usd") * 100).cast("long"))
          .select("cashier_id", "store_id", "alert_id", "alert_ts", "us", "kind", "cents"))
-    out = x.groupBy("cashier_id").applyInPandasWithState(
-        _trailing_state_fn(window_us, window_us + delay_us), _OUT, _STATE, "append",
-        GroupStateTimeout.EventTimeTimeout)
+    if emit == "watermark":
+        fn, st = _trailing_watermark_fn(window_us, delay_us), _STATE_WM
+    else:
+        fn, st = _trailing_state_fn(window_us, window_us + delay_us), _STATE
+    out = x.groupBy("cashier_id").applyInPandasWithState(fn, _OUT, st, "append", GroupStateTimeout.EventTimeTimeout)
     return out.select(
         F.concat_ws("#", "store_id", "cashier_id", F.col("event_id").cast("string")).alias("row_key"),
         "store_id", "cashier_id", "event_id",
