@@ -22,9 +22,21 @@ def _day_files(spark, root):
         import shutil
         src = glob.glob(f"{folder}/tmp{i}/*.parquet")[0]
         shutil.copy(src, f"{folder}/events_{i:03d}.parquet")
+    _pin_arrival_order(folder)
     return folder, len(days)
 
 
+def _pin_arrival_order(folder):
+    """The file source takes new files in modification-time order at
+    millisecond precision; copies made within one millisecond would tie
+    and arrive in any order. Space them one second apart, in name order."""
+    import os
+    import time
+    base = int(time.time()) - 10_000
+    for i, f in enumerate(sorted(x for x in os.listdir(folder) if x.startswith("events_"))):
+        os.utime(f"{folder}/{f}", (base + i, base + i))
+
+
 def test_trailing_stream_multi_batch_equals_batch(spark):
     folder, n = _day_files(spark, SF001)
     out = tempfile.mkdtemp(prefix="storelens-st-")
@@ -67,6 +79,7 @@ def test_trailing_watermark_mode_is_exact_out_of_order(spark):
     order = [j for i in range(0, len(names), 2) for j in (i + 1, i) if j < len(names)]
     for i, f in enumerate(names[j] for j in order):
         shutil.copy(f"{folder}/{f}", f"{rev}/events_{i:03d}.parquet")
+    _pin_arrival_order(rev)
     out = tempfile.mkdtemp(prefix="storelens-wm-")
     ev = S.stream_events(spark, rev, "events_*.parquet", max_files_per_trigger=1)
     # files are up to two days out of order: a three-day delay keeps them all
