@@ -73,7 +73,7 @@ def conversation_top_values(t):
     return prof.top_values(t.conversations, 5)
 
 
-@query("quality_scan", "G-04", with_views(f"""
+QUALITY_SQL = f"""
 SELECT rule_name, dimension, column_name, rule_expr, threshold, passed, evaluated, evaluated - passed AS failed,
   {exact_ratio('passed', 'evaluated', 4)} AS pass_ratio,
   CASE WHEN evaluated = 0 OR passed >= ceil(threshold * evaluated) THEN 'PASSED' ELSE 'FAILED' END AS status
@@ -86,7 +86,10 @@ FROM (
     count(*) FILTER (WHERE coalesce(total = subtotal_amount - discount + tax_amount, false)), count(*) FROM pos_tx
   UNION ALL
   SELECT 'items_within_quantity', 'INTEGRITY', NULL, 'item_count <= total_quantity', 1.0,
-    count(*) FILTER (WHERE coalesce(item_count <= total_quantity, false)), count(*) FROM pos_tx)""", "pos_tx"))
+    count(*) FILTER (WHERE coalesce(item_count <= total_quantity, false)), count(*) FROM pos_tx)"""
+
+
+@query("quality_scan", "G-04", with_views(QUALITY_SQL, "pos_tx"))
 def quality_scan(t):
     """The three checkout-ledger quality rules in one pass."""
     return gov.quality_scan(fx.pos_tx(t))

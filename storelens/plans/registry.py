@@ -39,7 +39,7 @@ def query(name: str, ops: str, sql: str | None = None):
 def _load_all() -> None:
     # Import for side effects (registration); order = presentation order.
     from storelens.plans import (q_retail, q_telemetry, q_retrieval,  # noqa: F401
-                                 q_governance, q_streaming)
+                                 q_governance, q_streaming, q_sources)
 
 
 def registry() -> dict[str, Registered]:
