@@ -39,84 +39,104 @@ def _as_text(c, dt: T.DataType):
     return c.cast("string")
 
 
+# The profile is written as SQL expression text and handed to Spark in one
+# ``selectExpr`` call per stage: building it from Column objects costs one
+# driver round trip per expression node (tens of thousands for a wide
+# table set), while a string is parsed JVM-side in one call.
+
+def _ident(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _str(s: str) -> str:
+    return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _text_sql(e: str, dt: T.DataType) -> str:
+    if isinstance(dt, T.DateType):
+        return f"date_format({e}, 'yyyy-MM-dd')"
+    if isinstance(dt, (T.TimestampType, T.TimestampNTZType)):
+        return f"date_format({e}, '{TS_FORMAT}')"
+    if isinstance(dt, T.BinaryType):
+        return f"hex({e})"
+    return f"CAST({e} AS STRING)"
+
+
+def _round_sql(e: str, places: int) -> str:
+    """SQL form of ``round_half_up`` (double literals, as the Column form)."""
+    s = f"{float(10 ** places)!r}D"
+    return f"(CAST(floor(({e}) * {s} + 0.5D) AS DOUBLE) / {s})"
+
+
 def profile(df: DataFrame, exact: bool = False, quantiles=(0.25, 0.5, 0.75),
             accuracy: int = 10000) -> DataFrame:
     """G-01: per column: rows, nulls, null ratio, distinct values, min and
     max (numbers as doubles, other types as text), and for numbers mean,
     standard deviation and quantiles.
 
-    ``exact`` counts distinct values exactly (an Expand per column) and
-    skips quantiles; the default uses HyperLogLog++ and
-    ``percentile_approx``, which stay one pass at any size."""
-    aggs = [F.count(F.lit(1)).alias("_rows")]
-    cols = []
+    ``exact`` counts distinct values exactly (one extra shuffle of
+    de-duplicated (column, value) pairs) and skips quantiles; the default
+    uses HyperLogLog++ and ``percentile_approx``, which stay one pass at
+    any size."""
+    aggs = ["count(1) AS _rows"]
+    rows = []
+    qs = "array(" + ", ".join(f"{float(q)!r}D" for q in quantiles) + ")" if quantiles else None
     for i, f in enumerate(df.schema.fields):
         kind = _kind(f.dataType)
-        c = F.col(f"`{f.name}`")
-        aggs.append(F.count(c).alias(f"_{i}_nn"))
-        if kind != "complex" and not exact:
-            aggs.append(F.approx_count_distinct(c).alias(f"_{i}_nd"))
-        if kind != "complex":
-            if kind == "numeric":   # numbers stay numbers (text forms differ between engines)
-                aggs.append(F.min(c).cast("double").alias(f"_{i}_min"))
-                aggs.append(F.max(c).cast("double").alias(f"_{i}_max"))
-            else:
-                aggs.append(_as_text(F.min(c), f.dataType).alias(f"_{i}_min"))
-                aggs.append(_as_text(F.max(c), f.dataType).alias(f"_{i}_max"))
-        if kind == "numeric":
-            d = c.cast("double")
-            aggs += [F.avg(d).alias(f"_{i}_mean"), F.stddev_samp(d).alias(f"_{i}_sd")]
-            if not exact and quantiles:
-                aggs.append(F.percentile_approx(d, list(quantiles), accuracy).alias(f"_{i}_q"))
-        cols.append((i, f, kind))
+        c = _ident(f.name)
+        has, num = kind != "complex", kind == "numeric"
+        aggs.append(f"count({c}) AS _{i}_nn")
+        if has and not exact:
+            aggs.append(f"approx_count_distinct({c}) AS _{i}_nd")
+        if num:   # numbers stay numbers (text forms differ between engines)
+            aggs += [f"CAST(min({c}) AS DOUBLE) AS _{i}_min", f"CAST(max({c}) AS DOUBLE) AS _{i}_max",
+                     f"avg(CAST({c} AS DOUBLE)) AS _{i}_mean", f"stddev_samp(CAST({c} AS DOUBLE)) AS _{i}_sd"]
+            if not exact and qs:
+                aggs.append(f"percentile_approx(CAST({c} AS DOUBLE), {qs}, {int(accuracy)}) AS _{i}_q")
+        elif has:
+            aggs += [f"{_text_sql(f'min({c})', f.dataType)} AS _{i}_min",
+                     f"{_text_sql(f'max({c})', f.dataType)} AS _{i}_max"]
+        null_s, null_d = "CAST(NULL AS STRING)", "CAST(NULL AS DOUBLE)"
+        rows.append("named_struct(" + ", ".join([
+            "'column_name'", _str(f.name), "'data_type'", _str(f.dataType.simpleString()),
+            "'non_null'", f"_{i}_nn", "'_ci'", str(i), "'_has'", "true" if has else "false",
+            "'distinct_count'", f"_{i}_nd" if has and not exact else "CAST(NULL AS BIGINT)",
+            "'min_value'", f"_{i}_min" if has and not num else null_s,
+            "'max_value'", f"_{i}_max" if has and not num else null_s,
+            "'min_number'", f"_{i}_min" if num else null_d,
+            "'max_number'", f"_{i}_max" if num else null_d,
+            "'mean'", _round_sql(f"_{i}_mean", 4) if num else null_d,
+            "'stddev'", _round_sql(f"_{i}_sd", 4) if num else null_d,
+            "'quantiles'", f"_{i}_q" if num and not exact and qs else "CAST(NULL AS ARRAY<DOUBLE>)"]) + ")")
     src = spread(df)
-    one = src.agg(*aggs)
-    null_d = F.lit(None).cast("double")
-    rows = []
-    for i, f, kind in cols:
-        has = kind != "complex"
-        num = kind == "numeric"
-        rows.append(F.struct(
-            F.lit(f.name).alias("column_name"), F.lit(f.dataType.simpleString()).alias("data_type"),
-            F.col(f"_{i}_nn").alias("non_null"),
-            F.lit(i).alias("_ci"),
-            (F.col(f"_{i}_nd") if has and not exact else F.lit(None).cast("long")).alias("distinct_count"),
-            (F.col(f"_{i}_min") if has and not num else F.lit(None).cast("string")).alias("min_value"),
-            (F.col(f"_{i}_max") if has and not num else F.lit(None).cast("string")).alias("max_value"),
-            (F.col(f"_{i}_min") if num else null_d).alias("min_number"),
-            (F.col(f"_{i}_max") if num else null_d).alias("max_number"),
-            (round_half_up(F.col(f"_{i}_mean"), 4) if num else null_d).alias("mean"),
-            (round_half_up(F.col(f"_{i}_sd"), 4) if num else null_d).alias("stddev"),
-            (F.col(f"_{i}_q") if num and not exact and quantiles
-             else F.lit(None).cast("array<double>")).alias("quantiles")))
-    out = one.select("_rows", F.explode(F.array(*rows)).alias("p")).select("_rows", "p.*")
+    one = src.selectExpr(*aggs)   # aggregate functions only: one global aggregation
+    out = one.selectExpr("_rows", f"explode(array({', '.join(rows)})) AS p").select("_rows", "p.*")
     if exact:
         # one row per column on both sides; the equi-join is on the column index
-        nd = exact_distinct(src, [f.name for i, f, k in cols if k != "complex"])
+        nd = exact_distinct(src, [f.name for f in df.schema.fields if _kind(f.dataType) != "complex"])
         out = (out.drop("distinct_count").join(F.broadcast(nd), "_ci", "left")
-                  .withColumnRenamed("_nd", "distinct_count"))
+                  .withColumn("distinct_count", F.when(F.col("_has"), F.coalesce(F.col("_nd"), F.lit(0)))
+                              .cast("long"))
+                  .drop("_nd"))
     out = out.withColumn("row_count", F.col("_rows")).withColumn("null_count", F.col("_rows") - F.col("non_null"))
     out = out.withColumn("null_ratio", exact_ratio("null_count", "row_count", 4))
     if exact:
         out = out.drop("quantiles")
-    return out.drop("_rows", "non_null", "_ci")
+    return out.drop("_rows", "non_null", "_ci", "_has")
 
 
 def exact_distinct(df: DataFrame, columns: list[str]) -> DataFrame:
     """Exact distinct counts of many columns in one shuffle: (column,
     value) pairs are de-duplicated map-side, shuffled once, then counted
-    per column. Returns (_ci, _nd): column position, distinct values."""
+    per column. Returns (_ci, _nd) for columns with at least one value;
+    the caller fills 0 for the rest. At most one row per column, so the
+    result is bounded by the schema, not the data."""
     idx = {f.name: i for i, f in enumerate(df.schema.fields)}
     if not columns:
-        return df.sparkSession.createDataFrame([], "_ci int, _nd long")
-    pairs = F.array(*[F.struct(F.lit(idx[c]).alias("_ci"), F.col(f"`{c}`").cast("string").alias("v"))
-                      for c in columns])
-    x = df.select(F.explode(pairs).alias("p")).select("p.*").where(F.col("v").isNotNull())
-    per = x.distinct().groupBy("_ci").agg(F.count(F.lit(1)).alias("_nd"))
-    zeros = df.sparkSession.createDataFrame([(idx[c], 0) for c in columns], "_ci int, _nd long")
-    # columns that are entirely null have no pairs: count 0
-    return zeros.join(per.withColumnRenamed("_nd", "_n"), "_ci", "left").select(
-        "_ci", F.coalesce("_n", "_nd").alias("_nd"))
+        return df.sparkSession.range(0).selectExpr("CAST(id AS INT) AS _ci", "id AS _nd")
+    pairs = ", ".join(f"named_struct('_ci', {idx[c]}, 'v', CAST({_ident(c)} AS STRING))" for c in columns)
+    x = df.selectExpr(f"explode(array({pairs})) AS p").select("p.*").where("v IS NOT NULL")
+    return x.distinct().groupBy("_ci").agg(F.count(F.lit(1)).alias("_nd"))
 
 
 def profile_all(tables: dict[str, DataFrame], exact: bool = False, **kw) -> DataFrame:
