@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,6 +17,28 @@ class TooManyBadRecords(RuntimeError):
     pass
 
 
+_LISTING = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+
+
+@contextmanager
+def _listing_tasks(spark: SparkSession):
+    """Message files sit one per folder, so a message bucket has as many
+    folders as files. Spark lists folders in a distributed job of up to
+    10,000 tasks by default, one folder per task here, which makes the
+    listing task-bound. For this read the job gets two tasks per core,
+    each listing a share of the folders; the setting is restored after."""
+    conf = spark.conf
+    old = conf.get(_LISTING, None)
+    conf.set(_LISTING, str(max(8, 2 * spark.sparkContext.defaultParallelism)))
+    try:
+        yield
+    finally:
+        if old is None:
+            conf.unset(_LISTING)
+        else:
+            conf.set(_LISTING, old)
+
+
 def read_messages(spark: SparkSession, path: str, max_bad: int = 1000,
                   schema: T.StructType = MESSAGE_SCHEMA, check: bool = True) -> DataFrame:
     """Read message files: declared schema (unknown fields ignored),
@@ -27,9 +51,11 @@ def read_messages(spark: SparkSession, path: str, max_bad: int = 1000,
     would; good rows are returned either way.
     """
     s = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())])
-    raw = (spark.read.schema(s).option("mode", "PERMISSIVE")
-           .option("columnNameOfCorruptRecord", CORRUPT).json(path)
-           .withColumn("file_name", normalise_path(F.col("_metadata.file_path"))))
+    with _listing_tasks(spark):
+        # the file index is built (listed) here, once, and kept by the plan
+        raw = (spark.read.schema(s).option("mode", "PERMISSIVE")
+               .option("columnNameOfCorruptRecord", CORRUPT).json(path)
+               .withColumn("file_name", normalise_path(F.col("_metadata.file_path"))))
     if check:
         # Spark refuses a query over an unpersisted JSON scan that references
         # only the corrupt-record column. Persisting (memory, spilling to
