@@ -41,8 +41,12 @@ def embed(df: DataFrame, text: Column | str, vectorizer=None, out_col: str = "em
     ``vectorizer`` may be any Spark ML ``Pipeline``/``Transformer`` that
     reads ``embed_text`` and writes ``_unit`` (a model served inside the
     tasks, for example); the default is ``hashed_embedder``. The hashing
-    stages are stateless, so fitting reads no data."""
-    x = df.withColumn("embed_text", F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit("")))
+    stages are stateless, so fitting reads no data. Tokenising is the
+    CPU-heavy part, so an input with fewer partitions than cores is
+    spread first (well-partitioned inputs pass through)."""
+    from storelens.operators.sizing import spread
+    x = spread(df).withColumn("embed_text", F.coalesce(F.col(text) if isinstance(text, str) else text,
+                                                       F.lit("")))
     model = (vectorizer or hashed_embedder(dim)).fit(x.limit(0))
     y = model.transform(x)
     return (y.withColumn(out_col, vector_to_array("_unit"))
