@@ -68,6 +68,23 @@ def _round_sql(e: str, places: int) -> str:
     return f"(CAST(floor(({e}) * {s} + 0.5D) AS DOUBLE) / {s})"
 
 
+def exact_mean_sql(s6: str, n: str, dbl_mean: str, places: int = 4) -> str:
+    """Mean rounded half-up to ``places`` from an exact DECIMAL(38,6) sum
+    ``s6`` of ``n`` values: floor((2*U + 10^6/10^p * n) / (2 * 10^6/10^p * n))
+    in integer decimal arithmetic (U = the sum in millionths), so the result
+    does not depend on summation order. A mean lying exactly on a rounding
+    half (2-decimal data over 1,000 rows, say) is common, and a double sum
+    lands on either side of it. ``dbl_mean`` (double average) is used when
+    some value does not fit the decimal type (or the sum is huge)."""
+    k = 10 ** (6 - places)
+    u = f"CAST({s6} * 1000000 AS DECIMAL(38,0))"
+    a = f"(2 * {u} + {k} * {n})"
+    b = f"(CAST({2 * k} AS DECIMAL(38,0)) * {n})"
+    q = f"CAST(({a} - pmod({a}, {b})) / {b} AS DECIMAL(38,0))"
+    return (f"CASE WHEN {s6} IS NOT NULL AND abs({s6}) < 1e25BD THEN CAST({q} AS DOUBLE) / {float(10 ** places)!r}D "
+            f"ELSE {_round_sql(dbl_mean, places)} END")
+
+
 def profile(df: DataFrame, exact: bool = False, quantiles=(0.25, 0.5, 0.75),
             accuracy: int = 10000) -> DataFrame:
     """G-01: per column: rows, nulls, null ratio, distinct values, min and
@@ -89,8 +106,11 @@ def profile(df: DataFrame, exact: bool = False, quantiles=(0.25, 0.5, 0.75),
         if has and not exact:
             aggs.append(f"approx_count_distinct({c}) AS _{i}_nd")
         if num:   # numbers stay numbers (text forms differ between engines)
+            d6 = f"try_cast({c} AS DECIMAL(38,6))"
             aggs += [f"CAST(min({c}) AS DOUBLE) AS _{i}_min", f"CAST(max({c}) AS DOUBLE) AS _{i}_max",
-                     f"avg(CAST({c} AS DOUBLE)) AS _{i}_mean", f"stddev_samp(CAST({c} AS DOUBLE)) AS _{i}_sd"]
+                     f"avg(CAST({c} AS DOUBLE)) AS _{i}_mean", f"stddev_samp(CAST({c} AS DOUBLE)) AS _{i}_sd",
+                     # exact sum, kept only when every value fitted the decimal type
+                     f"CASE WHEN count({d6}) = count({c}) THEN sum({d6}) END AS _{i}_s6"]
             if not exact and qs:
                 aggs.append(f"percentile_approx(CAST({c} AS DOUBLE), {qs}, {int(accuracy)}) AS _{i}_q")
         elif has:
@@ -105,7 +125,7 @@ def profile(df: DataFrame, exact: bool = False, quantiles=(0.25, 0.5, 0.75),
             "'max_value'", f"_{i}_max" if has and not num else null_s,
             "'min_number'", f"_{i}_min" if num else null_d,
             "'max_number'", f"_{i}_max" if num else null_d,
-            "'mean'", _round_sql(f"_{i}_mean", 4) if num else null_d,
+            "'mean'", exact_mean_sql(f"_{i}_s6", f"_{i}_nn", f"_{i}_mean") if num else null_d,
             "'stddev'", _round_sql(f"_{i}_sd", 4) if num else null_d,
             "'quantiles'", f"_{i}_q" if num and not exact and qs else "CAST(NULL AS ARRAY<DOUBLE>)"]) + ")")
     src = spread(df)

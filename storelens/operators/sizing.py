@@ -29,12 +29,16 @@ def broadcast_if_small(df: DataFrame, max_rows: int = 1_000_000,
     return df
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+def spread(df: DataFrame, min_partitions: int | None = None, min_bytes: int = 0) -> DataFrame:
     """Round-robin repartition ``df`` only when it has fewer partitions than
     the cluster's default parallelism (a single large file with one row
-    group scans as one task). Well-partitioned inputs pass through
-    unchanged, so no shuffle is added at scale. Planning only, no job."""
+    group scans as one task) and, with ``min_bytes``, only when the plan
+    estimate says it is big enough for one task to be the bottleneck.
+    Well-partitioned inputs pass through unchanged, so no shuffle is added
+    at scale. Planning only, no job."""
+    if min_bytes and plan_size_bytes(df) < min_bytes:
+        return df
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
+    if df._jdf.rdd().getNumPartitions() < target:
         return df.repartition(target)
     return df

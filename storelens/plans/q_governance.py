@@ -16,6 +16,18 @@ from storelens.sources.tables import SCHEMAS, TABLE_NAMES
 STAR = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
 
 
+def _exact_mean(c: str) -> str:
+    """DuckDB twin of ``profiling.exact_mean_sql``: half-up 4-place mean from
+    the exact decimal sum (HUGEINT floor arithmetic)."""
+    d6 = f"TRY_CAST({c} AS DECIMAL(38,6))"
+    s6 = f"(CASE WHEN count({d6}) = count({c}) THEN sum({d6}) END)"
+    u = f"CAST({s6} * 1000000 AS HUGEINT)"
+    a, b = f"(2 * {u} + 100 * count({c}))", f"(CAST(200 AS HUGEINT) * count({c}))"
+    q = f"(({a} - ((({a}) % {b}) + {b}) % {b}) // {b})"
+    return (f"(CASE WHEN {s6} IS NOT NULL AND abs({s6}) < 1e25 THEN CAST({q} AS DOUBLE) / 10000.0 "
+            f"ELSE {r4(f'avg(CAST({c} AS DOUBLE))')} END)")
+
+
 def _profile_sql(table: str) -> str:
     parts = []
     for f in SCHEMAS[table].fields:
@@ -35,7 +47,7 @@ def _profile_sql(table: str) -> str:
   {mn} AS min_value, {mx} AS max_value,
   {f'CAST(min({c}) AS DOUBLE)' if num else 'CAST(NULL AS DOUBLE)'} AS min_number,
   {f'CAST(max({c}) AS DOUBLE)' if num else 'CAST(NULL AS DOUBLE)'} AS max_number,
-  {r4(f'avg(CAST({c} AS DOUBLE))') if num else 'CAST(NULL AS DOUBLE)'} AS mean,
+  {_exact_mean(c) if num else 'CAST(NULL AS DOUBLE)'} AS mean,
   {r4(f'stddev_samp(CAST({c} AS DOUBLE))') if num else 'CAST(NULL AS DOUBLE)'} AS stddev
 FROM {table}""")
     return "\nUNION ALL\n".join(parts)

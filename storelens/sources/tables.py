@@ -50,6 +50,9 @@ SCHEMAS: dict[str, T.StructType] = {
 
 TABLE_NAMES = tuple(SCHEMAS)
 
+# Scans estimated below this size stay as they are, whatever their split count.
+SPREAD_MIN_BYTES = 8 * 1024 * 1024
+
 
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     """S-01: scan one declared table under ``root`` (``{root}/{name}.parquet``)."""
@@ -78,7 +81,12 @@ class Tables:
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in SCHEMAS:
-            df = read_table(self.spark, self.root, name)
+            # A large table stored as few row groups scans in fewer tasks
+            # than there are cores; such a scan is spread right after the
+            # read. Tables with enough splits (any table at cluster scale)
+            # and small dimensions are returned as scanned.
+            from storelens.operators.sizing import spread
+            df = spread(read_table(self.spark, self.root, name), min_bytes=SPREAD_MIN_BYTES)
             self.__dict__[name] = df
             return df
         raise AttributeError(name)

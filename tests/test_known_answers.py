@@ -139,3 +139,23 @@ def test_trailing_buckets_do_not_change_results(spark):
     ref = rt_metrics(ev, bucket_micros=10_000 * 24 * HOUR_MICROS).collect()
     for b in (HOUR_MICROS, 6 * HOUR_MICROS):
         assert sorted(rt_metrics(ev, bucket_micros=b).collect()) == sorted(ref)
+
+
+def test_profile_mean_is_exact_half_up(spark):
+    """The profile mean is rounded half-up from the exact decimal sum, so a
+    mean lying on a 4-place half rounds up whatever the summation order."""
+    from decimal import ROUND_FLOOR, Decimal
+
+    from storelens.operators.profiling import profile
+    cases = {
+        "tie_up": [0.01, 0.02, 0.02, 0.02] * 250,                     # 17.5 / 1000 = 0.0175
+        "neg_tie": [-0.00005, -0.00005],                              # -0.00005 -> 0.0
+        "pos_tie": [0.00005, 0.00005],                                # 0.00005 -> 0.0001
+        "mixed": [-976.02, 9988.03, 4583.8, 12.34, -0.01, 3.0],
+    }
+    for name, vals in cases.items():
+        df = spark.createDataFrame([(float(v),) for v in vals], "x double")
+        got = profile(df, exact=True).collect()[0]["mean"]
+        mean = sum(Decimal(repr(v)) for v in vals) / len(vals)
+        want = float((mean * 10000 + Decimal("0.5")).to_integral_value(ROUND_FLOOR) / 10000)
+        assert got == want, (name, got, want)
