@@ -124,16 +124,23 @@ def history_lines(t: Tables) -> DataFrame:
     )
 
 
+ITEMS_PER_ROW = 1024
+
+
 def history(t: Tables) -> DataFrame:
     """Nested historical_transactional_data: ``items`` is a repeated record.
 
-    The collect is per transaction (a handful of lines), never per
-    customer or store.
+    The collect is per transaction, never per customer or store, and a
+    nested row holds at most ``ITEMS_PER_ROW`` items (by line-number
+    block): a transaction with more lines spans several rows, so no array
+    and no group grows with the data. Unnesting gives the same items.
     """
     return (history_lines(t)
-            .groupBy("transaction_id", "business_date", "customer_id", "payment_method")
+            .groupBy("transaction_id", "business_date", "customer_id", "payment_method",
+                     F.floor((F.col("line_no") - 1) / ITEMS_PER_ROW).alias("_block"))
             .agg(F.array_sort(F.collect_list(F.struct("line_no", "item_id", "item_name", "unit_price")))
-                 .alias("items")))
+                 .alias("items"))
+            .drop("_block"))
 
 
 def alerts(t: Tables, with_discount: bool = False) -> DataFrame:
