@@ -131,18 +131,19 @@ def profile(df: DataFrame, exact: bool = False, quantiles=(0.25, 0.5, 0.75),
     src = spread(df)
     one = src.selectExpr(*aggs)   # aggregate functions only: one global aggregation
     out = one.selectExpr("_rows", f"explode(array({', '.join(rows)})) AS p").select("_rows", "p.*")
+    stats = ["min_value", "max_value", "min_number", "max_number", "mean", "stddev"]
     if exact:
         # one row per column on both sides; the equi-join is on the column index
         nd = exact_distinct(src, [f.name for f in df.schema.fields if _kind(f.dataType) != "complex"])
-        out = (out.drop("distinct_count").join(F.broadcast(nd), "_ci", "left")
-                  .withColumn("distinct_count", F.when(F.col("_has"), F.coalesce(F.col("_nd"), F.lit(0)))
-                              .cast("long"))
-                  .drop("_nd"))
-    out = out.withColumn("row_count", F.col("_rows")).withColumn("null_count", F.col("_rows") - F.col("non_null"))
-    out = out.withColumn("null_ratio", exact_ratio("null_count", "row_count", 4))
-    if exact:
-        out = out.drop("quantiles")
-    return out.drop("_rows", "non_null", "_ci", "_has")
+        out = out.join(F.broadcast(nd), "_ci", "left")
+        head = ["column_name", "data_type", *stats,
+                F.when(F.col("_has"), F.coalesce(F.col("_nd"), F.lit(0))).cast("long").alias("distinct_count")]
+    else:
+        head = ["column_name", "data_type", "distinct_count", *stats, "quantiles"]
+    nulls = F.col("_rows") - F.col("non_null")
+    # one projection for the tail (each extra DataFrame call re-analyses the plan)
+    return out.select(*head, F.col("_rows").alias("row_count"), nulls.alias("null_count"),
+                      exact_ratio(nulls, F.col("_rows"), 4).alias("null_ratio"))
 
 
 def exact_distinct(df: DataFrame, columns: list[str]) -> DataFrame:
