@@ -12,6 +12,28 @@ def plan_size_bytes(df: DataFrame) -> int:
     return int(str(stats.sizeInBytes()))
 
 
+def scan_bytes(df: DataFrame) -> int:
+    """Bytes the file scans of ``df``'s plan would read, known before any
+    job: for each scan, the files left after partition pruning, scaled by
+    the share of the row width taken by the columns it reads. Plans
+    without file scans fall back to ``plan_size_bytes``."""
+    total, seen = 0, False
+    leaves = df._jdf.queryExecution().sparkPlan().collectLeaves().iterator()
+    while leaves.hasNext():
+        node = leaves.next()
+        if not node.nodeName().startswith("Scan "):
+            continue
+        try:
+            files = int(node.selectedPartitions().totalFileSize())
+            read_w = int(node.requiredSchema().defaultSize())
+            full_w = int(node.relation().dataSchema().defaultSize())
+        except Exception:  # not a file scan (e.g. a data source v2 scan)
+            continue
+        seen = True
+        total += files if full_w <= 0 else (files * min(read_w, full_w)) // full_w
+    return total if seen else plan_size_bytes(df)
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = 1_000_000,
                        max_bytes: int = 64 * 1024 * 1024) -> DataFrame:
     """Broadcast ``df`` only when it is proven small.

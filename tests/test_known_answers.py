@@ -159,3 +159,20 @@ def test_profile_mean_is_exact_half_up(spark):
         mean = sum(Decimal(repr(v)) for v in vals) / len(vals)
         want = float((mean * 10000 + Decimal("0.5")).to_integral_value(ROUND_FLOOR) / 10000)
         assert got == want, (name, got, want)
+
+
+def test_scan_budget_counts_pruned_partitions_and_columns(spark):
+    """G-10 measures what the scans would read: a day range on a
+    day-partitioned table and a narrow projection both lower it."""
+    from storelens.operators.sizing import scan_bytes
+    ev = Tables(spark, SF01).events.withColumn("d", F.to_date("ts"))
+    path = tempfile.mkdtemp(prefix="storelens-g10-") + "/ev"
+    ev.write.partitionBy("d").parquet(path)
+    full = spark.read.parquet(path)
+    week = full.where(F.col("d") >= F.lit("2024-01-24").cast("date"))
+    assert 0 < scan_bytes(week) < scan_bytes(full)
+    assert scan_bytes(full.select("event_id")) < scan_bytes(full)
+    budget = scan_bytes(week)
+    assert gov.check_scan_budget(week, budget) is not None
+    with pytest.raises(gov.ScanBudgetExceeded):
+        gov.check_scan_budget(full, budget)
