@@ -13,7 +13,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from storelens.plans import fixtures as fx
-from storelens.plans.oracle import with_views
+from storelens.plans.oracle import exact_ratio, with_views
 from storelens.plans.q_retail import ALERT_EVENTS, TRAILING_SQL
 from storelens.plans.registry import query
 from storelens.session import scratch_path
@@ -61,7 +61,19 @@ def stream_latest_audit(t):
     return S.read_latest(t.spark, f"{base}/table")
 
 
-@query("stream_sliding_windows", "T-03 T-01")
+SLIDING_SQL = f"""
+SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end, cashier_id, count(*) AS txn_count,
+  count(*) FILTER (WHERE alert_type = 'cashier_promo_abuse') AS override_count,
+  count(*) FILTER (WHERE alert_type = 'purchase') AS promo_count,
+  {exact_ratio("count(*) FILTER (WHERE alert_type = 'cashier_promo_abuse')", 'count(*)', 2, 100)} AS override_rate_pct,
+  sum(discount_usd) AS total_discount_usd
+FROM (SELECT *, time_bucket(INTERVAL 5 MINUTE, alert_ts) - k * INTERVAL 5 MINUTE AS window_start
+      FROM alert_events, range(0, 12) AS r(k))
+WHERE window_start + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE
+GROUP BY window_start, cashier_id"""
+
+
+@query("stream_sliding_windows", "T-03 T-01", with_views(SLIDING_SQL, extra={"alert_events": ALERT_EVENTS}))
 def stream_sliding_windows(t):
     """1-hour windows sliding by 5 minutes per cashier, closed by the watermark."""
     base = _scratch(t, "sliding")

@@ -208,7 +208,9 @@ def stream_sliding(alerts: DataFrame, length: str = "1 hour", slide: str = "5 mi
               F.count_if(F.col("alert_type") == PROMO_ABUSE).alias("override_count"),
               F.count_if(F.col("alert_type") == PROMO_EVENT).alias("promo_count"),
               F.sum("discount_usd").alias("total_discount_usd")))
-    return g.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "cashier_id",
+    # window bounds as wall-clock UTC (timestamp_ntz), like event_ts of the trailing stream
+    return g.select(F.col("w.start").cast("timestamp_ntz").alias("window_start"),
+                    F.col("w.end").cast("timestamp_ntz").alias("window_end"), "cashier_id",
                     "txn_count", "override_count", "promo_count",
                     exact_ratio("override_count", "txn_count", 2, scale=100).alias("override_rate_pct"),
                     "total_discount_usd")
