@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from storelens.plans import fixtures as fx
 from storelens.plans.oracle import exact_ratio, with_views
 from storelens.plans.q_retail import ALERT_EVENTS, TRAILING_SQL
+from storelens.plans.q_telemetry import LOGS_SQL
 from storelens.plans.registry import query
 from storelens.session import scratch_path
 from storelens.streaming import jobs as S
@@ -108,7 +109,20 @@ def _log_records(t):
     return genai.unionByName(fb)
 
 
-@query("stream_routed_logs", "T-06 S-04")
+ROUTED_SQL = f"""
+SELECT 'genai' AS route, insert_id AS insertId, timestamp, CAST(timestamp AS DATE) AS log_date,
+  'projects/{PROJECT}/logs/gen_ai.client.inference.operation.details' AS log_name
+FROM logs
+WHERE regexp_matches(coalesce('gs://{PROJECT}-logs' || input_ref, ''), '.*{PROJECT}.*')
+   OR regexp_matches(coalesce('gs://{PROJECT}-logs' || output_ref, ''), '.*{PROJECT}.*')
+UNION ALL
+SELECT 'feedback', 'fb-' || CAST(conv_id AS VARCHAR) || '-' || CAST(turn AS VARCHAR),
+  TIMESTAMP '{fx.TELEMETRY_BASE}' + turn * INTERVAL 1 MINUTE,
+  CAST(TIMESTAMP '{fx.TELEMETRY_BASE}' + turn * INTERVAL 1 MINUTE AS DATE), 'projects/{PROJECT}/logs/feedback'
+FROM conversations WHERE role = 'assistant' AND conv_id % 4 <> 0"""
+
+
+@query("stream_routed_logs", "T-06 S-04", with_views(ROUTED_SQL, "log_refs", extra={"logs": LOGS_SQL}))
 def stream_routed_logs(t):
     """Log stream routed to the inference-log and feedback tables (day partitions)."""
     base = _scratch(t, "routes")
