@@ -25,7 +25,13 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_read(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The group of every document by weighted Jaccard similarity of five-word runs."""
+    from .near_dedup import document_groups
+    return document_groups(_read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_best_fit_packing,)
+    f.__name__: f for f in (op3_best_fit_packing, op8_minhash_near_dedup)
 }
 ORACLES: dict[str, str] = {}
