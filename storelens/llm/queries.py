@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .common import prepare
 
@@ -31,7 +32,16 @@ def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return document_groups(_read(spark, sf_dir, "documents"))
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's text without the line blocks that earlier documents hold."""
+    from .line_dedup import line_dedup
+    out = line_dedup(_read(spark, sf_dir, "documents").select("doc_id", "text"))
+    lines = F.when(F.col("text").isNotNull(), F.size(F.split("text", "\n", -1))).otherwise(0)
+    return out.select("doc_id", lines.cast("long").alias("lines_left"), F.array_sort("_gone").alias("lines_deleted"),
+                      F.length("text").cast("long").alias("n_chars"), F.sha2("text", 256).alias("text_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_best_fit_packing, op8_minhash_near_dedup)
+    f.__name__: f for f in (op3_best_fit_packing, op8_minhash_near_dedup, op9_line_dedup)
 }
 ORACLES: dict[str, str] = {}
