@@ -20,6 +20,20 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def held_out(id_col: str = "doc_id"):
+    """Documents that no classifier may learn from (a null id counts as an empty text)."""
+    return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit(""))) % 4 == 2
+
+
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every whole document, learnt from three quarters of the labels."""
+    from .language_id import identify, train
+    docs = _read(spark, sf_dir, "documents")
+    model = train(docs.where(~held_out()))
+    return identify(docs.select("doc_id", "text"), model).select(
+        "doc_id", held_out().alias("held_out"), "lang_pred", F.col("lang_score").alias("score"))
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document in sequences of at most 4,096 tokens."""
     from .packing import pack_documents
@@ -42,6 +56,6 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_best_fit_packing, op8_minhash_near_dedup, op9_line_dedup)
+    f.__name__: f for f in (op1_language_id, op3_best_fit_packing, op8_minhash_near_dedup, op9_line_dedup)
 }
 ORACLES: dict[str, str] = {}
