@@ -33,36 +33,81 @@ from .common import held, tasks
 CAPACITY = 4096
 END_ID = 1
 #: Words whose ids a Python worker remembers before it starts anew.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 1_000_000
 
 
 # ---------------------------------------------------------------- tokenizing
+#: The tokenizer's own rule for splitting a normalised word before its merges.
+PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+"
+
+
 class WordTokens:
     """Ids of whole texts, word by word with a bounded memory.
 
-    Valid for tokenizers that treat the words between single blanks and line
-    ends separately; words holding other white space go to the
-    tokenizer as they are.
+    The tokenizer treats words between blanks and line ends separately, and
+    within a word each piece of its split rule. Words are remembered as they
+    stand, pieces in lower case; new pieces are encoded together and told apart
+    by the ids that end a piece. Words beyond the Latin letters below
+    U+0250, with marks to compose or with a special token go to
+    the tokenizer as they are.
     """
 
     def __init__(self, path: str):
+        import regex
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {"": b""}
+        self.split = regex.compile(PIECES).findall
+        self.plain = regex.compile(r"[\x21-\x7E\xA1-\u012F\u0131-\u024F]+").fullmatch
+        vocab = self.tok.get_vocab()
+        self.ends = np.zeros(max(vocab.values()) + 1, dtype=bool)
+        self.ends[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
+        self.words: dict[str, bytes] = {"": b""}
+        self.pieces: dict[str, bytes] = {}
+
+    def _encode(self, text: str) -> bytes:
+        return np.asarray(self.tok.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+
+    def _learn_pieces(self, new: list[str]) -> None:
+        known = self.pieces
+        for i in range(0, len(new), 2048):
+            part = new[i:i + 2048]
+            raw = self._encode(" ".join(part))
+            stop = (4 * (np.flatnonzero(self.ends[np.frombuffer(raw, dtype="<u4")]) + 1)).tolist()
+            if len(stop) == len(part):
+                known.update(zip(part, (raw[a:b] for a, b in zip([0, *stop], stop))))
+            else:
+                known.update((p, self._encode(p)) for p in part)
 
     def batch(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        known = self.known
-        if len(known) > CACHE_WORDS:
-            known.clear()
-            known[""] = b""
-        words = [t.replace("\n", " ").split(" ") for t in texts]
-        new = list({w for ws in words for w in ws if w not in known})
-        for i in range(0, len(new), 8192):
-            part = new[i:i + 8192]
-            for w, e in zip(part, self.tok.encode_batch_fast(part, add_special_tokens=False)):
-                known[w] = np.asarray(e.ids, dtype="<u4").tobytes()
-        return [b"".join(map(known.__getitem__, ws)) for ws in words]
+        words = self.words
+        if len(words) > CACHE_WORDS:
+            words.clear()
+            words[""] = b""
+        if len(self.pieces) > CACHE_WORDS:
+            self.pieces.clear()
+        rows = [t.replace("\n", " ").split(" ") for t in texts]
+        cut: dict[str, list[str]] = {}
+        for w in {w for ws in rows for w in ws if w not in words}:
+            if self.plain(w) and "<|" not in w:
+                cut[w] = self.split(w.lower())
+            else:
+                words[w] = self._encode(w)
+        pieces = self.pieces
+        self._learn_pieces(list({p for ps in cut.values() for p in ps if p not in pieces}))
+        for w, ps in cut.items():
+            words[w] = pieces[ps[0]] if len(ps) == 1 else b"".join([pieces[p] for p in ps])
+        return [b"".join(map(words.__getitem__, ws)) for ws in rows]
+
+
+_WORKER: dict[str, WordTokens] = {}
+
+
+def word_tokens(path: str) -> WordTokens:
+    """The tokenizer of this Python worker; what it remembers serves its later tasks too."""
+    if path not in _WORKER:
+        _WORKER[path] = WordTokens(path)
+    return _WORKER[path]
 
 
 def _cut(path: str, id_type: pa.DataType, capacity: int, end_id: int):
@@ -72,7 +117,7 @@ def _cut(path: str, id_type: pa.DataType, capacity: int, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import os
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        tok = WordTokens(path)
+        tok = word_tokens(path)
         for b in batches:
             ids, col = b.column(0), b.column(1)
             take, piece, length, crc = [], [], [], []

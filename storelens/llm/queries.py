@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import prepare
+from .mixing import MIX_SQL
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -40,6 +41,47 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_read(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words the mix takes of every document."""
+    from .mixing import mix_sizes
+    return mix_sizes(_read(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+#: (verdict, host, path), as the contract of the query states them.
+URL_RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
+             ("allow", "com", "/fr/"), ("block", "com", "/de/")]
+
+
+def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on every page's url; listed are the urls of pages labelled toxic."""
+    from .url_filter import filter_urls, host_and_path
+    pages, labels = _read(spark, sf_dir, "pages").select("page_id", "url"), _read(spark, sf_dir, "labels")
+    toxic = labels.where("toxic = 1").select(F.col("doc_id").alias("page_id"))
+    host, path = host_and_path(F.col("url"))
+    listed = pages.join(toxic, "page_id", "left_semi").select(F.concat(host, path).alias("key"))
+    return filter_urls(pages, listed, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
+URL_SQL = r"""
+WITH p AS (SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS s FROM pages),
+h AS (SELECT page_id, s, regexp_extract(s, '^[^/?#]*', 0) AS raw FROM p),
+k AS (SELECT page_id, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+        regexp_extract(substr(s, length(raw) + 1), '^[^?#]*', 0) AS path FROM h),
+listed AS (SELECT DISTINCT host || path AS key FROM k
+           WHERE page_id IN (SELECT doc_id FROM labels WHERE toxic = 1) AND host || path <> ''),
+rules(verdict, rhost, rpath) AS (VALUES ('allow', 'org', '/'), ('block', 'example.org', '/es/'),
+  ('block', 'example.org', '/en/1'), ('allow', 'com', '/fr/'), ('block', 'com', '/de/')),
+judged AS (
+  SELECT k.page_id, k.host, k.path, arg_max(rhost || rpath, length(rhost || rpath)) AS rule,
+         arg_max(verdict, length(rhost || rpath)) AS rv
+  FROM k LEFT JOIN rules ON (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath)
+  GROUP BY k.page_id, k.host, k.path)
+SELECT j.page_id, j.host, j.path, j.rule,
+  coalesce(j.rv, CASE WHEN j.host || j.path IN (SELECT key FROM listed) THEN 'block' ELSE 'allow' END) AS verdict
+FROM judged j
+"""
+
+
 def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The group of every document by weighted Jaccard similarity of five-word runs."""
     from .near_dedup import document_groups
@@ -56,6 +98,7 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_language_id, op3_best_fit_packing, op8_minhash_near_dedup, op9_line_dedup)
+    f.__name__: f for f in (op1_language_id, op3_best_fit_packing, op5_source_mixing, op7_url_filters,
+                                op8_minhash_near_dedup, op9_line_dedup)
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op5_source_mixing": MIX_SQL, "op7_url_filters": URL_SQL}
