@@ -97,8 +97,14 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.length("text").cast("long").alias("n_chars"), F.sha2("text", 256).alias("text_sha256"))
 
 
+def op10_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and its edited text, and their likeness."""
+    from .fingerprints import edited_likeness
+    return edited_likeness(_read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_language_id, op3_best_fit_packing, op5_source_mixing, op7_url_filters,
-                                op8_minhash_near_dedup, op9_line_dedup)
+                                op8_minhash_near_dedup, op9_line_dedup, op10_document_fingerprints)
 }
 ORACLES: dict[str, str] = {"op5_source_mixing": MIX_SQL, "op7_url_filters": URL_SQL}
