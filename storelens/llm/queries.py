@@ -41,6 +41,13 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_read(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every passage that a document shares with others, first holders included."""
+    from .substring_dedup import repeated_passages
+    return repeated_passages(_read(spark, sf_dir, "documents").select("doc_id", "text")).select(
+        F.col("id").alias("doc_id"), "start_byte", "n_bytes", F.col("first_id").alias("first_doc_id"), "removed")
+
+
 def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words the mix takes of every document."""
     from .mixing import mix_sizes
@@ -104,7 +111,7 @@ def op10_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_language_id, op3_best_fit_packing, op5_source_mixing, op7_url_filters,
+    f.__name__: f for f in (op1_language_id, op3_best_fit_packing, op4_substring_dedup, op5_source_mixing, op7_url_filters,
                                 op8_minhash_near_dedup, op9_line_dedup, op10_document_fingerprints)
 }
 ORACLES: dict[str, str] = {"op5_source_mixing": MIX_SQL, "op7_url_filters": URL_SQL}
