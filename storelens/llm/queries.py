@@ -35,6 +35,12 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", held_out().alias("held_out"), "lang_pred", F.col("lang_score").alias("score"))
 
 
+def op2_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all vectors with a cosine of 0.9 or more."""
+    from .embedding_dedup import near_vectors
+    return near_vectors(_read(spark, sf_dir, "embeddings"))
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document in sequences of at most 4,096 tokens."""
     from .packing import pack_documents
@@ -111,7 +117,7 @@ def op10_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_language_id, op3_best_fit_packing, op4_substring_dedup, op5_source_mixing, op7_url_filters,
+    f.__name__: f for f in (op1_language_id, op2_embedding_near_dedup, op3_best_fit_packing, op4_substring_dedup, op5_source_mixing, op7_url_filters,
                                 op8_minhash_near_dedup, op9_line_dedup, op10_document_fingerprints)
 }
 ORACLES: dict[str, str] = {"op5_source_mixing": MIX_SQL, "op7_url_filters": URL_SQL}
