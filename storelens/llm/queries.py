@@ -60,6 +60,13 @@ def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sizes(_read(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every candidate of every document with the forest's verdict."""
+    from .secret_scan import scan
+    return scan(_read(spark, sf_dir, "documents").select("doc_id", "text")).select(
+        "doc_id", "word_no", F.length("value").alias("length"), F.sha2("value", 256).alias("value_sha256"), "probability", "is_secret")
+
+
 #: (verdict, host, path), as the contract of the query states them.
 URL_RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
              ("allow", "com", "/fr/"), ("block", "com", "/de/")]
@@ -117,7 +124,8 @@ def op10_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_language_id, op2_embedding_near_dedup, op3_best_fit_packing, op4_substring_dedup, op5_source_mixing, op7_url_filters,
+    f.__name__: f for f in (op1_language_id, op2_embedding_near_dedup, op3_best_fit_packing, op4_substring_dedup, op5_source_mixing,
+                                op6_secret_scan, op7_url_filters,
                                 op8_minhash_near_dedup, op9_line_dedup, op10_document_fingerprints)
 }
 ORACLES: dict[str, str] = {"op5_source_mixing": MIX_SQL, "op7_url_filters": URL_SQL}
