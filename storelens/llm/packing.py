@@ -87,16 +87,28 @@ class WordTokens:
         if len(self.pieces) > CACHE_WORDS:
             self.pieces.clear()
         rows = [t.replace("\n", " ").split(" ") for t in texts]
-        cut: dict[str, list[str]] = {}
-        for w in {w for ws in rows for w in ws if w not in words}:
-            if self.plain(w) and "<|" not in w:
-                cut[w] = self.split(w.lower())
+        new = set().union(*rows).difference(words)
+        alone, ended, other = [], [], []                 # letters; letters and a mark; the rest
+        for w in new:
+            if not (w.isascii() or self.plain(w)):
+                words[w] = self._encode(w)
+            elif w.isalpha():
+                alone.append(w)
+            elif w[-1] in ".,!?;:" and w[:-1].isalpha():
+                ended.append(w)
+            elif self.plain(w) and "<|" not in w:
+                other.append(w)
             else:
                 words[w] = self._encode(w)
+        low_alone, low_ended = [w.lower() for w in alone], [w[:-1].lower() for w in ended]
+        cut = [self.split(w.lower()) for w in other]
         pieces = self.pieces
-        self._learn_pieces(list({p for ps in cut.values() for p in ps if p not in pieces}))
-        for w, ps in cut.items():
-            words[w] = pieces[ps[0]] if len(ps) == 1 else b"".join([pieces[p] for p in ps])
+        self._learn_pieces(list({*low_alone, *low_ended, *(w[-1] for w in ended), *(p for ps in cut for p in ps)}
+                                .difference(pieces)))
+        get = pieces.__getitem__
+        words.update(zip(alone, map(get, low_alone)))
+        words.update((w, get(p) + get(w[-1])) for w, p in zip(ended, low_ended))
+        words.update((w, b"".join(map(get, ps))) for w, ps in zip(other, cut))
         return [b"".join(map(words.__getitem__, ws)) for ws in rows]
 
 
