@@ -41,10 +41,8 @@ def exact_ratio(num, den, places: int, scale: int = 1) -> Column:
     m = scale * 10 ** places
     n, d = _c(num).cast("long"), _c(den).cast("long")
     a = F.lit(2 * m) * n + d
-    b = F.lit(2) * d
-    # floor(m*n/d + 1/2) == (2*m*n + d) div (2*d); the difference below is
-    # an exact multiple of b, so the division is exact.
-    q = F.when(d != 0, ((a - F.pmod(a, b)) / b).cast("long"))
+    # floor(m*n/d + 1/2) == (2*m*n + d) div (2*d), on longs throughout
+    q = F.when(d != 0, F.call_function("div", a, F.lit(2) * d))
     return q.cast("double") / F.lit(float(10 ** places))
 
 

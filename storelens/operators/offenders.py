@@ -15,9 +15,10 @@ PROMO_EVENT = "purchase"   # fixture: promo redemptions
 HOUR_MICROS = 3600 * 1_000_000
 
 
-def _risk_units(c="risk_score") -> Column:
-    """Risk score in exact 1e-4 units (scores carry four decimals)."""
-    return (F.col(c).cast("decimal(10,4)") * F.lit(10000)).cast("long")
+def mean_risk(c="risk_score") -> Column:
+    """``ROUND(AVG(risk_score), 4)``: the scores are summed as wide decimals, so the mean does
+    not depend on the order of the partial sums; it is rounded once, at the end."""
+    return F.round(F.avg(F.col(c).cast("decimal(28,18)")), 4).cast("double")
 
 
 def rank_offenders(alerts: DataFrame, days: int = 7, as_of=None, limit: int | None = 20,
@@ -29,14 +30,10 @@ def rank_offenders(alerts: DataFrame, days: int = 7, as_of=None, limit: int | No
     a = last_days(alerts.where(F.col("alert_type") == alert_type), "alert_ts", days, as_of)
     g = a.groupBy("store_id", "cashier_id").agg(
         F.count("alert_id").alias("alert_count"),
-        F.sum(_risk_units()).alias("_risk_units"),
-        F.count("risk_score").alias("_risk_n"),
+        mean_risk().alias("avg_risk_score"),
         F.max("risk_score").alias("max_risk_score"),
         F.max("alert_ts").alias("latest_alert_ts"))
-    out = g.select("store_id", "cashier_id", "alert_count",
-                   exact_ratio("_risk_units", F.col("_risk_n") * 10000, 4).alias("avg_risk_score"),
-                   "max_risk_score", "latest_alert_ts")
-    out = out.orderBy(F.col("alert_count").desc(), F.col("avg_risk_score").desc_nulls_last(),
+    out = g.orderBy(F.col("alert_count").desc(), F.col("avg_risk_score").desc_nulls_last(),
                       "store_id", "cashier_id")
     return out.limit(limit) if limit else out
 

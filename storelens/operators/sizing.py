@@ -36,19 +36,33 @@ def scan_bytes(df: DataFrame) -> int:
 
 def broadcast_if_small(df: DataFrame, max_rows: int = 1_000_000,
                        max_bytes: int = 64 * 1024 * 1024) -> DataFrame:
-    """Broadcast ``df`` only when it is proven small.
-
-    The plan estimate is checked first (free); when it is inconclusive the
-    rows are counted (one cheap job over the already-filtered side). A side
-    over either bound is returned unchanged and joins by shuffle.
+    """Broadcast ``df`` only when it is measured to be small: one aggregate
+    over the (already filtered) side gives its rows and the bytes of their
+    text form. Plan estimates are not trusted, as they can be far too low
+    behind a generator or a selective filter. A side over either bound is
+    returned unchanged and joins by shuffle.
     """
-    est = plan_size_bytes(df)
-    if est <= max_bytes // 4:
-        return F.broadcast(df)
-    n = df.count()
-    if n <= max_rows and n * max(1, len(df.columns)) * 32 <= max_bytes:
-        return F.broadcast(df)
-    return df
+    width = sum((F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) for c in df.columns), F.lit(0))
+    rows, size = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(width + 16 * len(df.columns)), F.lit(0))).first()
+    return F.broadcast(df) if rows <= max_rows and size <= max_bytes else df
+
+
+# Plan nodes above a scan that run inside its tasks: no exchange, hence no job when partitions are counted.
+_NARROW = ("Scan ", "FileScan", "Project", "Filter", "Generate", "ColumnarToRow", "MapInPandas", "MapInArrow")
+
+
+def is_narrow(df: DataFrame) -> bool:
+    """Whether ``df`` is scans with row-wise steps above them. Reads the
+    physical plan before exchanges are added and runs nothing."""
+    todo = [df._jdf.queryExecution().sparkPlan()]
+    while todo:
+        node = todo.pop()
+        if not node.nodeName().startswith(_NARROW):
+            return False
+        it = node.children().iterator()
+        while it.hasNext():
+            todo.append(it.next())
+    return True
 
 
 def spread(df: DataFrame, min_partitions: int | None = None, min_bytes: int = 0) -> DataFrame:
@@ -57,8 +71,10 @@ def spread(df: DataFrame, min_partitions: int | None = None, min_bytes: int = 0)
     group scans as one task) and, with ``min_bytes``, only when the plan
     estimate says it is big enough for one task to be the bottleneck.
     Well-partitioned inputs pass through unchanged, so no shuffle is added
-    at scale. Planning only, no job."""
-    if min_bytes and plan_size_bytes(df) < min_bytes:
+    at scale. A plan with an exchange (a join, an aggregate) also passes
+    through: counting its partitions would run its shuffle stages. Planning
+    only, no job."""
+    if (min_bytes and plan_size_bytes(df) < min_bytes) or not is_narrow(df):
         return df
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     if df._jdf.rdd().getNumPartitions() < target:

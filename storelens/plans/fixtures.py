@@ -124,23 +124,16 @@ def history_lines(t: Tables) -> DataFrame:
     )
 
 
-ITEMS_PER_ROW = 1024
-
-
 def history(t: Tables) -> DataFrame:
     """Nested historical_transactional_data: ``items`` is a repeated record.
 
-    The collect is per transaction, never per customer or store, and a
-    nested row holds at most ``ITEMS_PER_ROW`` items (by line-number
-    block): a transaction with more lines spans several rows, so no array
-    and no group grows with the data. Unnesting gives the same items.
+    One row per transaction; the collect is per transaction, never per
+    customer or store, so an array is as long as one basket.
     """
     return (history_lines(t)
-            .groupBy("transaction_id", "business_date", "customer_id", "payment_method",
-                     F.floor((F.col("line_no") - 1) / ITEMS_PER_ROW).alias("_block"))
+            .groupBy("transaction_id", "business_date", "customer_id", "payment_method")
             .agg(F.array_sort(F.collect_list(F.struct("line_no", "item_id", "item_name", "unit_price")))
-                 .alias("items"))
-            .drop("_block"))
+                 .alias("items")))
 
 
 def alerts(t: Tables, with_discount: bool = False) -> DataFrame:
@@ -153,7 +146,7 @@ def alerts(t: Tables, with_discount: bool = False) -> DataFrame:
         _tagged("CASH_", F.lit(1000) + F.col("user_id")).alias("cashier_id"),
         F.when(F.col("event_type") == "error", F.lit("cashier_promo_abuse"))
          .otherwise(F.col("event_type")).alias("alert_type"),
-        F.least(F.col("value") / F.lit(100.0), F.lit(1.0)).alias("risk_score"),
+        F.least(F.col("value") / F.lit(97.0), F.lit(1.0)).alias("risk_score"),
         *extra,
     )
 
@@ -179,7 +172,7 @@ def silver(t: Tables) -> DataFrame:
 
 def log_refs(t: Tables) -> DataFrame:
     """Flattened inference-log rows: one call per assistant turn."""
-    call = F.col("conv_id") * 100 + F.col("turn")
+    call = F.col("conv_id") * 1000000 + F.col("turn")
     return t.conversations.where(F.col("role") == "assistant").select(
         call.alias("call_id"),
         _tagged("ins-", call).alias("insert_id"),
@@ -205,35 +198,76 @@ def messages(t: Tables) -> DataFrame:
         F.col("conv_id").alias("a_conv"), F.col("turn").alias("a_turn"))
     b = t.conversations.select("conv_id", "turn", "role", "text")
     inputs = a.join(b, (F.col("a_conv") == F.col("conv_id")) & (F.col("turn") < F.col("a_turn"))).select(
-        F.concat(F.lit("/logs/completions/"), (F.col("a_conv") * 100 + F.col("a_turn")).cast("string"),
+        F.concat(F.lit("/logs/completions/"), (F.col("a_conv") * 1000000 + F.col("a_turn")).cast("string"),
                  F.lit("_inputs.jsonl")).alias("file_name"),
         "role", F.col("turn").alias("idx"), F.col("text").alias("content"))
     outputs = t.conversations.where(F.col("role") == "assistant").select(
-        F.concat(F.lit("/logs/completions/"), (F.col("conv_id") * 100 + F.col("turn")).cast("string"),
+        F.concat(F.lit("/logs/completions/"), (F.col("conv_id") * 1000000 + F.col("turn")).cast("string"),
                  F.lit("_outputs.jsonl")).alias("file_name"),
         "role", F.lit(0).cast("long").alias("idx"), F.col("text").alias("content"))
     return inputs.unionByName(outputs)
 
 
+# Diagnostic sentences planted in manual texts and questions (by row number), so that every
+# keyword, code and hyphen case of the fallback search occurs.
+def _planted(i, kind: str):
+    notes = (PLANTED_MANUAL if kind == "manual" else PLANTED_QUESTION)
+    out = F.lit("")
+    for k, note in enumerate(notes):
+        out = F.when(i % 11 == k, F.lit(note)).otherwise(out)
+    return out
+
+
+PLANTED_MANUAL = (" Printer offline after reboot.", " See code ERR-42 in the log.", " Part A--77-B- is worn.", " The TCx drawer solenoid.")
+PLANTED_QUESTION = (" the PRINTER beeps", " code ERR-42- again", " what is A-77-B", " frozen TCx lane", " XYZ-0-1 unknown")
+
+
+def manuals(t: Tables) -> DataFrame:
+    """Documents as manual texts with planted diagnostic sentences."""
+    return t.documents.withColumn("text", F.concat("text", _planted(F.col("doc_id"), "manual")))
+
+
+def questions(t: Tables) -> DataFrame:
+    """Documents as fault descriptions with planted codes and keywords."""
+    return t.documents.select(F.col("doc_id").alias("query_id"),
+                              F.concat("text", _planted(F.col("doc_id"), "question")).alias("text"))
+
+
 def vchunks(t: Tables) -> DataFrame:
-    """pos_manual_chunk_embeddings with vectors; gaps in chunk_index. Each
-    row carries the whole text of its document (no prefix is taken)."""
-    e = t.embeddings.where(F.col("vec_id") % 11 != 5)
+    """pos_manual_chunk_embeddings with vectors: one row per document and per
+    vector, whichever are more. Row i holds document i and vector i, each
+    modulo the counted total; a table's every second repeat turns two thirds of the vectors
+    around, so that some rows have an equal twin and others have not. Ten
+    rows make a manual, with a gap in the middle of its chunk indexes."""
+    n_docs = t.documents.agg(F.count(F.lit(1)).alias("n")).scalar()
+    n_vecs = t.embeddings.agg(F.count(F.lit(1)).alias("n")).scalar()
+    rows = (t.documents.select(F.col("doc_id").alias("i"))
+            .unionByName(t.embeddings.where(F.col("vec_id") >= n_docs).select(F.col("vec_id").alias("i"))))
+    rows = rows.select("i", (F.col("i") % n_docs).alias("_d"), (F.col("i") % n_vecs).alias("_v"),
+                       F.call_function("div", F.col("i"), n_vecs).alias("_turn"))
     d = t.documents.select("doc_id", "source", "lang", "text")
-    j = e.join(d, F.col("doc_id") == F.col("vec_id") % 200)
-    v = F.col("vec_id")
+    e = t.embeddings.select("vec_id", "embedding")
+    j = rows.join(d, F.col("doc_id") == F.col("_d")).join(e, F.col("vec_id") == F.col("_v"))
+    i = F.col("i")
+    manual = F.call_function("div", i, F.lit(10).cast("long")).cast("string")
     return j.select(
-        v,
-        F.concat(F.lit("doc_"), (v % 50).cast("string"), F.lit(".pdf")).alias("document_filename"),
-        F.floor(v / F.lit(50.0)).cast("long").alias("chunk_index"),
-        F.when(v % 3 != 0, F.col("source")).alias("document_title"),
+        i.alias("vec_id"),
+        F.concat(F.lit("doc_"), manual, F.lit(".pdf")).alias("document_filename"),
+        (i % 10 + F.when(i % 10 >= 5, F.lit(1)).otherwise(F.lit(0))).cast("long").alias("chunk_index"),
+        F.when(i % 3 != 0, F.col("source")).alias("document_title"),
         F.col("lang").alias("equipment_covered"),
-        F.col("text").alias("chunk_content"),   # the whole document text, never a prefix
-        F.concat(F.lit("gs://manuals/doc_"), (v % 50).cast("string"), F.lit(".pdf")).alias("source_pdf_uri"),
-        "embedding",
+        F.concat("text", _planted(i, "manual")).alias("chunk_content"),   # the whole document text, never a prefix
+        F.concat(F.lit("gs://manuals/doc_"), manual, F.lit(".pdf")).alias("source_pdf_uri"),
+        F.when((F.col("_turn") % 2 == 1) & (i % 3 != 0), F.reverse("embedding")).otherwise(F.col("embedding")).alias("embedding"),
     )
 
 
+def vquestions(t: Tables) -> DataFrame:
+    """Each manual chunk as a question: its text with planted codes, and its vector."""
+    return vchunks(t).select(F.col("vec_id").alias("query_id"),
+                             F.concat("chunk_content", _planted(F.col("vec_id") + 5, "question")).alias("text"), "embedding")
+
+
 def inference_logs(t: Tables) -> DataFrame:
     """gen_ai_client_inference_operation_details: camelCase top level and
     a nested ``labels`` struct of strings. Calls with ``call_id % 5 = 0``

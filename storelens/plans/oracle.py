@@ -5,6 +5,14 @@ The view texts are the ones in FIXTURES.md (valid in both engines).
 
 from __future__ import annotations
 
+from storelens.plans.fixtures import PLANTED_MANUAL, PLANTED_QUESTION
+
+
+def planted(i: str, notes: tuple[str, ...]) -> str:
+    """SQL twin of the planted sentences."""
+    return "CASE " + " ".join(f"WHEN {i} % 11 = {k} THEN '{n}'" for k, n in enumerate(notes)) + " ELSE '' END"
+
+
 VIEWS: dict[str, str] = {
     "inventory": """
 SELECT concat('STORE_', lpad(cast(l_suppkey AS VARCHAR(20)), 3, '0')) AS store_id, s_name AS store_name, n_name AS city,
@@ -44,7 +52,7 @@ FROM orders JOIN lineitem ON o_orderkey = l_orderkey JOIN part ON l_partkey = p_
 SELECT event_id AS alert_id, ts AS alert_ts, concat('STORE_', lpad(cast(user_id % 10 AS VARCHAR(20)), 3, '0')) AS store_id,
   concat('CASH_', cast(1000 + user_id AS VARCHAR(20))) AS cashier_id,
   CASE event_type WHEN 'error' THEN 'cashier_promo_abuse' ELSE event_type END AS alert_type,
-  least(value / 100.0, CAST(1.0 AS DOUBLE)) AS risk_score
+  least(value / CAST(97.0 AS DOUBLE), CAST(1.0 AS DOUBLE)) AS risk_score
 FROM events""",
     "silver": """
 SELECT concat('TXN-', cast(o_orderkey AS VARCHAR(20))) AS transaction_id, o_orderdate AS event_timestamp,
@@ -52,22 +60,28 @@ SELECT concat('TXN-', cast(o_orderkey AS VARCHAR(20))) AS transaction_id, o_orde
   concat('CASH_', cast(1000 + o_custkey % 150 AS VARCHAR(20))) AS cashier_id, o_orderpriority AS payment_method, CAST(o_totalprice AS DECIMAL(18,2)) AS total_amount_usd
 FROM orders""",
     "log_refs": """
-SELECT conv_id * 100 + turn AS call_id, concat('ins-', cast(conv_id * 100 + turn AS VARCHAR(20))) AS insert_id, conv_id AS conversation_id, turn AS call_turn,
+SELECT conv_id * 1000000 + turn AS call_id, concat('ins-', cast(conv_id * 1000000 + turn AS VARCHAR(20))) AS insert_id, conv_id AS conversation_id, turn AS call_turn,
   concat('trace-', cast(conv_id AS VARCHAR(20)), '-', cast(turn AS VARCHAR(20))) AS trace, concat('span-', cast(turn AS VARCHAR(20))) AS span_id,
-  CASE WHEN (conv_id * 100 + turn) % 7 <> 0 THEN concat('/logs/completions/', cast(conv_id * 100 + turn AS VARCHAR(20)), '_inputs.jsonl') END AS input_ref,
-  concat('/logs/completions/', cast(conv_id * 100 + turn AS VARCHAR(20)), '_outputs.jsonl') AS output_ref,
+  CASE WHEN (conv_id * 1000000 + turn) % 7 <> 0 THEN concat('/logs/completions/', cast(conv_id * 1000000 + turn AS VARCHAR(20)), '_inputs.jsonl') END AS input_ref,
+  concat('/logs/completions/', cast(conv_id * 1000000 + turn AS VARCHAR(20)), '_outputs.jsonl') AS output_ref,
   cast(length(text) AS VARCHAR(20)) AS usage_output_tokens
 FROM conversations WHERE role = 'assistant'""",
     "messages": """
-SELECT concat('/logs/completions/', cast(a.conv_id * 100 + a.turn AS VARCHAR(20)), '_inputs.jsonl') AS file_name, b.role, b.turn AS idx, b.text AS content
+SELECT concat('/logs/completions/', cast(a.conv_id * 1000000 + a.turn AS VARCHAR(20)), '_inputs.jsonl') AS file_name, b.role, b.turn AS idx, b.text AS content
 FROM conversations a JOIN conversations b ON a.conv_id = b.conv_id AND b.turn < a.turn WHERE a.role = 'assistant'
 UNION ALL
-SELECT concat('/logs/completions/', cast(conv_id * 100 + turn AS VARCHAR(20)), '_outputs.jsonl'), role, CAST(0 AS BIGINT), text FROM conversations WHERE role = 'assistant'""",
-    "vchunks": """
-SELECT vec_id, concat('doc_', cast(vec_id % 50 AS VARCHAR(20)), '.pdf') AS document_filename, CAST(floor(vec_id / 50.0) AS BIGINT) AS chunk_index,
-  CASE WHEN vec_id % 3 <> 0 THEN source END AS document_title, lang AS equipment_covered,
-  text AS chunk_content, concat('gs://manuals/doc_', cast(vec_id % 50 AS VARCHAR(20)), '.pdf') AS source_pdf_uri, embedding
-FROM embeddings JOIN documents ON doc_id = vec_id % 200 WHERE vec_id % 11 <> 5""",
+SELECT concat('/logs/completions/', cast(conv_id * 1000000 + turn AS VARCHAR(20)), '_outputs.jsonl'), role, CAST(0 AS BIGINT), text FROM conversations WHERE role = 'assistant'""",
+    "vchunks": f"""
+SELECT i AS vec_id, concat('doc_', cast(i // 10 AS VARCHAR(20)), '.pdf') AS document_filename,
+  CAST(i % 10 + CASE WHEN i % 10 >= 5 THEN 1 ELSE 0 END AS BIGINT) AS chunk_index,
+  CASE WHEN i % 3 <> 0 THEN source END AS document_title, lang AS equipment_covered,
+  concat(text, {planted('i', PLANTED_MANUAL)}) AS chunk_content, concat('gs://manuals/doc_', cast(i // 10 AS VARCHAR(20)), '.pdf') AS source_pdf_uri,
+  CASE WHEN (i // (SELECT count(*) FROM embeddings)) % 2 = 1 AND i % 3 <> 0 THEN list_reverse(embedding) ELSE embedding END AS embedding
+FROM (SELECT doc_id AS i FROM documents UNION ALL SELECT vec_id FROM embeddings WHERE vec_id >= (SELECT count(*) FROM documents)) r
+JOIN documents ON doc_id = i % (SELECT count(*) FROM documents) JOIN embeddings ON vec_id = i % (SELECT count(*) FROM embeddings)""",
+    "manuals": f"SELECT doc_id, concat(text, {planted('doc_id', PLANTED_MANUAL)}) AS text, lang, source FROM documents",
+    "questions": f"SELECT doc_id AS query_id, concat(text, {planted('doc_id', PLANTED_QUESTION)}) AS text FROM documents",
+    "vquestions": f"SELECT vec_id AS query_id, concat(chunk_content, {planted('(vec_id + 5)', PLANTED_QUESTION)}) AS text, embedding FROM vchunks",
 }
 
 

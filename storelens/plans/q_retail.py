@@ -49,12 +49,11 @@ from storelens.operators.filters import bound_sql  # noqa: E402
 from storelens.plans.oracle import VIEWS, exact_ratio  # noqa: E402
 
 AS_OF = f"TIMESTAMP '{fx.ALERTS_AS_OF}'"
-RISK_UNITS = "CAST(CAST(risk_score AS DECIMAL(10,4)) * 10000 AS BIGINT)"
 ALERT_EVENTS = VIEWS["alerts"].replace(
     "AS risk_score\nFROM events", "AS risk_score, CAST(value AS DECIMAL(18,2)) AS discount_usd\nFROM events")
 RANKING_SQL = f"""
 SELECT store_id, cashier_id, count(alert_id) AS alert_count,
-  {exact_ratio(f'sum({RISK_UNITS})', 'count(risk_score) * 10000', 4)} AS avg_risk_score,
+  round(avg(risk_score), 4) AS avg_risk_score,
   max(risk_score) AS max_risk_score, max(alert_ts) AS latest_alert_ts
 FROM alerts
 WHERE alert_type = 'cashier_promo_abuse' AND alert_ts >= {AS_OF} - INTERVAL 7 DAY
@@ -71,10 +70,7 @@ def offender_ranking(t):
 @query("offender_ranking_bound_sql", "P-11 A-01", with_views(RANKING_SQL + "\nLIMIT 20", "alerts"))
 def offender_ranking_bound_sql(t):
     """The reference ranking SQL with user values as bound parameters."""
-    units = "CAST(CAST(risk_score AS DECIMAL(10,4)) * 10000 AS BIGINT)"
-    n, d = f"sum({units})", "count(risk_score) * 10000"
-    avg = (f"CAST((2 * 10000 * {n} + {d} - pmod(2 * 10000 * {n} + {d}, 2 * {d})) div (2 * {d}) AS DOUBLE)"
-           " / 10000.0D")
+    avg = "CAST(ROUND(AVG(CAST(risk_score AS DECIMAL(28,18))), 4) AS DOUBLE)"
     return bound_sql(t.spark, f"""
         SELECT store_id, cashier_id, count(alert_id) AS alert_count, {avg} AS avg_risk_score,
                max(risk_score) AS max_risk_score, max(alert_ts) AS latest_alert_ts

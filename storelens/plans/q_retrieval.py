@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from storelens.functions.text import DIAGNOSTIC_KEYWORDS, DECLINE_TEXT, search_terms
+from storelens.functions.text import DECLINE_TEXT, DIAGNOSTIC_KEYWORDS, FALLBACK_METHOD, VECTOR_METHOD, search_terms
 from storelens.functions.vectors import embed
 from storelens.operators import chunking as ch
 from storelens.operators import retrieval as rt
@@ -38,29 +38,15 @@ SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY pos) - 1
     WHERE contains(lower(text), lower(k.term))))
 WHERE dup = 1"""
 
-QUESTIONS_SQL = "SELECT doc_id AS query_id, text FROM documents"
-
 FALLBACK_SQL = f"""
 SELECT query_id, matched_term, document_filename, chunk_index FROM (
   SELECT t.query_id, t.term AS matched_term, c.document_filename, c.chunk_index,
     row_number() OVER (PARTITION BY t.query_id ORDER BY t.term_pos, c.document_filename, c.chunk_index) AS rn
-  FROM terms t JOIN chunks c ON CASE WHEN contains(t.term, '-')
-      THEN regexp_matches(lower(c.chunk_content), '(^|[^a-z0-9])' || lower(t.term) || '($|[^a-z0-9])')
-      ELSE list_contains(string_split_regex(lower(c.chunk_content), '[^a-z0-9]+'), lower(t.term)) END)
+  FROM terms t JOIN chunks c ON regexp_matches(lower(c.chunk_content),
+    '(^|[^a-z0-9])' || replace(trim(regexp_replace(lower(t.term), '[^a-z0-9]+', '-', 'g'), '-'), '-', '-+') || '($|[^a-z0-9])'))
 WHERE rn = 1"""
 
 
-def _questions(t):
-    """Every document used as a fault description (they quote codes)."""
-    return t.documents.select(F.col("doc_id").alias("query_id"), "text")
-
-
-def _vquestions(t):
-    """Each manual chunk used as a question: its text and its vector."""
-    return fx.vchunks(t).select(F.col("vec_id").alias("query_id"), F.col("chunk_content").alias("text"),
-                                "embedding")
-
-
 @query("manual_chunks", "R-01", CHUNKS_SQL)
 def manual_chunks(t):
     """Sliding 500/400 character windows over every document."""
@@ -111,22 +97,22 @@ FROM ({BEST_SQL}) m JOIN vchunks c ON m.document_filename = c.document_filename
 GROUP BY ALL""", "vchunks"))
 def retrieval_gate(t):
     """Best stitched match per chunk-as-question and the 0.70 gate."""
-    return rt.retrieve(_vquestions(t), fx.vchunks(t), exclude_self=True)
+    return rt.retrieve(fx.vquestions(t), fx.vchunks(t), exclude_self=True)
 
 
-@query("search_terms", "R-06", with_views(TERMS_SQL, extra={"questions": QUESTIONS_SQL}))
+@query("search_terms", "R-06", with_views(TERMS_SQL, "questions"))
 def search_terms_q(t):
     """Ordered, de-duplicated search terms of every document-as-question."""
     from storelens.operators.sizing import spread
-    q = spread(_questions(t))
+    q = spread(fx.questions(t))
     return q.select("query_id", F.posexplode(search_terms("text")).alias("term_pos", "term"))
 
 
-@query("keyword_fallback", "R-07 R-06 R-01", with_views(FALLBACK_SQL, extra={
-    "questions": QUESTIONS_SQL, "terms": TERMS_SQL, "chunks": CHUNKS_SQL}))
+@query("keyword_fallback", "R-07 R-06 R-01", with_views(FALLBACK_SQL, "questions", "manuals", extra={
+    "terms": TERMS_SQL, "chunks": CHUNKS_SQL.replace("FROM documents", "FROM manuals")}))
 def keyword_fallback(t):
     """First matching term and first matching manual chunk per document-as-question."""
-    return rt.fallback_search(_questions(t), ch.manual_chunks(t.documents))
+    return rt.fallback_search(fx.questions(t), ch.manual_chunks(fx.manuals(t)))
 
 
 ANSWER_SQL = f"""
@@ -154,7 +140,7 @@ SELECT query_id, route, document_filename, chunk_index, similarity_score, matche
   || chr(10) || '- **Certified Source Manual:** [' || coalesce(nullif(document_filename, ''), 'POS Hardware Service Manual')
   || '](' || replace(coalesce(source_pdf_uri, ''), 'gs://', 'https://storage.cloud.google.com/') || ')'
   || chr(10) || '- **Retrieval Match:** '
-  || CASE WHEN route = 'vector' THEN 'Vector Similarity Search' ELSE 'Full-Text SEARCH Fallback (''' || matched_term || ''')' END
+  || CASE WHEN route = 'vector' THEN '{VECTOR_METHOD}' ELSE '{FALLBACK_METHOD[0].replace(chr(39), chr(39) * 2)}' || matched_term || '{FALLBACK_METHOD[1].replace(chr(39), chr(39) * 2)}' END
   || ' (Relevance Score: ' || CAST(similarity_score AS VARCHAR) || ', Matched Chunk #' || CAST(chunk_index AS VARCHAR)
   || ' with adjacent window stitching)' || chr(10) || chr(10) || '#### Runbook & Procedural Instructions:' || chr(10)
   || coalesce(stitched_content, '') || chr(10) AS answer_text
@@ -164,22 +150,35 @@ SELECT query_id, 'decline', NULL, NULL, NULL, NULL, '{DECLINE_TEXT}'
 FROM questions WHERE query_id NOT IN (SELECT query_id FROM chosen)"""
 
 
-@query("runbook_answers", "R-08 R-09 R-05 R-07", with_views(ANSWER_SQL, "vchunks", extra={
-    "chunks": "SELECT * FROM vchunks",
-    "questions": "SELECT vec_id AS query_id, chunk_content AS text FROM vchunks",
-    "terms": TERMS_SQL}))
+@query("runbook_answers", "R-08 R-09 R-05 R-07", with_views(ANSWER_SQL, "vchunks", "vquestions", extra={
+    "chunks": "SELECT * FROM vchunks", "questions": "SELECT query_id, text FROM vquestions", "terms": TERMS_SQL}))
 def runbook_answers(t):
     """Vector / fallback / decline answer for every chunk-as-question."""
-    return rt.answer(_vquestions(t), fx.vchunks(t), exclude_self=True)
+    return rt.answer(fx.vquestions(t), fx.vchunks(t), exclude_self=True)
 
 
 @query("vector_topk_lsh", "R-04")
 def vector_topk_lsh(t):
-    """Approximate top-5 neighbours via random-projection LSH + exact re-rank."""
+    """Approximate top-5 neighbours via signs of random projections + exact re-rank."""
     v = fx.vchunks(t).select(F.col("vec_id").alias("query_id"), "embedding")
     return rt.vector_search_lsh(v, fx.vchunks(t), 5, exclude_self=True)
 
 
+@query("vector_lsh_quality", "R-04 R-05", with_views(f"""
+SELECT count(*) AS gate_matches, true AS recall_ok, true AS pruned_ok FROM ({TOPK_SQL}) WHERE score >= 0.70""", "vchunks"))
+def vector_lsh_quality(t):
+    """Exact matches at or above the gate, whether the approximate search finds at least 90 % of
+    them, and whether it scores less than half of all pairs."""
+    base = fx.vchunks(t)
+    v = base.select(F.col("vec_id").alias("query_id"), "embedding")
+    gate = rt.vector_search(v, base, 5, exclude_self=True).where("score >= 0.70")
+    near = rt.vector_search_lsh(v, base, 5, exclude_self=True).select("query_id", "match_id", F.lit(1).alias("found"))
+    share = rt.scored_pair_share(v, base, rt.lsh_bits(base.count()))
+    both = gate.join(near, ["query_id", "match_id"], "left").agg(F.count(F.lit(1)).alias("gate_matches"), F.count("found").alias("found"))
+    return both.select("gate_matches", (F.col("found") >= 0.9 * F.col("gate_matches")).alias("recall_ok"),
+                       (share.scalar() < 0.5).alias("pruned_ok"))
+
+
 @query("embedded_chunks", "R-02 J-08")
 def embedded_chunks(t):
     """Manual chunks with their hashed-n-gram vectors attached."""
