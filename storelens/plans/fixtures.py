@@ -94,6 +94,29 @@ def pos_tx(t: Tables) -> DataFrame:
     )
 
 
+def pos_records(t: Tables) -> DataFrame:
+    """Checkout-ledger records as they arrive (all text), with planted contract faults."""
+    k = F.col("tx_no")
+    return pos_tx(t).select(
+        k, "transaction_id",
+        F.when(k % 71 == 0, F.lit("maybe")).when(k % 73 != 0, (k % 2 == 0).cast("string")).alias("loyalty_flag"),
+        F.when(k % 61 == 0, F.lower("payment_method")).otherwise(F.col("payment_method")).alias("payment_method"),
+        F.when(k % 67 == 0, F.lit("GOLD")).otherwise(F.col("customer_loyalty_tier")).alias("customer_loyalty_tier"),
+        F.when(k % 59 == 0, F.lit("three")).otherwise(F.col("item_count").cast("string")).alias("item_count"))
+
+
+ASKED = (" Show promo abuse by cashier.", " Which transactions came in the last 7 days?", " List checkout anomalies on 2024-01-15.",
+         " How much stock has store 4?", " Any override since yesterday?", " Transactions of CASH_1007, please.")
+
+
+def asked(t: Tables) -> DataFrame:
+    """Conversation turns with a planted question (by conversation and turn), with and without a date."""
+    note = F.lit("")
+    for k, q in enumerate(ASKED):
+        note = F.when((F.col("conv_id") + F.col("turn")) % 8 == k, F.lit(q)).otherwise(note)
+    return t.conversations.withColumn("text", F.concat("text", note))
+
+
 def warranty(t: Tables) -> DataFrame:
     """warranty_generic_sections_extracted: every fourth product has no policy."""
     k = F.col("p_partkey")

@@ -5,12 +5,12 @@ The view texts are the ones in FIXTURES.md (valid in both engines).
 
 from __future__ import annotations
 
-from storelens.plans.fixtures import PLANTED_MANUAL, PLANTED_QUESTION
+from storelens.plans.fixtures import ASKED, PLANTED_MANUAL, PLANTED_QUESTION
 
 
-def planted(i: str, notes: tuple[str, ...]) -> str:
+def planted(i: str, notes: tuple[str, ...], every: int = 11) -> str:
     """SQL twin of the planted sentences."""
-    return "CASE " + " ".join(f"WHEN {i} % 11 = {k} THEN '{n}'" for k, n in enumerate(notes)) + " ELSE '' END"
+    return "CASE " + " ".join(f"WHEN {i} % {every} = {k} THEN '{n}'" for k, n in enumerate(notes)) + " ELSE '' END"
 
 
 VIEWS: dict[str, str] = {
@@ -39,6 +39,13 @@ FROM orders JOIN customer ON o_custkey = c_custkey JOIN (
     sum(CAST(l_extendedprice AS DECIMAL(12,2)) * CAST(l_tax AS DECIMAL(4,2))) AS tax,
     count(DISTINCT l_partkey) AS item_count, CAST(sum(l_quantity) AS BIGINT) AS total_quantity
   FROM lineitem GROUP BY l_orderkey) t ON o_orderkey = l_orderkey""",
+    "pos_records": """
+SELECT tx_no, transaction_id, CASE WHEN tx_no % 71 = 0 THEN 'maybe' WHEN tx_no % 73 <> 0 THEN CAST(tx_no % 2 = 0 AS VARCHAR) END AS loyalty_flag,
+  CASE WHEN tx_no % 61 = 0 THEN lower(payment_method) ELSE payment_method END AS payment_method,
+  CASE WHEN tx_no % 67 = 0 THEN 'GOLD' ELSE customer_loyalty_tier END AS customer_loyalty_tier,
+  CASE WHEN tx_no % 59 = 0 THEN 'three' ELSE CAST(item_count AS VARCHAR) END AS item_count
+FROM pos_tx""",
+    "asked": f"SELECT conv_id, turn, role, concat(text, {planted('(conv_id + turn)', ASKED, 8)}) AS text FROM conversations",
     "warranty": """
 SELECT concat('prod_', cast(p_partkey AS VARCHAR(20))) AS product_id, p_size AS warranty_duration_months, p_type AS service_level,
   p_brand AS coverage_scope_details, concat('https://support.example/', cast(p_partkey AS VARCHAR(20))) AS support_url

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -11,11 +13,9 @@ from storelens.operators import warranty as war
 from storelens.plans import fixtures as fx
 from storelens.plans.oracle import exact_ratio, r4, with_views
 from storelens.plans.registry import query
+from storelens.session import scratch_path
 from storelens.sources.tables import SCHEMAS, TABLE_NAMES
 
-STAR = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
-
-
 def _exact_mean(c: str) -> str:
     """DuckDB twin of ``profiling.exact_mean_sql``: half-up 4-place mean from
     the exact decimal sum (HUGEINT floor arithmetic)."""
@@ -61,8 +61,8 @@ def table_profiles(t):
 
 @query("table_profiles_approx", "G-01 G-02")
 def table_profiles_approx(t):
-    """Default (one-pass, sketch-based) profiles with quantiles, star schema."""
-    return prof.profile_all({n: getattr(t, n) for n in STAR})
+    """Default (one-pass, sketch-based) profiles with quantiles, all tables."""
+    return prof.profile_all({n: getattr(t, n) for n in TABLE_NAMES})
 
 
 @query("sampled_lineitem_profile", "G-03 G-01")
@@ -121,9 +121,10 @@ def quality_failing_rows(t):
     return bad.select("tx_no", "transaction_id", F.explode("failed_rules").alias("failed_rule"))
 
 
-# Record contract for checkout-ledger rows (our design, same form as the table spec).
+# Record contract for checkout-ledger records as they arrive, all text (our design, same form as the table spec).
 POS_RECORD_SPEC = (
     gov.FieldSpec("transaction_id", "string", True),
+    gov.FieldSpec("loyalty_flag", "bool", True),
     gov.FieldSpec("payment_method", "enum", True, ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")),
     gov.FieldSpec("customer_loyalty_tier", "enum", True,
                   ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")),
@@ -133,18 +134,23 @@ POS_RECORD_SPEC = (
 
 @query("ledger_contract_violations", "G-05", with_views("""
 SELECT tx_no, v AS violation FROM (
-  SELECT tx_no, CASE WHEN transaction_id IS NULL THEN 'transaction_id: missing' END AS v FROM pos_tx
-  UNION ALL SELECT tx_no, CASE WHEN payment_method IS NULL THEN 'payment_method: missing' END FROM pos_tx
+  SELECT tx_no, CASE WHEN transaction_id IS NULL THEN 'transaction_id: missing' END AS v FROM pos_records
+  UNION ALL SELECT tx_no, CASE WHEN loyalty_flag IS NULL THEN 'loyalty_flag: missing' END FROM pos_records
+  UNION ALL SELECT tx_no, CASE WHEN lower(loyalty_flag) NOT IN ('true', 'false')
+    THEN 'loyalty_flag: not boolean: ' || loyalty_flag END FROM pos_records
+  UNION ALL SELECT tx_no, CASE WHEN item_count IS NOT NULL AND TRY_CAST(item_count AS BIGINT) IS NULL
+    THEN 'item_count: not integer: ' || item_count END FROM pos_records
+  UNION ALL SELECT tx_no, CASE WHEN payment_method IS NULL THEN 'payment_method: missing' END FROM pos_records
   UNION ALL SELECT tx_no, CASE WHEN payment_method NOT IN ('1-URGENT', '2-HIGH', '3-MEDIUM', '4-NOT SPECIFIED', '5-LOW')
-    THEN 'payment_method: not in enum: ' || payment_method END FROM pos_tx
-  UNION ALL SELECT tx_no, CASE WHEN customer_loyalty_tier IS NULL THEN 'customer_loyalty_tier: missing' END FROM pos_tx
+    THEN 'payment_method: not in enum: ' || payment_method END FROM pos_records
+  UNION ALL SELECT tx_no, CASE WHEN customer_loyalty_tier IS NULL THEN 'customer_loyalty_tier: missing' END FROM pos_records
   UNION ALL SELECT tx_no, CASE WHEN customer_loyalty_tier NOT IN ('AUTOMOBILE', 'BUILDING', 'FURNITURE', 'HOUSEHOLD', 'MACHINERY')
-    THEN 'customer_loyalty_tier: not in enum: ' || customer_loyalty_tier END FROM pos_tx
-  UNION ALL SELECT tx_no, CASE WHEN item_count IS NULL THEN 'item_count: missing' END FROM pos_tx)
-WHERE v IS NOT NULL""", "pos_tx"))
+    THEN 'customer_loyalty_tier: not in enum: ' || customer_loyalty_tier END FROM pos_records
+  UNION ALL SELECT tx_no, CASE WHEN item_count IS NULL THEN 'item_count: missing' END FROM pos_records)
+WHERE v IS NOT NULL""", "pos_tx", "pos_records"))
 def ledger_contract_violations(t):
     """Contract violations of every checkout-ledger record (one row each)."""
-    v = gov.validate_records(fx.pos_tx(t), POS_RECORD_SPEC)
+    v = gov.validate_records(fx.pos_records(t), POS_RECORD_SPEC)
     return v.select("tx_no", F.explode("violations").alias("violation"))
 
 
@@ -171,14 +177,65 @@ def _bound(t):
             "history": fx.history(t), "warranty": fx.warranty(t), "silver": fx.silver(t)}
 
 
-@query("catalog_snapshot", "S-07 G-05")
+# The bound tables' columns: name, type, whether a value can be missing.
+CATALOG_COLUMNS = {
+    "pos_tx": (("transaction_id", "string", True), ("tx_no", "bigint", True), ("business_date", "date", True), ("store_id", "string", True),
+               ("cashier_id", "string", True), ("customer_id", "string", True), ("customer_loyalty_tier", "string", True),
+               ("payment_method", "string", True), ("subtotal_amount", "decimal(18,2)", True), ("discount", "decimal(18,2)", True),
+               ("tax_amount", "decimal(18,2)", True), ("total", "decimal(18,2)", True), ("item_count", "bigint", False),
+               ("total_quantity", "bigint", True)),
+    "alerts": (("alert_id", "bigint", True), ("alert_ts", "timestamp_ntz", True), ("store_id", "string", True), ("cashier_id", "string", True),
+               ("alert_type", "string", True), ("risk_score", "double", False)),
+    "inventory": (("store_id", "string", True), ("store_name", "string", True), ("city", "string", True), ("item_id", "string", True),
+                  ("shelf_qty", "bigint", True), ("backroom_qty", "bigint", True), ("total_units_sold_intraday", "bigint", True),
+                  ("intraday_gross_revenue_usd", "decimal(28,2)", True)),
+    "history": (("transaction_id", "string", True), ("business_date", "date", True), ("customer_id", "string", True), ("payment_method", "string", True),
+                ("items", "array<struct<line_no:int,item_id:string,item_name:string,unit_price:decimal(18,2)>>", False)),
+    "warranty": (("product_id", "string", True), ("warranty_duration_months", "int", True), ("service_level", "string", True),
+                 ("coverage_scope_details", "string", True), ("support_url", "string", True)),
+    "silver": (("transaction_id", "string", True), ("event_timestamp", "timestamp_ntz", True), ("store_id", "string", True),
+               ("pos_terminal_id", "string", True), ("cashier_id", "string", True), ("payment_method", "string", True),
+               ("total_amount_usd", "decimal(18,2)", True)),
+}
+
+
+def _catalog_sql() -> str:
+    def lit(v):
+        return "NULL" if v is None else str(v).lower() if isinstance(v, bool) else "'" + v + "'"
+    parts = []
+    for name, cols in CATALOG_COLUMNS.items():
+        c = CONTRACTS.get(name, {})
+        source = "(SELECT DISTINCT transaction_id FROM history_lines)" if name == "history" else name
+        missing = "[]" if c else "['table_type: missing', 'pii_included: missing', 'data_owner_team: missing']"
+        for i, (col, kind, nullable) in enumerate(cols):
+            parts.append(f"""SELECT '{name}' AS table_name, count(*) AS row_count, {i} AS ordinal, '{col}' AS column_name, '{kind}' AS data_type,
+  {lit(nullable)} AS nullable, {lit(DESCRIPTIONS.get(name))} AS description, CAST({lit(c.get('table_type'))} AS VARCHAR) AS table_type,
+  CAST({lit(c.get('pii_included'))} AS BOOLEAN) AS pii_included, CAST({lit(c.get('data_owner_team'))} AS VARCHAR) AS data_owner_team,
+  CAST({missing} AS VARCHAR[]) AS violations, {lit(bool(c))} AS valid FROM {source}""")
+    return "\nUNION ALL\n".join(parts)
+
+
+_CATALOG_VIEWS = ("pos_tx", "alerts", "inventory", "history_lines", "warranty", "silver")
+
+
+@query("catalog_snapshot", "S-07 G-05", with_views(_catalog_sql(), *_CATALOG_VIEWS))
 def catalog_snapshot(t):
     """Columns, types, row counts and validated contract values of the bound tables."""
     snap = gov.catalog_snapshot(_bound(t), CONTRACTS, DESCRIPTIONS)
     return gov.validate_records(snap)
 
 
-@query("streaming_store_ops_tables", "G-06 S-07")
+@query("catalog_snapshot_file", "S-07", with_views(
+    f"SELECT table_name, row_count, ordinal, column_name, data_type FROM ({_catalog_sql()})", *_CATALOG_VIEWS))
+def catalog_snapshot_file(t):
+    """The catalogue written as JSON and read back."""
+    path = scratch_path(t.spark, f"tables/catalog-{uuid.uuid4().hex[:12]}")
+    gov.write_catalog(gov.catalog_snapshot(_bound(t), CONTRACTS, DESCRIPTIONS), path)
+    return gov.read_catalog(t.spark, path).select("table_name", "row_count", "ordinal", "column_name", "data_type")
+
+
+@query("streaming_store_ops_tables", "G-06 S-07", with_views(f"""
+SELECT 'pos_tx' AS table_name, count(*) AS row_count, '{DESCRIPTIONS["pos_tx"]}' AS description FROM pos_tx""", "pos_tx"))
 def streaming_store_ops_tables(t):
     """Contract search: streaming tables owned by store-ops, with PII."""
     snap = gov.catalog_snapshot(_bound(t), CONTRACTS, DESCRIPTIONS)
@@ -226,15 +283,15 @@ def store_metrics(t):
     return out
 
 
-@query("question_guardrail", "G-08", f"""
+@query("question_guardrail", "G-08", with_views(f"""
 SELECT conv_id, turn, regexp_matches(lower(text), '{gov.FACT_REGEX}') AS targets_fact,
   regexp_matches(lower(text), '{gov.TEMPORAL_REGEX}') AS has_date,
   regexp_matches(lower(text), '{gov.FACT_REGEX}') AND NOT regexp_matches(lower(text), '{gov.TEMPORAL_REGEX}')
     AS needs_clarification
-FROM conversations""")
+FROM asked""", "asked"))
 def question_guardrail(t):
-    """Date guardrail verdict for every conversation turn."""
-    c = gov.classify_questions(t.conversations)
+    """Date guardrail verdict for every conversation turn with its planted question."""
+    c = gov.classify_questions(fx.asked(t))
     return c.select("conv_id", "turn", "targets_fact", "has_date", "needs_clarification")
 
 
@@ -248,7 +305,7 @@ def alerts_week_scan(t):
 
 def _join_candidates_sql() -> str:
     parts = []
-    for tname in STAR:
+    for tname in TABLE_NAMES:
         for f in SCHEMAS[tname].fields:
             fam = ("int" if isinstance(f.dataType, (T.IntegerType, T.LongType))
                    else "str" if isinstance(f.dataType, T.StringType) else None)
@@ -257,7 +314,7 @@ def _join_candidates_sql() -> str:
                              f"FROM {tname}")
     vals = "\nUNION ALL\n".join(parts)
     return f"""
-WITH vals AS (SELECT DISTINCT * FROM ({vals}) WHERE v IS NOT NULL AND length(v) <= 40),
+WITH vals AS (SELECT DISTINCT * FROM ({vals}) WHERE v IS NOT NULL),
 sizes AS (SELECT t, c, count(*) AS left_distinct FROM vals GROUP BY 1, 2),
 ov AS (SELECT a.t AS lt, a.c AS lc, b.t AS rt, b.c AS rc, count(*) AS overlap
        FROM vals a JOIN vals b ON a.fam = b.fam AND a.v = b.v WHERE a.t <> b.t OR a.c <> b.c GROUP BY 1, 2, 3, 4)
@@ -269,5 +326,5 @@ WHERE {exact_ratio('overlap', 'left_distinct', 4)} >= 0.9"""
 
 @query("join_candidates", "J-09", _join_candidates_sql())
 def join_candidates(t):
-    """Column pairs of the star schema whose values are >= 90 % contained."""
-    return gov.join_candidates({n: getattr(t, n) for n in STAR}, 0.9)
+    """Column pairs of all tables whose values are >= 90 % contained."""
+    return gov.join_candidates({n: getattr(t, n) for n in TABLE_NAMES}, 0.9)
