@@ -106,7 +106,7 @@ def federated_checkout_log(t):
     the cashier predicate is pushed into the reader and skips row groups
     by their min/max statistics."""
     path = _fresh(t, "silver")
-    (fx.silver(t).repartition("store_id").sortWithinPartitions("cashier_id", "event_timestamp")
+    (fx.silver(t).hint("rebalance", "store_id").sortWithinPartitions("cashier_id", "event_timestamp")
        .write.mode("overwrite").partitionBy("store_id").parquet(path))
     fed = read_federated(t.spark, path)
     return checkout_log(fed, FEDERATED_CASHIER, limit=10)
@@ -146,6 +146,23 @@ def exported_quality_results(t):
 
 
 # ------------------------------------------------------------- S-09
+PRUNED_SQL = """
+SELECT insertId, timestamp, log_date FROM (
+  SELECT insert_id AS insertId, timestamp + CAST(conversation_id AS BIGINT) % 9 * INTERVAL 1 DAY AS timestamp,
+    CAST(timestamp + CAST(conversation_id AS BIGINT) % 9 * INTERVAL 1 DAY AS DATE) AS log_date FROM logs)
+WHERE log_date BETWEEN DATE '2026-01-03' AND DATE '2026-01-05'"""
+
+
+@query("log_days_read", "S-04", with_views(PRUNED_SQL, "log_refs", extra={"logs": LOGS_SQL}))
+def log_days_read(t):
+    """The day-partitioned log table (nine days) written and read back pruned to three days."""
+    path = _fresh(t, "log_days")
+    days = F.col("labels.gen_ai_conversation_id").cast("long") % 9
+    lg.write_logs(fx.inference_logs(t).select("insertId", F.timestamp_add("DAY", days, F.col("timestamp")).alias("timestamp")),
+                  path, mode="overwrite")
+    return lg.read_logs(t.spark, path, "2026-01-03", "2026-01-05")
+
+
 @query("persisted_manual_chunks", "S-09 R-01", CHUNKS_SQL)
 def persisted_manual_chunks(t):
     """The chunk table written clustered by document (one folder write,

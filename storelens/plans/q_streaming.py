@@ -137,7 +137,63 @@ def stream_routed_logs(t):
     return g.unionByName(f).select("route", "insertId", "timestamp", "log_date", "log_name")
 
 
-@query("stream_feedback", "T-07")
+def _late_files(t, base: str, files: int = 4) -> None:
+    """Events in ``files`` files that each cover a part of the time line, in arrival order; an event arrives up
+    to ``LATE_US`` late (by its id), so many come in the file after their time."""
+    ev = t.events
+    lo, hi = (F.unix_micros(F.col(c).cast("timestamp")) for c in ("lo", "hi"))
+    ends = ev.agg(F.min("ts").alias("lo"), F.max("ts").alias("hi")).select(lo.alias("lo"), hi.alias("hi")).first()
+    step = (ends["hi"] - ends["lo"]) // files + 1
+    arrival = F.unix_micros(F.col("ts").cast("timestamp")) + F.pmod(F.col("event_id") * 7919, F.lit(LATE_US // 10**6)) * 10**6
+    part = F.least(F.floor((arrival - F.lit(ends["lo"])) / F.lit(step)), F.lit(files - 1))
+    for k in range(files):
+        ev.where(part == k).coalesce(1).write.mode("append").parquet(f"{base}/events")
+
+
+LATE_US = 3 * 24 * 3600 * 10**6
+WATERMARK_SQL = f"""
+SELECT * FROM ({TRAILING_SQL}) WHERE event_ts <= (SELECT max(ts) FROM events) - INTERVAL 3 DAY"""
+
+
+@query("stream_trailing_out_of_order", "T-02 T-01", with_views(WATERMARK_SQL, extra={"alert_events": ALERT_EVENTS}))
+def stream_trailing_out_of_order(t):
+    """Trailing metrics over four micro-batches whose events arrive up to three days late: exact
+    for every event that the final watermark has passed."""
+    base = _scratch(t, "late")
+    _late_files(t, base)
+    events = S.stream_events(t.spark, f"{base}/events", "*.parquet", max_files_per_trigger=1)
+    st = S.stream_trailing(S.alerts_stream(events), delay="3 days", delay_us=LATE_US, emit="watermark")
+    S.run_available(st, S.parquet_sink(f"{base}/out"), f"{base}/ckpt")
+    return t.spark.read.parquet(f"{base}/out").drop("batch")
+
+
+@query("stream_latest_folded", "T-05 T-04", with_views(f"""
+SELECT * EXCLUDE (rn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY row_key_prefix ORDER BY event_ts DESC, row_key DESC) AS rn FROM (
+    SELECT row_key, regexp_extract(row_key, '^([^#]*#[^#]*)', 1) AS row_key_prefix, event_ts, discount_usd FROM (
+      SELECT concat_ws('#', store_id, cashier_id, CAST(alert_id AS VARCHAR)) AS row_key, alert_ts AS event_ts, discount_usd FROM alert_events)))
+WHERE rn = 1""", extra={"alert_events": ALERT_EVENTS}))
+def stream_latest_folded(t):
+    """Latest event per STORE#CASHIER key over four micro-batches, folded every second batch."""
+    base = _scratch(t, "folded")
+    _late_files(t, base)
+    a = S.alerts_stream(S.stream_events(t.spark, f"{base}/events", "*.parquet", max_files_per_trigger=1))
+    rows = a.select(F.concat_ws("#", "store_id", "cashier_id", F.col("alert_id").cast("string")).alias("row_key"),
+                    F.concat_ws("#", "store_id", "cashier_id").alias("row_key_prefix"),
+                    F.col("alert_ts").cast("timestamp_ntz").alias("event_ts"), "discount_usd")
+    S.run_available(rows, S.upsert_latest(f"{base}/table", fold_every=2), f"{base}/ckpt")
+    return S.read_latest(t.spark, f"{base}/table")
+
+
+FEEDBACK_SQL = f"""
+SELECT CASE WHEN turn % 11 <> 5 THEN CAST(length(text) % 5 + 1 AS DOUBLE) END AS score,
+  CASE WHEN turn % 3 <> 0 THEN text ELSE '' END AS text, 'feedback' AS log_type, '{SERVICE}' AS service_name,
+  CASE WHEN conv_id % 2 = 0 THEN 'user-' || CAST(conv_id % 10 AS VARCHAR) ELSE 'generated' END AS user_id,
+  'session-' || CAST(conv_id AS VARCHAR) AS session_id, turn % 11 <> 5 AS valid
+FROM conversations WHERE role <> 'system'"""
+
+
+@query("stream_feedback", "T-07", FEEDBACK_SQL)
 def stream_feedback(t):
     """Feedback JSON lines parsed with schema, defaults and validity."""
     base = _scratch(t, "feedback")
@@ -150,4 +206,6 @@ def stream_feedback(t):
     conv.select(rec.alias("value")).write.mode("overwrite").text(f"{base}/source")
     stream = t.spark.readStream.text(f"{base}/source")
     S.run_available(S.ingest_feedback(stream, SERVICE), S.parquet_sink(f"{base}/out"), f"{base}/ckpt")
-    return t.spark.read.parquet(f"{base}/out").drop("batch")
+    out = t.spark.read.parquet(f"{base}/out").drop("batch")
+    generated = F.col("user_id").rlike("^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$")
+    return out.withColumn("user_id", F.when(generated, "generated").otherwise(F.col("user_id")))

@@ -6,13 +6,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def write_logs(df: DataFrame, path: str, ts_col: str = "timestamp", mode: str = "append") -> None:
+def write_logs(df: DataFrame, path: str, ts_col: str = "timestamp", mode: str = "append", batch_id: int | None = None) -> None:
     """S-04: write log rows partitioned by the UTC day of ``ts_col``.
 
-    Rows are clustered by day first so each task writes few files per
-    day folder; a later read with a filter on ``log_date`` prunes folders."""
-    out = df.withColumn("log_date", F.to_date(ts_col))
-    out.repartition("log_date").write.mode(mode).partitionBy("log_date").parquet(path)
+    Rows are rebalanced by day first: each task writes few files per day
+    folder, and a day too large for one task is split between several. A later read with
+    a filter on ``log_date`` prunes folders. With ``batch_id`` the rows of a micro-batch go to a
+    folder of their own below each day, and a replay of the batch replaces just those."""
+    out = df.withColumn("log_date", F.to_date(ts_col)).hint("rebalance", "log_date")
+    if batch_id is None:
+        out.write.mode(mode).partitionBy("log_date").parquet(path)
+    else:
+        (out.withColumn("batch", F.lit(batch_id).cast("long")).write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic").partitionBy("log_date", "batch").parquet(path))
 
 
 def read_logs(spark: SparkSession, path: str, start: str | None = None, end: str | None = None) -> DataFrame:

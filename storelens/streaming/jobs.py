@@ -60,11 +60,23 @@ _OUT = T.StructType([
     T.StructField("event_id", T.LongType()), T.StructField("event_us", T.LongType()),
     T.StructField("txn_count", T.LongType()), T.StructField("override_count", T.LongType()),
     T.StructField("promo_count", T.LongType()), T.StructField("cents_sum", T.LongType())])
+#: A cashier's timeline is cut into buckets of this width, so that no group holds a hot cashier's whole
+#: backlog; a bucket's last window of events is also context of the next bucket.
+BUCKET_US = 6 * HOUR_US
+
+
+def _bucketed(events: DataFrame, window_us: int, bucket_us: int) -> DataFrame:
+    """Add bucket and own (whether the event is answered in that bucket or only context there)."""
+    at = F.floor(F.col("us") / F.lit(bucket_us)).cast("long")
+    tail = F.col("us") - at * F.lit(bucket_us) >= F.lit(bucket_us - window_us)
+    shift = F.explode(F.when(tail, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
+    return (events.withColumn("_at", at).withColumn("_shift", shift)
+            .withColumn("bucket", F.col("_at") + F.col("_shift")).withColumn("own", F.col("_shift") == 0).drop("_at", "_shift"))
 
 
 def _trailing_state_fn(window_us: int, keep_us: int):
-    """Per cashier: buffered events of the last ``keep_us`` plus this batch;
-    every new event gets counts over [ts - window, ts] (peers included),
+    """Per cashier and bucket: buffered events of the last ``keep_us`` plus this batch;
+    every new event of the bucket's own gets counts over [ts - window, ts] (peers included),
     computed with sorted prefix sums (vectorised, no per-row Python)."""
 
     def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState):
@@ -84,6 +96,7 @@ def _trailing_state_fn(window_us: int, keep_us: int):
         ov = np.concatenate([[0], np.cumsum(allv["kind"].to_numpy() == 1)])
         pr = np.concatenate([[0], np.cumsum(allv["kind"].to_numpy() == 2)])
         ct = np.concatenate([[0], np.cumsum(allv["cents"].to_numpy(np.int64))])
+        new = new[new["own"].to_numpy(bool)]
         t = new["us"].to_numpy(np.int64)
         lo = np.searchsorted(us, t - window_us, side="left")
         hi = np.searchsorted(us, t, side="right")
@@ -108,7 +121,7 @@ _STATE_WM = T.StructType([T.StructField("ts", T.ArrayType(T.LongType())),
 
 
 def _trailing_watermark_fn(window_us: int, delay_us: int):
-    """Per cashier: events wait in state until the watermark passes them;
+    """Per cashier and bucket: the bucket's own events wait in state until the watermark passes them;
     then every earlier event has arrived (later-than-watermark rows are
     dropped by Spark), so their trailing counts are final and equal the
     batch RANGE window whatever the arrival order."""
@@ -127,7 +140,7 @@ def _trailing_watermark_fn(window_us: int, delay_us: int):
                 parts.append(pd.DataFrame({"us": p["us"].to_numpy(np.int64), "kind": p["kind"].to_numpy(np.int32),
                                            "cents": p["cents"].to_numpy(np.int64),
                                            "eid": p["alert_id"].to_numpy(np.int64), "store": p["store_id"].tolist(),
-                                           "pending": np.ones(len(p), bool)}))
+                                           "pending": p["own"].to_numpy(bool)}))
         if not parts:
             state.remove()
             return
@@ -148,8 +161,9 @@ def _trailing_watermark_fn(window_us: int, delay_us: int):
                 "promo_count": (pr[hi] - pr[lo]).astype(np.int64), "cents_sum": (ct[hi] - ct[lo]).astype(np.int64)})
             allv.loc[ready, "pending"] = False
         pend = allv["pending"].to_numpy(bool)
-        # keep pending events and the history a pending event can still look back on
-        floor = (us[pend].min() if pend.any() else wm_us) - window_us
+        # keep pending events and the history that they, or events that may still arrive
+        # (none before the watermark), can look back on
+        floor = min(us[pend].min() if pend.any() else wm_us, wm_us) - window_us
         kept = allv[pend | (us >= floor)]
         if kept.empty:
             state.remove()
@@ -181,11 +195,12 @@ def stream_trailing(alerts: DataFrame, window_us: int = HOUR_US, delay: str = "1
                      .when(F.col("alert_type") == PROMO_EVENT, 2).otherwise(0))
          .withColumn("cents", (F.col("discount_usd") * 100).cast("long"))
          .select("cashier_id", "store_id", "alert_id", "alert_ts", "us", "kind", "cents"))
+    x = _bucketed(x, window_us, BUCKET_US)
     if emit == "watermark":
         fn, st = _trailing_watermark_fn(window_us, delay_us), _STATE_WM
     else:
         fn, st = _trailing_state_fn(window_us, window_us + delay_us), _STATE
-    out = x.groupBy("cashier_id").applyInPandasWithState(fn, _OUT, st, "append", GroupStateTimeout.EventTimeTimeout)
+    out = x.groupBy("cashier_id", "bucket").applyInPandasWithState(fn, _OUT, st, "append", GroupStateTimeout.EventTimeTimeout)
     return out.select(
         F.concat_ws("#", "store_id", "cashier_id", F.col("event_id").cast("string")).alias("row_key"),
         "store_id", "cashier_id", "event_id",
@@ -217,25 +232,40 @@ def stream_sliding(alerts: DataFrame, length: str = "1 hour", slide: str = "5 mi
 
 
 # ------------------------------------------------------------- T-05
-def upsert_latest(path: str, key: str = "row_key_prefix", ts: str = "event_ts"):
+def upsert_latest(path: str, key: str = "row_key_prefix", ts: str = "event_ts", fold_every: int = 10):
     """T-05: a ``foreachBatch`` function keeping the latest row per key.
 
-    Each batch writes its own latest-per-key rows to ``{path}/batch={id}``
-    (overwrite, so a replay is idempotent); ``read_latest`` resolves the
-    newest row per key across batches. Compaction can fold batches later
-    with the same rule."""
+    Each batch writes its own latest-per-key rows to ``{path}/full=0/batch={id}``
+    (overwrite, so a replay is idempotent). Every ``fold_every``-th batch also folds all
+    earlier state into its own folder, ``{path}/full=1/batch={id}``, so a read needs the
+    newest such folder and the few batches after it, however long the stream has run.
+    The newest row is the one with the latest ``ts``, then the largest row key, then the latest batch."""
     def run(df: DataFrame, batch_id: int) -> None:
-        w = Window.partitionBy(key).orderBy(F.col(ts).desc(), F.col("row_key").desc())
-        latest = df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
-        latest.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        new = _newest(df.withColumn("batch", F.lit(batch_id).cast("long")), key, ts)
+        full = (batch_id + 1) % fold_every == 0
+        if full and batch_id:
+            new = _newest(_current(df.sparkSession, path, batch_id).unionByName(new), key, ts)
+        new.drop("batch").write.mode("overwrite").parquet(f"{path}/full={int(full)}/batch={batch_id}")
     return run
 
 
+def _newest(df: DataFrame, key: str, ts: str) -> DataFrame:
+    w = Window.partitionBy(key).orderBy(F.col(ts).desc(), F.col("row_key").desc(), F.col("batch").desc())
+    return df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
+
+
+def _current(spark: SparkSession, path: str, before: int | None = None) -> DataFrame:
+    """Rows of the newest folded batch and of the batches after it (of those before ``before``)."""
+    df = spark.read.parquet(path).withColumn("batch", F.col("batch").cast("long"))
+    if before is not None:
+        df = df.where(F.col("batch") < before)
+    base = df.where("full = 1").agg(F.max("batch")).first()[0]          # partition columns alone
+    return (df if base is None else df.where(F.col("batch") >= base)).drop("full")
+
+
 def read_latest(spark: SparkSession, path: str, key: str = "row_key_prefix", ts: str = "event_ts") -> DataFrame:
-    """Newest row per key across all written batches (later batch wins ties)."""
-    df = spark.read.parquet(path)
-    w = Window.partitionBy(key).orderBy(F.col(ts).desc(), F.col("batch").desc())
-    return df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn", "batch")
+    """Newest row per key across all written batches, by the rule of ``upsert_latest``."""
+    return _newest(_current(spark, path), key, ts).drop("batch")
 
 
 # ------------------------------------------------------------- T-06
@@ -248,8 +278,7 @@ def route_logs(routes: dict[str, tuple[Column, str]], ts_col: str = "timestamp")
         try:
             for name, (cond, path) in routes.items():
                 part = df.where(F.coalesce(cond, F.lit(False)))
-                write_logs(part.withColumn("batch", F.lit(batch_id)), f"{path}/batch={batch_id}",
-                           ts_col, mode="overwrite")
+                write_logs(part, path, ts_col, batch_id=batch_id)
         finally:
             df.unpersist()
     return run
