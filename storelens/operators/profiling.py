@@ -155,7 +155,11 @@ def exact_distinct(df: DataFrame, columns: list[str]) -> DataFrame:
     idx = {f.name: i for i, f in enumerate(df.schema.fields)}
     if not columns:
         return df.sparkSession.range(0).selectExpr("CAST(id AS INT) AS _ci", "id AS _nd")
-    pairs = ", ".join(f"named_struct('_ci', {idx[c]}, 'v', CAST({_ident(c)} AS STRING))" for c in columns)
+    # long values (texts, pages) travel as 128-bit digests
+    def value(c):
+        v = f"CAST({_ident(c)} AS STRING)"
+        return f"CASE WHEN length({v}) > 64 THEN concat('md5:', md5({v})) ELSE {v} END"
+    pairs = ", ".join(f"named_struct('_ci', {idx[c]}, 'v', {value(c)})" for c in columns)
     x = df.selectExpr(f"explode(array({pairs})) AS p").select("p.*").where("v IS NOT NULL")
     return x.distinct().groupBy("_ci").agg(F.count(F.lit(1)).alias("_nd"))
 

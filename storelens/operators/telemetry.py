@@ -70,9 +70,15 @@ def api_call_id(uri) -> F.Column:
 
 
 def normalise_path(c) -> F.Column:
-    """Strip the ``file:`` scheme a Spark file scan reports, so that file
-    names compare with the paths written in the log records."""
-    return F.regexp_replace(c, r"^file:(//)?", "")
+    """One form of a file uri, so that the uris a scan reports compare with
+    those written in log records: the ``file:`` scheme is stripped and the object-store
+    connectors' ``s3a`` and ``s3n`` become ``s3``; ``gs://`` and others stay."""
+    return F.regexp_replace(F.regexp_replace(c, r"^file:(//)?", ""), r"^s3[an]://", "s3://")
+
+
+def decode_path(c) -> F.Column:
+    """Undo the percent encoding of ``_metadata.file_path`` (a plus sign is itself there)."""
+    return F.coalesce(F.try_url_decode(F.replace(c, F.lit("+"), F.lit("%2B"))), c)
 
 
 def join_messages(refs: DataFrame, messages: DataFrame) -> DataFrame:
@@ -80,7 +86,7 @@ def join_messages(refs: DataFrame, messages: DataFrame) -> DataFrame:
     sides grow with traffic, so this is a shuffle join on the path."""
     m = messages.select(F.col("file_name").alias("_file"), "role", "parts",
                         F.col("index").alias("message_idx"))
-    j = refs.join(m, refs.messages_ref_uri == m._file)
+    j = refs.join(m, normalise_path(refs.messages_ref_uri) == normalise_path(m._file))
     return j.drop("_file").withColumn("api_call_id", api_call_id(F.col("messages_ref_uri")))
 
 

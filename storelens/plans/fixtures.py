@@ -320,11 +320,21 @@ def inference_logs(t: Tables) -> DataFrame:
 
 
 def completions(t: Tables) -> DataFrame:
-    """Message files as rows: (file_name, role, index, parts); each line of
-    a message is one text part whose binary payload is its UTF-8 bytes."""
-    null_s = F.lit(None).cast("string")
-    parts = F.transform(F.split(F.col("content"), "\n"), lambda x: F.struct(
-        F.lit("text").alias("type"), x.alias("content"), null_s.alias("mime_type"), null_s.alias("uri"),
-        F.encode(x, "UTF-8").alias("data"), null_s.alias("id"), null_s.alias("name"),
-        null_s.alias("arguments"), null_s.alias("response")))
+    """Message files as rows: (file_name, role, index, parts). Each line of a
+    message is one part; by its place it is text (with its UTF-8 bytes as payload), a
+    tool call with arguments, a tool's response, or a media uri."""
+    def part(line, i):
+        kind = (F.col("idx") + i) % 5
+        text = ~kind.isin(1, 2, 3)
+        chars = F.length(line).cast("string")
+        return F.struct(
+            F.when(kind == 1, "tool_call").when(kind == 2, "tool_call_response").when(kind == 3, "uri").otherwise("text").alias("type"),
+            F.when(text, line).alias("content"), F.when(kind == 3, F.lit("image/png")).alias("mime_type"),
+            F.when(kind == 3, F.concat(F.lit("gs://media/"), F.md5(line))).alias("uri"),
+            F.when(text, F.encode(line, "UTF-8")).alias("data"),
+            F.when(kind.isin(1, 2), F.concat(F.lit("call-"), i.cast("string"))).alias("id"),
+            F.when(kind.isin(1, 2), F.lit("lookup_store")).alias("name"),
+            F.when(kind == 1, F.concat(F.lit('{"chars":'), chars, F.lit("}"))).alias("arguments"),
+            F.when(kind == 2, F.concat(F.lit('{"found":'), chars, F.lit("}"))).alias("response"))
+    parts = F.transform(F.split(F.col("content"), "\n"), part)
     return messages(t).select("file_name", "role", F.col("idx").alias("index"), parts.alias("parts"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from storelens.functions.metrics import round_half_up
 from storelens.operators import inventory as inv_ops
 from storelens.plans import fixtures as fx
 from storelens.plans.oracle import r4, with_views
@@ -38,13 +39,24 @@ def inventory_risk_bands(t):
     return inv_ops.risk_band_counts(fx.inventory(t))
 
 
+@query("shelf_ratios", "P-06", with_views(f"""
+SELECT store_id, item_id, {r4('CAST(shelf_qty AS DOUBLE) / CAST(shelf_qty + backroom_qty AS DOUBLE) * 100.0::DOUBLE')} AS shelf_stock_ratio
+FROM inventory WHERE shelf_qty + backroom_qty <> 0
+UNION ALL
+SELECT store_id, item_id, NULL FROM inventory WHERE shelf_qty + backroom_qty = 0""", "inventory"))
+def shelf_ratios(t):
+    """Share of the on-hand stock that stands on the shelf, per position."""
+    led = inv_ops.with_ledger_metrics(fx.inventory(t))
+    return led.select("store_id", "item_id", round_half_up("shelf_stock_ratio", 4).alias("shelf_stock_ratio"))
+
+
 # ---------------------------------------------------------------- alerts
 from pyspark.sql import functions as F  # noqa: E402
 
 from storelens.operators import offenders as off  # noqa: E402
 from storelens.operators import revenue as rev  # noqa: E402
 from storelens.operators import warranty as war  # noqa: E402
-from storelens.operators.access import prefix_heads  # noqa: E402
+from storelens.operators.access import apply_row_policy, prefix_heads, read_prefix  # noqa: E402
 from storelens.operators.filters import bound_sql  # noqa: E402
 from storelens.plans.oracle import VIEWS, exact_ratio  # noqa: E402
 
@@ -145,6 +157,18 @@ def store_prefix_heads(t):
                         lambda k: F.regexp_extract(k, r"^([^#]*#[^#]*)", 1), 5)
 
 
+KEY_PREFIX = "STORE_001#CASH_10"
+
+
+@query("key_prefix_read", "S-06", with_views(f"""
+SELECT row_key, cashier_id, event_ts, txn_count FROM ({TRAILING_SQL}) WHERE starts_with(row_key, '{KEY_PREFIX}') ORDER BY row_key LIMIT 5""",
+                                           extra={"alert_events": ALERT_EVENTS}))
+def key_prefix_read(t):
+    """The first five rows, in key order, whose binary key starts with a literal prefix."""
+    m = off.rt_metrics(fx.alert_events(t)).select(F.encode("row_key", "UTF-8").alias("row_key"), "cashier_id", "event_ts", "txn_count")
+    return read_prefix(m, KEY_PREFIX, 5)
+
+
 @query("audit_status_counts", "T-04 A-04", with_views(f"""
 SELECT store_id, CASE WHEN override_rate_pct >= 50.0 THEN 'flagged' WHEN override_rate_pct >= 25.0 THEN 'review'
   ELSE 'clear' END AS audit_status, count(*) AS snapshots
@@ -244,3 +268,15 @@ def entitled_store_revenue(t):
         F.count(F.lit(1)).alias("entitled_stores"),
         F.sum("net_revenue_usd").cast("decimal(22,2)").alias("net_revenue_usd"),
         F.sum("transactions").alias("transactions")))
+
+
+ROW_POLICY_USER = "CASH_1007"
+
+
+@query("row_policy_ledger", "J-11", with_views(f"""
+SELECT tx_no, store_id, total FROM pos_tx
+WHERE store_id IN (SELECT store_id FROM silver WHERE cashier_id = '{ROW_POLICY_USER}')""", "silver", "pos_tx"))
+def row_policy_ledger(t):
+    """The ledger rows one user may see under per-store row isolation."""
+    grants = fx.silver(t).select(F.col("cashier_id").alias("user"), "store_id")
+    return apply_row_policy(fx.pos_tx(t), grants, ROW_POLICY_USER).select("tx_no", "store_id", "total")

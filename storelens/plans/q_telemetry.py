@@ -23,13 +23,17 @@ unpivoted AS (
   UNION ALL
   SELECT * EXCLUDE (input_ref, output_ref), output_ref, 'output' FROM refs WHERE output_ref IS NOT NULL),
 parts AS (
-  SELECT file_name, role, idx AS message_idx, u.i - 1 AS part_idx, u.line
+  SELECT file_name, role, idx AS message_idx, u.i - 1 AS part_idx, u.line, (idx + u.i - 1) % 5 AS kind
   FROM messages, unnest(string_split(content, chr(10))) WITH ORDINALITY AS u(line, i)),
 flat AS (
   SELECT r.*, split_part(nullif(regexp_extract(r.messages_ref_uri, '/([^/]+)\\.jsonl', 1), ''), '_', 1) AS api_call_id,
-    p.role, p.message_idx, p.part_idx, 'text' AS part_type, p.line AS content, CAST(NULL AS VARCHAR) AS uri,
-    CAST(NULL AS VARCHAR) AS mime_type, md5(p.line) AS data_md5_hex, CAST(NULL AS VARCHAR) AS tool_name,
-    CAST(NULL AS VARCHAR) AS tool_args, CAST(NULL AS VARCHAR) AS tool_response
+    p.role, p.message_idx, p.part_idx,
+    CASE kind WHEN 1 THEN 'tool_call' WHEN 2 THEN 'tool_call_response' WHEN 3 THEN 'uri' ELSE 'text' END AS part_type,
+    CASE WHEN kind NOT IN (1, 2, 3) THEN p.line END AS content, CASE WHEN kind = 3 THEN 'gs://media/' || md5(p.line) END AS uri,
+    CASE WHEN kind = 3 THEN 'image/png' END AS mime_type, CASE WHEN kind NOT IN (1, 2, 3) THEN md5(p.line) END AS data_md5_hex,
+    CASE WHEN kind IN (1, 2) THEN 'lookup_store' END AS tool_name,
+    CASE WHEN kind = 1 THEN '{"chars":' || length(p.line) || '}' END AS tool_args,
+    CASE WHEN kind = 2 THEN '{"found":' || length(p.line) || '}' END AS tool_response
   FROM unpivoted r JOIN parts p ON r.messages_ref_uri = p.file_name),
 w1 AS (
   SELECT *, row_number() OVER (PARTITION BY conversation_id, trace, span_id, message_type, role, message_idx, part_idx
@@ -84,20 +88,23 @@ def usage_by_agent_user(t):
 @query("completions_mart_from_files", "S-03 J-05 M-04 S-10",
        with_views(MART_SQL, "log_refs", "messages", extra={"logs": LOGS_SQL}))
 def completions_mart_from_files(t):
-    """The mart with messages read back from NDJSON message files (one
-    folder per message file, plus a malformed line that the reader sets
-    aside under its bad-record limit)."""
+    """The mart with messages read back from NDJSON files whose lines name their message
+    file, beside a malformed line that the reader sets aside under its bad-record limit."""
     import uuid
 
-    from pyspark.sql import functions as F
-
     from storelens.session import scratch_path
-    from storelens.sources.messages import read_messages
+    from storelens.sources.messages import read_messages, write_messages
 
     base = scratch_path(t.spark, f"messages/{uuid.uuid4().hex[:12]}")
-    comp = fx.completions(t).withColumn("file_key", F.regexp_extract("file_name", r"([^/]+)$", 1))
-    comp.drop("file_name").repartition("file_key").write.partitionBy("file_key").json(base)
-    t.spark.createDataFrame([("{not json",)], "value string").write.text(f"{base}/file_key=broken.jsonl")
-    msgs = read_messages(t.spark, base, max_bad=1000)
-    msgs = msgs.withColumn("file_name", F.concat(F.lit("/logs/completions/"), F.col("file_key")))
+    write_messages(fx.completions(t), f"{base}/lines")
+    t.spark.createDataFrame([("{not json",)], "value string").write.text(f"{base}/broken")
+    msgs = read_messages(t.spark, f"{base}/*", max_bad=1000, file_column="file_name")
     return tel.completions_mart(fx.inference_logs(t), msgs)
+
+
+@query("completions_view_ordered", "S-10 L-03",
+       with_views(MART_SQL, "log_refs", "messages", extra={"logs": LOGS_SQL}))
+def completions_view_ordered(t):
+    """The mart through its registered view, in presentation order."""
+    view = tel.register_completions_view(t.spark, fx.inference_logs(t), fx.completions(t))
+    return tel.order_mart(view)

@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from contextlib import contextmanager
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from storelens.operators.telemetry import MESSAGE_SCHEMA, normalise_path
+from storelens.operators.telemetry import MESSAGE_SCHEMA, decode_path, normalise_path
 
 CORRUPT = "_corrupt_record"
 
@@ -17,59 +15,38 @@ class TooManyBadRecords(RuntimeError):
     pass
 
 
-_LISTING = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
-
-
-@contextmanager
-def _listing_tasks(spark: SparkSession):
-    """Message files sit one per folder, so a message bucket has as many
-    folders as files. Spark lists folders in a distributed job of up to
-    10,000 tasks by default, one folder per task here, which makes the
-    listing task-bound. For this read the job gets two tasks per core,
-    each listing a share of the folders; the setting is restored after."""
-    conf = spark.conf
-    old = conf.get(_LISTING, None)
-    conf.set(_LISTING, str(max(8, 2 * spark.sparkContext.defaultParallelism)))
-    try:
-        yield
-    finally:
-        if old is None:
-            conf.unset(_LISTING)
-        else:
-            conf.set(_LISTING, old)
-
-
-def read_messages(spark: SparkSession, path: str, max_bad: int = 1000,
-                  schema: T.StructType = MESSAGE_SCHEMA, check: bool = True) -> DataFrame:
+def read_messages(spark: SparkSession, path: str, max_bad: int = 1000, schema: T.StructType = MESSAGE_SCHEMA,
+                  check: bool = True, file_column: str | None = None) -> DataFrame:
     """Read message files: declared schema (unknown fields ignored),
     malformed lines kept aside in ``_corrupt_record`` (PERMISSIVE), the
-    source file exposed as ``file_name`` (scheme stripped).
+    message file's uri exposed as ``file_name`` (see ``normalise_path``).
+
+    ``file_column`` names a field of the lines that holds the uri of the
+    message file they belong to; many message files then lie together in few large
+    files, which spares a listing of one folder or object per model call. Without it the uri
+    is that of the file scanned.
 
-    With ``check`` the bad lines are counted in one distributed count
-    (only the count reaches the driver) and the read fails when there
+    With ``check`` the bad lines are counted in one distributed aggregate (only the count
+    reaches the driver, nothing is kept) and the read fails when there
     are more than ``max_bad``, as an external table with that limit
     would; good rows are returned either way.
     """
-    s = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())])
-    with _listing_tasks(spark):
-        # the file index is built (listed) here, once, and kept by the plan
-        raw = (spark.read.schema(s).option("mode", "PERMISSIVE")
-               .option("columnNameOfCorruptRecord", CORRUPT).json(path)
-               .withColumn("file_name", normalise_path(F.col("_metadata.file_path"))))
+    extra = [T.StructField(file_column, T.StringType())] if file_column else []
+    s = T.StructType(schema.fields + extra + [T.StructField(CORRUPT, T.StringType())])
+    raw = spark.read.schema(s).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).json(path)
+    uri = F.col(file_column) if file_column else decode_path(F.col("_metadata.file_path"))
+    raw = raw.withColumn("file_name", normalise_path(uri))
     if check:
-        # Spark refuses a query over an unpersisted JSON scan that references
-        # only the corrupt-record column. Persisting (memory, spilling to
-        # disk) also lets the check and the caller's query share one parse.
-        from pyspark import StorageLevel
-        raw = raw.persist(StorageLevel.MEMORY_AND_DISK)
-        bad = raw.where(F.col(CORRUPT).isNotNull()).count()
+        # a data column is named beside the corrupt record, as Spark refuses a scan of that alone
+        bad = raw.agg(F.count_if(F.col(CORRUPT).isNotNull()).alias("bad"), F.count("role")).first()["bad"]
         if bad > max_bad:
             raise TooManyBadRecords(f"{bad} malformed records in {path} (limit {max_bad})")
-    return raw.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
+    # a bad line's data columns are null; naming one lets a caller count without reading others
+    good = F.when(F.col(CORRUPT).isNull(), True).otherwise(F.length("role") < 0)
+    return raw.where(good).select("file_name", *schema.fieldNames())
 
 
 def write_messages(df: DataFrame, path: str) -> None:
-    """Write (file_key, role, index, parts) rows as NDJSON, one folder per
-    message file (``file_key=...``), the layout ``read_messages`` reads."""
-    (df.repartition("file_key").write.mode("overwrite").partitionBy("file_key")
-       .json(path))
+    """Write (file_name, role, index, parts) rows as NDJSON, one file per task; each line names
+    its message file, as ``read_messages(..., file_column="file_name")`` expects."""
+    df.write.mode("overwrite").json(path)
