@@ -7,21 +7,24 @@ from tests.oracle import compare
 
 import __spark_entry__ as E
 
-_Q = E.queries()
-_SQL = E.oracle_sql()
+from storelens.plans.registry import registry
+
+# the training-data queries have tests of their own
+_Q = {n: E.queries()[n] for n in registry()}
+_SQL = {n: s for n, s in E.oracle_sql().items() if n in _Q}
 
 
 @pytest.mark.parametrize("name", sorted(_SQL))
 def test_matches_oracle(spark, duck01, name):
     df = _Q[name](spark, SF01)
     n = compare(df, duck01, _SQL[name])
-    assert n >= 0
+    assert n > 0
 
 
 @pytest.mark.parametrize("name", sorted(set(_Q) - set(_SQL)))
 def test_rows_only(spark, name):
     df = _Q[name](spark, SF01)
-    assert df.count() >= 0
+    assert df.count() > 0
     assert df.columns
 
 
