@@ -31,7 +31,7 @@ def stockout_risk(inv: DataFrame, max_hours: float = 20.0, limit: int | None = 2
         "total_on_hand_inventory",
         F.col("intraday_gross_revenue_usd").cast("decimal(18,2)").alias("intraday_gross_revenue_usd"),
         round_half_up("est_cover_hours_remaining", 4).alias("est_cover_hours_remaining"),
-        "risk_band")
+        "risk_band", *[c for c in ("reconciliation_status",) if c in inv.columns])
     ordered = out.orderBy(F.col("intraday_gross_revenue_usd").desc_nulls_last(),
                           F.col("est_cover_hours_remaining").asc_nulls_last(),
                           "store_id", "item_id")

@@ -21,13 +21,14 @@ def scan_bytes(df: DataFrame) -> int:
     leaves = df._jdf.queryExecution().sparkPlan().collectLeaves().iterator()
     while leaves.hasNext():
         node = leaves.next()
-        if not node.nodeName().startswith("Scan "):
+        if not node.nodeName().startswith(("Scan ", "BatchScan")):
             continue
         try:
             files = int(node.selectedPartitions().totalFileSize())
             read_w = int(node.requiredSchema().defaultSize())
             full_w = int(node.relation().dataSchema().defaultSize())
-        except Exception:  # not a file scan (e.g. a data source v2 scan)
+        except Exception:  # a scan that does not tell its files: the plan's own estimate counts for it
+            total += plan_size_bytes(df)
             continue
         seen = True
         total += files if full_w <= 0 else (files * min(read_w, full_w)) // full_w

@@ -55,6 +55,8 @@ def inventory(t: Tables) -> DataFrame:
         ((F.col("l_partkey") * 7 + F.col("l_suppkey") * 3) % 60).cast("long").alias("backroom_qty"),
         "total_units_sold_intraday",
         "intraday_gross_revenue_usd",
+        F.when((F.col("l_partkey") + F.col("l_suppkey")) % 13 == 0, F.lit("DISCREPANCY")).otherwise(F.lit("RECONCILED"))
+         .alias("reconciliation_status"),
     )
 
 
@@ -125,6 +127,8 @@ def warranty(t: Tables) -> DataFrame:
         F.col("p_size").alias("warranty_duration_months"),
         F.col("p_type").alias("service_level"),
         F.col("p_brand").alias("coverage_scope_details"),
+        F.concat(F.lit("Excludes misuse of "), F.col("p_type")).alias("exclusions_and_limitations"),
+        F.concat(F.lit("Repair within "), (k % 9 + 1).cast("string"), F.lit(" days")).alias("official_retailer_guarantee_and_sla"),
         _tagged("https://support.example/", k).alias("support_url"),
     )
 
@@ -134,11 +138,15 @@ def history_lines(t: Tables) -> DataFrame:
     o = t.orders.select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
     li = t.lineitem.select("l_orderkey", "l_partkey", "l_linenumber")
     p = t.part.select("p_partkey", "p_name", "p_retailprice")
-    j = o.join(li, F.col("o_orderkey") == F.col("l_orderkey")).join(p, F.col("l_partkey") == F.col("p_partkey"))
+    c = t.customer.select("c_custkey", "c_nationkey", "c_mktsegment")
+    j = (o.join(c, F.col("o_custkey") == F.col("c_custkey")).join(li, F.col("o_orderkey") == F.col("l_orderkey"))
+         .join(p, F.col("l_partkey") == F.col("p_partkey")))
     return j.select(
         _tagged("TXN-", F.col("o_orderkey")).alias("transaction_id"),
         F.col("o_orderdate").cast("date").alias("business_date"),
+        _padded("STORE_", F.col("c_nationkey"), 3).alias("store_id"),
         _tagged("CUST_", F.col("o_custkey")).alias("customer_id"),
+        F.col("c_mktsegment").alias("customer_loyalty_tier"),
         F.col("o_orderpriority").alias("payment_method"),
         F.col("l_linenumber").alias("line_no"),
         _tagged("prod_", F.col("l_partkey")).alias("item_id"),
@@ -154,7 +162,7 @@ def history(t: Tables) -> DataFrame:
     customer or store, so an array is as long as one basket.
     """
     return (history_lines(t)
-            .groupBy("transaction_id", "business_date", "customer_id", "payment_method")
+            .groupBy("transaction_id", "business_date", "store_id", "customer_id", "customer_loyalty_tier", "payment_method")
             .agg(F.array_sort(F.collect_list(F.struct("line_no", "item_id", "item_name", "unit_price")))
                  .alias("items")))
 

@@ -20,7 +20,8 @@ SELECT concat('STORE_', lpad(cast(l_suppkey AS VARCHAR(20)), 3, '0')) AS store_i
   CAST(max(p_size) AS BIGINT) AS shelf_qty,
   CAST((l_partkey * 7 + l_suppkey * 3) % 60 AS BIGINT) AS backroom_qty,
   CAST(sum(CASE WHEN l_returnflag = 'R' THEN 0 ELSE l_quantity END) AS BIGINT) AS total_units_sold_intraday,
-  sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS intraday_gross_revenue_usd
+  sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS intraday_gross_revenue_usd,
+  CASE WHEN (l_partkey + l_suppkey) % 13 = 0 THEN 'DISCREPANCY' ELSE 'RECONCILED' END AS reconciliation_status
 FROM lineitem JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey
 GROUP BY l_suppkey, l_partkey, s_name, n_name""",
     "pos_tx": """
@@ -48,13 +49,15 @@ FROM pos_tx""",
     "asked": f"SELECT conv_id, turn, role, concat(text, {planted('(conv_id + turn)', ASKED, 8)}) AS text FROM conversations",
     "warranty": """
 SELECT concat('prod_', cast(p_partkey AS VARCHAR(20))) AS product_id, p_size AS warranty_duration_months, p_type AS service_level,
-  p_brand AS coverage_scope_details, concat('https://support.example/', cast(p_partkey AS VARCHAR(20))) AS support_url
+  p_brand AS coverage_scope_details, concat('Excludes misuse of ', p_type) AS exclusions_and_limitations,
+  concat('Repair within ', cast(p_partkey % 9 + 1 AS VARCHAR(20)), ' days') AS official_retailer_guarantee_and_sla, concat('https://support.example/', cast(p_partkey AS VARCHAR(20))) AS support_url
 FROM part WHERE p_partkey % 4 <> 0""",
     "history_lines": """
 SELECT concat('TXN-', cast(o_orderkey AS VARCHAR(20))) AS transaction_id, CAST(o_orderdate AS DATE) AS business_date,
-  concat('CUST_', cast(o_custkey AS VARCHAR(20))) AS customer_id, o_orderpriority AS payment_method, l_linenumber AS line_no,
+  concat('STORE_', lpad(cast(c_nationkey AS VARCHAR(20)), 3, '0')) AS store_id, concat('CUST_', cast(o_custkey AS VARCHAR(20))) AS customer_id,
+  c_mktsegment AS customer_loyalty_tier, o_orderpriority AS payment_method, l_linenumber AS line_no,
   concat('prod_', cast(l_partkey AS VARCHAR(20))) AS item_id, p_name AS item_name, CAST(p_retailprice AS DECIMAL(18,2)) AS unit_price
-FROM orders JOIN lineitem ON o_orderkey = l_orderkey JOIN part ON l_partkey = p_partkey""",
+FROM orders JOIN customer ON o_custkey = c_custkey JOIN lineitem ON o_orderkey = l_orderkey JOIN part ON l_partkey = p_partkey""",
     "alerts": """
 SELECT event_id AS alert_id, ts AS alert_ts, concat('STORE_', lpad(cast(user_id % 10 AS VARCHAR(20)), 3, '0')) AS store_id,
   concat('CASH_', cast(1000 + user_id AS VARCHAR(20))) AS cashier_id,

@@ -188,11 +188,13 @@ CATALOG_COLUMNS = {
                ("alert_type", "string", True), ("risk_score", "double", False)),
     "inventory": (("store_id", "string", True), ("store_name", "string", True), ("city", "string", True), ("item_id", "string", True),
                   ("shelf_qty", "bigint", True), ("backroom_qty", "bigint", True), ("total_units_sold_intraday", "bigint", True),
-                  ("intraday_gross_revenue_usd", "decimal(28,2)", True)),
-    "history": (("transaction_id", "string", True), ("business_date", "date", True), ("customer_id", "string", True), ("payment_method", "string", True),
+                  ("intraday_gross_revenue_usd", "decimal(28,2)", True), ("reconciliation_status", "string", False)),
+    "history": (("transaction_id", "string", True), ("business_date", "date", True), ("store_id", "string", True), ("customer_id", "string", True),
+                ("customer_loyalty_tier", "string", True), ("payment_method", "string", True),
                 ("items", "array<struct<line_no:int,item_id:string,item_name:string,unit_price:decimal(18,2)>>", False)),
     "warranty": (("product_id", "string", True), ("warranty_duration_months", "int", True), ("service_level", "string", True),
-                 ("coverage_scope_details", "string", True), ("support_url", "string", True)),
+                 ("coverage_scope_details", "string", True), ("exclusions_and_limitations", "string", True),
+                 ("official_retailer_guarantee_and_sla", "string", True), ("support_url", "string", True)),
     "silver": (("transaction_id", "string", True), ("event_timestamp", "timestamp_ntz", True), ("store_id", "string", True),
                ("pos_terminal_id", "string", True), ("cashier_id", "string", True), ("payment_method", "string", True),
                ("total_amount_usd", "decimal(18,2)", True)),

@@ -21,7 +21,7 @@ SELECT store_id, store_name, city, item_id, shelf_qty, backroom_qty,
   shelf_qty + backroom_qty AS total_on_hand_inventory,
   CAST(intraday_gross_revenue_usd AS DECIMAL(18,2)) AS intraday_gross_revenue_usd,
   {r4(COVER_SAFE)} AS est_cover_hours_remaining,
-  {BAND} AS risk_band
+  {BAND} AS risk_band, reconciliation_status
 FROM inventory
 WHERE {COVER_SAFE} < 20.0
 ORDER BY intraday_gross_revenue_usd DESC NULLS LAST, est_cover_hours_remaining ASC NULLS LAST, store_id, item_id
@@ -229,9 +229,9 @@ def store_revenue(t):
 
 
 WARRANTY_SQL = f"""
-SELECT h.transaction_id, h.business_date, h.customer_id, h.payment_method, h.line_no, h.item_id AS product_id,
+SELECT h.transaction_id, h.business_date, h.customer_loyalty_tier, h.store_id, h.customer_id, h.payment_method, h.line_no, h.item_id AS product_id,
   h.item_name AS product_name, h.unit_price, w.warranty_duration_months, w.service_level, w.coverage_scope_details,
-  w.support_url,
+  w.exclusions_and_limitations, w.official_retailer_guarantee_and_sla, w.support_url,
   (year(DATE '{fx.PURCHASE_AS_OF}') - year(h.business_date)) * 12 + month(DATE '{fx.PURCHASE_AS_OF}') - month(h.business_date) AS months_since_purchase,
   (year(DATE '{fx.PURCHASE_AS_OF}') - year(h.business_date)) * 12 + month(DATE '{fx.PURCHASE_AS_OF}') - month(h.business_date)
     <= w.warranty_duration_months AS in_warranty
