@@ -1,4 +1,4 @@
-"""Vector helpers: cosine as a Column, the default hashed-n-gram embedder (R-02)."""
+"""Vector helpers: the default hashed-n-gram embedder and one any SQL engine can repeat (R-02)."""
 
 from __future__ import annotations
 
@@ -9,18 +9,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def cosine(a, b) -> Column:
-    """Cosine similarity of two numeric arrays, summed in double with
-    built-in higher-order functions (stays in codegen, no UDF)."""
-    a = F.col(a) if isinstance(a, str) else a
-    b = F.col(b) if isinstance(b, str) else b
-    ad, bd = a.cast("array<double>"), b.cast("array<double>")
-    dot = F.aggregate(F.zip_with(ad, bd, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
-    na = F.aggregate(ad, F.lit(0.0), lambda s, x: s + x * x)
-    nb = F.aggregate(bd, F.lit(0.0), lambda s, x: s + x * x)
-    return dot / (F.sqrt(na) * F.sqrt(nb))
-
-
 def hashed_embedder(dim: int = 256, text_col: str = "embed_text", out_col: str = "embedding") -> Pipeline:
     """Default deterministic vectoriser: lower-case word unigrams and
     bigrams, hashed into ``dim`` buckets, L2-normalised. All stages are
@@ -62,3 +50,28 @@ def trigram_embedder(dim: int = 2048, text_col: str = "embed_text") -> Pipeline:
         HashingTF(inputCol="_terms", outputCol="_tf", numFeatures=dim),
         Normalizer(inputCol="_tf", outputCol="_unit", p=2.0),
     ])
+
+
+def md5_embed(df: DataFrame, text: Column | str, out_col: str = "embedding", dim: int = 64,
+              grams: int | None = None) -> DataFrame:
+    """R-02 by SQL functions alone: ``out_col`` = counts of the text's tokens in ``dim``
+    places, scaled to length 1 (all zero for a text without tokens). A token's place is the
+    first 32 bits of its MD5 modulo ``dim``, so any engine gets the same vector. Tokens are
+    lower-case alphanumeric words, or with ``grams`` the character n-grams of the text
+    between blanks."""
+    t = F.lower(F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit("")))
+    if grams is None:
+        tokens = F.filter(F.split(t, "[^a-z0-9]+"), lambda w: w != "")
+    else:
+        padded = F.concat(F.lit(" "), t, F.lit(" "))
+        tokens = F.transform(F.sequence(F.lit(1), F.greatest(F.length(padded) - (grams - 1), F.lit(1))),
+                             lambda i: F.substring(padded, i, F.lit(grams)))
+    place = lambda w: F.pmod(F.conv(F.substring(F.md5(w), 1, 8), 16, 10).cast("long"), F.lit(dim))
+    x = df.withColumn("_places", F.transform(tokens, place))
+    counts = F.transform(F.sequence(F.lit(0), F.lit(dim - 1)),
+                         lambda i: F.size(F.filter(F.col("_places"), lambda p: p == i)).cast("double"))
+    x = x.withColumn("_counts", counts)
+    norm = F.sqrt(F.aggregate("_counts", F.lit(0.0), lambda s, c: s + c * c))
+    x = x.withColumn("_norm", norm)
+    return (x.withColumn(out_col, F.transform("_counts", lambda c: F.when(F.col("_norm") > 0, c / F.col("_norm")).otherwise(F.lit(0.0))))
+             .drop("_places", "_counts", "_norm"))

@@ -36,11 +36,12 @@ def manual_chunks(documents: DataFrame, **kw) -> DataFrame:
     return chunk(d, **kw)
 
 
-def embed_chunks(chunks: DataFrame, vectorizer=None, dim: int = 256) -> DataFrame:
-    """R-02 on chunks: the embedded text is ``[title]\\n content``."""
+def embed_chunks(chunks: DataFrame, vectorizer=None, dim: int = 256, embedder=None) -> DataFrame:
+    """R-02 on chunks: the embedded text is ``[title]\\n content``. ``embedder`` is a function
+    of (frame, text column) that adds ``embedding``; without it ``vectorizer`` is used."""
     txt = F.concat(F.lit("["), F.coalesce(F.col("document_title"), F.lit("")), F.lit("]\n"),
                    F.col("chunk_content"))
-    return embed(chunks, txt, vectorizer, dim=dim)
+    return embedder(chunks, txt) if embedder else embed(chunks, txt, vectorizer, dim=dim)
 
 
 def attach_embeddings(chunks: DataFrame, emb: DataFrame) -> DataFrame:

@@ -181,6 +181,22 @@ def sample_or_full(df: DataFrame, pct: float, seed: int = 42) -> DataFrame:
     return df.sample(withReplacement=False, fraction=pct / 100.0, seed=seed)
 
 
+def hash_sample(df: DataFrame, pct: int, *keys: str) -> DataFrame:
+    """G-03: a sample of about ``pct`` percent that any run and engine repeats: rows whose key's MD5
+    (first 32 bits, modulo 100) is below ``pct``."""
+    key = F.concat_ws("|", *[F.col(k).cast("string") for k in keys])
+    return df.where(F.pmod(F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("long"), F.lit(100)) < pct)
+
+
+def approximation_errors(df: DataFrame, within: float = 0.1) -> DataFrame:
+    """G-01: the exact distinct count of each column, and whether the sketch's count is ``within`` that
+    share of it (one row either way allowed)."""
+    exact = profile(df, exact=True).select("column_name", F.col("distinct_count"))
+    sketch = profile(df).select("column_name", F.col("distinct_count").alias("_d"))
+    off = F.abs(F.col("_d") - F.col("distinct_count")) <= F.col("distinct_count") * within + 1
+    return exact.join(sketch, "column_name").select("column_name", "distinct_count", F.coalesce(off, F.col("_d").isNull()).alias("sketch_ok"))
+
+
 def top_values(df: DataFrame, k: int = 5, columns=None) -> DataFrame:
     """Most frequent values per column (ties by value). One shuffle for all
     columns: (column, value) pairs are counted with map-side combining, so

@@ -71,6 +71,25 @@ def sampled_lineitem_profile(t):
     return prof.profile(prof.sample_or_full(t.lineitem, 10.0))
 
 
+SAMPLE_SQL = "SELECT * FROM lineitem WHERE ('0x' || substr(md5(concat_ws('|', l_orderkey, l_linenumber)), 1, 8))::BIGINT % 100 < 10"
+
+
+@query("hash_sampled_lineitem_profile", "G-03 G-01", with_views(
+    _profile_sql("lineitem").replace("FROM lineitem", "FROM sampled"), extra={"sampled": SAMPLE_SQL}))
+def hash_sampled_lineitem_profile(t):
+    """Exact profile of a repeatable 10 percent sample of lineitem (sampling is the feature)."""
+    p = prof.profile(prof.hash_sample(t.lineitem, 10, "l_orderkey", "l_linenumber"), exact=True)
+    return p.withColumn("table_name", F.lit("lineitem"))
+
+
+@query("profile_sketch_errors", "G-01", "\nUNION ALL\n".join(
+    f"SELECT 'orders' AS table_name, '{f.name}' AS column_name, count(DISTINCT {f.name}) AS distinct_count, true AS sketch_ok FROM orders"
+    for f in SCHEMAS["orders"].fields))
+def profile_sketch_errors(t):
+    """Exact distinct counts of orders, and whether the sketches of the default profile come within a tenth."""
+    return prof.approximation_errors(t.orders).withColumn("table_name", F.lit("orders"))
+
+
 @query("conversation_top_values", "G-01", """
 SELECT column_name, value, frequency, rank FROM (
   SELECT *, row_number() OVER (PARTITION BY column_name ORDER BY frequency DESC, value ASC NULLS FIRST) AS rank

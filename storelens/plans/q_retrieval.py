@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from storelens.functions.text import DECLINE_TEXT, DIAGNOSTIC_KEYWORDS, FALLBACK_METHOD, VECTOR_METHOD, search_terms
-from storelens.functions.vectors import embed
+from storelens.functions.vectors import embed, md5_embed
 from storelens.operators import chunking as ch
 from storelens.operators import retrieval as rt
 from storelens.plans import fixtures as fx
@@ -205,3 +205,81 @@ def store_name_resolution(t):
     directory = s.select(F.concat(F.lit("STORE_"), F.lpad(F.col("s_suppkey").cast("string"), 3, "0")).alias("store_id"),
                          "s_name")
     return rt.resolve_entity(informal, directory, "qid", "informal_name", "store_id", "s_name")
+
+
+# ------------------------------------------------- vectors any SQL engine can repeat
+def md5_vectors_sql(source: str, key: str, text: str, dim: int = 64, grams: int | None = None) -> str:
+    """SQL twin of ``md5_embed``: (key..., embedding) of every row of ``source``."""
+    if grams is None:
+        tokens = f"SELECT {key}, unnest(string_split_regex(lower({text}), '[^a-z0-9]+')) AS w FROM {source}"
+    else:
+        tokens = (f"SELECT {key}, substr(' ' || lower({text}) || ' ', CAST(u.i AS BIGINT), {grams}) AS w FROM {source}, "
+                  f"unnest(generate_series(1, greatest(length({text}) + 2 - {grams - 1}, 1))) AS u(i)")
+    on = " AND ".join(f"a.{k.strip()} = c.{k.strip()}" for k in key.split(","))
+    cols = ", ".join(f"a.{k.strip()}" for k in key.split(","))
+    return f"""
+SELECT {cols}, list(coalesce(c.n / sqrt(a.ss), 0.0::DOUBLE) ORDER BY a.i) AS embedding
+FROM (SELECT k.*, r.i, coalesce(s.ss, 0) AS ss FROM (SELECT {key} FROM {source}) k CROSS JOIN range({dim}) AS r(i)
+      LEFT JOIN (SELECT {key}, CAST(sum(n * n) AS DOUBLE) AS ss FROM (
+        SELECT {key}, p, CAST(count(*) AS DOUBLE) AS n FROM (SELECT {key}, ('0x' || substr(md5(w), 1, 8))::BIGINT % {dim} AS p FROM ({tokens}) WHERE w <> '')
+        GROUP BY {key}, p) GROUP BY {key}) s USING ({key})) a
+LEFT JOIN (SELECT {key}, p, CAST(count(*) AS DOUBLE) AS n FROM (SELECT {key}, ('0x' || substr(md5(w), 1, 8))::BIGINT % {dim} AS p FROM ({tokens}) WHERE w <> '')
+           GROUP BY {key}, p) c ON {on} AND c.p = a.i
+GROUP BY {cols}"""
+
+
+CHUNK_TEXT = "'[' || coalesce(document_title, '') || ']' || chr(10) || chunk_content"
+CHUNK_VECTORS = md5_vectors_sql("chunks", "document_filename, chunk_index", CHUNK_TEXT)
+
+
+@query("md5_embedded_chunks", "R-02 J-08 R-01", with_views(f"""
+SELECT c.*, v.embedding FROM chunks c LEFT JOIN ({CHUNK_VECTORS}) v USING (document_filename, chunk_index)""",
+                                                          extra={"chunks": CHUNKS_SQL}))
+def md5_embedded_chunks(t):
+    """Manual chunks with portable vectors attached by (document, index)."""
+    c = ch.manual_chunks(t.documents)
+    return ch.attach_embeddings(c, ch.embed_chunks(c, embedder=md5_embed))
+
+
+_BEST = """SELECT q.item_id AS query_id, max(CAST(floor((1 - (1 - list_cosine_similarity(q.embedding, b.embedding))) * 10000.0 + 0.5) AS DOUBLE) / 10000.0) AS {name}
+FROM asked q JOIN {base} b ON list_sum(q.embedding) > 0 AND list_sum(b.embedding) > 0 GROUP BY 1"""
+
+
+@query("md5_chunking_comparison", "R-10 R-02 R-03", with_views(f"""
+WITH asked AS ({md5_vectors_sql("benchmark", "item_id", "text")}),
+whole AS ({md5_vectors_sql("documents", "doc_id", "text")}),
+fine AS ({CHUNK_VECTORS}),
+c AS ({_BEST.format(name="coarse_score", base="whole")}), f AS ({_BEST.format(name="fine_score", base="fine")})
+SELECT query_id, coarse_score, fine_score, {r4("fine_score - coarse_score")} AS fine_gain FROM c FULL OUTER JOIN f USING (query_id)""",
+                                                             extra={"chunks": CHUNKS_SQL}))
+def md5_chunking_comparison(t):
+    """Best score of each benchmark passage on whole documents vs windows, with portable vectors."""
+    qs = md5_embed(t.benchmark.select(F.col("item_id").alias("query_id"), "text"), "text")
+    docs = md5_embed(t.documents.select(F.col("doc_id").alias("vec_id"), "text"), "text")
+    fine = ch.embed_chunks(ch.manual_chunks(t.documents), embedder=md5_embed).withColumn(
+        "vec_id", F.xxhash64("document_filename", "chunk_index"))
+    return rt.compare_chunkings(qs, docs, fine)
+
+
+_NAMES = """SELECT {id} AS id, trim(regexp_replace(regexp_replace({text}, '[^A-Za-z0-9]+', ' ', 'g'), '\\b0+([0-9])', '\\1', 'g')) AS name FROM {source}"""
+
+
+@query("md5_store_name_resolution", "J-10", f"""
+WITH informal AS (SELECT s_suppkey AS qid, lower(regexp_replace(s_name, '#0*', ' ')) AS informal_name FROM supplier),
+directory AS (SELECT concat('STORE_', lpad(CAST(s_suppkey AS VARCHAR), CAST(greatest(3, length(CAST(s_suppkey AS VARCHAR))) AS INTEGER), '0')) AS store_id, s_name FROM supplier),
+qn AS ({_NAMES.format(id="qid", text="informal_name", source="informal")}), dn AS ({_NAMES.format(id="store_id", text="lower(s_name)", source="directory")}),
+qv AS ({md5_vectors_sql("qn", "id", "name", 512, 3)}), dv AS ({md5_vectors_sql("dn", "id", "name", 512, 3)}),
+best AS (SELECT q.id AS query_id, d.id AS entity_id,
+    CAST(floor((1 - (1 - list_cosine_similarity(q.embedding, d.embedding))) * 10000.0 + 0.5) AS DOUBLE) / 10000.0 AS score
+  FROM qv q JOIN dv d ON true),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, entity_id) AS rank FROM best)
+SELECT i.qid AS query_id, i.informal_name AS query_text, r.entity_id, s.s_name AS entity_text, r.score, CAST(r.rank AS INTEGER) AS rank
+FROM informal i JOIN ranked r ON r.query_id = i.qid AND r.rank = 1 JOIN directory s ON s.store_id = r.entity_id""")
+def md5_store_name_resolution(t):
+    """Informal supplier names resolved to store ids with portable trigram vectors."""
+    s = t.supplier
+    informal = s.select(F.col("s_suppkey").alias("qid"), F.lower(F.regexp_replace("s_name", "#0*", " ")).alias("informal_name"))
+    key = F.col("s_suppkey").cast("string")
+    directory = s.select(F.concat(F.lit("STORE_"), F.lpad(key, F.greatest(F.lit(3), F.length(key)), F.lit("0"))).alias("store_id"), "s_name")
+    return rt.resolve_entity(informal, directory, "qid", "informal_name", "store_id", "s_name",
+                             embedder=lambda df, c: md5_embed(df, c, dim=512, grams=3))
