@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 
@@ -72,9 +73,25 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or d
 
 
+_SCRATCH: set[str] = set()
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A sub-folder of the shared checkpoint folder for written tables."""
-    return os.path.join(checkpoint_dir(spark), name)
+    """A sub-folder of the shared checkpoint folder for written tables. All
+    of one application's lie in one folder, which is removed when the
+    driver's Python ends."""
+    root = f"{checkpoint_dir(spark)}/storelens-{spark.sparkContext.applicationId}"
+    if root not in _SCRATCH:
+        _SCRATCH.add(root)
+
+        def remove():
+            try:
+                p = spark._jvm.org.apache.hadoop.fs.Path(root)
+                p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+            except Exception:  # the session has ended: nothing can be done here any more
+                pass
+        atexit.register(remove)
+    return f"{root}/{name}"
 
 
 _SHIPPED: set[str] = set()
