@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import atexit
 import uuid
 from collections.abc import Iterator
 
@@ -11,16 +10,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from storelens.session import checkpoint_dir, ship_package
+from storelens.session import checkpoint_dir, scratch_path, ship_package
 
 #: Rows per Arrow batch handed to Python: texts are whole, so batches are short.
 ARROW_ROWS = 256
 #: Bytes hashed at once; a longer text is hashed in segments from its own start.
 SEGMENT = 1 << 20
 
-_FOLDERS: dict[str, str] = {}
-
-
 def prepare(spark: SparkSession) -> None:
     """Session state every operator relies on (UTC, shared folder, package on workers)."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
@@ -29,22 +25,6 @@ def prepare(spark: SparkSession) -> None:
     ship_package(spark)
 
 
-def _folder(spark: SparkSession) -> str:
-    """One folder of this application below ``spark.checkpoint.dir``; removed at exit."""
-    app = spark.sparkContext.applicationId
-    if app not in _FOLDERS:
-        _FOLDERS[app] = f"{checkpoint_dir(spark)}/llm-{app}"
-
-        def remove(path=_FOLDERS[app]):
-            try:
-                p = spark._jvm.org.apache.hadoop.fs.Path(path)
-                p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
-            except Exception:  # the session has ended; nothing more can be done here
-                pass
-        atexit.register(remove)
-    return _FOLDERS[app]
-
-
 def held(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it back.
 
@@ -52,7 +32,7 @@ def held(df: DataFrame, name: str) -> DataFrame:
     rows (ids made while writing included) are the same on every read.
     """
     spark = df.sparkSession
-    path = f"{_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    path = scratch_path(spark, f"llm/{name}-{uuid.uuid4().hex[:12]}")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -61,7 +41,7 @@ def drop_held(df: DataFrame) -> None:
     """Remove the files of a held table that no later step reads."""
     spark = df.sparkSession
     for f in {x.rsplit("/", 1)[0] for x in df.inputFiles()}:
-        if "/llm-" in f:
+        if "/llm/" in f:
             p = spark._jvm.org.apache.hadoop.fs.Path(f)
             p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
