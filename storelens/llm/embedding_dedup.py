@@ -43,13 +43,14 @@ THRESHOLD = 0.9
 TARGET_RECALL = 0.99
 SAMPLE = 8192
 MAX_CODES = 256                  # centroids of a half
-NODES_PER_CELL = 128             # wished for; the codebooks grow with the table up to MAX_CODES
+NODES_PER_CELL = 512             # wished for; the codebooks grow with the table up to MAX_CODES
 BLOCK = 2048                     # vectors held, and visitors streamed, by one group of a task
 
 
 # ---------------------------------------------------------------- the index
 def _unit(x: np.ndarray) -> np.ndarray:
     x = x.astype(np.float64)
+    x = x / np.abs(x).max(axis=1, keepdims=True)     # squares of very large or small components stay finite
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
@@ -130,25 +131,28 @@ def _vectors(col: pa.Array) -> list[np.ndarray | None]:
         x = None
         if v and None not in v:
             y = np.asarray(v, dtype=np.float64)
-            n = float((y * y).sum())
-            if np.isfinite(y).all() and 0 < n < math.inf:
+            if np.isfinite(y).all() and y.any():
                 x = y
         out.append(x)
     return out
 
 
-def _usable(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        found = _vectors(b.column(1))
-        raw = [None if v is None else v.tobytes() for v in found]
-        yield pa.RecordBatch.from_arrays(
-            [b.column(0), pa.array([None if r is None else hashlib.md5(r).digest() for r in raw], pa.binary()),
-             pa.array([0 if v is None else len(v) for v in found], pa.int32()), pa.array(raw, pa.binary())],
-            names=["id", "dig", "dim", "vec"])
+def _usable(kind: str):
+    """Vectors travel in the type of their column (floats are half as wide) and are compared in double."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = _vectors(b.column(1))
+            raw = [None if v is None else v.astype(kind).tobytes() for v in found]
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), pa.array([None if r is None else hashlib.md5(r).digest() for r in raw], pa.binary()),
+                 pa.array([0 if v is None else len(v) for v in found], pa.int32()), pa.array(raw, pa.binary())],
+                names=["id", "dig", "dim", "vec"])
+    return run
 
 
 def _matrix(col: pa.Array, dim: int) -> np.ndarray:
-    return np.frombuffer(b"".join(col.to_pylist()), dtype=np.float64).reshape(len(col), dim)
+    raw = b"".join(col.to_pylist())
+    return np.frombuffer(raw, dtype="<f4" if len(raw) == 4 * dim * len(col) else "<f8").reshape(len(col), dim)
 
 
 # ----------------------------------------------------------------- postings
@@ -270,7 +274,8 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "emb
     spark = vectors.sparkSession
     src = vectors.select(F.col(id_col).alias("id"), F.col(vec_col).alias("v"))
     id_type = src.schema["id"].dataType.simpleString()
-    rows = held(src.mapInArrow(_usable, f"id {id_type}, dig binary, dim int, vec binary"), "vectors")
+    kind = "<f4" if src.schema["v"].dataType.elementType.simpleString() == "float" else "<f8"
+    rows = held(src.mapInArrow(_usable(kind), f"id {id_type}, dig binary, dim int, vec binary"), "vectors")
     common = (rows.where("dig is not null").groupBy("dim").count().orderBy(F.desc("count"), "dim").first())
     dim = common["dim"] if common else 0
     use = rows.where(F.col("dig").isNotNull() & (F.col("dim") == dim))

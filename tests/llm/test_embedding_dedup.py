@@ -19,6 +19,7 @@ def _brute(rows, dim=None):
     """[(id, vector or None)] -> per position (links, component)."""
     ok = [i for i, (_, v) in enumerate(rows) if v and None not in v and len(v) == dim and all(map(math.isfinite, v)) and any(v)]
     x = np.array([rows[i][1] for i in ok], dtype=np.float64)
+    x /= np.abs(x).max(axis=1, keepdims=True)
     x /= np.sqrt((x * x).sum(axis=1, keepdims=True))
     hit = x @ x.T >= 0.9
     np.fill_diagonal(hit, False)
@@ -89,7 +90,8 @@ def test_cases(spark):
     v = [1.0, 2.0, 0.0, 1.0]
     rows = [(5, v), (3, [2.0, 4.0, 0.0, 2.0]), (9, None), (10, []), (11, [0.0] * 4), (12, [1.0, None, 1.0, 1.0]),
             (13, [float("nan"), 1.0, 1.0, 1.0]), (14, [float("inf"), 1.0, 1.0, 1.0]), (15, [1.0, 1.0]), (7, v), (7, v),
-            (None, v), (20, [-1.0, -2.0, 0.0, -1.0])]
+            (None, v), (20, [-1.0, -2.0, 0.0, -1.0]),
+            (21, [1e-30, 2e-30, 0.0, 1e-30]), (22, [1e38, 2e38, 0.0, 1e38])]
     want, _ = _brute(rows, 4)
     got = sorted(((r.vec_id, r.n_links, r.component_id, r.kept) for r in ed.near_vectors(_frame(spark, rows)).collect()), key=str)
     assert got == sorted(((d, *want[i], d == want[i][1]) for i, (d, _) in enumerate(rows)), key=str)
