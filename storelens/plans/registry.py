@@ -51,6 +51,7 @@ def runner(r: Registered) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         # the views and their oracles are defined in UTC (FIXTURES.md)
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4096")
         ship_package(spark)
         return r.build(Tables(spark, sf_dir))
     run.__name__ = r.name
