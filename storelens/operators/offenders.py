@@ -131,6 +131,16 @@ def latest_n(df: DataFrame, key: str, ts_col: str, n: int = 5, tie: str | None =
     return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n).drop("_rn")
 
 
+def latest_rt_metrics(alerts: DataFrame, n: int = 1, window_micros: int = HOUR_MICROS) -> DataFrame:
+    """W-05 over A-04: the latest ``n`` trailing snapshots per cashier, from the events that
+    those windows cover alone; a cashier's earlier history is dropped before the window is sorted."""
+    heads = (latest_n(alerts.select("cashier_id", "alert_ts", "alert_id"), "cashier_id", "alert_ts", n, tie="alert_id")
+             .groupBy("cashier_id").agg(F.min("alert_ts").alias("_first")))
+    reach = F.make_interval(secs=F.lit(window_micros / 1e6))
+    recent = alerts.join(heads, "cashier_id").where(F.col("alert_ts") >= F.col("_first") - reach).drop("_first")
+    return latest_n(rt_metrics(recent, window_micros), "cashier_id", "event_ts", n, tie="event_id")
+
+
 def top_offender(alerts: DataFrame, days: int = 7, as_of=None) -> DataFrame:
     """The single highest-ranked (store, cashier) as a one-row DataFrame."""
     return rank_offenders(alerts, days, as_of, limit=1).select(

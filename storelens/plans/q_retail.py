@@ -143,7 +143,7 @@ SELECT * EXCLUDE (rn) FROM (
   FROM ({TRAILING_SQL})) WHERE rn <= 5""", extra={"alert_events": ALERT_EVENTS}))
 def latest_cashier_snapshots(t):
     """Latest five trailing snapshots per cashier."""
-    return off.latest_n(off.rt_metrics(fx.alert_events(t)), "cashier_id", "event_ts", 5, tie="event_id")
+    return off.latest_rt_metrics(fx.alert_events(t), 5)
 
 
 @query("store_prefix_heads", "S-06", with_views(f"""
@@ -193,7 +193,7 @@ SELECT coalesce(l.cashier_id, b.cashier_id) AS cashier_id, l.event_ts AS live_ev
 FROM live l FULL OUTER JOIN base b ON l.cashier_id = b.cashier_id""", "alerts", extra={"alert_events": ALERT_EVENTS}))
 def live_vs_baseline(t):
     """Latest live trailing metrics vs the 7-day baseline, per cashier."""
-    live = off.latest_n(off.rt_metrics(fx.alert_events(t)), "cashier_id", "event_ts", 1, tie="event_id")
+    live = off.latest_rt_metrics(fx.alert_events(t), 1)
     return off.live_vs_baseline(live, off.cashier_baseline(fx.alerts(t), 7, fx.ALERTS_AS_OF))
 
 
