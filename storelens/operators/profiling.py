@@ -197,15 +197,32 @@ def approximation_errors(df: DataFrame, within: float = 0.1) -> DataFrame:
     return exact.join(sketch, "column_name").select("column_name", "distinct_count", F.coalesce(off, F.col("_d").isNull()).alias("sketch_ok"))
 
 
-def top_values(df: DataFrame, k: int = 5, columns=None) -> DataFrame:
+def top_values(df: DataFrame, k: int = 5, columns=None, digest_over: int | None = None) -> DataFrame:
     """Most frequent values per column (ties by value). One shuffle for all
     columns: (column, value) pairs are counted with map-side combining, so
-    a value held by a third of the rows is one partial count per task."""
+    a value held by a third of the rows is one partial count per task. With ``digest_over``
+    values of more characters are counted and shown by their MD5, so no long text is shuffled."""
     fields = [f for f in df.schema.fields if (columns is None or f.name in columns)
               and _kind(f.dataType) != "complex"]
-    pairs = F.array(*[F.struct(F.lit(f.name).alias("column_name"),
-                               _as_text(F.col(f"`{f.name}`"), f.dataType).alias("value")) for f in fields])
+
+    def shown(f):
+        v = _as_text(F.col(f"`{f.name}`"), f.dataType)
+        if digest_over is None:
+            return v
+        return F.when(F.length(v) > digest_over, F.concat(F.lit("md5:"), F.md5(v))).otherwise(v)
+    pairs = F.array(*[F.struct(F.lit(f.name).alias("column_name"), shown(f).alias("value")) for f in fields])
     x = df.select(F.explode(pairs).alias("p")).select("p.*")
     counts = x.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("frequency"))
     w = Window.partitionBy("column_name").orderBy(F.col("frequency").desc(), F.col("value").asc_nulls_first())
     return counts.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+
+
+def value_profile(df: DataFrame, k: int = 5) -> DataFrame:
+    """G-01 with value distributions: the default profile and, for columns that are not floating-point
+    numbers (whose distribution the quantiles give), the k most frequent values."""
+    floats = ("float", "double")
+    names = [f.name for f in df.schema.fields if f.dataType.simpleString() not in floats and _kind(f.dataType) != "complex"]
+    one = F.array_sort(F.collect_list(F.struct("rank", "value", "frequency")))         # k entries
+    top = top_values(df, k, names, digest_over=64).groupBy("column_name").agg(
+        F.transform(one, lambda x: F.struct(x["value"].alias("value"), x["frequency"].alias("frequency"))).alias("top_values"))
+    return profile(df).join(top, "column_name", "left")

@@ -74,6 +74,33 @@ def sampled_lineitem_profile(t):
 SAMPLE_SQL = "SELECT * FROM lineitem WHERE ('0x' || substr(md5(concat_ws('|', l_orderkey, l_linenumber)), 1, 8))::BIGINT % 100 < 10"
 
 
+def _top_sql(table: str) -> str:
+    parts = []
+    for f in SCHEMAS[table].fields:
+        if isinstance(f.dataType, (T.DoubleType, T.FloatType, T.ArrayType)):
+            continue
+        v = f"strftime({f.name}, '%Y-%m-%d %H:%M:%S.%f')" if isinstance(f.dataType, T.TimestampNTZType) else f"CAST({f.name} AS VARCHAR)"
+        parts.append(f"SELECT '{table}' AS table_name, '{f.name}' AS column_name, CASE WHEN length({v}) > 64 THEN 'md5:' || md5({v}) ELSE {v} END AS value FROM {table}")
+    return "\nUNION ALL\n".join(parts)
+
+
+@query("table_value_profiles", "G-01 G-02", f"""
+SELECT table_name, column_name, value, frequency, row_count FROM (
+  SELECT *, row_number() OVER (PARTITION BY table_name, column_name ORDER BY frequency DESC, value ASC NULLS FIRST) AS rank,
+    CAST(sum(frequency) OVER (PARTITION BY table_name, column_name) AS BIGINT) AS row_count
+  FROM (SELECT table_name, column_name, value, count(*) AS frequency FROM ({" UNION ALL ".join(_top_sql(n) for n in TABLE_NAMES)}) GROUP BY 1, 2, 3))
+WHERE rank <= 3""")
+def table_value_profiles(t):
+    """The three most frequent values in the profile of every column of every table."""
+    out = None
+    for n in TABLE_NAMES:
+        p = prof.value_profile(getattr(t, n), 3).select(F.lit(n).alias("table_name"), "column_name", "row_count",
+                                                         F.explode("top_values").alias("v"))
+        p = p.select("table_name", "column_name", "v.value", "v.frequency", "row_count")
+        out = p if out is None else out.unionByName(p)
+    return out
+
+
 @query("hash_sampled_lineitem_profile", "G-03 G-01", with_views(
     _profile_sql("lineitem").replace("FROM lineitem", "FROM sampled"), extra={"sampled": SAMPLE_SQL}))
 def hash_sampled_lineitem_profile(t):
