@@ -134,13 +134,18 @@ def train(labelled: DataFrame, lang_col: str = "lang", text_col: str = "text",
     names = sorted({langs[i] for i in order})
     if not names:
         return Model([], np.zeros((0, DIM), np.float32), np.zeros((0, 0), np.float32))
-    x = np.stack([np.unpackbits(np.frombuffer(bits[i], np.uint8)) for i in order]).astype(np.float32)
-    x /= np.sqrt(np.maximum(x.sum(axis=1, keepdims=True), 1))
+    def unit_rows(places) -> np.ndarray:
+        x = np.stack([np.unpackbits(np.frombuffer(bits[order[i]], np.uint8)) for i in places]).astype(np.float32)
+        return x / np.sqrt(np.maximum(x.sum(axis=1, keepdims=True), 1))
+
     y = np.array([names.index(langs[i]) for i in order])
     # landmarks: as many of each language
     share = max(1, landmarks // len(names))
     at = np.concatenate([np.flatnonzero(y == k)[:share] for k in range(len(names))])
-    k_nm = (x @ x[at].T).astype(np.float64)
+    marks = unit_rows(at)
+    # rows are unpacked a block at a time: the driver holds bits and LANDMARKS + ROWS_AT_ONCE rows
+    k_nm = np.concatenate([unit_rows(range(i, min(i + ROWS_AT_ONCE, len(order)))) @ marks.T
+                           for i in range(0, len(order), ROWS_AT_ONCE)]).astype(np.float64)
     value, vector = np.linalg.eigh(k_nm[at])
     good = value > 1e-6 * value.max()
     root = vector[:, good] / np.sqrt(value[good])     # K_mm^(-1/2)
@@ -149,7 +154,7 @@ def train(labelled: DataFrame, lang_col: str = "lang", text_col: str = "text",
     one = np.eye(len(names))[y]
     beta = np.linalg.solve((z * weight[:, None]).T @ z + RIDGE * len(names) / len(y) * np.eye(z.shape[1]),
                            (z * weight[:, None]).T @ one)
-    return Model(names, x[at], (root @ beta).astype(np.float32))
+    return Model(names, marks, (root @ beta).astype(np.float32))
 
 
 def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
