@@ -111,6 +111,42 @@ def _once(lines: list[int], lo: int, hi: int) -> dict[int, int]:
     return {x: i for x, i in seen.items() if i >= 0 and x}
 
 
+def _common(a: list[int], b: list[int]) -> list[int]:
+    """The positions in ``a`` of a longest common subsequence (blank lines left out). A row
+    of the table is an integer of bits; one row in every ``step`` is kept, the rest computed again."""
+    both = (set(a) & set(b)) - {0}
+    at, b = [i for i, x in enumerate(a) if x in both], [x for x in b if x in both]
+    where = dict.fromkeys(both, 0)
+    for j, x in enumerate(b):
+        where[x] |= 1 << j
+    full = (1 << len(b)) - 1
+
+    def rows(row: int, lo: int, hi: int) -> Iterator[int]:
+        for i in at[lo:hi]:                          # a bit is 0 where the length grows
+            hit = row & where[a[i]]
+            row = ((row + hit) | (row - hit)) & full
+            yield row
+
+    step, row, kept = math.isqrt(len(at)) + 1, full, []
+    for lo in range(0, len(at), step):
+        kept.append(row)
+        for row in rows(row, lo, lo + step):
+            pass
+    out, j = [], len(b)
+    for k in range(len(kept) - 1, -1, -1):
+        block = [kept[k], *rows(kept[k], k * step, (k + 1) * step)]
+        i = len(block) - 1
+        while i and j:
+            if block[i] >> (j - 1) & 1:
+                j -= 1
+            else:
+                i -= 1
+                if (block[i] >> (j - 1)) & 1:
+                    j -= 1
+                    out.append(at[k * step + i])
+    return out[::-1]
+
+
 def aligned(a: list[int], b: list[int]) -> list[int]:
     """Patience diff: the positions in ``a`` of lines aligned with a line of ``b``."""
     out: list[int] = []
@@ -127,7 +163,8 @@ def aligned(a: list[int], b: list[int]) -> list[int]:
             continue
         mine, other = _once(a, alo, ahi), _once(b, blo, bhi)
         anchors = _increasing(sorted((i, other[x]) for x, i in mine.items() if x in other))
-        if not anchors:
+        if not anchors:                              # lines that repeat: an ordinary diff of the stretch
+            out += [alo + i for i in _common(a[alo:ahi], b[blo:bhi])]
             continue
         for i, j in anchors:                         # each gap ends at an anchor, which its suffix takes
             todo.append((alo, i + 1, blo, j + 1))

@@ -109,3 +109,27 @@ def test_cases(spark):
     assert got[9] == [None] and got[10] == [""] and got[11] == ["own line"] and got[12] == ["", ""]
     assert got[13] == ["\n\n"] and got[14] == ["long " * 500_000 + "\nend"]
     assert line_dedup.line_dedup(make([])).count() == 0
+
+
+def _lcs(a, b):
+    row = [0] * (len(b) + 1)
+    for x in a:
+        new = [0]
+        for j, y in enumerate(b):
+            new.append(row[j] + 1 if x == y and x else max(row[j + 1], new[j]))
+        row = new
+    return row[-1]
+
+
+def test_repeated_lines_between_differing_ends_are_aligned():
+    assert line_dedup.aligned([1, 7, 8, 7, 8, 2], [3, 7, 8, 7, 8, 4]) == [1, 2, 3, 4]
+    assert line_dedup.aligned([1, 7, 0, 7, 2], [3, 7, 0, 7, 7, 4]) == [1, 3]
+    rnd = random.Random(8)
+    for _ in range(300):
+        a, b = ([rnd.randint(0, 5) for _ in range(rnd.randint(0, 40))] for _ in range(2))
+        got = line_dedup._common(a, b)
+        assert got == sorted(set(got)) and all(a[i] for i in got) and len(got) == _lcs(a, b)
+        it = iter(b)
+        assert all(any(a[i] == y for y in it) for i in got)
+    a, b = ([n, *[5, 6, 6] * 2000, n + 1] for n in (10, 20))
+    assert len(line_dedup.aligned(a, b)) == 6000
