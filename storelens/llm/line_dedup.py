@@ -1,15 +1,19 @@
 """Line dedup by pairwise alignment.
 
-Documents are ordered by id. A line that several documents hold links
-each of them with the first holder; a pair overlaps where the lines it
-shares are rare enough together: the sum of ln(N / holders) reaches
-ln(100), as one line held by a hundredth of the documents does (or, in
-a table of under 200 documents, one line with two holders). So a very
-common line alone makes no pair, many common lines together do, and no
-line is left out for the size of its group. Each pair is aligned by
-patience diff (lines unique in both are anchors; the longest increasing
-run of anchors stands; blocks grow from them), and the aligned lines go
-from the later document. The first holder of a line is never the later
+Documents are ordered by id. A document overlaps the earlier ones where
+the lines it shares with them are rare enough together: the sum of
+ln(N / holders) reaches ln(100), as one line held by a hundredth of the
+documents does (or, in a table of under 200 documents, one line with two
+holders). It is then paired with the first holder of each of these lines
+(also of each line as often as it holds it, and of an equal list of
+lines). The evidence is the document's, not the pair's, so it is not
+split where the lines' first holders differ. A line stays where all its
+document's partners have it in another order than the other lines they
+share. No line is left out for the size of its group. Each pair is
+aligned by patience diff (lines unique in both are anchors; the longest
+increasing run of anchors stands; blocks grow from them; a stretch
+without anchors gets an ordinary diff), and the aligned lines go from the
+later document. The first holder of a line is never the later
 document, so every line stays somewhere.
 
 Spark joins lines to first holders and pairs to line hashes; texts move
@@ -76,11 +80,31 @@ def line_hashes(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return h, np.concatenate(([0], np.cumsum(counts)))
 
 
+def _partner_keys(h: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Keys that name partners but are no evidence: the second and later occurrences
+    of each text's lines, and the list of its lines (blank lines left out)."""
+    row = np.repeat(np.arange(len(off) - 1), np.diff(off))[h != 0]
+    h = h[h != 0]
+    order = np.lexsort((h, row))
+    new = np.ones(len(h), dtype=bool)
+    new[1:] = (np.diff(h[order]) != 0) | (np.diff(row[order]) != 0)
+    rank = np.arange(len(h)) - np.flatnonzero(new)[np.cumsum(new) - 1]
+    again = order[rank > 0]
+    repeats = mix64(h[again] + mix64(rank[rank > 0].astype(np.uint64)))
+    full, start = np.unique(row, return_index=True)
+    place = (np.arange(len(h)) - np.repeat(start, np.diff(np.append(start, len(h))))).astype(np.uint64)
+    total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mix64(h ^ mix64(place + np.uint64(1))))))
+    whole = mix64(total[np.append(start[1:], len(h))] - total[start]) if len(h) else h
+    keys, rows = np.concatenate((repeats, whole)), np.concatenate((row[again], full))
+    return keys[np.argsort(rows, kind="stable")], np.concatenate(([0], np.cumsum(np.bincount(rows, minlength=len(off) - 1))))
+
+
 def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         h, off = line_hashes(*text_buffer(b.column(2)))
-        lines = pa.ListArray.from_arrays(pa.array(off, pa.int32()), pa.array(h.view(np.int64)))
-        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), lines], names=["id", "dig", "lines"])
+        lists = [pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(x.view(np.int64)))
+                 for x, at in ((h, off), _partner_keys(h, off))]
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *lists], names=["id", "dig", "lines", "more"])
 
 
 # ---------------------------------------------------------------- alignment
@@ -186,18 +210,23 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     src = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("dig"), F.col(text_col).alias("text"))
     id_type = src.schema["id"].dataType.simpleString()
     base = held(src.where(F.length("text") > 0)
-                .mapInArrow(_lines, f"id {id_type}, dig long, lines array<long>")
+                .mapInArrow(_lines, f"id {id_type}, dig long, lines array<long>, more array<long>")
                 .dropDuplicates(["id", "dig"]), "lines")
     n = docs.count()
     least = min(EVIDENCE, math.log(max(n, 3) / 2))
     me = F.struct(F.col("id").isNull().alias("none"), "id", "dig")
-    lines = base.select(me.alias("me"), F.explode(F.array_distinct("lines")).alias("line")).where("line <> 0")
-    shared = held(lines.groupBy("line").agg(F.count(F.lit(1)).alias("n"), F.min("me").alias("first"))
-                  .where("n > 1").select("line", F.log(F.lit(float(max(n, 1))) / F.col("n")).alias("rare"), "first"),
-                  "shared-lines")
-    pairs = (lines.join(shared, "line").where(F.col("me") != F.col("first"))
-             .groupBy("me", "first").agg(F.sum("rare").alias("rare"))
-             .where(F.col("rare") >= least - 1e-9))
+    own = F.array_distinct(F.filter("lines", lambda x: x != 0))
+    lines = (base.select(me.alias("me"), own.alias("own"), "more")
+             .select("me", F.explode(F.concat(F.transform("own", lambda x: F.struct(x.alias("line"), F.lit(True).alias("counts"))),
+                                              F.transform("more", lambda x: F.struct(x.alias("line"), F.lit(False).alias("counts"))))).alias("x"))
+             .select("me", "x.*"))
+    rare = F.when(F.col("counts"), F.log(F.lit(float(max(n, 1))) / F.col("n"))).otherwise(0.0)
+    shared = held(lines.groupBy("line", "counts").agg(F.count(F.lit(1)).alias("n"), F.min("me").alias("first"))
+                  .where("n > 1").select("line", "counts", rare.alias("rare"), "first"), "shared-lines")
+    linked = (lines.join(shared, ["line", "counts"]).where(F.col("me") != F.col("first"))
+              .groupBy("me").agg(F.sum("rare").alias("rare"), F.collect_set("first").alias("firsts"))
+              .where(F.col("rare") >= least - 1e-9))
+    pairs = linked.select("me", F.explode("firsts").alias("first"))
     pairs = held(pairs.select("me.id", "me.dig", F.col("first.id").alias("first_id"),
                               F.col("first.dig").alias("first_dig")), "pairs")
     first = base.select(F.col("id").alias("first_id"), F.col("dig").alias("first_dig"), F.col("lines").alias("others"))

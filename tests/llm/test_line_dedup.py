@@ -9,7 +9,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import types as T
 
-from tests.conftest import SF001
+from tests.conftest import SF001, SF01
 
 pytest.importorskip("storelens.llm")
 from storelens.llm import common, line_dedup, queries  # noqa: E402
@@ -133,3 +133,50 @@ def test_repeated_lines_between_differing_ends_are_aligned():
         assert all(any(a[i] == y for y in it) for i in got)
     a, b = ([n, *[5, 6, 6] * 2000, n + 1] for n in (10, 20))
     assert len(line_dedup.aligned(a, b)) == 6000
+
+
+def _all_pairs(rows):
+    """rows: (id, text), ids distinct -> {id: positions that go}, with every earlier document as a possible partner."""
+    docs = {d: (t.split("\n") if t else []) for d, t in rows}
+    holders = defaultdict(list)
+    for d in sorted(docs):
+        for x in set(docs[d]) - {""}:
+            holders[x].append(d)
+    rare = defaultdict(float)
+    for x, ds in holders.items():
+        for k, d in enumerate(ds):
+            for e in ds[:k]:
+                rare[d, e] += math.log(len(rows) / len(ds))
+    least = min(math.log(100), math.log(max(len(rows), 3) / 2))
+    ids = {x: i + 1 for i, x in enumerate(holders)} | {"": 0}
+    gone = defaultdict(set)
+    for (d, e), r in rare.items():
+        if r >= least - 1e-9:
+            gone[d] |= set(line_dedup.aligned([ids[x] for x in docs[d]], [ids[x] for x in docs[e]]))
+    return gone
+
+
+@pytest.mark.parametrize("sf", [SF001, SF01])
+def test_no_overlap_with_any_earlier_document_stays(spark, sf):
+    rows = [tuple(r) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()]
+    texts, seen = dict(rows), set()
+    want = _all_pairs(rows)
+    got = {r.doc_id: set(r.lines_deleted) for r in queries.op9_line_dedup(spark, sf).collect()}
+    assert len(want) > 40 and all(got[d] for d in want if want[d])
+    found = sum(len(want[d] & got[d]) for d in want)     # the rest: lines in another order than at the first holder
+    assert found >= 0.98 * sum(map(len, want.values()))
+    for d in sorted(texts):                              # what goes stands in an earlier document
+        lines = (texts[d] or "").split("\n")
+        assert {lines[i] for i in got[d]} <= seen
+        seen |= set(lines)
+
+
+def test_evidence_is_not_split_over_first_holders(spark):
+    prepare(spark)
+    rows = [(i, f"own {i}") for i in range(1000)]
+    rows[0], rows[1] = (0, "left\nzero"), (1, "right\none")
+    for i in range(2, 32):                               # two lines of 31 holders each: 2 * ln(1000 / 31) > ln(100)
+        rows[i] = (i, f"a {i}\nleft\nright\nright\nb {i}")
+    got = {r.doc_id: r._gone for r in line_dedup.line_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert sorted(got[2]) in ([1, 2], [1, 3])            # no earlier document holds the second 'right'
+    assert all(sorted(got[i]) == [1, 2, 3] for i in range(3, 32)) and not any(got[i] for i in (0, 1, 32, 999))
