@@ -4,7 +4,7 @@ Documents are ordered by id. A document overlaps the earlier ones where
 the lines it shares with them are rare enough together: the sum of
 ln(N / holders) reaches ln(100), as one line held by a hundredth of the
 documents does (or, in a table of under 200 documents, one line with two
-holders). It is then paired with the first holder of each of these lines
+holders), or where they hold all its lines, however common. It is then paired with the first holder of each of these lines
 (also of each line as often as it holds it, and of an equal list of
 lines). The evidence is the document's, not the pair's, so it is not
 split where the lines' first holders differ. A line stays where all its
@@ -217,15 +217,16 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     me = F.struct(F.col("id").isNull().alias("none"), "id", "dig")
     own = F.array_distinct(F.filter("lines", lambda x: x != 0))
     lines = (base.select(me.alias("me"), own.alias("own"), "more")
-             .select("me", F.explode(F.concat(F.transform("own", lambda x: F.struct(x.alias("line"), F.lit(True).alias("counts"))),
+             .select("me", F.size("own").alias("own_n"), F.explode(F.concat(F.transform("own", lambda x: F.struct(x.alias("line"), F.lit(True).alias("counts"))),
                                               F.transform("more", lambda x: F.struct(x.alias("line"), F.lit(False).alias("counts"))))).alias("x"))
-             .select("me", "x.*"))
+             .select("me", "own_n", "x.*"))
     rare = F.when(F.col("counts"), F.log(F.lit(float(max(n, 1))) / F.col("n"))).otherwise(0.0)
     shared = held(lines.groupBy("line", "counts").agg(F.count(F.lit(1)).alias("n"), F.min("me").alias("first"))
                   .where("n > 1").select("line", "counts", rare.alias("rare"), "first"), "shared-lines")
     linked = (lines.join(shared, ["line", "counts"]).where(F.col("me") != F.col("first"))
-              .groupBy("me").agg(F.sum("rare").alias("rare"), F.collect_set("first").alias("firsts"))
-              .where(F.col("rare") >= least - 1e-9))
+              .groupBy("me").agg(F.sum("rare").alias("rare"), F.collect_set("first").alias("firsts"),
+                                F.count_if("counts").alias("known"), F.max("own_n").alias("own_n"))
+              .where((F.col("rare") >= least - 1e-9) | (F.col("known") == F.col("own_n"))))
     pairs = linked.select("me", F.explode("firsts").alias("first"))
     pairs = held(pairs.select("me.id", "me.dig", F.col("first.id").alias("first_id"),
                               F.col("first.dig").alias("first_dig")), "pairs")

@@ -180,3 +180,15 @@ def test_evidence_is_not_split_over_first_holders(spark):
     got = {r.doc_id: r._gone for r in line_dedup.line_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert sorted(got[2]) in ([1, 2], [1, 3])            # no earlier document holds the second 'right'
     assert all(sorted(got[i]) == [1, 2, 3] for i in range(3, 32)) and not any(got[i] for i in (0, 1, 32, 999))
+
+
+@pytest.mark.parametrize("text", ["one paragraph", "first\n\nsecond\nfirst", "a\nb\nc\nd"])
+def test_copies_that_fill_a_third_of_the_rows(spark, text):
+    prepare(spark)
+    rows = [(i, text if i % 3 == 1 else f"own {i}\nbody {i}") for i in range(600)]
+    rows[3] = (3, text.split("\n")[0] + "\nits own")     # holds a line, but has more: it stays whole
+    rows[0] = (0, "first")                               # the first holder of a line has it once only
+    out = {r.doc_id: r.text for r in line_dedup.line_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert out[3] == rows[3][1] and out[0] == "first"
+    assert all((out[i] or "").strip() == "" for i in range(4, 600, 3))
+    assert all(out[i] == rows[i][1] for i in range(600) if i % 3 != 1)
