@@ -9,7 +9,8 @@ texts, turns whole texts into presence rows and scores them; the scores
 of a batch are two matrix products (rows by landmarks, kernel values by weights).
 
 Training is bounded by parameters: at most ``SAMPLE`` distinct texts,
-spread evenly over the languages; the driver gets their presence rows
+spread evenly over the languages (their rates follow the distinct texts that
+have a letter, and each language gets one text at least); the driver gets their presence rows
 (``DIM`` bits each), not their texts.
 
 Defined cases: letters are those of any script, lower-cased; all else
@@ -113,15 +114,18 @@ def train(labelled: DataFrame, lang_col: str = "lang", text_col: str = "text",
     of the text, about as many of each language."""
     rows = labelled.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")) \
         .where("lang is not null and text is not null")
-    per_lang = {r["lang"]: r["count"] for r in rows.groupBy("lang").count()
-                .orderBy(F.desc("count"), "lang").limit(sample).collect()}
+    mark = F.pmod(F.xxhash64("text", F.lit(7)), F.lit(1 << 30))
+    usable = rows.where(F.col("text").rlike(r"\p{L}"))
+    per_lang = {r["lang"]: (r["n"], r["least"]) for r in usable.select("lang", mark.alias("h")).groupBy("lang")
+                .agg(F.countDistinct("h").alias("n"), F.min("h").alias("least"))
+                .orderBy(F.desc("n"), "lang").limit(sample).collect()}
     if not per_lang:
         return Model([], np.zeros((0, DIM), np.float32), np.zeros((0, 0), np.float32))
     each = max(1, sample // len(per_lang))
-    mark = F.pmod(F.xxhash64("text", F.lit(7)), F.lit(1 << 30))
-    limits = F.create_map(*[F.lit(x) for lang, n in sorted(per_lang.items())
-                            for x in (lang, int(min(1.0, 1.25 * each / n) * (1 << 30)) + 1)])
-    chosen = (rows.withColumn("h", mark).where(F.col("h") < limits[F.col("lang")])
+    # the text of the least hash always passes, so no language is without one
+    limits = F.create_map(*[F.lit(x) for lang, (n, least) in sorted(per_lang.items())
+                            for x in (lang, max(int(min(1.0, 1.25 * each / n) * (1 << 30)), least) + 1)])
+    chosen = (usable.withColumn("h", mark).where(F.col("h") < limits[F.col("lang")])
               .groupBy("lang", "h").agg(F.min("text").alias("text"))
               .orderBy("h", "lang").limit(2 * sample).select("lang", "text"))
     got = chosen.mapInArrow(_packed, "lang string, bits binary").where("bits is not null").toArrow()

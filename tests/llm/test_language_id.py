@@ -59,3 +59,14 @@ def test_cases(spark):
     assert empty.languages == []
     assert {r.lang_pred for r in lid.identify(ask, empty).collect()} == {"und"}
     assert lid.identify(ask.limit(0), model).count() == 0
+
+
+def test_copies_do_not_push_a_language_out(spark):
+    words = {"aa": "the quick brown fox", "bb": "der schnelle Fuchs", "cc": "le renard brun", "dd": "el zorro rojo"}
+    rows = [(i, f"{w} {'x' * i}", lang) for lang, w in words.items() for i in range(5)]
+    rows += [(9, words["bb"], "bb")] * 20_000 + [(9, "12 !", "cc")] * 20_000 + [(9, f"{i}", "dd") for i in range(5_000)]
+    rows += [(9, "42", "ee")]                              # no usable text
+    model = lid.train(_frame(spark, rows), sample=16)
+    assert model.languages == sorted(words)
+    many = [(i, f"{chr(97 + i % 26) * 3}{chr(97 + i // 26)} {k}", f"l{i:03d}") for i in range(60) for k in "abcdefgh"]
+    assert lid.train(_frame(spark, many), sample=60).languages == [f"l{i:03d}" for i in range(60)]
