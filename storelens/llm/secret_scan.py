@@ -113,12 +113,15 @@ def rule_labels(rows: DataFrame) -> DataFrame:
 def train(labelled: DataFrame, sample: int = SAMPLE) -> PipelineModel | float:
     """A forest from rows with ``FEATURES``, value and label; a constant
     probability where the labels are not of two kinds."""
-    per = {r["label"]: r["n"] for r in labelled.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
-    if not per.get(1) or not per.get(0):
-        return 1.0 if per.get(1) else 0.0
-    limit = F.when(F.col("label") == 1, F.lit(min(1.0, sample / per[1]))).otherwise(F.lit(min(1.0, sample / per[0])))
-    mark = F.pmod(F.xxhash64("value"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    one = (labelled.where(mark < limit).groupBy("label", "value").agg(F.min(F.struct(*FEATURES)).alias("f"))
+    mark = F.pmod(F.xxhash64("value"), F.lit(1 << 30))
+    per = {r["label"]: r for r in labelled.select("label", mark.alias("h")).groupBy("label")
+           .agg(F.countDistinct("h").alias("n"), F.min("h").alias("least")).collect()}
+    if 1 not in per or 0 not in per:
+        return 1.0 if 1 in per else 0.0
+    # rates follow the distinct values; the value of the least hash always passes, so the sample has both classes
+    rate = {k: max(int(min(1.0, sample / r["n"]) * (1 << 30)), r["least"]) for k, r in per.items()}
+    limit = F.when(F.col("label") == 1, F.lit(rate[1])).otherwise(F.lit(rate[0]))
+    one = (labelled.where(mark <= limit).groupBy("label", "value").agg(F.min(F.struct(*FEATURES)).alias("f"))
            .select("label", "value", "f.*").orderBy("label", "value").limit(4 * sample))
     again = one.where("label = 1").withColumns({c: F.lit(0.0) for c in NEIGHBOURS})
     rows = held(one.unionByName(again).orderBy("value", *FEATURES).coalesce(1), "labelled")   # a bounded sample, one file: bagging is the same on every run

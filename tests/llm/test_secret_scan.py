@@ -58,3 +58,18 @@ def test_unlabelled_secret_is_told_from_long_words(spark):
     assert secret_scan.scan(_docs(spark, rows).limit(0)).count() == 0
     only = secret_scan.scan(_docs(spark, [(1, "a plainverylongwordhere")])).collect()
     assert [r.is_secret for r in only] == [False]
+
+
+def test_copies_do_not_push_values_out_of_training(spark, monkeypatch):
+    prepare(spark)
+    kept = []
+    monkeypatch.setattr(secret_scan, "held", lambda df, name: kept.append(df.collect()) or df)
+    row = lambda value, label, x: (value, label, *[float(x)] * len(secret_scan.FEATURES))
+    rows = [row(f"secret{i}", 1, i % 7) for i in range(20)] + [row("hot", 1, 3)] * 20_000
+    rows += [row(f"word{i}", 0, 9 + i % 5) for i in range(20)] + [row("hot word", 0, 9)] * 20_000
+    schema = "value string, label int, " + ", ".join(f"{c} double" for c in secret_scan.FEATURES)
+    model = secret_scan.train(spark.createDataFrame(rows, schema), sample=100)
+    assert not isinstance(model, float)
+    assert len({r.value for r in kept[0] if r.label == 1}) == len({r.value for r in kept[0] if r.label == 0}) == 21
+    secret_scan.train(spark.createDataFrame(rows, schema), sample=1)
+    assert {r.label for r in kept[1]} == {0, 1}
