@@ -123,9 +123,19 @@ def op10_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edited_likeness(_read(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links of two tokenizers' tokens in every document."""
+    import public_tokenizers
+
+    from .token_alignment import aligned_documents
+    out = aligned_documents(_read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                            public_tokenizers.path("piece_bpe_32k.model"))
+    return out.withColumn("doc_id", F.col("doc_id").cast("long"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_language_id, op2_embedding_near_dedup, op3_best_fit_packing, op4_substring_dedup, op5_source_mixing,
                                 op6_secret_scan, op7_url_filters,
-                                op8_minhash_near_dedup, op9_line_dedup, op10_document_fingerprints)
+                                op8_minhash_near_dedup, op9_line_dedup, op10_document_fingerprints, op13_token_alignment)
 }
 ORACLES: dict[str, str] = {"op5_source_mixing": MIX_SQL, "op7_url_filters": URL_SQL}
