@@ -123,6 +123,31 @@ def op10_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edited_likeness(_read(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents of every benchmark item."""
+    from .lexical_search import rank_documents
+    return rank_documents(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+
+
+RANK_SQL = r"""
+WITH t AS (SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+             '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents),
+q AS (SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+             '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+size AS (SELECT doc_id, count(*) AS n FROM t GROUP BY doc_id),
+whole AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS total FROM size),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM t WHERE term IN (SELECT term FROM q) GROUP BY doc_id, term),
+weight AS (SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+           FROM tf CROSS JOIN whole GROUP BY term, docs),
+part AS (SELECT doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * n * docs) // total))) AS v
+         FROM tf JOIN weight USING (term) JOIN size USING (doc_id) CROSS JOIN whole),
+scored AS (SELECT item_id, doc_id, CAST(sum(v) AS BIGINT) AS score FROM q JOIN part USING (term) GROUP BY item_id, doc_id),
+ranked AS (SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank,
+             doc_id, score FROM scored WHERE score > 0)
+SELECT * FROM ranked WHERE rank <= 10
+"""
+
+
 def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups and links of two tokenizers' tokens in every document."""
     import public_tokenizers
@@ -136,6 +161,6 @@ def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_language_id, op2_embedding_near_dedup, op3_best_fit_packing, op4_substring_dedup, op5_source_mixing,
                                 op6_secret_scan, op7_url_filters,
-                                op8_minhash_near_dedup, op9_line_dedup, op10_document_fingerprints, op13_token_alignment)
+                                op8_minhash_near_dedup, op9_line_dedup, op10_document_fingerprints, op11_lexical_search, op13_token_alignment)
 }
-ORACLES: dict[str, str] = {"op5_source_mixing": MIX_SQL, "op7_url_filters": URL_SQL}
+ORACLES: dict[str, str] = {"op5_source_mixing": MIX_SQL, "op7_url_filters": URL_SQL, "op11_lexical_search": RANK_SQL}
