@@ -148,6 +148,18 @@ SELECT * FROM ranked WHERE rank <= 10
 """
 
 
+def op12_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality of every whole document, learnt from two thirds of the labels."""
+    from .quality_rules import score_quality
+
+    def apart(id_col: str):
+        return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit(""))) % 3 == 1
+
+    scored, _ = score_quality(_read(spark, sf_dir, "documents").select("doc_id", "text"), _read(spark, sf_dir, "labels"), ~apart("id"))
+    score = F.col("quality_score")
+    return scored.select("doc_id", apart("doc_id").alias("held_out"), score.alias("score"), F.when(score >= 0.5, 1).otherwise(0).alias("predicted"))
+
+
 def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups and links of two tokenizers' tokens in every document."""
     import public_tokenizers
@@ -161,6 +173,7 @@ def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_language_id, op2_embedding_near_dedup, op3_best_fit_packing, op4_substring_dedup, op5_source_mixing,
                                 op6_secret_scan, op7_url_filters,
-                                op8_minhash_near_dedup, op9_line_dedup, op10_document_fingerprints, op11_lexical_search, op13_token_alignment)
+                                op8_minhash_near_dedup, op9_line_dedup, op10_document_fingerprints, op11_lexical_search, op12_quality_classifier,
+                                op13_token_alignment)
 }
 ORACLES: dict[str, str] = {"op5_source_mixing": MIX_SQL, "op7_url_filters": URL_SQL, "op11_lexical_search": RANK_SQL}

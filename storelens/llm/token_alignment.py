@@ -28,7 +28,7 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Iterator
-from itertools import accumulate
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
@@ -105,34 +105,53 @@ class Pieces:
         return self.model.encode(text)
 
 
+class Joined:
+    """Byte strings by number in one buffer, so that many are joined by one gather."""
+
+    def __init__(self, parts: list[bytes]):
+        self.length = np.array([len(p) for p in parts], dtype=np.int64)
+        self.start = np.cumsum(self.length) - self.length
+        self.data = np.frombuffer(b"".join(parts), dtype=np.uint8)
+
+    def take(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The joined bytes of the strings with these numbers, and where each ends."""
+        n = self.length[numbers]
+        ends = np.cumsum(n)
+        at = np.repeat(self.start[numbers] - (ends - n), n)
+        at += np.arange(len(at))
+        return self.data[at], ends
+
+
 class Side:
     """One tokenizer with what the alignment looks up by id."""
 
-    def __init__(self, tokens: ByteLevel | Pieces, last: str):
-        self.encode, self.bytes = tokens.encode, tokens.bytes
-        self.lengths = np.array([len(b) for b in tokens.bytes], dtype=np.int64)
-        # decimal ids: first those inside a group, then those that end its side
-        self.written = [f"{i}," for i in range(len(self.bytes))] + [f"{i}{last}" for i in range(len(self.bytes))]
+    def __init__(self, tokens: ByteLevel | Pieces):
+        self.encode, self.size, self.tokens = tokens.encode, len(tokens.bytes), Joined(tokens.bytes)
+
 
+def _written(a: Side, b: Side) -> Joined:
+    """Decimal ids with what follows them: ids of A inside and at the end of their group, then those of B."""
+    return Joined([f"{i}{end}".encode() for side, ends in ((a, ",|"), (b, ",;")) for end in ends for i in range(side.size)])
 
-_WORKER: dict[tuple[str, str], tuple[Side, Side]] = {}
 
+_WORKER: dict[tuple[str, str], tuple[Side, Side, Joined]] = {}
 
-def sides(path_a: str, path_b: str) -> tuple[Side, Side]:
-    """Both tokenizers, loaded once in a Python worker."""
+
+def sides(path_a: str, path_b: str) -> tuple[Side, Side, Joined]:
+    """Both tokenizers and the written ids, loaded once in a Python worker."""
     if (path_a, path_b) not in _WORKER:
-        _WORKER[path_a, path_b] = Side(ByteLevel(path_a), "|"), Side(Pieces(path_b), ";")
+        a, b = Side(ByteLevel(path_a)), Side(Pieces(path_b))
+        _WORKER[path_a, path_b] = a, b, _written(a, b)
     return _WORKER[path_a, path_b]
 
 
 # ---------------------------------------------------------------- alignment
-def shared_ends(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Behind how many tokens of either side each common end lies, in order."""
-    at_a = dict(zip(ends_a.tolist(), range(1, len(ends_a) + 1)))
-    at_b = dict(zip(ends_b.tolist(), range(1, len(ends_b) + 1)))
+def shared_ends(ends_a: list[int], ends_b: list[int]) -> tuple[list[int], list[int]]:
+    """Behind how many tokens of either side each common end of a text lies, in order."""
+    at_a = dict(zip(ends_a, range(1, len(ends_a) + 1)))
+    at_b = dict(zip(ends_b, range(1, len(ends_b) + 1)))
     both = sorted(at_a.keys() & at_b.keys())
-    return (np.fromiter(map(at_a.__getitem__, both), np.int64, len(both)),
-            np.fromiter(map(at_b.__getitem__, both), np.int64, len(both)))
+    return list(map(at_a.__getitem__, both)), list(map(at_b.__getitem__, both))
 
 
 def slice_links(ends_a: np.ndarray, ends_b: np.ndarray, stop_a: np.ndarray, stop_b: np.ndarray
@@ -155,53 +174,76 @@ def slice_links(ends_a: np.ndarray, ends_b: np.ndarray, stop_a: np.ndarray, stop
     return np.cumsum(step_a) - 1, np.cumsum(step_b) - 1
 
 
+def _flat(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    off = np.array([0, *accumulate(map(len, lists))], dtype=np.int64)
+    return np.fromiter(chain.from_iterable(lists), np.int64, off[-1]), off
+
+
+def _faithful(ids: np.ndarray, off: np.ndarray, tokens: Joined, data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Which texts (bytes ``data[at[k]:at[k + 1]]``) their tokens' bytes join to."""
+    joined, ends = tokens.take(ids)
+    ends = np.concatenate(([0], ends))[off]
+    ok = np.diff(ends) == np.diff(at)
+    if len(joined) == len(data) and ok.all() and np.array_equal(joined, data):
+        return ok
+    for k in np.flatnonzero(ok):
+        ok[k] = np.array_equal(joined[ends[k]:ends[k + 1]], data[at[k]:at[k + 1]])
+    return ok
+
+
 class _Aligned:
     """Counts, written groups and linked pairs of a batch of texts."""
 
-    def __init__(self, texts: list[str | None], a: Side, b: Side):
+    def __init__(self, texts: list[str | None], a: Side, b: Side, written: Joined):
         self.n = len(texts)
-        ids_a, ids_b, rows, size = [], [], [], []
-        for k, t in enumerate(texts):
-            if not t:
-                continue
-            want = (" " + t).encode()
-            x, y = a.encode(" " + t), b.encode(t)
-            if b"".join(map(a.bytes.__getitem__, x)) == want == b"".join(map(b.bytes.__getitem__, y)):
-                rows.append(k)
-                size.append(len(want))
-                ids_a.append(x)
-                ids_b.append(y)
-        off_a, off_b = ([0, *accumulate(map(len, x))] for x in (ids_a, ids_b))
-        flat_a, flat_b = (np.fromiter((i for x in ids for i in x), np.int64, off[-1])
-                          for ids, off in ((ids_a, off_a), (ids_b, off_b)))
-        ends_a, ends_b = np.cumsum(a.lengths[flat_a]), np.cumsum(b.lengths[flat_b])
-        stop_a, stop_b = shared_ends(ends_a, ends_b)
-        left, right = slice_links(ends_a, ends_b, stop_a, stop_b) if rows else (flat_a, flat_b)
+        rows = [k for k, t in enumerate(texts) if t]
+        ids_a, ids_b = [a.encode(" " + texts[k]) for k in rows], [b.encode(texts[k]) for k in rows]
+        raw = [b" " + texts[k].encode() for k in rows]
+        data = np.frombuffer(b"".join(raw), dtype=np.uint8)
+        at = np.array([0, *accumulate(map(len, raw))], dtype=np.int64)
+        (flat_a, off_a), (flat_b, off_b) = _flat(ids_a), _flat(ids_b)
+        ok = _faithful(flat_a, off_a, a.tokens, data, at) & _faithful(flat_b, off_b, b.tokens, data, at)
+        if not ok.all():
+            keep = np.flatnonzero(ok)
+            rows = [rows[k] for k in keep]
+            (flat_a, off_a), (flat_b, off_b) = _flat([ids_a[k] for k in keep]), _flat([ids_b[k] for k in keep])
+        del raw, data
+        ends_a, ends_b = np.cumsum(a.tokens.length[flat_a]), np.cumsum(b.tokens.length[flat_b])
+        stop_a, stop_b, n_groups = [], [], np.zeros(len(rows), np.int64)
+        for k in range(len(rows)):                       # ends run on over the texts, so do token numbers
+            x, y = shared_ends(ends_a[off_a[k]:off_a[k + 1]].tolist(), ends_b[off_b[k]:off_b[k + 1]].tolist())
+            stop_a.append(np.array(x, dtype=np.int64) + off_a[k])
+            stop_b.append(np.array(y, dtype=np.int64) + off_b[k])
+            n_groups[k] = len(x)
+        stop_a, stop_b = (np.concatenate([*x, np.zeros(0, np.int64)]) for x in (stop_a, stop_b))
+        left, right = slice_links(ends_a, ends_b, stop_a, stop_b)
         text_of = np.repeat(np.array(rows, dtype=np.int64), np.diff(off_a))
         self.counts = np.zeros((4, self.n), np.int64)    # tokens of A and B, groups, links
-        self.counts[0, rows], self.counts[1, rows] = np.diff(off_a), np.diff(off_b)
-        self.counts[2] = np.bincount(text_of[stop_a - 1], minlength=self.n)
+        self.counts[0, rows], self.counts[1, rows], self.counts[2, rows] = np.diff(off_a), np.diff(off_b), n_groups
         self.counts[3] = np.bincount(text_of[left], minlength=self.n)
-        self.groups = [""] * self.n
-        self._write(a, b, flat_a, flat_b, stop_a, stop_b, rows, off_a, off_b)
+        self.groups = self._write(written, a.size, b.size, flat_a, flat_b, stop_a, stop_b)
         pair = (text_of[left] << (_A_BITS + _B_BITS)) | (flat_a[left] << _B_BITS) | flat_b[right]
         pair, self.times = np.unique(pair, return_counts=True)
         self.pairs = pair & ((1 << (_A_BITS + _B_BITS)) - 1)
         self.own = np.bincount(pair >> (_A_BITS + _B_BITS), minlength=self.n)
 
-    def _write(self, a: Side, b: Side, flat_a, flat_b, stop_a, stop_b, rows, off_a, off_b) -> None:
+    def _write(self, written: Joined, size_a: int, size_b: int, flat_a, flat_b, stop_a, stop_b) -> pa.Array:
+        """Written groups of all texts, without the mark behind a text's last one."""
         group_a = np.searchsorted(stop_a, np.arange(len(flat_a)), side="right")
         group_b = np.searchsorted(stop_b, np.arange(len(flat_b)), side="right")
-        code_a, code_b = flat_a.copy(), flat_b + len(a.written)
-        code_a[stop_a - 1] += len(a.bytes)
-        code_b[stop_b - 1] += len(b.bytes)
+        code_a, code_b = flat_a.copy(), flat_b + 2 * size_a
+        code_a[stop_a - 1] += size_a
+        code_b[stop_b - 1] += size_b
         code = np.empty(len(flat_a) + len(flat_b), np.int64)
         code[np.arange(len(flat_a)) + np.concatenate(([0], stop_b))[group_a]] = code_a
         code[np.arange(len(flat_b)) + stop_a[group_b]] = code_b
-        written = a.written + b.written
-        for k, i in enumerate(rows):
-            part = code[off_a[k] + off_b[k]:off_a[k + 1] + off_b[k + 1]]
-            self.groups[i] = "".join(map(written.__getitem__, part.tolist()))[:-1]
+        data, ends = written.take(code)
+        ends = np.concatenate(([0], ends))[np.concatenate(([0], np.cumsum(self.counts[0] + self.counts[1])))]
+        last = ends[1:][np.diff(ends) > 0] - 1
+        data = np.delete(data, last)
+        off = ends - np.searchsorted(last, ends)
+        return pa.LargeStringArray.from_buffers(self.n, pa.py_buffer(off.astype(np.int64).tobytes()),
+                                                pa.py_buffer(data.tobytes()))
 
 
 def _runs(col: pa.Array) -> Iterator[tuple[int, list[str | None]]]:
@@ -219,7 +261,7 @@ def _runs(col: pa.Array) -> Iterator[tuple[int, list[str | None]]]:
 
 def _align(path_a: str, path_b: str, names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        a, b = sides(path_a, path_b)
+        a, b, written = sides(path_a, path_b)
         task = TaskContext.get().partitionId() << 32
         block, size, ids, parts = 0, 0, [], []
 
@@ -235,7 +277,7 @@ def _align(path_a: str, path_b: str, names: list[str]):
             id_col = pa.concat_arrays([*ids, pa.nulls(1, ids[0].type)])
             cols = [pa.array(np.full(n + 1, task + block)), pa.array([True] * n + [False]), id_col,
                     *(pa.array(np.append(c, 0)) for c in counts),
-                    pa.array([g for p in parts for g in p.groups] + [""], pa.string()),
+                    pa.concat_arrays([*(p.groups for p in parts), pa.array([""], pa.large_string())]).cast(pa.string()),
                     pa.ListArray.from_arrays(off, pa.array(place.astype(np.int32))),
                     pa.ListArray.from_arrays(off, pa.array(times.astype(np.int32))),
                     pa.ListArray.from_arrays(off2, pa.array(pairs)),
@@ -244,7 +286,7 @@ def _align(path_a: str, path_b: str, names: list[str]):
 
         for batch in batches:
             for lo, texts in _runs(batch.column(1)):
-                parts.append(_Aligned(texts, a, b))
+                parts.append(_Aligned(texts, a, b, written))
                 ids.append(batch.column(0).slice(lo, len(texts)))
                 size += sum(map(len, texts)) if None not in texts else sum(len(t or "") for t in texts)
                 if size >= BLOCK_BYTES:

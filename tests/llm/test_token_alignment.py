@@ -120,7 +120,7 @@ def test_links_of_random_cuts():
     for _ in range(300):
         n = int(rnd.integers(1, 40))
         a, b = (np.append(np.flatnonzero(rnd.random(n - 1) < p) + 1, n) if n > 1 else np.array([1]) for p in rnd.random(2))
-        stop_a, stop_b = ta.shared_ends(a, b)
+        stop_a, stop_b = map(np.array, ta.shared_ends(a.tolist(), b.tolist()))
         assert (a[stop_a - 1] == b[stop_b - 1]).all() and set(a[stop_a - 1]) == set(a) & set(b)
         left, right = ta.slice_links(a, b, stop_a, stop_b)
         at = np.arange(n)
