@@ -113,7 +113,7 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .line_dedup import line_dedup
     out = line_dedup(_read(spark, sf_dir, "documents").select("doc_id", "text"))
     lines = F.when(F.col("text").isNotNull(), F.size(F.split("text", "\n", -1))).otherwise(0)
-    return out.select("doc_id", lines.cast("long").alias("lines_left"), F.array_sort("_gone").alias("lines_deleted"),
+    return out.select("doc_id", lines.cast("long").alias("lines_left"), F.col("_gone").alias("lines_deleted"),
                       F.length("text").cast("long").alias("n_chars"), F.sha2("text", 256).alias("text_sha256"))
 
 

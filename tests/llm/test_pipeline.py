@@ -8,8 +8,8 @@ from tests.conftest import SF001
 
 pytest.importorskip("storelens.llm")
 import corpus_pipeline  # noqa: E402
-from storelens.llm import common, language_id, mixing, queries  # noqa: E402
-from tests.llm.test_line_dedup import _brute as plain_lines  # noqa: E402
+from storelens.llm import common, language_id, line_dedup, mixing, queries  # noqa: E402
+from tests.llm.test_line_dedup import check_against_all_pairs  # noqa: E402
 from tests.llm.test_near_dedup import _groups as plain_groups  # noqa: E402
 from tests.llm.test_packing import _check as check_packing  # noqa: E402
 
@@ -44,10 +44,11 @@ def test_language_stage_drops_texts_without_letters_only(spark, steps):
     assert {r.doc_id for r in kept.collect()} == after
 
 
-def test_line_stage(steps):
+def test_line_stage(spark, steps):
     before, after = _rows(steps[1]), dict(_rows(steps[2]))
-    want = plain_lines(before)
-    assert after == {d: want[d] for d, t in before if want[d] == t or want[d].strip()}
+    deduped = {r.doc_id: r for r in line_dedup.line_dedup(steps[1]).collect()}
+    check_against_all_pairs(before, {d: set(r._gone) for d, r in deduped.items()})
+    assert after == {d: deduped[d].text for d, t in before if deduped[d].text == t or deduped[d].text.strip()}
     assert len(after) < len(before)
     assert all(r.n_chars == len(r.text) for r in steps[2].collect() if r.text != dict(before)[r.doc_id])
 
