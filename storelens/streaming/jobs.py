@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from storelens.functions.metrics import PROMO_ABUSE, exact_ratio
 from storelens.operators.offenders import PROMO_EVENT, audit_status
@@ -29,15 +29,19 @@ HOUR_US = 3600 * 1_000_000
 
 
 # ------------------------------------------------------------- T-01
+#: Bytes of event files that one micro-batch takes, at most (a single larger file is taken whole).
+BATCH_BYTES = 1 << 30
+
+
 def stream_events(spark: SparkSession, folder: str, file_glob: str = "events*.parquet",
                   max_files_per_trigger: int | None = None) -> DataFrame:
     """T-01: the POS event files of ``folder`` (those matching ``file_glob``)
-    as an append stream with the declared schema; ``ts`` becomes a
+    as an append stream with the declared schema, in micro-batches of at most
+    ``BATCH_BYTES`` or so many files; ``ts`` becomes a
     session-zone timestamp so it can carry a watermark (timestamp_ntz
     cannot)."""
     r = spark.readStream.schema(SCHEMAS["events"]).option("pathGlobFilter", file_glob)
-    if max_files_per_trigger:
-        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+    r = r.option("maxFilesPerTrigger", max_files_per_trigger) if max_files_per_trigger else r.option("maxBytesPerTrigger", BATCH_BYTES)
     return r.parquet(folder).withColumn("ts", F.col("ts").cast("timestamp"))
 
 
@@ -52,155 +56,141 @@ def alerts_stream(events: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------- T-02
-_STATE = T.StructType([T.StructField("ts", T.ArrayType(T.LongType())),
-                       T.StructField("kind", T.ArrayType(T.IntegerType())),
-                       T.StructField("cents", T.ArrayType(T.LongType()))])
+#: One row of state for each event that a later window may still hold.
+_EVENT = T.StructType([
+    T.StructField("us", T.LongType()), T.StructField("kind", T.IntegerType()), T.StructField("cents", T.LongType()),
+    T.StructField("alert_id", T.LongType()), T.StructField("store_id", T.StringType()), T.StructField("pending", T.BooleanType())])
 _OUT = T.StructType([
     T.StructField("cashier_id", T.StringType()), T.StructField("store_id", T.StringType()),
     T.StructField("event_id", T.LongType()), T.StructField("event_us", T.LongType()),
     T.StructField("txn_count", T.LongType()), T.StructField("override_count", T.LongType()),
     T.StructField("promo_count", T.LongType()), T.StructField("cents_sum", T.LongType())])
-#: A cashier's timeline is cut into buckets of this width, so that no group holds a hot cashier's whole
-#: backlog; a bucket's last window of events is also context of the next bucket.
-BUCKET_US = 6 * HOUR_US
-
-
-def _bucketed(events: DataFrame, window_us: int, bucket_us: int) -> DataFrame:
-    """Add bucket and own (whether the event is answered in that bucket or only context there)."""
-    at = F.floor(F.col("us") / F.lit(bucket_us)).cast("long")
-    tail = F.col("us") - at * F.lit(bucket_us) >= F.lit(bucket_us - window_us)
-    shift = F.explode(F.when(tail, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
-    return (events.withColumn("_at", at).withColumn("_shift", shift)
-            .withColumn("bucket", F.col("_at") + F.col("_shift")).withColumn("own", F.col("_shift") == 0).drop("_at", "_shift"))
-
-
-def _trailing_state_fn(window_us: int, keep_us: int):
-    """Per cashier and bucket: buffered events of the last ``keep_us`` plus this batch;
-    every new event of the bucket's own gets counts over [ts - window, ts] (peers included),
-    computed with sorted prefix sums (vectorised, no per-row Python)."""
-
-    def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState):
-        if state.hasTimedOut:
-            state.remove()
-            return
-        new = pd.concat(list(pdfs), ignore_index=True)
-        if state.exists:
-            ts0, kind0, cents0 = state.get
-            old = pd.DataFrame({"us": np.asarray(ts0, dtype=np.int64), "kind": np.asarray(kind0, dtype=np.int32),
-                                "cents": np.asarray(cents0, dtype=np.int64)})
+_EVENT_COLS = _EVENT.fieldNames()
+
+
+def trailing_counts(us: np.ndarray, kind: np.ndarray, cents: np.ndarray, at: np.ndarray, window_us: int) -> dict[str, np.ndarray]:
+    """Counts and sums over [t - window, t], peers at t included, for every t of ``at``; ``us`` is sorted."""
+    lo, hi = np.searchsorted(us, at - window_us, side="left"), np.searchsorted(us, at, side="right")
+
+    def between(x: np.ndarray) -> np.ndarray:
+        total = np.concatenate(([0], np.cumsum(x, dtype=np.int64)))
+        return total[hi] - total[lo]
+
+    return {"txn_count": (hi - lo).astype(np.int64), "override_count": between(kind == 1),
+            "promo_count": between(kind == 2), "cents_sum": between(cents)}
+
+
+class _Trailing(StatefulProcessor):
+    """Keyed state of a cashier: the events that a window of a later event can still hold, as a list.
+
+    A call gets all of a micro-batch's events of the cashier, so state is read and written
+    once, however many they are. Event-time timers end the state of cashiers that fall silent."""
+
+    def __init__(self, window_us: int, delay_us: int):
+        self.window_us, self.delay_us = window_us, delay_us
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.events = handle.getListState("events", _EVENT)
+
+    def close(self) -> None:
+        pass
+
+    def _held(self) -> pd.DataFrame:
+        rows = list(self.events.get())
+        return _frame(dict(zip(_EVENT_COLS, zip(*rows))) if rows else {c: () for c in _EVENT_COLS})
+
+    def _keep(self, events: pd.DataFrame) -> None:
+        if events.empty:
+            self.events.clear()
         else:
-            old = pd.DataFrame({"us": np.zeros(0, np.int64), "kind": np.zeros(0, np.int32),
-                                "cents": np.zeros(0, np.int64)})
-        allv = pd.concat([old, new[["us", "kind", "cents"]]], ignore_index=True).sort_values("us", kind="stable")
-        us = allv["us"].to_numpy(np.int64)
-        ov = np.concatenate([[0], np.cumsum(allv["kind"].to_numpy() == 1)])
-        pr = np.concatenate([[0], np.cumsum(allv["kind"].to_numpy() == 2)])
-        ct = np.concatenate([[0], np.cumsum(allv["cents"].to_numpy(np.int64))])
-        new = new[new["own"].to_numpy(bool)]
-        t = new["us"].to_numpy(np.int64)
-        lo = np.searchsorted(us, t - window_us, side="left")
-        hi = np.searchsorted(us, t, side="right")
-        yield pd.DataFrame({
-            "cashier_id": new["cashier_id"], "store_id": new["store_id"], "event_id": new["alert_id"],
-            "event_us": t, "txn_count": (hi - lo).astype(np.int64), "override_count": (ov[hi] - ov[lo]).astype(np.int64),
-            "promo_count": (pr[hi] - pr[lo]).astype(np.int64), "cents_sum": (ct[hi] - ct[lo]).astype(np.int64)})
-        horizon = int(us.max()) - keep_us
-        kept = allv[allv["us"] >= horizon]
-        state.update((kept["us"].tolist(), kept["kind"].astype(int).tolist(), kept["cents"].tolist()))
-        # drop the key's state once the watermark is past its last window
-        state.setTimeoutTimestamp(int(us.max()) // 1000 + keep_us // 1000)
-    return fn
-
-
-_STATE_WM = T.StructType([T.StructField("ts", T.ArrayType(T.LongType())),
-                          T.StructField("kind", T.ArrayType(T.IntegerType())),
-                          T.StructField("cents", T.ArrayType(T.LongType())),
-                          T.StructField("eid", T.ArrayType(T.LongType())),
-                          T.StructField("store", T.ArrayType(T.StringType())),
-                          T.StructField("pending", T.ArrayType(T.BooleanType()))])
-
-
-def _trailing_watermark_fn(window_us: int, delay_us: int):
-    """Per cashier and bucket: the bucket's own events wait in state until the watermark passes them;
-    then every earlier event has arrived (later-than-watermark rows are
-    dropped by Spark), so their trailing counts are final and equal the
-    batch RANGE window whatever the arrival order."""
-
-    def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState):
-        wm_us = state.getCurrentWatermarkMs() * 1000
-        cols = ["us", "kind", "cents", "eid", "store", "pending"]
-        parts = []
-        if state.exists:
-            ts0, kind0, cents0, eid0, store0, pend0 = state.get
-            parts.append(pd.DataFrame({"us": np.asarray(ts0, np.int64), "kind": np.asarray(kind0, np.int32),
-                                       "cents": np.asarray(cents0, np.int64), "eid": np.asarray(eid0, np.int64),
-                                       "store": list(store0), "pending": np.asarray(pend0, bool)}))
-        if not state.hasTimedOut:
-            for p in pdfs:
-                parts.append(pd.DataFrame({"us": p["us"].to_numpy(np.int64), "kind": p["kind"].to_numpy(np.int32),
-                                           "cents": p["cents"].to_numpy(np.int64),
-                                           "eid": p["alert_id"].to_numpy(np.int64), "store": p["store_id"].tolist(),
-                                           "pending": p["own"].to_numpy(bool)}))
-        if not parts:
-            state.remove()
-            return
-        allv = pd.concat(parts, ignore_index=True).sort_values("us", kind="stable").reset_index(drop=True)
-        us = allv["us"].to_numpy(np.int64)
-        ready = allv["pending"].to_numpy(bool) & (us <= wm_us)
+            self.events.put(list(zip(*(events[c].tolist() for c in _EVENT_COLS))))
+
+    def _answers(self, cashier: str, events: pd.DataFrame, asked: np.ndarray) -> pd.DataFrame:
+        """Rows of the events marked in ``asked``; ``events`` are sorted by time."""
+        us = events["us"].to_numpy(np.int64)
+        out = trailing_counts(us, events["kind"].to_numpy(), events["cents"].to_numpy(np.int64), us[asked], self.window_us)
+        return pd.DataFrame({"cashier_id": cashier, "store_id": events["store_id"].to_numpy()[asked],
+                             "event_id": events["alert_id"].to_numpy(np.int64)[asked], "event_us": us[asked], **out})
+
+
+def _frame(columns) -> pd.DataFrame:
+    return pd.DataFrame({c: np.asarray(columns[c], dtype=t) for c, t in zip(
+        _EVENT_COLS, (np.int64, np.int32, np.int64, np.int64, object, bool))})
+
+
+class _AnswerOnArrival(_Trailing):
+    """Every event is answered in the batch that brings it. State: the last window + delay."""
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        new = pd.concat(list(rows), ignore_index=True).assign(pending=True)
+        events = pd.concat([self._held(), _frame(new)], ignore_index=True).sort_values("us", kind="stable", ignore_index=True)
+        yield self._answers(key[0], events, events["pending"].to_numpy())
+        last = int(events["us"].iloc[-1])
+        self._keep(events[events["us"] >= last - self.window_us - self.delay_us].assign(pending=False))
+        self.handle.registerTimer((last + self.window_us + self.delay_us) // 1000)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        events = self._held()
+        if len(events) and int(events["us"].iloc[-1]) + self.window_us + self.delay_us <= expiredTimerInfo.getExpiryTimeInMs() * 1000 + 999:
+            self.events.clear()                      # no event has come since the timer was set
+        return iter(())
+
+
+class _AnswerOnWatermark(_Trailing):
+    """Events wait in state until a timer finds the watermark past them. Every earlier event
+    has then arrived (Spark drops later ones), so answers are final and equal the
+    batch RANGE window whatever the order of arrival. State: window + delay."""
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        new = _frame(pd.concat(list(rows), ignore_index=True).assign(pending=True))
+        self.events.appendList(list(zip(*(new[c].tolist() for c in _EVENT_COLS))))
+        self.handle.registerTimer(int(new["us"].min()) // 1000)
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        now = timerValues.getCurrentWatermarkInMs() * 1000
+        events = self._held().sort_values("us", kind="stable", ignore_index=True)
+        ready = (events["pending"] & (events["us"] <= now)).to_numpy()
         if ready.any():
-            ov = np.concatenate([[0], np.cumsum(allv["kind"].to_numpy() == 1)])
-            pr = np.concatenate([[0], np.cumsum(allv["kind"].to_numpy() == 2)])
-            ct = np.concatenate([[0], np.cumsum(allv["cents"].to_numpy(np.int64))])
-            t = us[ready]
-            lo = np.searchsorted(us, t - window_us, side="left")
-            hi = np.searchsorted(us, t, side="right")
-            yield pd.DataFrame({
-                "cashier_id": key[0], "store_id": allv.loc[ready, "store"].to_numpy(),
-                "event_id": allv.loc[ready, "eid"].to_numpy(np.int64), "event_us": t,
-                "txn_count": (hi - lo).astype(np.int64), "override_count": (ov[hi] - ov[lo]).astype(np.int64),
-                "promo_count": (pr[hi] - pr[lo]).astype(np.int64), "cents_sum": (ct[hi] - ct[lo]).astype(np.int64)})
-            allv.loc[ready, "pending"] = False
-        pend = allv["pending"].to_numpy(bool)
-        # keep pending events and the history that they, or events that may still arrive
-        # (none before the watermark), can look back on
-        floor = min(us[pend].min() if pend.any() else wm_us, wm_us) - window_us
-        kept = allv[pend | (us >= floor)]
-        if kept.empty:
-            state.remove()
-            return
-        state.update(tuple(kept[c].tolist() for c in cols))
-        if pend.any():
-            # wake up when the watermark passes the oldest pending event
-            state.setTimeoutTimestamp(max(int(us[pend].min()) // 1000, wm_us // 1000))
-        else:
-            state.setTimeoutTimestamp(int(us.max()) // 1000 + (window_us + delay_us) // 1000)
-    return fn
+            yield self._answers(key[0], events, ready)
+        events["pending"] &= ~ready
+        waiting = events.loc[events["pending"], "us"]
+        # what waits, and the history of events that wait or may still come (none before the watermark)
+        floor = min(int(waiting.min()) if len(waiting) else now, now) - self.window_us
+        kept = events[events["pending"] | (events["us"] >= floor)]
+        if ready.any() or len(kept) < len(events):
+            self._keep(kept)
+        if len(waiting):
+            self.handle.registerTimer(int(waiting.min()) // 1000)
+        elif len(kept):
+            self.handle.registerTimer((int(kept["us"].max()) + self.window_us) // 1000 + 1)
 
 
 def stream_trailing(alerts: DataFrame, window_us: int = HOUR_US, delay: str = "10 minutes",
                     delay_us: int = 600 * 1_000_000, emit: str = "arrival") -> DataFrame:
-    """T-02: per-event trailing-window cashier metrics on a stream, with
-    ``applyInPandasWithState``.
+    """T-02: per-event trailing-window cashier metrics on a stream: keyed state
+    with event-time timers (``transformWithStateInPandas``), one call per cashier and micro-batch.
 
     ``emit="arrival"`` answers at once (the live view): late events within
     the watermark delay are counted in the windows of events that arrive
-    after them, and state per cashier holds ``window + delay`` of history.
-    On in-order input the output equals the batch RANGE window (A-04).
+    after them. On in-order input the output equals the batch RANGE window (A-04).
     ``emit="watermark"`` holds each event until the watermark passes it and
-    is then exact for any arrival order, one watermark delay later."""
+    is then exact for any arrival order, one watermark delay later.
+
+    Either way a cashier's state is what arrived in the last ``window + delay``, so a hot
+    cashier's does not grow with the stream, and a call holds that and one micro-batch, which the
+    source bounds (``stream_events``)."""
     ship_package(alerts.sparkSession)
+    use_rocksdb(alerts.sparkSession)
     x = (alerts.withWatermark("alert_ts", delay)
          .withColumn("us", F.unix_micros("alert_ts"))
          .withColumn("kind", F.when(F.col("alert_type") == PROMO_ABUSE, 1)
                      .when(F.col("alert_type") == PROMO_EVENT, 2).otherwise(0))
          .withColumn("cents", (F.col("discount_usd") * 100).cast("long"))
          .select("cashier_id", "store_id", "alert_id", "alert_ts", "us", "kind", "cents"))
-    x = _bucketed(x, window_us, BUCKET_US)
-    if emit == "watermark":
-        fn, st = _trailing_watermark_fn(window_us, delay_us), _STATE_WM
-    else:
-        fn, st = _trailing_state_fn(window_us, window_us + delay_us), _STATE
-    out = x.groupBy("cashier_id", "bucket").applyInPandasWithState(fn, _OUT, st, "append", GroupStateTimeout.EventTimeTimeout)
+    answer = (_AnswerOnWatermark if emit == "watermark" else _AnswerOnArrival)(window_us, delay_us)
+    out = x.groupBy("cashier_id").transformWithStateInPandas(answer, _OUT, "append", "eventtime")
     return out.select(
         F.concat_ws("#", "store_id", "cashier_id", F.col("event_id").cast("string")).alias("row_key"),
         "store_id", "cashier_id", "event_id",
@@ -323,14 +313,18 @@ def ingest_feedback(raw: DataFrame, service_name: str, value_col: str = "value")
 
 
 # ------------------------------------------------------------- runner
-def run_available(df: DataFrame, sink_fn, checkpoint: str, name: str | None = None) -> None:
-    """Run a stream over everything available now, then stop. State lives
-    in RocksDB unless the session chose another provider."""
+def use_rocksdb(spark: SparkSession) -> None:
+    """State in RocksDB, unless the session chose a provider of its own."""
     from storelens.session import ROCKSDB_PROVIDER
-    conf = df.sparkSession.conf
+    conf = spark.conf
     if conf.get("spark.sql.streaming.stateStore.providerClass", "").endswith("HDFSBackedStateStoreProvider"):
         conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
         conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+
+
+def run_available(df: DataFrame, sink_fn, checkpoint: str, name: str | None = None) -> None:
+    """Run a stream over everything available now, then stop."""
+    use_rocksdb(df.sparkSession)
     w = df.writeStream.foreachBatch(sink_fn).option("checkpointLocation", checkpoint).trigger(availableNow=True)
     if name:
         w = w.queryName(name)

@@ -93,3 +93,36 @@ def test_trailing_watermark_mode_is_exact_out_of_order(spark):
     cols = sorted(want.columns)
     assert got.count() > 0
     assert sorted(got.select(*cols).collect()) == sorted(want.select(*cols).collect())
+
+
+def test_state_of_a_hot_cashier_is_bounded(spark):
+    """A third of all events are one cashier's: its state holds the last window and delay, whatever came
+    before, and answers equal the batch windows in both modes."""
+    import datetime as dt
+    base = tempfile.mkdtemp(prefix="storelens-hot-")
+    start, n = dt.datetime(2024, 1, 1), 3000
+    rows = [(k, start + dt.timedelta(minutes=3 * k), 7 if k % 3 == 0 else k, ["error", "purchase", "view"][k % 7 % 3], float(k % 11))
+            for k in range(n)]
+    for i in range(5):
+        part = spark.createDataFrame(rows[i * n // 5:(i + 1) * n // 5], "event_id long, ts timestamp_ntz, user_id long, event_type string, value double")
+        part.coalesce(1).write.mode("append").parquet(f"{base}/events")
+    names = sorted(((r.f, r.t) for r in spark.read.parquet(f"{base}/events").selectExpr("_metadata.file_path f", "ts t")
+                    .groupBy("f").agg(F.min("t").alias("t")).collect()), key=lambda x: x[1])
+    import os
+    for i, (f, _) in enumerate(names):                   # arrival in order of time
+        os.utime(f[len("file:"):].replace("//", "/", 1) if f.startswith("file:") else f, (1_700_000_000 + i, 1_700_000_000 + i))
+    alerts = S.alerts_stream(spark.createDataFrame(rows, "event_id long, ts timestamp, user_id long, event_type string, value double"))
+    want = rt_metrics(alerts.withColumn("alert_ts", F.col("alert_ts").cast("timestamp_ntz")))
+    cols = sorted(want.columns)
+    for mode in ("arrival", "watermark"):
+        st = S.stream_trailing(S.alerts_stream(S.stream_events(spark, f"{base}/events", "*.parquet", max_files_per_trigger=1)), emit=mode)
+        S.run_available(st, S.parquet_sink(f"{base}/{mode}"), f"{base}/ck-{mode}")
+        got = spark.read.parquet(f"{base}/{mode}")
+        assert got.select("batch").distinct().count() >= 4
+        due = want if mode == "arrival" else want.where(F.col("event_ts") <= F.lit(rows[-1][1] - dt.timedelta(minutes=10)))
+        assert sorted(got.select(*cols).collect()) == sorted(due.select(*cols).collect())
+        state = spark.read.format("statestore").option("stateVarName", "events").load(f"{base}/ck-{mode}")
+        per = state.groupBy("key.cashier_id").count().collect()
+        hot = [r["count"] for r in per if r["cashier_id"] == "CASH_1007"]
+        assert hot and hot[0] <= 70 // 9 + 2             # an event every nine minutes, 70 minutes kept
+        assert sum(r["count"] for r in per) <= 2 * (70 // 3 + 2)   # silent cashiers' state has gone
