@@ -28,7 +28,7 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Iterator
-from itertools import accumulate, chain
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -83,10 +83,10 @@ class ByteLevel:
         self.fast = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.far = re.compile("[^\x00-⿿]").search
 
-    def encode(self, text: str) -> list[int]:
+    def encode(self, text: str) -> np.ndarray:
         if text.isascii() or not self.far(text):
-            return self.fast.encode_ordinary(text)
-        return self.tok.encode(text, add_special_tokens=False).ids
+            return np.array(self.fast.encode_ordinary(text), dtype=np.int64)
+        return np.array(self.tok.encode(text, add_special_tokens=False).ids)
 
 
 class Pieces:
@@ -101,8 +101,8 @@ class Pieces:
             byte = _BYTE_PIECE.fullmatch(piece)
             self.bytes.append(bytes([int(byte[1], 16)]) if byte else piece.replace("▁", " ").encode())
 
-    def encode(self, text: str) -> list[int]:
-        return self.model.encode(text)
+    def encode(self, text: str) -> np.ndarray:
+        return np.array(self.model.encode(text), dtype=np.int64)
 
 
 class Joined:
@@ -150,7 +150,7 @@ def shared_ends(ends_a: list[int], ends_b: list[int]) -> tuple[list[int], list[i
     """Behind how many tokens of either side each common end of a text lies, in order."""
     at_a = dict(zip(ends_a, range(1, len(ends_a) + 1)))
     at_b = dict(zip(ends_b, range(1, len(ends_b) + 1)))
-    both = sorted(at_a.keys() & at_b.keys())
+    both = list(filter(at_b.__contains__, at_a))         # in the order of the ends, which rise
     return list(map(at_a.__getitem__, both)), list(map(at_b.__getitem__, both))
 
 
@@ -174,9 +174,9 @@ def slice_links(ends_a: np.ndarray, ends_b: np.ndarray, stop_a: np.ndarray, stop
     return np.cumsum(step_a) - 1, np.cumsum(step_b) - 1
 
 
-def _flat(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+def _flat(lists: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     off = np.array([0, *accumulate(map(len, lists))], dtype=np.int64)
-    return np.fromiter(chain.from_iterable(lists), np.int64, off[-1]), off
+    return np.concatenate([np.zeros(0, np.int64), *lists]).astype(np.int64), off
 
 
 def _faithful(ids: np.ndarray, off: np.ndarray, tokens: Joined, data: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -261,7 +261,7 @@ def _runs(col: pa.Array) -> Iterator[tuple[int, list[str | None]]]:
 
 def _align(path_a: str, path_b: str, names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        a, b, written = sides(path_a, path_b)
+        loaded = sides(path_a, path_b)
         task = TaskContext.get().partitionId() << 32
         block, size, ids, parts = 0, 0, [], []
 
@@ -286,7 +286,7 @@ def _align(path_a: str, path_b: str, names: list[str]):
 
         for batch in batches:
             for lo, texts in _runs(batch.column(1)):
-                parts.append(_Aligned(texts, a, b, written))
+                parts.append(_Aligned(texts, *loaded))
                 ids.append(batch.column(0).slice(lo, len(texts)))
                 size += sum(map(len, texts)) if None not in texts else sum(len(t or "") for t in texts)
                 if size >= BLOCK_BYTES:
