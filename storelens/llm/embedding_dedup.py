@@ -19,8 +19,8 @@ Codebooks and the stopping sum are fitted on at most ``SAMPLE`` nodes; all nodes
 are indexed.
 
 Defined cases: null, empty or zero vectors, and vectors with null or
-non-finite components or of another length than most, link with nothing (0 links,
-component and id alike, kept). Repeated rows are vectors of their own, linked as
+non-finite components, link with nothing (0 links, component and id alike, kept); vectors of different
+lengths have no cosine, so each length has an index of its own. Repeated rows are vectors of their own, linked as
 copies. Null ids come last in a component and yield a null component only if
 it has no other. Other columns are ignored.
 """
@@ -79,7 +79,8 @@ class MultiIndex:
 
     def __init__(self, sample: np.ndarray, nodes: int, threshold: float = THRESHOLD, target: float = TARGET_RECALL):
         self.split = max(1, sample.shape[1] // 2)
-        k = int(min(MAX_CODES, len(sample), max(2, math.ceil(math.sqrt(nodes / NODES_PER_CELL)))))
+        least = 1 if nodes <= NODES_PER_CELL else 2      # few vectors are one cell, compared with each other
+        k = int(min(MAX_CODES, len(sample), max(least, math.ceil(math.sqrt(nodes / NODES_PER_CELL)))))
         self.codes = [_codebook(sample[:, :self.split], k)]
         self.codes.append(_codebook(sample[:, self.split:], k) if sample.shape[1] > 1 else np.zeros((1, 0)))
         self.width = len(self.codes[1])
@@ -268,6 +269,29 @@ def _links(dim: int, threshold: float):
 
 
 # --------------------------------------------------------------------- dedup
+def _length_links(nodes: DataFrame, dim: int, n: int, threshold: float, target_recall: float) -> DataFrame:
+    """(u, v, n): links among ``n`` different vectors of one length."""
+    spark = nodes.sparkSession
+    least = min(1.0, 1.2 * SAMPLE / n)
+    sample = (nodes.where(F.pmod(F.xxhash64("dig"), F.lit(1 << 30)) < int(least * (1 << 30)))
+              .orderBy("dig").limit(SAMPLE).select("vec").toArrow().column("vec").combine_chunks())
+    if not len(sample):
+        sample = nodes.limit(SAMPLE).select("vec").toArrow().column("vec").combine_chunks()
+    index = MultiIndex(_unit(_matrix(sample, dim)), n, threshold, target_recall)
+    shared = spark.sparkContext.broadcast(index)       # 2 * MAX_CODES centroids at most
+    loads = (nodes.select("vec").mapInArrow(lambda b: _loads(shared.value, dim)(b), "cell int, own long, seen long")
+             .groupBy("cell").agg(F.sum("own").alias("own"), F.sum("seen").alias("seen")).collect())   # MAX_CODES^2 rows at most
+    blocks, parts = np.ones(index.cells, np.int64), np.ones(index.cells, np.int64)
+    for r in loads:
+        blocks[r["cell"]] = max(1, -(-r["own"] // BLOCK))
+        parts[r["cell"]] = max(1, -(-r["seen"] // (2 * BLOCK)))
+    dealt = (nodes.select("node", "copies", "vec")
+             .mapInArrow(lambda b: _postings(shared.value, dim, blocks, parts)(b), _POSTING)
+             .repartition(tasks(spark), "cell", "block", "part")
+             .sortWithinPartitions("cell", "block", "part", "visitor"))
+    return held(dealt.mapInArrow(_links(dim, threshold), "u long, v long, n long"), "links")
+
+
 def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding",
                  threshold: float = THRESHOLD, target_recall: float = TARGET_RECALL) -> DataFrame:
     """One row per vector: its id, n_links, component_id, kept."""
@@ -276,33 +300,14 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "emb
     id_type = src.schema["id"].dataType.simpleString()
     kind = "<f4" if src.schema["v"].dataType.elementType.simpleString() == "float" else "<f8"
     rows = held(src.mapInArrow(_usable(kind), f"id {id_type}, dig binary, dim int, vec binary"), "vectors")
-    common = (rows.where("dig is not null").groupBy("dim").count().orderBy(F.desc("count"), "dim").first())
-    dim = common["dim"] if common else 0
-    use = rows.where(F.col("dig").isNotNull() & (F.col("dim") == dim))
-    nodes = held(use.groupBy("dig").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("copies"), F.first("vec").alias("vec"))
-                 .withColumn("node", F.monotonically_increasing_id()), "nodes")
-    n = nodes.count()
-    if n:
-        least = min(1.0, 1.2 * SAMPLE / n)
-        sample = (nodes.where(F.pmod(F.xxhash64("dig"), F.lit(1 << 30)) < int(least * (1 << 30)))
-                  .orderBy("dig").limit(SAMPLE).select("vec").toArrow().column("vec").combine_chunks())
-        if not len(sample):
-            sample = nodes.limit(SAMPLE).select("vec").toArrow().column("vec").combine_chunks()
-        index = MultiIndex(_unit(_matrix(sample, dim)), n, threshold, target_recall)
-        shared = spark.sparkContext.broadcast(index)   # 2 * MAX_CODES centroids at most
-        loads = (nodes.select("vec").mapInArrow(lambda b: _loads(shared.value, dim)(b), "cell int, own long, seen long")
-                 .groupBy("cell").agg(F.sum("own").alias("own"), F.sum("seen").alias("seen")).collect())   # MAX_CODES^2 rows at most
-        blocks, parts = np.ones(index.cells, np.int64), np.ones(index.cells, np.int64)
-        for r in loads:
-            blocks[r["cell"]] = max(1, -(-r["own"] // BLOCK))
-            parts[r["cell"]] = max(1, -(-r["seen"] // (2 * BLOCK)))
-        dealt = (nodes.select("node", "copies", "vec")
-                 .mapInArrow(lambda b: _postings(shared.value, dim, blocks, parts)(b), _POSTING)
-                 .repartition(tasks(spark), "cell", "block", "part")
-                 .sortWithinPartitions("cell", "block", "part", "visitor"))
-        found = held(dealt.mapInArrow(_links(dim, threshold), "u long, v long, n long"), "links")
-    else:
-        found = spark.createDataFrame([], "u long, v long, n long")
+    nodes = held(rows.where(F.col("dig").isNotNull()).groupBy("dig").agg(
+        F.first("dim").alias("dim"), F.min("id").alias("id"), F.count(F.lit(1)).alias("copies"), F.first("vec").alias("vec"))
+        .withColumn("node", F.monotonically_increasing_id()), "nodes")
+    # vectors of different lengths have no cosine: one index for each length
+    found = spark.createDataFrame([], "u long, v long, n long")
+    for r in nodes.groupBy("dim").count().orderBy("dim").collect():
+        if r["count"] > 1:
+            found = found.unionByName(_length_links(nodes.where(F.col("dim") == r["dim"]), r["dim"], r["count"], threshold, target_recall))
     counts = found.groupBy("u").agg(F.sum("n").alias("n")).withColumnRenamed("u", "node")
     label = connected_components(found.select("u", "v"))
     grouped = (nodes.select("node", "dig", "id", "copies").join(counts, "node", "left").join(label, "node", "left")
@@ -311,7 +316,7 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "emb
     first = held(grouped.groupBy("component").agg(F.min("id").alias("component_id")), "components")
     node_rows = held(grouped.join(first, "component").select(
         "dig", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"), "component_id"), "node-results")
-    out = rows.select("id", F.when(F.col("dim") == dim, F.col("dig")).alias("dig")).join(node_rows, "dig", "left")
+    out = rows.select("id", "dig").join(node_rows, "dig", "left")
     alone = F.col("n_links").isNull()
     component = F.when(alone, F.col("id")).otherwise(F.col("component_id"))
     return out.select(F.col("id").alias(id_col), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),

@@ -1,7 +1,6 @@
 """Embedding near-dedup: links and components against brute force."""
 
 import math
-import os
 from collections import defaultdict
 
 import numpy as np
@@ -9,11 +8,12 @@ import pytest
 from pyspark.sql import types as T
 
 pytest.importorskip("storelens.llm")
-SF1 = "/root/testdata/check_s"                           # the smallest table that holds links
 from storelens.llm import embedding_dedup as ed  # noqa: E402
 from storelens.llm import queries  # noqa: E402
 from storelens.llm.common import prepare  # noqa: E402
 
+SF1 = "/root/testdata/sf0.1"
+
 
 def _brute(rows, dim=None):
     """[(id, vector or None)] -> per position (links, component)."""
@@ -41,16 +41,27 @@ def _brute(rows, dim=None):
     return out, hit
 
 
-@pytest.mark.skipif(not os.path.isdir(SF1), reason="table not there")
 def test_all_vectors_against_brute_force(spark):
-    rows = [tuple(r) for r in spark.read.parquet(f"{SF1}/embeddings.parquet").select("vec_id", "embedding").collect()]
-    want, hit = _brute(rows, 64)
+    """The whole table, and with it vectors turned to the threshold's neighbourhood, as the table holds few links."""
+    table = [tuple(r) for r in spark.read.parquet(f"{SF1}/embeddings.parquet").select("vec_id", "embedding").collect()]
     got = {r.vec_id: r for r in queries.op2_embedding_near_dedup(spark, SF1).collect()}
-    assert len(got) == len(rows)
-    assert sum(r.n_links for r in got.values()) >= 0.99 * hit.sum() > 0
-    for i, (d, _) in enumerate(rows):
-        assert (got[d].n_links, got[d].component_id) == want[i]
-        assert got[d].kept == (got[d].component_id == d)
+    want, _ = _brute(table, 64)
+    assert len(got) == len(table) and all((got[d].n_links, got[d].component_id) == want[i] for i, (d, _) in enumerate(table))
+    rnd = np.random.RandomState(4)
+    planted = []
+    for k, (d, v) in enumerate(table):
+        x, turn = np.array(v, dtype=np.float64), rnd.standard_normal(64)
+        turn -= (turn @ x) / (x @ x) * x
+        c = rnd.uniform(0.86, 0.99)                      # about a third just below, the rest above
+        near = c * x / np.linalg.norm(x) + math.sqrt(1 - c * c) * turn / np.linalg.norm(turn)
+        planted.append((10 ** 6 + d, near.astype(np.float32).tolist()))
+    rows = table + planted
+    want, hit = _brute(rows, 64)
+    got = {r.vec_id: r for r in ed.near_vectors(_frame(spark, rows)).collect()}
+    assert hit.sum() > len(table)
+    assert 0.97 * hit.sum() <= sum(r.n_links for r in got.values()) <= hit.sum()
+    assert all(got[d].n_links <= want[i][0] for i, (d, _) in enumerate(rows))
+    assert np.mean([got[d].component_id == want[i][1] for i, (d, _) in enumerate(rows)]) > 0.97
 
 
 def _frame(spark, rows):
@@ -97,3 +108,11 @@ def test_cases(spark):
     assert got == sorted(((d, *want[i], d == want[i][1]) for i, (d, _) in enumerate(rows)), key=str)
     assert ed.near_vectors(_frame(spark, [])).count() == 0
     assert [tuple(r) for r in ed.near_vectors(_frame(spark, [(1, None)])).collect()] == [(1, 0, 1, True)]
+
+
+def test_every_length_is_compared(spark):
+    rnd = np.random.RandomState(2)
+    rows = [(i, rnd.standard_normal(3).tolist()) for i in range(5)] + [(10 + i, [1.0, 2.0]) for i in range(3)]
+    rows += [(20 + i, [1.0, 2.0 + i / 100, 0.5, 0.1, 0.0]) for i in range(4)] + [(30, [1.0])]
+    got = {r.vec_id: (r.n_links, r.component_id) for r in ed.near_vectors(_frame(spark, rows)).collect()}
+    assert all(got[10 + i] == (2, 10) for i in range(3)) and all(got[20 + i] == (3, 20) for i in range(4)) and got[30] == (0, 30)
