@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import HashingTF, NGram, Normalizer, RegexTokenizer, SQLTransformer
 from pyspark.ml.functions import vector_to_array
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -54,7 +56,7 @@ def trigram_embedder(dim: int = 2048, text_col: str = "embed_text") -> Pipeline:
 
 def md5_embed(df: DataFrame, text: Column | str, out_col: str = "embedding", dim: int = 64,
               grams: int | None = None) -> DataFrame:
-    """R-02 by SQL functions alone: ``out_col`` = counts of the text's tokens in ``dim``
+    """R-02 on functions that any engine has: ``out_col`` = counts of the text's tokens in ``dim``
     places, scaled to length 1 (all zero for a text without tokens). A token's place is the
     first 32 bits of its MD5 modulo ``dim``, so any engine gets the same vector. Tokens are
     lower-case alphanumeric words, or with ``grams`` the character n-grams of the text
@@ -67,11 +69,13 @@ def md5_embed(df: DataFrame, text: Column | str, out_col: str = "embedding", dim
         tokens = F.transform(F.sequence(F.lit(1), F.greatest(F.length(padded) - (grams - 1), F.lit(1))),
                              lambda i: F.substring(padded, i, F.lit(grams)))
     place = lambda w: F.pmod(F.conv(F.substring(F.md5(w), 1, 8), 16, 10).cast("long"), F.lit(dim))
-    x = df.withColumn("_places", F.transform(tokens, place))
-    counts = F.transform(F.sequence(F.lit(0), F.lit(dim - 1)),
-                         lambda i: F.size(F.filter(F.col("_places"), lambda p: p == i)).cast("double"))
-    x = x.withColumn("_counts", counts)
-    norm = F.sqrt(F.aggregate("_counts", F.lit(0.0), lambda s, c: s + c * c))
-    x = x.withColumn("_norm", norm)
-    return (x.withColumn(out_col, F.transform("_counts", lambda c: F.when(F.col("_norm") > 0, c / F.col("_norm")).otherwise(F.lit(0.0))))
-             .drop("_places", "_counts", "_norm"))
+    return (df.withColumn("_places", F.transform(tokens, place))
+            .withColumn(out_col, _unit_counts(dim)(F.col("_places"))).drop("_places"))
+
+
+def _unit_counts(dim: int):
+    """An Arrow function: how often each place occurs, scaled to length 1 (all zero without any)."""
+    def run(places: pd.Series) -> pd.Series:
+        counts = [np.bincount(p, minlength=dim).astype(np.float64) if len(p) else np.zeros(dim) for p in places]
+        return pd.Series([c / np.sqrt((c * c).sum()) if c.any() else c for c in counts])
+    return F.pandas_udf(run, "array<double>")
