@@ -48,6 +48,8 @@ from .common import held, mix64, segments, span_hashes, text_buffer
 EVIDENCE = math.log(100)
 #: How many shared lines ahead a line is paired with, and documents aligned with one copy of a partner.
 REACH, MEMBERS = 16, 256
+#: Parts in which a group of equal lists meets its first document.
+SALTS = 16
 _LINE_END = np.zeros(256, dtype=bool)
 _LINE_END[10] = True
 
@@ -272,8 +274,10 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                   .select("line", F.log(F.lit(float(max(n, 1))) / F.col("n")).alias("rare"), "first"), "shared-lines")
     # copies of an earlier list of lines: all of it goes, and they are nobody's first
     listed = base.where("whole <> 0")
-    lists = (listed.groupBy("whole").agg(F.count(F.lit(1)).alias("n"), F.min(me).alias("first")).where("n > 1").drop("n"))
-    marked = held(listed.join(lists, "whole", "left").withColumn("copy", F.coalesce(F.col("first") != me, F.lit(False)))
+    lists = (listed.groupBy("whole").agg(F.count(F.lit(1)).alias("n"), F.min(me).alias("first")).where("n > 1")
+             .select("whole", "first", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")))
+    salted = listed.withColumn("salt", F.pmod(F.xxhash64("id", "dig"), F.lit(SALTS)).cast("int"))
+    marked = held(salted.join(lists, ["whole", "salt"], "left").drop("salt").withColumn("copy", F.coalesce(F.col("first") != me, F.lit(False)))
                   .drop("first", "whole"), "marked-lines")
     every = F.filter(F.transform("lines", lambda x, i: F.when(x != 0, i)), lambda i: i.isNotNull())
     copies = marked.where("copy").select("id", "dig", every.alias("gone"))
