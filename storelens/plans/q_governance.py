@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 from storelens.operators import governance as gov
 from storelens.operators import profiling as prof
 from storelens.operators import warranty as war
+from storelens.operators.join_mining import join_candidates as mine_joins
 from storelens.plans import fixtures as fx
 from storelens.plans.oracle import exact_ratio, r4, with_views
 from storelens.plans.registry import query
@@ -375,4 +376,4 @@ WHERE {exact_ratio('overlap', 'left_distinct', 4)} >= 0.9"""
 @query("join_candidates", "J-09", _join_candidates_sql())
 def join_candidates(t):
     """Column pairs of all tables whose values are >= 90 % contained."""
-    return gov.join_candidates({n: getattr(t, n) for n in TABLE_NAMES}, 0.9)
+    return mine_joins({n: getattr(t, n) for n in TABLE_NAMES}, 0.9)

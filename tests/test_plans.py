@@ -4,8 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
-from storelens.operators import governance as gov
 from storelens.operators import chunking, profiling, retrieval, sizing
+from storelens.operators.join_mining import join_candidates
 from storelens.plans.registry import registry
 from storelens.sources import tables
 from tests.conftest import SF001, SF01
@@ -74,5 +74,5 @@ def test_keywords_and_codes_are_matched(spark):
 def test_long_values_count_in_join_candidates(spark):
     a = spark.createDataFrame([("x" * 100,), ("y" * 200,), ("z",)], "v string")
     b = spark.createDataFrame([("x" * 100,), ("q",)], "w string")
-    rows = gov.join_candidates({"a": a, "b": b}, 0.3).collect()
+    rows = join_candidates({"a": a, "b": b}, 0.3).collect()
     assert {(r["left_table"], r["left_distinct"], r["overlap"]) for r in rows} == {("a", 3, 1), ("b", 2, 1)}
