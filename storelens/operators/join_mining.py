@@ -18,10 +18,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from storelens.functions import metrics as M
+from storelens.operators.sizing import broadcast_if_small
 
 LONG_VALUE = 64        # longer strings are compared by digest
 SKETCH_LOG2 = 12       # 2^12 hashes a sketch
 MISS = 1e-9            # chance that a sketch leaves out a pair it should keep
+PROBE_ABOVE = 10_000_000    # distinct values of large columns from which they are filtered before the shuffle
 _WORD = 62             # column marks a 64-bit word holds
 
 
@@ -59,8 +61,8 @@ def column_sketches(tables: dict[str, DataFrame], log2_entries: int = SKETCH_LOG
 
 
 def estimated_containment(sketches: DataFrame, log2_entries: int = SKETCH_LOG2) -> DataFrame:
-    """(left_table, left_column, right_table, right_column, estimate, margin) for all pairs of columns of
-    one family; as many rows as the schema has pairs, whatever the tables hold.
+    """(left_table, left_column, right_table, right_column, left_values, right_values, estimate, margin) for
+    all pairs of columns of one family, the values being estimated distinct numbers; as many rows as the schema has pairs, whatever the tables hold.
 
     Both sketches sample the left column's values by one hash, so the estimate is a mean over a sample of
     ``hits`` values and its margin Hoeffding's, ``sqrt(ln(1 / MISS) / (2 * hits))``: 0 while both
@@ -80,39 +82,52 @@ def estimated_containment(sketches: DataFrame, log2_entries: int = SKETCH_LOG2)
     margin = F.when(larger <= size, F.lit(0.0)).when(hits < 1, F.lit(1.0)).otherwise(
         F.least(F.lit(1.0), F.sqrt(F.lit(math.log(1 / MISS) / 2) / F.greatest(hits, F.lit(1.0)))))
     return both.where("nl > 0 AND nr > 0").select(
-        "left_table", "left_column", "right_table", "right_column",
+        "left_table", "left_column", "right_table", "right_column", F.col("nl").alias("left_values"), F.col("nr").alias("right_values"),
         F.least(F.lit(1.0), F.col("ni") / F.col("nl")).alias("estimate"), margin.alias("margin"))
 
 
-def _marks(tables: dict[str, DataFrame], ids: dict[tuple[str, str], int]) -> DataFrame:
-    """(fam, v, w0, w1, ...): each distinct value once, with a bit for every column that holds it."""
+def _values(tables: dict[str, DataFrame], ids: dict[tuple[str, str], int], wanted: set[tuple[str, str]]) -> DataFrame | None:
+    """(fam, v, i): the values of the wanted columns, row by row."""
     def value(n: str) -> Column:
         v = _column(n).cast("string")
         return F.when(F.length(v) > LONG_VALUE, F.concat(F.lit("md5:"), F.md5(v))).otherwise(v)
     parts = None
     for tname, df in tables.items():
         rows = [F.struct(F.lit(_family(f)).alias("fam"), value(f.name).alias("v"), F.lit(ids[tname, f.name]).alias("i"))
-                for f in df.schema.fields if (tname, f.name) in ids]
+                for f in df.schema.fields if (tname, f.name) in wanted]
         if rows:
-            x = df.select(F.explode(F.array(*rows)).alias("p")).select("p.*")
+            x = df.select(F.explode(F.array(*rows)).alias("p")).select("p.*").where(F.col("v").isNotNull())
             parts = x if parts is None else parts.unionByName(x)
-    # marks of fixed size combine map-side: a value of a third of the rows is one partial row per task
-    words = range(max(ids.values()) // _WORD + 1)
+    return parts
+
+
+def _marks(rows: DataFrame, n_columns: int) -> DataFrame:
+    """(fam, v, w0, w1, ...): each distinct value once, with a bit for every column that holds it. Marks of
+    fixed size combine map-side: a value of a third of the rows is one partial row per task."""
     bit = F.expr(f"shiftleft(1L, i % {_WORD})")
-    return parts.where(F.col("v").isNotNull()).groupBy("fam", "v").agg(
-        *[F.bit_or(F.when(F.floor(F.col("i") / _WORD) == w, bit).otherwise(F.lit(0).cast("long"))).alias(f"w{w}") for w in words])
+    return rows.groupBy("fam", "v").agg(
+        *[F.bit_or(F.when(F.floor(F.col("i") / _WORD) == w, bit).otherwise(F.lit(0).cast("long"))).alias(f"w{w}")
+          for w in range((n_columns - 1) // _WORD + 1)])
 
 
-def exact_overlaps(tables: dict[str, DataFrame], pairs: list[tuple[str, str, str, str]]) -> DataFrame:
+def exact_overlaps(tables: dict[str, DataFrame], pairs: list[tuple[str, str, str, str]],
+                   few: set[tuple[str, str]] = frozenset()) -> DataFrame:
     """(left_table, left_column, right_table, right_column, left_distinct, overlap) of the given pairs that
     share a value. One shuffle of the distinct values of the columns named; the fan-out of a value is
-    bounded by the number of pairs, never by rows."""
+    bounded by the number of pairs, never by rows. ``few`` names columns of few values: a column that
+    is asked for beside such columns only sends the values that they hold (their set is broadcast if
+    its measured size allows, else joined)."""
     columns = sorted({p[:2] for p in pairs} | {p[2:] for p in pairs})
     ids = {c: i for i, c in enumerate(columns)}
     rights: dict[str, list[int]] = {}
     for p in pairs:
         rights.setdefault(str(ids[p[:2]]), [ids[p[:2]]]).append(ids[p[2:]])          # with itself: its own size
-    marks = _marks(tables, ids)
+    whole = {p[:2] for p in pairs} | {p[2:] for p in pairs if p[:2] not in few}
+    rows, probed = _values(tables, ids, whole), _values(tables, ids, set(columns) - whole)
+    if probed is not None:
+        asked = _values(tables, ids, {p[:2] for p in pairs if p[:2] in few}).select("fam", "v").distinct()
+        rows = rows.unionByName(probed.join(broadcast_if_small(asked, max_rows=1_000_000), ["fam", "v"], "left_semi"))
+    marks = _marks(rows, len(columns))
     words = F.array(*[F.col(c) for c in marks.columns if c.startswith("w")])
     held = F.filter(F.sequence(F.lit(0), F.lit(len(columns) - 1)),
                     lambda i: F.getbit(F.element_at(words, F.floor(i / _WORD).cast("int") + 1), (i % _WORD).cast("int")) == 1)
@@ -128,7 +143,8 @@ def exact_overlaps(tables: dict[str, DataFrame], pairs: list[tuple[str, str, str
                       right["c"].alias("right_column"), "left_distinct", "overlap")
 
 
-def join_candidates(tables: dict[str, DataFrame], min_containment: float = 0.9, log2_entries: int = SKETCH_LOG2) -> DataFrame:
+def join_candidates(tables: dict[str, DataFrame], min_containment: float = 0.9, log2_entries: int = SKETCH_LOG2,
+                    probe_above: int = PROBE_ABOVE) -> DataFrame:
     """J-09: column pairs (A, B) of the same type family where at least ``min_containment`` of A's
     distinct values also occur in B, with exact counts.
 
@@ -145,11 +161,15 @@ def join_candidates(tables: dict[str, DataFrame], min_containment: float = 0.9,
     sketches = sketches.persist()
     # half a unit of the fourth place, as the exact ratio is rounded before it is compared
     reach = F.col("estimate") + F.col("margin") + F.lit(0.00005) >= F.lit(min_containment)
-    pairs = [tuple(r) for r in estimated_containment(sketches, log2_entries).where(reach)
-             .select("left_table", "left_column", "right_table", "right_column").collect()]
+    near = [tuple(r) for r in estimated_containment(sketches, log2_entries).where(reach)
+            .select("left_table", "left_column", "right_table", "right_column", "left_values", "right_values").collect()]
     sketches.unpersist()
-    if not pairs:
+    if not near:
         return spark.createDataFrame([], schema)
-    out = exact_overlaps(tables, pairs).withColumn("containment", M.exact_ratio("overlap", "left_distinct", 4))
+    few = {r[:2] for r in near if r[4] <= 1 << log2_entries}
+    large = {r[2:4]: r[5] for r in near if r[5] > 1 << log2_entries}
+    if sum(large.values()) <= probe_above:
+        few = set()                               # another scan would cost more than it saves in the shuffle
+    out = exact_overlaps(tables, [r[:4] for r in near], few).withColumn("containment", M.exact_ratio("overlap", "left_distinct", 4))
     return out.where(F.col("containment") >= F.lit(min_containment)).select(
         "left_table", "left_column", "right_table", "right_column", "left_distinct", "overlap", "containment")

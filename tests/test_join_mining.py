@@ -27,9 +27,9 @@ def _brute(tables):
 
 
 @pytest.mark.parametrize("least", [0.05, 0.5, 0.9, 1.0])
-@pytest.mark.parametrize("log2_entries", [6, 12])
-def test_same_pairs_as_brute_force(columns, least, log2_entries):
-    got = {tuple(r)[:4]: tuple(r)[4:6] for r in join_candidates(columns, least, log2_entries).collect()}
+@pytest.mark.parametrize("log2_entries, probe_above", [(6, 10 ** 7), (12, 0)])
+def test_same_pairs_as_brute_force(columns, least, log2_entries, probe_above):
+    got = {tuple(r)[:4]: tuple(r)[4:6] for r in join_candidates(columns, least, log2_entries, probe_above).collect()}
     want = {p: (n, o) for p, (n, o) in _brute(columns).items() if o and int(o * 10_000 / n + 0.5) >= least * 10_000}
     assert got == want
 
