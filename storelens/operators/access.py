@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from storelens.operators.sizing import broadcast_if_small
+from storelens.sources.key_table import starts_with
 
 
 def apply_row_policy(df: DataFrame, entitlements: DataFrame, user: str,
@@ -21,14 +22,14 @@ def apply_row_policy(df: DataFrame, entitlements: DataFrame, user: str,
 
 
 def read_prefix(df: DataFrame, prefix: str, limit: int = 5, key_col: str = "row_key") -> DataFrame:
-    """S-06: rows whose key (bytes or string, decoded as UTF-8) starts with
+    """S-06: rows whose key (bytes or string, read as UTF-8) starts with
     the *literal* prefix, in key order, first ``limit``. ``startswith`` is
-    literal, so ``_`` in ``STORE_048`` is not a wildcard as in LIKE."""
-    k = F.col(key_col)
+    literal, so ``_`` in ``STORE_048`` is not a wildcard as in LIKE; on binary
+    keys the prefix is a range of bytes. Either form reaches the scan."""
     if dict(df.dtypes)[key_col] == "binary":
-        k = F.decode(k, "UTF-8")
-    out = df.withColumn(key_col, k).where(F.col(key_col).startswith(F.lit(prefix)))
-    return out.orderBy(key_col).limit(limit)
+        out = df.where(starts_with(key_col, prefix.encode()))
+        return out.orderBy(key_col).limit(limit).withColumn(key_col, F.col(key_col).cast("string"))
+    return df.where(F.col(key_col).startswith(F.lit(prefix))).orderBy(key_col).limit(limit)
 
 
 def prefix_heads(df: DataFrame, prefix_of, limit: int = 5, key_col: str = "row_key") -> DataFrame:

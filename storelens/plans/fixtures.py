@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from storelens.operators.offenders import audit_status, rt_metrics
+from storelens.sources.key_table import as_cells
 from storelens.sources.tables import Tables
 
 # Fixed as-of instants used by every time filter (never current_date).
@@ -201,6 +203,28 @@ def silver(t: Tables) -> DataFrame:
     )
 
 
+def enriched_transactions(t: Tables) -> DataFrame:
+    """pos_transactions_enriched: each checkout of the log with the alerts that its cashier has in the store."""
+    seen = alerts(t).groupBy(F.col("store_id").alias("_s"), F.col("cashier_id").alias("_c")).agg(
+        F.count(F.lit(1)).alias("alert_count"),
+        F.expr("nullif(count_if(alert_type = 'cashier_promo_abuse'), 0)").alias("promo_abuse_count"))
+    x = silver(t)
+    return as_cells(
+        x.join(seen, (x["store_id"] == seen["_s"]) & (x["cashier_id"] == seen["_c"]), "left"),
+        F.concat_ws("#", "store_id", "transaction_id"),
+        {"alerts": ["alert_count", "promo_abuse_count"],
+         "tx": ["cashier_id", "pos_terminal_id", "payment_method", "total_amount_usd"]})
+
+
+def realtime_alerts(t: Tables) -> DataFrame:
+    """cashier_realtime_alerts: trailing metrics in the families ``flags`` and ``stats``; a cashier without
+    overrides in the hour has no rate."""
+    m = audit_status(rt_metrics(alert_events(t)))
+    m = m.withColumn("override_rate_pct", F.when(F.col("override_count") > 0, F.col("override_rate_pct").cast("decimal(5,2)")))
+    return as_cells(m, F.col("row_key"), {"flags": ["audit_status"],
+                                          "stats": ["txn_count", "override_count", "promo_count", "override_rate_pct"]})
+
+
 def log_refs(t: Tables) -> DataFrame:
     """Flattened inference-log rows: one call per assistant turn."""
     call = F.col("conv_id") * 1000000 + F.col("turn")

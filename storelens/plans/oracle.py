@@ -69,6 +69,13 @@ SELECT concat('TXN-', cast(o_orderkey AS VARCHAR(20))) AS transaction_id, o_orde
   concat('STORE_', lpad(cast(o_custkey % 10 AS VARCHAR(20)), 3, '0')) AS store_id, concat('POS_', lpad(cast(o_orderkey % 10 + 1 AS VARCHAR(20)), 2, '0')) AS pos_terminal_id,
   concat('CASH_', cast(1000 + o_custkey % 150 AS VARCHAR(20))) AS cashier_id, o_orderpriority AS payment_method, CAST(o_totalprice AS DECIMAL(18,2)) AS total_amount_usd
 FROM orders""",
+    "enriched": """
+SELECT x.store_id || '#' || x.transaction_id AS row_key, CAST(a.alert_count AS VARCHAR) AS alert_count,
+  CAST(nullif(a.promo_abuse_count, 0) AS VARCHAR) AS promo_abuse_count, x.cashier_id, x.pos_terminal_id, x.payment_method,
+  CAST(x.total_amount_usd AS VARCHAR) AS total_amount_usd
+FROM silver x LEFT JOIN (
+  SELECT store_id, cashier_id, count(*) AS alert_count, count(*) FILTER (WHERE alert_type = 'cashier_promo_abuse') AS promo_abuse_count
+  FROM alerts GROUP BY 1, 2) a ON x.store_id = a.store_id AND x.cashier_id = a.cashier_id""",
     "log_refs": """
 SELECT conv_id * 1000000 + turn AS call_id, concat('ins-', cast(conv_id * 1000000 + turn AS VARCHAR(20))) AS insert_id, conv_id AS conversation_id, turn AS call_turn,
   concat('trace-', cast(conv_id AS VARCHAR(20)), '-', cast(turn AS VARCHAR(20))) AS trace, concat('span-', cast(turn AS VARCHAR(20))) AS span_id,

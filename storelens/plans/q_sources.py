@@ -1,5 +1,5 @@
 """Registered queries for sources, sinks, filters and caps (S-02, S-05,
-S-08, S-09, P-08, P-09, P-12, G-10) with their DuckDB twins.
+S-06, S-08, S-09, P-08, P-09, P-12, G-10) with their DuckDB twins.
 
 The sink queries write what Spark derives from the input tables into a
 fresh folder under the shared checkpoint folder (overwrite, so a retried
@@ -23,11 +23,12 @@ from storelens.operators.filters import cap_rows, checkout_log, lookup_purchase,
 from storelens.plans import fixtures as fx
 from storelens.plans.oracle import with_views
 from storelens.plans.q_governance import QUALITY_SQL
-from storelens.plans.q_retail import RANKING_SQL, WARRANTY_SQL
+from storelens.plans.q_retail import ALERT_EVENTS, RANKING_SQL, TRAILING_SQL, WARRANTY_SQL
 from storelens.plans.q_retrieval import CHUNKS_SQL
 from storelens.plans.q_telemetry import LOGS_SQL
 from storelens.plans.registry import query
 from storelens.session import scratch_path
+from storelens.sources import key_table as kt
 from storelens.sources import logs as lg
 from storelens.sources.tables import read_federated
 
@@ -112,6 +113,56 @@ def federated_checkout_log(t):
     return checkout_log(fed, FEDERATED_CASHIER, limit=10)
 
 
+# ------------------------------------------------------------- S-06
+TXN_PREFIX = "STORE_001#TXN"
+CASHIER_PREFIX = "STORE_001#CASH_10"
+
+
+def _cell(family: str, name: str):
+    return F.col(family)[name].alias(name)
+
+
+@query("enriched_prefix_read", "S-06", with_views(f"""
+SELECT * FROM enriched WHERE starts_with(row_key, '{TXN_PREFIX}') ORDER BY row_key LIMIT 5""", "alerts", "silver", "enriched"))
+def enriched_prefix_read(t):
+    """The first five enriched checkouts of a store from the key-clustered table, their cells as columns."""
+    path = _fresh(t, "enriched")
+    kt.write_key_table(fx.enriched_transactions(t), path)
+    return kt.read_key_prefix(t.spark, path, TXN_PREFIX).select(
+        "row_key", *[_cell("alerts", c) for c in ("alert_count", "promo_abuse_count")],
+        *[_cell("tx", c) for c in ("cashier_id", "pos_terminal_id", "payment_method", "total_amount_usd")])
+
+
+@query("enriched_store_cells", "S-06 A-06", with_views("""
+SELECT regexp_extract(row_key, '^([^#]*)', 1) AS store_id, count(*) AS row_keys, count(alert_count) + count(promo_abuse_count) AS alert_cells,
+  count(cashier_id) + count(pos_terminal_id) + count(payment_method) + count(total_amount_usd) AS tx_cells,
+  CAST(sum(CAST(total_amount_usd AS DECIMAL(18,2))) AS DECIMAL(28,2)) AS total_amount_usd, min(row_key) AS first_key, max(row_key) AS last_key
+FROM enriched GROUP BY 1""", "alerts", "silver", "enriched"))
+def enriched_store_cells(t):
+    """Every store of the key-clustered table: its keys, the cells of each family, and a sum over a cell."""
+    path = _fresh(t, "enriched")
+    kt.write_key_table(fx.enriched_transactions(t), path)
+    x = kt.read_key_prefix(t.spark, path, "", limit=None)
+    return x.groupBy(F.regexp_extract("row_key", "^([^#]*)", 1).alias("store_id")).agg(
+        F.count(F.lit(1)).alias("row_keys"), F.sum(F.size("alerts")).alias("alert_cells"), F.sum(F.size("tx")).alias("tx_cells"),
+        F.sum(F.col("tx")["total_amount_usd"].cast("decimal(18,2)")).alias("total_amount_usd"),
+        F.min("row_key").alias("first_key"), F.max("row_key").alias("last_key"))
+
+
+@query("cashier_families_read", "S-06 T-04", with_views(f"""
+SELECT row_key, CASE WHEN override_rate_pct >= 50 THEN 'flagged' WHEN override_rate_pct >= 25 THEN 'review' ELSE 'clear' END AS audit_status,
+  CAST(txn_count AS VARCHAR) AS txn_count, CAST(override_count AS VARCHAR) AS override_count, CAST(promo_count AS VARCHAR) AS promo_count,
+  CASE WHEN override_count > 0 THEN CAST(CAST(override_rate_pct AS DECIMAL(5,2)) AS VARCHAR) END AS override_rate_pct
+FROM ({TRAILING_SQL}) WHERE starts_with(row_key, '{CASHIER_PREFIX}') ORDER BY row_key""", extra={"alert_events": ALERT_EVENTS}))
+def cashier_families_read(t):
+    """All rows under a cashier prefix from the key-clustered table, flags and stats as columns."""
+    path = _fresh(t, "realtime_alerts")
+    kt.write_key_table(fx.realtime_alerts(t), path)
+    return kt.read_key_prefix(t.spark, path, CASHIER_PREFIX, limit=None).select(
+        "row_key", _cell("flags", "audit_status"),
+        *[_cell("stats", c) for c in ("txn_count", "override_count", "promo_count", "override_rate_pct")])
+
+
 # ------------------------------------------------------------- S-05
 SCHEMA_CHANGE_AT = f"TIMESTAMP '{fx.TELEMETRY_BASE}' + INTERVAL 10 MINUTE"
 
