@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from storelens.operators import governance as gov
+from storelens.operators import profile_states as ps
 from storelens.operators import profiling as prof
 from storelens.operators import warranty as war
 from storelens.operators.join_mining import join_candidates as mine_joins
@@ -54,6 +55,39 @@ FROM {table}""")
     return "\nUNION ALL\n".join(parts)
 
 
+# Parts that the merged profile covers: a range of days and a range of months.
+STATE_DAYS = ("2024-01-05", "2024-01-20")
+STATE_MONTHS = ("1993-07", "1996-02")
+_STATE_COLUMNS = ("table_name", "column_name", "data_type", "row_count", "null_count", "null_ratio", "min_value", "max_value",
+                  "min_number", "max_number", "mean")
+_MERGED_SQL = "\nUNION ALL\n".join([
+    _profile_sql("events").replace("FROM events", "FROM (SELECT * FROM events WHERE strftime(ts, '%Y-%m-%d') "
+                                   f"BETWEEN '{STATE_DAYS[0]}' AND '{STATE_DAYS[1]}')"),
+    _profile_sql("orders").replace("FROM orders", "FROM (SELECT * FROM orders WHERE strftime(o_orderdate, '%Y-%m') "
+                                   f"BETWEEN '{STATE_MONTHS[0]}' AND '{STATE_MONTHS[1]}')")])
+
+
+@query("merged_profiles", "G-01 G-02", f"""
+SELECT {', '.join(_STATE_COLUMNS)}, true AS sketch_ok FROM ({_MERGED_SQL})""")
+def merged_profiles(t):
+    """Profiles of a range of days and of months from stored states, one small row per part and column; the
+    state of one day is written twice, as by a replay. ``sketch_ok``: the merged distinct count lies within
+    a tenth of the exact one."""
+    path = scratch_path(t.spark, f"tables/profile-states-{uuid.uuid4().hex[:12]}")
+    day, month = F.to_date("ts").cast("string"), F.date_format("o_orderdate", "yyyy-MM")
+    ps.write_states(ps.profile_states(t.events, day, "events"), path)
+    ps.write_states(ps.profile_states(t.events.where(day == STATE_DAYS[0]), day, "events"), path)
+    ps.write_states(ps.profile_states(t.orders, month, "orders"), path)
+    states = (ps.read_states(t.spark, path, "events", *STATE_DAYS)
+              .unionByName(ps.read_states(t.spark, path, "orders", *STATE_MONTHS)))
+    exact = prof.profile_all({"events": t.events.where(day.between(*STATE_DAYS)),
+                              "orders": t.orders.where(month.between(*STATE_MONTHS))}, exact=True)
+    exact = exact.select("table_name", "column_name", F.col("distinct_count").alias("_d"))
+    near = F.abs(F.col("distinct_count") - F.col("_d")) <= F.col("_d") * 0.1 + 1
+    return (ps.merge_states(states).join(exact, ["table_name", "column_name"])
+            .select(*_STATE_COLUMNS, near.alias("sketch_ok")))
+
+
 @query("table_profiles", "G-01 G-02", "\nUNION ALL\n".join(_profile_sql(t) for t in TABLE_NAMES))
 def table_profiles(t):
     """Exact column profiles of every input table, one union."""
