@@ -211,6 +211,18 @@ def shingle_hashes(words: np.ndarray, off: np.ndarray, width: int = 5
     return out, out_off
 
 
+def whole_row(docs: DataFrame):
+    """All columns of ``docs`` as one struct, so that no column beside it can clash with them."""
+    return F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
+
+
+def free_name(name: str, taken: list[str]) -> str:
+    """``name``, or the first longer form that no column has."""
+    while name.lower() in {t.lower() for t in taken}:
+        name += "_"
+    return name
+
+
 def digest(col: str):
     """128-bit digest of a text as 16 bytes (null: of the empty text)."""
     return F.unhex(F.md5(F.coalesce(F.col(col), F.lit(""))))

@@ -26,7 +26,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import held, tasks
+from .common import held, tasks, whole_row
 
 #: A word: a run of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -124,16 +124,15 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     served = served.select("_id", "_text", "_rank", "_twin", "_before", "size", "source_size", "target",
                            F.explode("_ks").alias("_k"))
     served = held(served.select("_id", "_text", "_twin", F.col("_rank").alias("_src"), finish.alias("_finish")), "served")
-    names = docs.columns
-    own = docs.withColumns({"_own_text": F.xxhash64(text_col)})
-    match = (own["_own_text"] == served["_text"]) & own[id_col].eqNullSafe(served["_id"])
+    own = docs.select(F.col(id_col).alias("own_id"), F.xxhash64(text_col).alias("own_text"), whole_row(docs))
+    match = (own["own_text"] == served["_text"]) & own["own_id"].eqNullSafe(served["_id"])
     if not served.where("_twin > 1").isEmpty():      # repeated rows: number them as above
-        order = Window.partitionBy("_own_text", id_col).orderBy(F.xxhash64(*names))
-        own = own.withColumn("_own_twin", F.row_number().over(order))
-        match = ((own["_own_text"] == served["_text"]) & own[id_col].eqNullSafe(served["_id"])
-                 & (own["_own_twin"] == served["_twin"]))
-    out = own.join(served.hint("shuffle_hash"), match).select(*[own[c] for c in names], "_finish")
-    return (out.repartitionByRange(tasks(docs.sparkSession), "_finish").sortWithinPartitions("_finish").select(*names))
+        order = Window.partitionBy("own_text", "own_id").orderBy(F.xxhash64(F.to_json("row")))      # maps cannot be hashed
+        own = own.withColumn("own_twin", F.row_number().over(order))
+        match = ((own["own_text"] == served["_text"]) & own["own_id"].eqNullSafe(served["_id"])
+                 & (own["own_twin"] == served["_twin"]))
+    out = own.join(served.hint("shuffle_hash"), match).select("row", "_finish")
+    return (out.repartitionByRange(tasks(docs.sparkSession), "_finish").sortWithinPartitions("_finish").select("row.*"))
 
 
 #: The same rows by DuckDB; the queue order is that of md5 digests in both.

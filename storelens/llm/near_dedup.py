@@ -48,7 +48,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import (digest, drop_held, held, mix64, shingle_hashes, stream64, tasks, text_buffer,
-                     word_hashes)
+                     whole_row, word_hashes)
 from .components import connected_components
 
 WIDTH = 5
@@ -463,18 +463,17 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """The documents, one of each group: all columns of ``docs`` unchanged."""
     groups = near_duplicates(docs, id_col, text_col, threshold)
     best = held(groups.where(F.col("dig") == F.col("group_dig")).select("dig", F.col("id").alias("_id")), "kept")
-    names = docs.columns
-    keyed = docs.withColumn("_dig", digest(text_col))
-    kept = keyed.join(best.hint("shuffle_hash"), (keyed["_dig"] == best["dig"])
-                      & keyed[id_col].eqNullSafe(best["_id"]), "left_semi")
+    rows = docs.select(F.col(id_col).alias("own_id"), digest(text_col).alias("own_dig"), whole_row(docs))
+    kept = rows.join(best.hint("shuffle_hash"), (rows["own_dig"] == best["dig"])
+                     & rows["own_id"].eqNullSafe(best["_id"]), "left_semi")
     # rows that repeat both id and text: one of them stays
-    twice = held(kept.groupBy("_dig").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("_dig"), "repeated-rows")
+    twice = held(kept.groupBy("own_dig").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("own_dig"), "repeated-rows")
     if twice.isEmpty():
-        return kept.select(*names)
-    whole = F.struct(*names)
-    one = (kept.join(twice, "_dig", "left_semi").groupBy("_dig")
-           .agg(F.min_by(whole, F.xxhash64(*names)).alias("r")).select("r.*"))
-    return kept.join(twice, "_dig", "left_anti").select(*names).unionByName(one)
+        return kept.select("row.*")
+    # by their JSON form, as maps cannot be hashed
+    one = (kept.join(twice, "own_dig", "left_semi").groupBy("own_dig")
+           .agg(F.min_by("row", F.xxhash64(F.to_json("row"))).alias("row")).select("row.*"))
+    return kept.join(twice, "own_dig", "left_anti").select("row.*").unionByName(one)
 
 
 def document_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SEGMENT, held, span_hashes, stream64, text_buffer
+from .common import SEGMENT, free_name, held, span_hashes, stream64, text_buffer, whole_row
 
 REACH = 24
 MIN_RUN = 120
@@ -217,10 +217,9 @@ def _cut_out(names: list[str], text_at: int):
 def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents without the later occurrences of shared passages."""
     gone = (repeated_passages(docs, id_col, text_col).where("removed").groupBy("id", "dig")
-            .agg(F.collect_list(F.struct("start_byte", "n_bytes")).alias("_gone")))
-    gone = held(gone, "removed-passages").select(F.col("id").alias("_id"), F.col("dig").alias("_dig"), "_gone")
-    keyed = docs.withColumn("_own", F.xxhash64(text_col))
-    met = (keyed.join(gone.hint("shuffle_hash"), (keyed["_own"] == gone["_dig"])
-                      & keyed[id_col].cast("long").eqNullSafe(gone["_id"]), "left")
-           .select(*[keyed[c] for c in docs.columns], "_gone"))
+            .agg(F.collect_list(F.struct("start_byte", "n_bytes")).alias("gone")))
+    gone = held(gone, "removed-passages")
+    rows = docs.select(F.col(id_col).cast("long").alias("own_id"), F.xxhash64(text_col).alias("own_dig"), whole_row(docs))
+    met = (rows.join(gone.hint("shuffle_hash"), (rows["own_dig"] == gone["dig"]) & rows["own_id"].eqNullSafe(gone["id"]), "left")
+           .select("row.*", F.col("gone").alias(free_name("gone", docs.columns))))
     return met.mapInArrow(_cut_out(docs.columns, docs.columns.index(text_col)), docs.schema)

@@ -25,7 +25,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import held
+from .common import free_name, held
 
 MAX_BITS = 1 << 26                       # of one level: 8 MB
 LATER_RATE = 1 / 16                      # false positives of the levels after the first
@@ -134,10 +134,12 @@ def filter_urls(pages: DataFrame, listed: DataFrame, rules: list[tuple[str, str,
     chosen = listed.select("key").where("key <> ''").distinct()
     levels = cascade(universe, chosen)
     if levels is None:
-        hit = universe.join(chosen, "key", "left_semi").select(F.col("key").alias("_listed"))
-        out = out.join(hit, key == F.col("_listed"), "left").withColumn("_block", F.col("_listed").isNotNull()).drop("_listed")
+        met = free_name("listed", [*out.columns, "rule", "verdict"])
+        hit = universe.join(chosen, "key", "left_semi").select(F.col("key").alias(met))
+        out = out.join(hit, key == F.col(met), "left")
+        block, extra = F.col(met).isNotNull(), [met]
     else:
-        out = out.withColumn("_block", (key != "") & is_listed(key, levels))
-    own = F.when(F.col("_block"), F.lit("block")).otherwise(F.lit("allow"))
+        block, extra = (key != "") & is_listed(key, levels), []
+    own = F.when(block, F.lit("block")).otherwise(F.lit("allow"))
     return out.withColumns({"rule": fitting_rule(F.col("host"), F.col("path"), rules, 0),
-                            "verdict": F.coalesce(fitting_rule(F.col("host"), F.col("path"), rules, 1), own)}).drop("_block")
+                            "verdict": F.coalesce(fitting_rule(F.col("host"), F.col("path"), rules, 1), own)}).drop(*extra)
