@@ -341,8 +341,8 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     places = (stretches.where(F.col("own").isNotNull()).select("id", "dig", F.inline("own")).join(wanted, "digest", "left_semi")
               .groupBy("digest").agg(F.min(F.struct("id", "dig", "start", "stop", "lo", "hi")).alias("p"))
               .groupBy("p.id", "p.dig").agg(F.collect_list(F.struct("digest", "p.lo", "p.start", "p.stop", "p.hi")).alias("places")))
-    around = held(_with_texts(src, places, "places").mapInArrow(_around, _AROUND), "chunk-ends")
-    held_by = around.dropDuplicates(["digest"]).withColumnsRenamed({"start": "own_start", "stop": "own_stop"})
+    around = _with_texts(src, places, "places").mapInArrow(_around, _AROUND).dropDuplicates(["digest"])
+    held_by = held(around, "chunk-ends").withColumnsRenamed({"start": "own_start", "stop": "own_stop"})
     sides = (ends.join(held_by, "digest").groupBy("id", "dig")
              .agg(F.collect_list(F.struct("start", "stop", "first", "side", "holder", "holder_dig", "own_start", "own_stop",
                                           "before", "behind")).alias("sides")))
