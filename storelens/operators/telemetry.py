@@ -103,6 +103,41 @@ def flatten_parts(joined: DataFrame) -> DataFrame:
         F.col("part.response").alias("tool_response"))
 
 
+def tool_values(flat: DataFrame, depth: int = 4) -> DataFrame:
+    """M-03 on the inside of tool calls: every value within the JSON arguments and responses of
+    flattened parts, as (all columns of ``flat``, tool_side, path, kind, value, malformed).
+
+    JSON is parsed once into a Variant; objects and arrays are opened level by
+    level, in generators, without a shuffle. What lies deeper than ``depth`` levels comes as one
+    row of kind OBJECT or ARRAY with its JSON; so do empty objects and arrays. Text that is no JSON is one row
+    with ``malformed`` true and no path; a JSON null is a row of kind VOID; a null column gives none."""
+    keep = [F.col(f"`{c}`") for c in flat.columns]
+    sides = F.array(F.struct(F.lit("arguments").alias("side"), F.col("tool_args").alias("json")),
+                    F.struct(F.lit("response").alias("side"), F.col("tool_response").alias("json")))
+    rows = flat.select(F.struct(*keep).alias("row"), F.explode(sides).alias("s")).where("s.json IS NOT NULL")
+    node = F.try_parse_json("s.json")
+    rows = rows.select("row", F.col("s.side").alias("side"), F.when(node.isNotNull(), F.lit("$")).alias("path"), node.alias("node"))
+    done = []
+    for level in range(depth + 1):
+        kind = F.expr("regexp_extract(schema_of_variant(node), '^[A-Z]+', 0)")
+        rows = rows.withColumn("kind", kind)
+        full = F.col("kind").isin("OBJECT", "ARRAY") & ~F.to_json("node").isin("{}", "[]")
+        opens = F.coalesce(full, F.lit(False)) if level < depth else F.lit(False)
+        done.append(rows.where(~opens))
+        if level == depth:
+            break
+        inner = rows.where(opens).selectExpr("row", "side", "path", "kind AS up", "node AS whole")
+        inner = inner.lateralJoin(inner.sparkSession.tvf.variant_explode(F.col("whole").outer()))
+        step = F.when(F.col("up") == "ARRAY", F.concat(F.lit("["), F.col("pos").cast("string"), F.lit("]"))).otherwise(
+            F.concat(F.lit("."), F.col("key")))
+        rows = inner.select("row", "side", F.concat("path", step).alias("path"), F.col("value").alias("node"))
+    out = done[0]
+    for more in done[1:]:
+        out = out.unionByName(more)
+    text = F.when(F.col("kind").isin("OBJECT", "ARRAY"), F.to_json("node")).otherwise(F.expr("try_variant_get(node, '$', 'string')"))
+    return out.select("row.*", F.col("side").alias("tool_side"), "path", "kind", text.alias("value"), F.col("path").isNull().alias("malformed"))
+
+
 def dedup_within_trace(flat: DataFrame) -> DataFrame:
     """W-01: keep the latest copy of a part within one trace/span
     (insert id breaks timestamp ties)."""
@@ -128,13 +163,17 @@ def completions_mart(logs: DataFrame, messages: DataFrame, ordered: bool = False
     partitioning also satisfies the within-trace window (its keys are a
     superset), so both de-dup windows run without another shuffle.
     """
-    flat = flatten_parts(join_messages(unpivot_refs(extract_refs(logs)), messages))
+    out = settled(flatten_parts(join_messages(unpivot_refs(extract_refs(logs)), messages)), partitions)
+    return order_mart(out) if ordered else out
+
+
+def settled(flat: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Both de-dup stages over flattened parts, without echoed assistant inputs: the mart's rows."""
     keys = [F.col(k) for k in ACROSS_TRACE_KEYS]
     flat = flat.repartition(partitions, *keys) if partitions else flat.repartition(*keys)
     out = dedup_across_traces(dedup_within_trace(flat))
     out = out.where(~((F.col("message_type") == "input") & (F.col("role") == "assistant")))
-    out = out.select(*MART_COLUMNS)
-    return order_mart(out) if ordered else out
+    return out.select(*MART_COLUMNS)
 
 
 def order_mart(df: DataFrame) -> DataFrame:

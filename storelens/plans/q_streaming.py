@@ -15,10 +15,11 @@ from pyspark.sql import functions as F
 from storelens.plans import fixtures as fx
 from storelens.plans.oracle import exact_ratio, with_views
 from storelens.plans.q_retail import ALERT_EVENTS, TRAILING_SQL
-from storelens.plans.q_telemetry import LOGS_SQL
+from storelens.plans.q_telemetry import LOGS_SQL, MART_SQL
 from storelens.plans.registry import query
 from storelens.session import scratch_path
 from storelens.streaming import jobs as S
+from storelens.streaming import mart as live
 
 PROJECT = "retail-ops"
 SERVICE = "operations-agent"
@@ -209,3 +210,37 @@ def stream_feedback(t):
     out = t.spark.read.parquet(f"{base}/out").drop("batch")
     generated = F.col("user_id").rlike("^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$")
     return out.withColumn("user_id", F.when(generated, "generated").otherwise(F.col("user_id")))
+
+
+def _arrivals(t, base: str, files: int = 4) -> None:
+    """Log records and message files as two folders of ``files`` files in order of arrival: a record comes up to
+    four minutes late, a message up to six, each by its call's id, so either may come first."""
+    logs = fx.inference_logs(t).withColumn("timestamp", F.col("timestamp").cast("timestamp"))
+    call = F.regexp_extract("file_name", r"/(\d+)_", 1).cast("long")
+    start = F.lit(fx.TELEMETRY_BASE).cast("timestamp")
+    msgs = fx.completions(t).withColumn("written_at", F.timestamp_add("MINUTE", call % 1000000, start))
+    last = t.conversations.agg(F.max("turn")).first()[0] or 0
+    step = (last * 60) // files + 1
+    insert = F.regexp_extract("insertId", r"(\d+)", 1).cast("long")
+    for df, name, ts, late in ((logs, "logs", "timestamp", F.pmod(insert * 7919, F.lit(5))),
+                               (msgs, "messages", "written_at", F.pmod(call * 31, F.lit(7)))):
+        at = F.unix_timestamp(ts) - F.unix_timestamp(start) + late * 60
+        part = F.least(F.floor(at / step), F.lit(files - 1))
+        for k in range(files):
+            df.where(part == k).coalesce(1).write.mode("append").parquet(f"{base}/{name}")
+
+
+@query("stream_completions_mart", "J-05 M-03 M-04 W-01 W-02 U-01",
+       with_views(MART_SQL, "log_refs", "messages", extra={"logs": LOGS_SQL}))
+def stream_completions_mart(t):
+    """The mart kept by a stream-stream join over micro-batches whose records and message files arrive late and in
+    either order, folded every second batch: equal to the batch mart."""
+    base = _scratch(t, "mart")
+    _arrivals(t, base)
+
+    def folder(name):
+        return (t.spark.readStream.schema(t.spark.read.parquet(f"{base}/{name}").schema).option("maxFilesPerTrigger", 1)
+                .parquet(f"{base}/{name}"))
+
+    S.run_available(live.stream_parts(folder("logs"), folder("messages")), live.keep_parts(f"{base}/table", fold_every=2), f"{base}/ckpt")
+    return live.read_mart(t.spark, f"{base}/table").withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))

@@ -108,3 +108,39 @@ def completions_view_ordered(t):
     """The mart through its registered view, in presentation order."""
     view = tel.register_completions_view(t.spark, fx.inference_logs(t), fx.completions(t))
     return tel.order_mart(view)
+
+
+TOOL_SQL = """
+WITH parts AS (
+  SELECT u.i - 1 AS part_idx, length(u.line) AS n, (idx + u.i - 1) % 5 AS kind
+  FROM messages, unnest(string_split(content, chr(10))) WITH ORDINALITY AS u(line, i)),
+calls AS (
+  SELECT CASE kind WHEN 1 THEN 'arguments' ELSE 'response' END AS tool_side, CASE kind WHEN 1 THEN 'chars' ELSE 'found' END AS field,
+    part_idx % 3 AS form, n FROM parts WHERE kind IN (1, 2)),
+vals AS (
+  SELECT tool_side, '$.' || field AS path, 'BIGINT' AS kind, false AS malformed, n FROM calls WHERE form = 0
+  UNION ALL SELECT tool_side, '$.query.inner.' || field, 'BIGINT', false, n FROM calls WHERE form = 1
+  UNION ALL SELECT tool_side, '$.query.tags[0]', 'STRING', false, NULL FROM calls WHERE form = 1
+  UNION ALL SELECT tool_side, '$.query.tags[1]', 'VOID', false, NULL FROM calls WHERE form = 1
+  UNION ALL SELECT tool_side, NULL, NULL, true, NULL FROM calls WHERE form = 2)
+SELECT 'lookup_store' AS tool_name, tool_side, path, kind, malformed, count(*) AS occurrences, min(n) AS smallest, max(n) AS largest,
+  sum(n)::BIGINT AS total
+FROM vals GROUP BY ALL"""
+
+
+@query("tool_argument_paths", "M-03", with_views(TOOL_SQL, "messages"))
+def tool_argument_paths(t):
+    """Paths, types and ranges of the values in tool calls' arguments and responses, malformed JSON
+    counted; a third of the calls has nested arguments and a third is cut short."""
+    from pyspark.sql import functions as F
+
+    def forms(c):
+        nested = F.concat(F.lit('{"query":{"inner":'), F.col(c), F.lit(',"tags":["a",null]}}'))
+        return F.when(F.col("part_idx") % 3 == 1, nested).when(F.col("part_idx") % 3 == 2, F.substring(c, 1, 6)).otherwise(F.col(c))
+
+    flat = tel.flatten_parts(fx.completions(t))
+    flat = flat.select("tool_name", "part_idx", "tool_args", "tool_response").withColumns(
+        {c: forms(c) for c in ("tool_args", "tool_response")})
+    number = F.when(F.col("kind") == "BIGINT", F.col("value").cast("long"))
+    return tel.tool_values(flat).groupBy("tool_name", "tool_side", "path", "kind", "malformed").agg(
+        F.count(F.lit(1)).alias("occurrences"), F.min(number).alias("smallest"), F.max(number).alias("largest"), F.sum(number).alias("total"))
