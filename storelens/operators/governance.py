@@ -42,7 +42,7 @@ POS_TX_RULES = (
 )
 
 
-def _passes(rule: Rule) -> Column:
+def passes(rule: Rule) -> Column:
     # a condition that evaluates to null counts as failed
     return F.coalesce(F.expr(rule.expr), F.lit(False))
 
@@ -51,8 +51,12 @@ def quality_scan(df: DataFrame, rules=POS_TX_RULES) -> DataFrame:
     """G-04: all rules in one aggregation pass: evaluated, passed, failed,
     pass ratio (4 places) and PASSED/FAILED against the rule threshold."""
     aggs = [F.count(F.lit(1)).alias("_n")]
-    aggs += [F.count_if(_passes(r)).alias(f"_p{i}") for i, r in enumerate(rules)]
-    one = df.agg(*aggs)
+    aggs += [F.count_if(passes(r)).alias(f"_p{i}") for i, r in enumerate(rules)]
+    return judged(df.agg(*aggs), rules)
+
+
+def judged(one: DataFrame, rules=POS_TX_RULES) -> DataFrame:
+    """One row per rule from one row of counts: ``_n`` rows evaluated, ``_p0``, ``_p1``... passed."""
     rows = [F.struct(F.lit(r.name).alias("rule_name"), F.lit(r.dimension).alias("dimension"),
                      F.lit(r.column).cast("string").alias("column_name"), F.lit(r.expr).alias("rule_expr"),
                      F.lit(float(r.threshold)).alias("threshold"), F.col(f"_p{i}").alias("passed"))
@@ -66,7 +70,7 @@ def quality_scan(df: DataFrame, rules=POS_TX_RULES) -> DataFrame:
 
 def failing_rows(df: DataFrame, rules=POS_TX_RULES) -> DataFrame:
     """G-04: the rows failing at least one rule, with the failed rule names."""
-    failed = F.array_compact(F.array(*[F.when(~_passes(r), F.lit(r.name)) for r in rules]))
+    failed = F.array_compact(F.array(*[F.when(~passes(r), F.lit(r.name)) for r in rules]))
     return df.withColumn("failed_rules", failed).where(F.size("failed_rules") > 0)
 
 

@@ -188,14 +188,16 @@ def quality_scan(t):
     return gov.quality_scan(fx.pos_tx(t))
 
 
-@query("quality_failing_rows", "G-04", with_views("""
+FAILING_SQL = """
 SELECT tx_no, transaction_id, 'transaction_id_not_null' AS failed_rule FROM pos_tx WHERE transaction_id IS NULL
 UNION ALL
 SELECT tx_no, transaction_id, 'total_matches_parts' FROM pos_tx
 WHERE NOT coalesce(total = subtotal_amount - discount + tax_amount, false)
 UNION ALL
-SELECT tx_no, transaction_id, 'items_within_quantity' FROM pos_tx WHERE NOT coalesce(item_count <= total_quantity, false)""",
-                                                   "pos_tx"))
+SELECT tx_no, transaction_id, 'items_within_quantity' FROM pos_tx WHERE NOT coalesce(item_count <= total_quantity, false)"""
+
+
+@query("quality_failing_rows", "G-04", with_views(FAILING_SQL, "pos_tx"))
 def quality_failing_rows(t):
     """Every failing ledger row, once per failed rule."""
     bad = gov.failing_rows(fx.pos_tx(t))

@@ -16,10 +16,12 @@ from storelens.plans import fixtures as fx
 from storelens.plans.oracle import exact_ratio, with_views
 from storelens.plans.q_retail import ALERT_EVENTS, TRAILING_SQL
 from storelens.plans.q_telemetry import LOGS_SQL, MART_SQL
+from storelens.plans.q_governance import FAILING_SQL, QUALITY_SQL
 from storelens.plans.registry import query
 from storelens.session import scratch_path
 from storelens.streaming import jobs as S
 from storelens.streaming import mart as live
+from storelens.streaming import quality as checked
 
 PROJECT = "retail-ops"
 SERVICE = "operations-agent"
@@ -244,3 +246,26 @@ def stream_completions_mart(t):
 
     S.run_available(live.stream_parts(folder("logs"), folder("messages")), live.keep_parts(f"{base}/table", fold_every=2), f"{base}/ckpt")
     return live.read_mart(t.spark, f"{base}/table").withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
+
+
+def _checked_ledger(t) -> str:
+    """The checkout ledger through the streaming quality sink, in four micro-batches; the sink's folder."""
+    base = _scratch(t, "quality")
+    fx.pos_tx(t).repartition(4).write.parquet(f"{base}/ledger")
+    schema = t.spark.read.parquet(f"{base}/ledger").schema
+    ledger = t.spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/ledger")
+    S.run_available(ledger, checked.quality_sink(f"{base}/checked"), f"{base}/ckpt")
+    return f"{base}/checked"
+
+
+@query("stream_quality_totals", "G-04", with_views(QUALITY_SQL, "pos_tx"))
+def stream_quality_totals(t):
+    """Totals of the ledger's quality rules over micro-batches, observed while the rows are written."""
+    return checked.quality_totals(t.spark, _checked_ledger(t))
+
+
+@query("stream_quarantined_rows", "G-04", with_views(FAILING_SQL, "pos_tx"))
+def stream_quarantined_rows(t):
+    """Ledger rows that the stream set aside, once per failed rule."""
+    bad = checked.quality_rows(t.spark, _checked_ledger(t), quarantined=True)
+    return bad.select("tx_no", "transaction_id", F.explode("failed_rules").alias("failed_rule"))
