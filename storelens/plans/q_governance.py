@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from storelens.operators import governance as gov
+from storelens.operators import session_catalog
 from storelens.operators import profile_states as ps
 from storelens.operators import profiling as prof
 from storelens.operators import warranty as war
@@ -319,6 +320,19 @@ def catalog_snapshot_file(t):
     return gov.read_catalog(t.spark, path).select("table_name", "row_count", "ordinal", "column_name", "data_type")
 
 
+@query("session_catalog_snapshot", "S-07 G-05", with_views(
+    f"SELECT * EXCLUDE (nullable) FROM ({_catalog_sql()})", *_CATALOG_VIEWS))
+def session_catalog_snapshot(t):
+    """The bound tables registered in the session's catalogue with comments and properties; the snapshot and
+    its row counts come from there, without a scan."""
+    database = f"storelens_{uuid.uuid4().hex[:12]}"
+    for name, df in _bound(t).items():
+        path = scratch_path(t.spark, f"tables/{database}/{name}")
+        df.write.parquet(path)
+        session_catalog.register(t.spark, database, name, path, DESCRIPTIONS.get(name), CONTRACTS.get(name))
+    return gov.validate_records(session_catalog.session_snapshot(t.spark, database)).drop("nullable")
+
+
 @query("streaming_store_ops_tables", "G-06 S-07", with_views(f"""
 SELECT 'pos_tx' AS table_name, count(*) AS row_count, '{DESCRIPTIONS["pos_tx"]}' AS description FROM pos_tx""", "pos_tx"))
 def streaming_store_ops_tables(t):
