@@ -314,10 +314,10 @@ def ingest_feedback(raw: DataFrame, service_name: str, value_col: str = "value")
 
 # ------------------------------------------------------------- runner
 def use_rocksdb(spark: SparkSession) -> None:
-    """State in RocksDB, unless the session chose a provider of its own."""
+    """State in RocksDB, unless the session chose a provider of its own (an unset one reads as Spark's default)."""
     from storelens.session import ROCKSDB_PROVIDER
     conf = spark.conf
-    if conf.get("spark.sql.streaming.stateStore.providerClass", "").endswith("HDFSBackedStateStoreProvider"):
+    if conf.get("spark.sql.streaming.stateStore.providerClass").endswith("HDFSBackedStateStoreProvider"):
         conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
         conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
 

@@ -126,3 +126,15 @@ def test_state_of_a_hot_cashier_is_bounded(spark):
         hot = [r["count"] for r in per if r["cashier_id"] == "CASH_1007"]
         assert hot and hot[0] <= 70 // 9 + 2             # an event every nine minutes, 70 minutes kept
         assert sum(r["count"] for r in per) <= 2 * (70 // 3 + 2)   # silent cashiers' state has gone
+
+
+def test_trailing_runs_where_the_session_names_no_state_store(spark):
+    """A plain session leaves the provider unset, which means Spark's default; keyed state then still goes to RocksDB."""
+    import __spark_entry__ as E
+    from storelens.session import ROCKSDB_PROVIDER
+    key = "spark.sql.streaming.stateStore.providerClass"
+    spark.conf.unset(key)
+    try:
+        assert E.queries()["stream_trailing_metrics"](spark, SF001).count() == Tables(spark, SF001).events.count()
+    finally:
+        spark.conf.set(key, ROCKSDB_PROVIDER)
