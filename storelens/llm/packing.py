@@ -100,7 +100,8 @@ class WordTokens:
                 other.append(w)
             else:
                 words[w] = self._encode(w)
-        low_alone, low_ended = [w.lower() for w in alone], [w[:-1].lower() for w in ended]
+        # a word in lower case is its own piece: one string serves both memories
+        low_alone, low_ended = [w if w.islower() else w.lower() for w in alone], [w[:-1].lower() for w in ended]
         cut = [self.split(w.lower()) for w in other]
         pieces = self.pieces
         self._learn_pieces(list({*low_alone, *low_ended, *(w[-1] for w in ended), *(p for ps in cut for p in ps)}

@@ -80,3 +80,15 @@ def test_plan_is_small_for_large_counts():
     assert len(patterns) < 12000
     bound = -(-int((counts * np.arange(4097)).sum()) // 4096)
     assert sum(t for t, _ in patterns) < 1.001 * bound
+
+
+def test_a_lower_case_word_is_remembered_as_one_string():
+    """Both memories of a worker hold the same object; ids are the tokenizer's own."""
+    from storelens.llm import queries
+    from storelens.llm.packing import WordTokens
+    tok = WordTokens(queries.tokenizer_path())
+    text = "".join(["qu", "ixotic"]) + " Straße ǅungla ΣΑΣ naïve, x-1"
+    raw = tok.batch([text])[0]
+    assert np.frombuffer(raw, "<u4").tolist() == tok.tok.encode(text, add_special_tokens=False).ids
+    word, piece = (next(k for k in held if k == "quixotic") for held in (tok.words, tok.pieces))
+    assert word is piece
