@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import SEGMENT, WORD_SPACE, free_name, held, span_hashes, stream64, text_buffer, whole_row
+from .common import SEGMENT, WORD_SPACE, drop_held, free_name, held, span_hashes, stream64, text_buffer, whole_row
 
 REACH = 24
 MIN_WORDS = 50
@@ -167,12 +167,12 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             return pa.ListArray.from_arrays(at, pa.array(x, kind))
 
         yield pa.RecordBatch.from_arrays(
-            [b.column(0), b.column(1), pa.array(np.diff(off), pa.int64()), pa.array(size, pa.int64()), lists(starts, pa.int64()),
+            [b.column(0), b.column(1), pa.array(np.diff(off), pa.int64()), pa.array(size, pa.int64()), lists(starts, pa.int32()),
              lists(digests.view(np.int64), pa.int64()), lists(back, pa.int32()), lists(ahead, pa.int32())],
             names=["id", "dig", "bytes", "words", "starts", "digests", "back", "ahead"])
 
 
-_CHUNKS = "id long, dig long, bytes long, words long, starts array<long>, digests array<long>, back array<int>, ahead array<int>"
+_CHUNKS = "id long, dig long, bytes long, words long, starts array<int>, digests array<long>, back array<int>, ahead array<int>"
 
 
 # ------------------------------------------------------------------ stretches
@@ -328,12 +328,15 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     each = base.select("id", "dig", F.posexplode("digests").alias("at", "digest"))
     shared = held(each.groupBy("digest").agg(F.min(own).alias("first"), F.max(own).alias("last"))
                   .where(F.col("first") != F.col("last")).select("digest", "first"), "shared-chunks")
-    marks = (each.join(shared, "digest").groupBy("id", "dig")
-             .agg(F.collect_set(F.struct("at", "first")).alias("m"))
-             .select(F.col("id").alias("id2"), F.col("dig").alias("dig2"), F.col("m.at").alias("at"), F.col("m.first").alias("first")))
-    whole = base.dropDuplicates(["id", "dig"])
-    met = whole.join(marks, (F.col("dig") == F.col("dig2")) & F.col("id").eqNullSafe(F.col("id2"))).drop("id2", "dig2")
+    # one key without nulls for the marks, the rows and their join, so that the chunks are dealt out once
+    key = [own.alias("own"), F.col("id").isNull().alias("none"), F.col("dig")]
+    marks = (each.join(shared, "digest").groupBy(*key).agg(F.collect_set(F.struct("at", "first")).alias("m"))
+             .select("own", "none", "dig", F.col("m.at").alias("at"), F.col("m.first").alias("first")))
+    whole = base.select(*key, *(c for c in base.columns if c != "dig")).dropDuplicates(["own", "none", "dig"])
+    met = whole.join(marks, ["own", "none", "dig"]).select(*base.columns, "at", "first")
     stretches = held(met.mapInArrow(_stretches, _STRETCHES), "stretches")
+    drop_held(base)
+    drop_held(shared)
 
     ends = stretches.where(F.col("ends").isNotNull()).select("id", "dig", "start", "stop", "first",
                                                              F.posexplode("ends").alias("side", "digest"))

@@ -169,3 +169,20 @@ def test_query_against_brute_force(spark):
     for r in found:
         docs[r.id][r.start_byte:r.start_byte + r.n_bytes].decode()
         assert (r.first_doc_id < r.id) == r.removed
+
+
+def test_chunks_are_dropped_when_read(spark):
+    import os
+
+    from storelens.session import scratch_path
+    prepare(spark)
+    rnd = random.Random(9)
+    passage = _words(rnd, 80)
+    rows = [(None if i == 3 else i, f"{_words(rnd, 40)} {passage} {_words(rnd, 40)}") for i in range(6)] + [(7, _words(rnd, 100)), (8, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    folder = scratch_path(spark, "llm").removeprefix("file:")
+    before = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    got = sd.repeated_passages(docs).where("removed").collect()
+    assert {r.id for r in got} == {None, 1, 2, 4, 5} and all(r.first_id == 0 for r in got)
+    left = set(os.listdir(folder)) - before
+    assert not [f for f in left if f.startswith(("chunks-", "shared-chunks-"))]
