@@ -10,7 +10,9 @@ duplicating it. Checkpoints live under the shared checkpoint folder.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from decimal import Decimal
 
 import numpy as np
 import pandas as pd
@@ -203,22 +205,117 @@ def stream_trailing(alerts: DataFrame, window_us: int = HOUR_US, delay: str = "1
 
 
 # ------------------------------------------------------------- T-03
+_SUMS = ("txn_count", "override_count", "promo_count", "valued", "high", "low")
+#: One row of state for each pane (the grid's greatest common step) that holds events of an open window.
+_PANE = T.StructType([T.StructField(c, T.LongType()) for c in ("pane", *_SUMS, "after")])
+_WINDOWS = T.StructType([T.StructField("cashier_id", T.StringType())] + [T.StructField(c, T.LongType()) for c in ("start_us", *_SUMS)])
+
+
+def _summed(key: np.ndarray, sums: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order, and the sums of their rows."""
+    order = np.argsort(key, kind="stable")
+    key, first = np.unique(key[order], return_index=True)
+    return key, np.add.reduceat(sums[order], first, axis=0) if len(key) else sums
+
+
+class _Sliding(StatefulProcessor):
+    """Keyed state of a cashier: sums of each pane that an open window covers. A timer at the end of the
+    first of these windows gives all that the watermark has closed, each once.
+
+    A row counts in the windows that end behind the watermark of its arrival (``after``), so an event that is later
+    than the delay does not open a closed window again."""
+
+    def __init__(self, length: int, slide: int):
+        self.length, self.slide, self.step = length, slide, math.gcd(length, slide)
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.panes = handle.getListState("panes", _PANE)
+
+    def close(self) -> None:
+        pass
+
+    def _last(self, pane: np.ndarray) -> np.ndarray:
+        """The end of the last window over each pane."""
+        return pane * self.step // self.slide * self.slide + self.length
+
+    def _wake(self, pane: np.ndarray, after: int, past: int = -1 << 62) -> None:
+        """A timer, later than ``past``, for the first window over the panes that ends behind ``after``."""
+        if len(pane):
+            over = -((self.length - (int(pane.min()) + 1) * self.step) // self.slide)      # first window over the first pane
+            end = max(over, (after - self.length) // self.slide + 1) * self.slide + self.length
+            self.handle.registerTimer(max((end + 999) // 1000 - 1, past + 1))               # timers fire behind their time
+
+    def _put(self, pane: np.ndarray, sums: np.ndarray, after: int) -> list[tuple]:
+        return [(p, *s, after) for p, s in zip(pane.tolist(), sums.tolist())]
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        now = timerValues.getCurrentWatermarkInMs() * 1000
+        parts = [_summed(x["us"].to_numpy(np.int64) // self.step, x[list(_SUMS)].to_numpy(np.int64)) for x in rows]
+        pane, sums = _summed(np.concatenate([p for p, _ in parts]), np.concatenate([s for _, s in parts]))
+        open_ = self._last(pane) > now
+        if open_.any():
+            self.panes.appendList(self._put(pane[open_], sums[open_], now))
+            self._wake(pane[open_], now)
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        now = timerValues.getCurrentWatermarkInMs() * 1000
+        held = np.array([tuple(r) for r in self.panes.get()], dtype=np.int64).reshape(-1, len(_PANE))
+        pane, sums, after = held[:, 0], held[:, 1:-1], held[:, -1]
+        k = (pane * self.step // self.slide)[:, None] - np.arange(-(-self.length // self.slide))
+        end = k * self.slide + self.length
+        row, col = np.nonzero((end > pane[:, None] * self.step) & (end > after[:, None]) & (end <= now))
+        if len(row):
+            window, total = _summed(k[row, col], sums[row])
+            yield pd.DataFrame({"cashier_id": pd.Series([key[0]] * len(window), dtype=object), "start_us": window * self.slide,
+                                **dict(zip(_SUMS, total.T))})
+        open_ = self._last(pane) > now
+        if len(row) or not open_.all():
+            pane, sums = _summed(pane[open_], sums[open_])
+            if len(pane):
+                self.panes.put(self._put(pane, sums, now))
+            else:
+                self.panes.clear()
+        self._wake(pane, now, expiredTimerInfo.getExpiryTimeInMs())
+
+
 def stream_sliding(alerts: DataFrame, length: str = "1 hour", slide: str = "5 minutes",
                    delay: str = "10 minutes") -> DataFrame:
     """T-03: cashier metrics on a fixed sliding grid; a window is emitted
-    once the watermark passes its end (append mode)."""
-    w = F.window("alert_ts", length, slide)
-    g = (alerts.withWatermark("alert_ts", delay).groupBy(w.alias("w"), "cashier_id")
-         .agg(F.count(F.lit(1)).alias("txn_count"),
-              F.count_if(F.col("alert_type") == PROMO_ABUSE).alias("override_count"),
-              F.count_if(F.col("alert_type") == PROMO_EVENT).alias("promo_count"),
-              F.sum("discount_usd").alias("total_discount_usd")))
+    once the watermark passes its end (append mode).
+
+    State is a row for each cashier and pane with events, not one for each of the windows over it, and ends
+    with its last window. An event that is later than ``delay`` counts in the windows that are open still."""
+    spark = alerts.sparkSession
+    ship_package(spark)
+    use_rocksdb(spark)
+    length_us, slide_us, delay_us = spark.sql("SELECT " + ", ".join(
+        f"unix_micros(timestamp_micros(0) + INTERVAL {x})" for x in (length, slide, delay))).first()
+    cents = (F.col("discount_usd").cast("decimal(18,2)") * 100).cast("long")
+    split = F.lit(1_000_000_000).cast("long")                    # sums of cents in two parts, so that neither overflows
+
+    def flag(c: Column) -> Column:
+        return F.coalesce(c.cast("long"), F.lit(0).cast("long"))
+    # rows stay until their last window is closed, behind the same watermark: the latest alert_ts less the delay
+    x = (alerts.where(F.col("alert_ts").isNotNull())
+         .withColumn("_open", F.timestamp_micros(F.unix_micros("alert_ts") + F.lit(length_us)))
+         .withWatermark("_open", f"{(length_us + delay_us) // 1000} milliseconds")
+         .select("cashier_id", "_open", F.unix_micros("alert_ts").alias("us"), F.lit(1).cast("long").alias("txn_count"),
+                 flag(F.col("alert_type") == PROMO_ABUSE).alias("override_count"),
+                 flag(F.col("alert_type") == PROMO_EVENT).alias("promo_count"),
+                 cents.isNotNull().cast("long").alias("valued"),
+                 F.coalesce((cents - F.pmod(cents, split)) / split, F.lit(0)).cast("long").alias("high"),
+                 F.coalesce(F.pmod(cents, split), F.lit(0)).cast("long").alias("low")))
+    g = x.groupBy("cashier_id").transformWithStateInPandas(_Sliding(length_us, slide_us), _WINDOWS, "append", "eventtime")
+    total = ((F.col("high").cast("decimal(18,0)") * F.lit(1_000_000_000).cast("decimal(10,0)") + F.col("low").cast("decimal(18,0)"))
+             * F.lit(Decimal("0.01"))).cast("decimal(28,2)")
     # window bounds as wall-clock UTC (timestamp_ntz), like event_ts of the trailing stream
-    return g.select(F.col("w.start").cast("timestamp_ntz").alias("window_start"),
-                    F.col("w.end").cast("timestamp_ntz").alias("window_end"), "cashier_id",
+    return g.select(F.timestamp_micros("start_us").cast("timestamp_ntz").alias("window_start"),
+                    F.timestamp_micros(F.col("start_us") + F.lit(length_us)).cast("timestamp_ntz").alias("window_end"), "cashier_id",
                     "txn_count", "override_count", "promo_count",
                     exact_ratio("override_count", "txn_count", 2, scale=100).alias("override_rate_pct"),
-                    "total_discount_usd")
+                    F.when(F.col("valued") > 0, total).alias("total_discount_usd"))
 
 
 # ------------------------------------------------------------- T-05

@@ -138,3 +138,88 @@ def test_trailing_runs_where_the_session_names_no_state_store(spark):
         assert E.queries()["stream_trailing_metrics"](spark, SF001).count() == Tables(spark, SF001).events.count()
     finally:
         spark.conf.set(key, ROCKSDB_PROVIDER)
+
+
+class _List:
+    def __init__(self):
+        self.rows, self.timers = [], set()
+
+    def getListState(self, name, schema):
+        return self
+
+    def registerTimer(self, ms):
+        self.timers.add(ms)
+
+    def get(self):
+        return iter(self.rows)
+
+    def put(self, rows):
+        self.rows = list(rows)
+
+    def appendList(self, rows):
+        self.rows += rows
+
+    def clear(self):
+        self.rows = []
+
+
+class _At:
+    def __init__(self, ms):
+        self.getCurrentWatermarkInMs = self.getExpiryTimeInMs = lambda: ms
+
+
+def test_sliding_state_is_a_row_for_each_pane_and_windows_come_once():
+    """Batches of late and early events against a plain count: an event counts in the windows that end behind the
+    watermark of its arrival."""
+    import random
+
+    import pandas as pd
+    rnd, minute = random.Random(5), 60_000_000
+    for length, slide in ((60 * minute, 5 * minute), (7 * minute, 3 * minute), (5 * minute, 5 * minute)):
+        state = _List()
+        p = S._Sliding(length, slide)
+        p.init(state)
+        got, want, top, now = {}, {}, 0, 0
+        for batch in range(40):
+            at = [max(0, top + rnd.randint(-90, 40) * minute + rnd.randint(0, minute)) for _ in range(rnd.randint(1, 30))] if batch % 4 else []
+            for us in at:
+                for k in range((us - length) // slide + 1, us // slide + 1):
+                    if k * slide + length > now:
+                        want[k * slide] = want.get(k * slide, 0) + 1
+            if at:
+                rows = pd.DataFrame({"us": at, **{c: [1] * len(at) for c in S._SUMS}})
+                list(p.handleInputRows(("c",), iter([rows[:3], rows[3:]]), _At(now // 1000)))
+            assert len(state.rows) <= 2 * (2 * 90 + 40 + length // minute)
+            for ms in sorted(t for t in state.timers if t * 1000 < now):
+                state.timers.discard(ms)
+                for df in p.handleExpiredTimer(("c",), _At(now // 1000), _At(ms)):
+                    for s, n in zip(df["start_us"], df["txn_count"]):
+                        assert s not in got and s + length <= now
+                        got[s] = n
+            top = max([top, *at])
+            now = max(now, (top - 10 * minute) // 1000 * 1000)
+        closed = {s: n for s, n in want.items() if s in got or s + length <= now - 200 * minute}
+        assert got == closed and len(got) > 50
+
+
+def test_sliding_stream_over_batches_with_nulls_and_large_sums(spark):
+    import datetime as dt
+    from decimal import Decimal
+    out = tempfile.mkdtemp(prefix="storelens-sl-")
+    start, big = dt.datetime(2024, 1, 1), Decimal("9999999999999999.99")
+    rows = [("a", start + dt.timedelta(minutes=i // 4), "purchase" if i % 3 else "cashier_promo_abuse", big if i % 2 else -big / 3) for i in range(240)]
+    rows += [(None, start + dt.timedelta(minutes=9 * i), None, None) for i in range(20)] + [("b", None, "purchase", Decimal(1))]
+    schema = "cashier_id string, alert_ts timestamp, alert_type string, discount_usd decimal(18,2)"
+    rows.sort(key=lambda r: r[1] or start)
+    for k in range(3):
+        spark.createDataFrame(rows[k * 90:(k + 1) * 90], schema).coalesce(1).write.mode("append").parquet(f"{out}/in")
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{out}/in")
+    S.run_available(S.stream_sliding(stream), S.parquet_sink(f"{out}/o"), f"{out}/ck")
+    got = spark.read.parquet(f"{out}/o").drop("batch")
+    w = F.window("alert_ts", "1 hour", "5 minutes")
+    want = (spark.read.parquet(f"{out}/in").groupBy(w.alias("w"), "cashier_id")
+            .agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("alert_type") == "cashier_promo_abuse").alias("o"),
+                 F.sum("discount_usd").alias("d")).where(F.col("w.end") <= F.lit(max(r[1] for r in rows if r[1]) - dt.timedelta(minutes=10))))
+    g = {(r.window_start, r.cashier_id): (r.txn_count, r.override_count, r.total_discount_usd) for r in got.collect()}
+    assert g == {(r.w.start, r.cashier_id): (r.n, r.o, r.d) for r in want.collect()}
+    assert got.count() == len(g) and any(k[1] is None for k in g) and max(v[2] or 0 for v in g.values()) > 10 ** 17
