@@ -74,12 +74,16 @@ def similar_names(queries: DataFrame, directory: DataFrame, query_id: str, query
     key = F.xxhash64(F.array_join(F.array_sort("set"), "\x00")).alias("id")
     da, db = (s.select(key, "set").dropDuplicates(["id"]) for s in (a, b))
     pairs = candidate_pairs(da, db, min_score)
-    both = (pairs.join(da.select(F.col("id").alias("a_id"), F.col("set").alias("a_set")), "a_id")
-            .join(db.select(F.col("id").alias("b_id"), F.col("set").alias("b_set")), "b_id"))
+
+    # a row for each name: joined by merging, as a broadcast of them (small while compressed) would be built in the driver
+    def names(s: DataFrame, *columns: Column) -> DataFrame:
+        return s.select(*columns).hint("merge")
+    both = (pairs.join(names(da, F.col("id").alias("a_id"), F.col("set").alias("a_set")), "a_id")
+            .join(names(db, F.col("id").alias("b_id"), F.col("set").alias("b_set")), "b_id"))
     raw = F.size(F.array_intersect("a_set", "b_set")) / F.sqrt((F.size("a_set") * F.size("b_set")).cast("double"))
     alike = both.select("a_id", "b_id", raw.alias("raw")).where(F.col("raw") >= F.lit(min_score) - _SLACK)
-    left = a.select(key.alias("a_id"), F.col("id").alias("query_id"), F.col("text").alias("query_text"))
-    right = b.select(key.alias("b_id"), F.col("id").alias("entity_id"), F.col("text").alias("entity_text"))
+    left = names(a, key.alias("a_id"), F.col("id").alias("query_id"), F.col("text").alias("query_text"))
+    right = names(b, key.alias("b_id"), F.col("id").alias("entity_id"), F.col("text").alias("entity_text"))
     out = alike.join(left, "a_id").join(right, "b_id").withColumn("score", F.floor(F.col("raw") * 10_000 + 0.5) / 10_000)
     w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "entity_id")
     out = out.withColumn("rank", F.row_number().over(w))

@@ -51,3 +51,13 @@ def test_few_pairs_are_compared(spark):
     d = spark.createDataFrame(list(enumerate(names)), "id long, text string")
     sets = nm._sets(d, "id", "text").select("id", "set")
     assert nm.candidate_pairs(sets, sets, 0.8).count() < 0.05 * 1500 * 1500
+
+
+def test_names_are_not_broadcast(spark):
+    """A table with a row for each name would be built whole in the driver."""
+    d = spark.createDataFrame([(i, f"store {i} north") for i in range(300)], "id long, text string")
+    df = nm.similar_names(d, d, "id", "text", "id", "text", 0.8)
+    assert df.count() >= 300
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("SortMergeJoin [a_id") >= 2 and plan.count("SortMergeJoin [b_id") >= 2
