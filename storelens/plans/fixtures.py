@@ -135,15 +135,16 @@ def warranty(t: Tables) -> DataFrame:
     )
 
 
-def history_lines(t: Tables) -> DataFrame:
-    """Line form of historical_transactional_data."""
+def _history_rows(t: Tables) -> DataFrame:
+    """Lines with their order's key. The parts join first, while a line is narrow; the rows then lie by order."""
     o = t.orders.select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
     li = t.lineitem.select("l_orderkey", "l_partkey", "l_linenumber")
     p = t.part.select("p_partkey", "p_name", "p_retailprice")
     c = t.customer.select("c_custkey", "c_nationkey", "c_mktsegment")
-    j = (o.join(c, F.col("o_custkey") == F.col("c_custkey")).join(li, F.col("o_orderkey") == F.col("l_orderkey"))
-         .join(p, F.col("l_partkey") == F.col("p_partkey")))
+    j = (o.join(c, F.col("o_custkey") == F.col("c_custkey"))
+         .join(li.join(p, F.col("l_partkey") == F.col("p_partkey")), F.col("o_orderkey") == F.col("l_orderkey")))
     return j.select(
+        "o_orderkey",
         _tagged("TXN-", F.col("o_orderkey")).alias("transaction_id"),
         F.col("o_orderdate").cast("date").alias("business_date"),
         _padded("STORE_", F.col("c_nationkey"), 3).alias("store_id"),
@@ -157,16 +158,22 @@ def history_lines(t: Tables) -> DataFrame:
     )
 
 
+def history_lines(t: Tables) -> DataFrame:
+    """Line form of historical_transactional_data."""
+    return _history_rows(t).drop("o_orderkey")
+
+
 def history(t: Tables) -> DataFrame:
     """Nested historical_transactional_data: ``items`` is a repeated record.
 
     One row per transaction; the collect is per transaction, never per
-    customer or store, so an array is as long as one basket.
+    customer or store, so an array is as long as one basket. The order's key, which the transaction's id
+    spells, is among the keys, so the lines are collected where their join left them.
     """
-    return (history_lines(t)
-            .groupBy("transaction_id", "business_date", "store_id", "customer_id", "customer_loyalty_tier", "payment_method")
+    return (_history_rows(t)
+            .groupBy("o_orderkey", "transaction_id", "business_date", "store_id", "customer_id", "customer_loyalty_tier", "payment_method")
             .agg(F.array_sort(F.collect_list(F.struct("line_no", "item_id", "item_name", "unit_price")))
-                 .alias("items")))
+                 .alias("items")).drop("o_orderkey"))
 
 
 def alerts(t: Tables, with_discount: bool = False) -> DataFrame:

@@ -76,3 +76,20 @@ def test_long_values_count_in_join_candidates(spark):
     b = spark.createDataFrame([("x" * 100,), ("q",)], "w string")
     rows = join_candidates({"a": a, "b": b}, 0.3).collect()
     assert {(r["left_table"], r["left_distinct"], r["overlap"]) for r in rows} == {("a", 3, 1), ("b", 2, 1)}
+
+
+def test_baskets_are_collected_where_their_join_left_the_lines(spark):
+    """The nested history adds no shuffle to its joins: the order's key, by which the lines lie, is a grouping key."""
+    from storelens.plans import fixtures as fx
+    from storelens.sources.tables import Tables
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        h = fx.history(Tables(spark, SF001))
+        plan = h._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning(transaction_id" not in plan and plan.count("Exchange hashpartitioning(") == 6
+        flat = h.select("transaction_id", F.explode("items").alias("i")).select("transaction_id", "i.*")
+        lines = fx.history_lines(Tables(spark, SF001)).select(*flat.columns)
+        assert flat.exceptAll(lines).count() == lines.exceptAll(flat).count() == 0 and flat.count() > 0
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
