@@ -32,8 +32,9 @@ from .common import held, tasks
 
 CAPACITY = 4096
 END_ID = 1
-#: Words whose ids a Python worker remembers before it starts anew.
-CACHE_WORDS = 1_000_000
+#: Words, and pieces of words, whose ids a Python worker remembers at most (beside those of the texts at hand), and
+#: letters of one on average. Pieces cost more to encode than words to put together.
+CACHE_WORDS, CACHE_PIECES, CACHE_LETTERS = 500_000, 1_000_000, 16
 
 
 # ---------------------------------------------------------------- tokenizing
@@ -41,6 +42,32 @@ CACHE_WORDS = 1_000_000
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+"
 
 
+class _Memory:
+    """Ids of words, in two halves: when the newer is full, the older is forgotten, so words that keep coming stay."""
+
+    def __init__(self, size: int) -> None:
+        self.half = size // 2
+        self.new: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.letters = 0
+
+    def __iter__(self) -> Iterator[str]:
+        return iter({**self.old, **self.new})
+
+    def unknown(self, words: set[str]) -> set[str]:
+        """The words without ids; the ids of all others are in ``new`` then."""
+        if len(self.new) > self.half or self.letters > self.half * CACHE_LETTERS:
+            self.new, self.old, self.letters = {}, self.new, 0
+        words = words.difference(self.new)
+        self.letters += sum(map(len, words))
+        if not self.old:
+            return words
+        fresh = words.difference(self.old)
+        again = words.difference(fresh)
+        self.new.update(zip(again, map(self.old.__getitem__, again)))
+        return fresh
+
+
 class WordTokens:
     """Ids of whole texts, word by word with a bounded memory.
 
@@ -61,14 +88,13 @@ class WordTokens:
         vocab = self.tok.get_vocab()
         self.ends = np.zeros(max(vocab.values()) + 1, dtype=bool)
         self.ends[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
-        self.words: dict[str, bytes] = {"": b""}
-        self.pieces: dict[str, bytes] = {}
+        self.words, self.pieces = _Memory(CACHE_WORDS), _Memory(CACHE_PIECES)
 
     def _encode(self, text: str) -> bytes:
         return np.asarray(self.tok.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
     def _learn_pieces(self, new: list[str]) -> None:
-        known = self.pieces
+        known = self.pieces.new
         for i in range(0, len(new), 2048):
             part = new[i:i + 2048]
             raw = self._encode(" ".join(part))
@@ -80,14 +106,12 @@ class WordTokens:
 
     def batch(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        words = self.words
-        if len(words) > CACHE_WORDS:
-            words.clear()
-            words[""] = b""
-        if len(self.pieces) > CACHE_WORDS:
-            self.pieces.clear()
         rows = [t.replace("\n", " ").split(" ") for t in texts]
-        new = set().union(*rows).difference(words)
+        new = self.words.unknown(set().union(*rows))
+        words = self.words.new
+        if "" in new:
+            new.remove("")
+            words[""] = b""
         alone, ended, other = [], [], []                 # letters; letters and a mark; the rest
         for w in new:
             if not (w.isascii() or self.plain(w)):
@@ -103,10 +127,8 @@ class WordTokens:
         # a word in lower case is its own piece: one string serves both memories
         low_alone, low_ended = [w if w.islower() else w.lower() for w in alone], [w[:-1].lower() for w in ended]
         cut = [self.split(w.lower()) for w in other]
-        pieces = self.pieces
-        self._learn_pieces(list({*low_alone, *low_ended, *(w[-1] for w in ended), *(p for ps in cut for p in ps)}
-                                .difference(pieces)))
-        get = pieces.__getitem__
+        self._learn_pieces(list(self.pieces.unknown({*low_alone, *low_ended, *(w[-1] for w in ended), *(p for ps in cut for p in ps)})))
+        get = self.pieces.new.__getitem__
         words.update(zip(alone, map(get, low_alone)))
         words.update((w, get(p) + get(w[-1])) for w, p in zip(ended, low_ended))
         words.update((w, b"".join(map(get, ps))) for w, ps in zip(other, cut))

@@ -92,3 +92,26 @@ def test_a_lower_case_word_is_remembered_as_one_string():
     assert np.frombuffer(raw, "<u4").tolist() == tok.tok.encode(text, add_special_tokens=False).ids
     word, piece = (next(k for k in held if k == "quixotic") for held in (tok.words, tok.pieces))
     assert word is piece
+
+
+def test_remembered_words_are_bounded_and_ids_stay_right(monkeypatch):
+    import random
+
+    import public_tokenizers
+    from tokenizers import Tokenizer
+    from storelens.llm import packing as pk
+    for limit in ("CACHE_WORDS", "CACHE_PIECES"):
+        monkeypatch.setattr(pk, limit, 200, raising=False)
+    path = public_tokenizers.path("word_bpe_49k.json")
+    tok, plain, rnd = pk.WordTokens(path), Tokenizer.from_file(path), random.Random(7)
+    for _ in range(30):
+        text = " ".join(["the", "", "Quixotic,", *("".join(rnd.choices("abcdeé1-", k=rnd.randint(1, 9))) for _ in range(50)), "the"])
+        got = np.frombuffer(tok.batch([text])[0], dtype="<u4").tolist()
+        assert got == plain.encode(text, add_special_tokens=False).ids
+    # 30 texts of some 50 new words: two halves, each full when one text more has come
+    for held in (tok.words, tok.pieces):
+        assert len(held.new) + len(held.old) <= 2 * (100 + 160)
+    tok.batch(["x" * 5000])
+    tok.batch(["y"])
+    tok.batch(["z"])
+    assert "x" * 5000 not in tok.words.new and "x" * 5000 in tok.words.old
