@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 from storelens.plans import fixtures as fx
@@ -214,22 +215,27 @@ def stream_feedback(t):
     return out.withColumn("user_id", F.when(generated, "generated").otherwise(F.col("user_id")))
 
 
-def _arrivals(t, base: str, files: int = 4) -> None:
-    """Log records and message files as two folders of ``files`` files in order of arrival: a record comes up to
-    four minutes late, a message up to six, each by its call's id, so either may come first."""
+def _arrivals(t, base: str, steps: int = 4) -> int:
+    """Log records and message files as two folders, written in ``steps`` of arrival: a record comes up to four minutes
+    late, a message up to six, each by its call's id, so either may come first. Returns the files of a step (a step
+    of few rows may have fewer, and then shares its micro-batch with rows that arrive next)."""
+    files = t.spark.sparkContext.defaultParallelism
     logs = fx.inference_logs(t).withColumn("timestamp", F.col("timestamp").cast("timestamp"))
     call = F.regexp_extract("file_name", r"/(\d+)_", 1).cast("long")
     start = F.lit(fx.TELEMETRY_BASE).cast("timestamp")
     msgs = fx.completions(t).withColumn("written_at", F.timestamp_add("MINUTE", call % 1000000, start))
     last = t.conversations.agg(F.max("turn")).first()[0] or 0
-    step = (last * 60) // files + 1
+    step = (last * 60) // steps + 1
     insert = F.regexp_extract("insertId", r"(\d+)", 1).cast("long")
     for df, name, ts, late in ((logs, "logs", "timestamp", F.pmod(insert * 7919, F.lit(5))),
                                (msgs, "messages", "written_at", F.pmod(call * 31, F.lit(7)))):
         at = F.unix_timestamp(ts) - F.unix_timestamp(start) + late * 60
-        part = F.least(F.floor(at / step), F.lit(files - 1))
-        for k in range(files):
-            df.where(part == k).coalesce(1).write.mode("append").parquet(f"{base}/{name}")
+        part = F.least(F.floor(at / step), F.lit(steps - 1))
+        made = df.withColumn("_step", part).persist(StorageLevel.MEMORY_AND_DISK)
+        for k in range(steps):
+            made.where(F.col("_step") == k).drop("_step").repartition(files).write.mode("append").parquet(f"{base}/{name}")
+        made.unpersist()
+    return files
 
 
 @query("stream_completions_mart", "J-05 M-03 M-04 W-01 W-02 U-01",
@@ -238,10 +244,10 @@ def stream_completions_mart(t):
     """The mart kept by a stream-stream join over micro-batches whose records and message files arrive late and in
     either order, folded every second batch: equal to the batch mart."""
     base = _scratch(t, "mart")
-    _arrivals(t, base)
+    files = _arrivals(t, base)
 
     def folder(name):
-        return (t.spark.readStream.schema(t.spark.read.parquet(f"{base}/{name}").schema).option("maxFilesPerTrigger", 1)
+        return (t.spark.readStream.schema(t.spark.read.parquet(f"{base}/{name}").schema).option("maxFilesPerTrigger", files)
                 .parquet(f"{base}/{name}"))
 
     S.run_available(live.stream_parts(folder("logs"), folder("messages")), live.keep_parts(f"{base}/table", fold_every=2), f"{base}/ckpt")
