@@ -1,9 +1,12 @@
 """Retrieval at size: sparse vectors against the dense search, chunks and keys against plain Python."""
 
+import re
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from storelens.functions.text import CODE_PATTERN, token_runs
 from storelens.operators import retrieval as rt
 
 
@@ -43,3 +46,30 @@ def test_entities_move_as_entries(spark, monkeypatch):
     got = {r.query_id: r.entity_id for r in rt.resolve_entity(asked, names, "qid", "text", "sid", "name").collect()}
     assert all(got[i] == f"STORE_{i:03d}" for i in range(30)) and len(got) == 31
     assert len(sent) == 2 and max(r[0] for x in sent for r in x.select(F.size("v")).collect()) < 40
+
+
+def _keys(text, lengths):
+    out = set()
+    for run in re.findall(r"[a-z0-9]+(?:-+[a-z0-9]+)*", text.lower()):
+        parts = re.split("-+", run)
+        out |= {"-".join(parts[i:i + k]) for k in lengths for i in range(len(parts) - k + 1)}
+    return out
+
+
+@pytest.mark.parametrize("lengths", [[1], [2], [1, 3], [2, 3, 4], []])
+def test_token_runs(spark, lengths):
+    texts = ["", "plain words, no hyphen 42", "A--77-B- is ERR-42 x-", "-a-b-c-d e-f", "a-b a-b-c É-x-y", "--", "one - two-three"]
+    df = spark.createDataFrame([(t, lengths) for t in texts], "text string, n array<int>")
+    got = df.select(token_runs("text", F.col("n")).alias("k")).collect()
+    for t, r in zip(texts, got):
+        assert len(r.k) == len(set(r.k)) and set(r.k) == _keys(t, lengths)
+    assert spark.createDataFrame([(None,)], "text string").select(
+        F.explode(token_runs("text", F.array(F.lit(1), F.lit(2))))).count() == 0
+
+
+def test_terms_are_extracted_once(spark):
+    q = spark.createDataFrame([(1, "code ERR-42 and printer"), (2, "nothing")], "query_id long, text string")
+    c = spark.createDataFrame([("d", 0, "See err-42."), ("c", 3, "the printer")], "document_filename string, chunk_index long, chunk_content string")
+    out = rt.fallback_search(q, c)
+    assert CODE_PATTERN not in out._jdf.queryExecution().toString()
+    assert [tuple(r) for r in out.collect()] == [(1, "ERR-42", "d", 0)]
