@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import HashingTF, NGram, Normalizer, RegexTokenizer, SQLTransformer
 from pyspark.ml.functions import vector_to_array
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -68,14 +71,23 @@ def md5_embed(df: DataFrame, text: Column | str, out_col: str = "embedding", dim
         padded = F.concat(F.lit(" "), t, F.lit(" "))
         tokens = F.transform(F.sequence(F.lit(1), F.greatest(F.length(padded) - (grams - 1), F.lit(1))),
                              lambda i: F.substring(padded, i, F.lit(grams)))
-    place = lambda w: F.pmod(F.conv(F.substring(F.md5(w), 1, 8), 16, 10).cast("long"), F.lit(dim))
-    return (df.withColumn("_places", F.transform(tokens, place))
-            .withColumn(out_col, _unit_counts(dim)(F.col("_places"))).drop("_places"))
+    return (df.withColumn("_tokens", tokens)
+            .withColumn(out_col, _unit_counts(dim)(F.col("_tokens"))).drop("_tokens"))
 
 
 def _unit_counts(dim: int):
-    """An Arrow function: how often each place occurs, scaled to length 1 (all zero without any)."""
-    def run(places: pd.Series) -> pd.Series:
-        counts = [np.bincount(p, minlength=dim).astype(np.float64) if len(p) else np.zeros(dim) for p in places]
-        return pd.Series([c / np.sqrt((c * c).sum()) if c.any() else c for c in counts])
-    return F.pandas_udf(run, "array<double>")
+    """An Arrow function: how often the tokens' places occur, scaled to length 1 (all zero without any). The
+    tokens of a batch are hashed once each."""
+    def place(word: bytes) -> int:
+        return int(hashlib.md5(word).hexdigest()[:8], 16) % dim
+
+    def run(tokens: pa.Array) -> pa.Array:
+        n = len(tokens)
+        coded = tokens.flatten().dictionary_encode()
+        places = np.array([place(w) for w in coded.dictionary.cast(pa.binary()).to_pylist()], dtype=np.int64)
+        rows = np.repeat(np.arange(n, dtype=np.int64), pc.list_value_length(tokens).to_numpy())
+        counts = np.bincount(rows * dim + places[coded.indices.to_numpy()], minlength=n * dim).reshape(n, dim).astype(np.float64)
+        length = np.sqrt((counts * counts).sum(axis=1))
+        counts[length > 0] /= length[length > 0, None]
+        return pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * dim), pa.array(counts.ravel()))
+    return F.arrow_udf(run, "array<double>")

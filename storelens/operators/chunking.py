@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from storelens.functions.vectors import embed
 from storelens.operators.sizing import spread
 
+BLOCK = 16     # windows cut out of a text at once
+
 META = ("document_filename", "document_title", "equipment_covered", "source_pdf_uri")
 
 
@@ -16,13 +18,19 @@ def chunk(df: DataFrame, text_col: str = "text", size: int = 500, step: int = 40
     """R-01: windows of ``size`` characters starting at 1, 1+step, ... up to
     max(length, 1); ``chunk_index`` is the 0-based window number, kept
     with gaps after windows whose trimmed length is <= ``min_len`` are
-    dropped. Whole texts are chunked; the explode is narrow (no shuffle)."""
+    dropped. Whole texts are chunked; the explodes are narrow (no shuffle).
+    A window is taken out of a block of ``BLOCK`` windows, as taking characters
+    from a string reads it from its start."""
     t = F.col(text_col)
-    starts = F.sequence(F.lit(1), F.greatest(F.length(t), F.lit(1)), F.lit(step))
     keep = [c for c in meta if c in df.columns]
-    x = spread(df).select(*keep, t.alias("_t"), F.posexplode(starts).alias("chunk_index", "_start"))
-    x = x.select(*keep, F.col("chunk_index").cast("long").alias("chunk_index"),
-                 F.substring(F.col("_t"), F.col("_start"), F.lit(size)).alias("chunk_content"))
+    last = F.greatest(F.length(t), F.lit(1)) - 1
+    blocks = F.transform(F.sequence(F.lit(0), last, F.lit(BLOCK * step)),
+                         lambda s: F.substring(t, s + 1, F.lit((BLOCK - 1) * step + size)))
+    x = spread(df).select(*keep, last.alias("_last"), F.posexplode(blocks).alias("_block", "_t"))
+    here = F.least(F.floor((F.col("_last") - F.col("_block") * BLOCK * step) / step), F.lit(BLOCK - 1)).cast("int")
+    windows = F.transform(F.sequence(F.lit(0), here), lambda k: F.substring(F.col("_t"), k * step + 1, F.lit(size)))
+    x = x.select(*keep, "_block", F.posexplode(windows).alias("_window", "chunk_content"))
+    x = x.select(*keep, (F.col("_block").cast("long") * BLOCK + F.col("_window")).alias("chunk_index"), "chunk_content")
     return x.where(F.length(F.trim("chunk_content")) > min_len)
 
 

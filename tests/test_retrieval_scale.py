@@ -1,12 +1,15 @@
 """Retrieval at size: sparse vectors against the dense search, chunks and keys against plain Python."""
 
 import re
+import time
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from storelens.functions.text import CODE_PATTERN, token_runs
+from storelens.functions.vectors import md5_embed
+from storelens.operators import chunking as ch
 from storelens.operators import retrieval as rt
 
 
@@ -48,6 +51,25 @@ def test_entities_move_as_entries(spark, monkeypatch):
     assert len(sent) == 2 and max(r[0] for x in sent for r in x.select(F.size("v")).collect()) < 40
 
 
+def test_windows_of_texts(spark):
+    texts = [None, "", "é" * 31, "ab cd " * 70, "xyz\U0001f600 " * 2_000, "a" * 400, "b" * 6_400, "c" * 6_401, "d" * 6_431, " " * 900 + "e" * 40]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    got = sorted(map(tuple, ch.chunk(df, meta=("id",)).collect()))
+    want = [(i, k, t[s:s + 500]) for i, t in enumerate(texts) if t is not None
+            for k, s in enumerate(range(0, max(len(t), 1), 400)) if len(t[s:s + 500].strip(" ")) > 30]
+    assert got == sorted(want)
+    small = sorted(map(tuple, ch.chunk(df, size=3, step=5, min_len=1, meta=("id",)).collect()))
+    assert small == sorted((i, k, t[s:s + 3]) for i, t in enumerate(texts) if t is not None
+                           for k, s in enumerate(range(0, max(len(t), 1), 5)) if len(t[s:s + 3].strip(" ")) > 1)
+
+
+def test_long_text_is_not_read_for_each_window(spark):
+    df = spark.range(1).select("id", F.repeat(F.lit("words of a long manual "), 200_000).alias("text"))
+    start = time.perf_counter()
+    assert ch.chunk(df, meta=("id",)).count() == 11_500
+    assert time.perf_counter() - start < 60                     # minutes where every window read the text from its start
+
+
 def _keys(text, lengths):
     out = set()
     for run in re.findall(r"[a-z0-9]+(?:-+[a-z0-9]+)*", text.lower()):
@@ -73,3 +95,16 @@ def test_terms_are_extracted_once(spark):
     out = rt.fallback_search(q, c)
     assert CODE_PATTERN not in out._jdf.queryExecution().toString()
     assert [tuple(r) for r in out.collect()] == [(1, "ERR-42", "d", 0)]
+
+
+def test_portable_vectors_hash_words_once(spark):
+    texts = ["b a a", "", None, "Zeta, beta; a", "ü-x"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, text string").coalesce(1)
+    out = md5_embed(df, "text", dim=8)
+    assert "md5(" not in out._jdf.queryExecution().toString()
+    import hashlib
+    for r in out.collect():
+        v = np.zeros(8)
+        for w in re.findall("[a-z0-9]+", (r.text or "").lower()):
+            v[int(hashlib.md5(w.encode()).hexdigest()[:8], 16) % 8] += 1
+        assert r.embedding == [float(x) for x in (v / np.sqrt((v * v).sum()) if v.any() else v)]
