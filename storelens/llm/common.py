@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -51,6 +51,24 @@ def tasks(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+_KEPT: dict[str, object] = {}
+
+
+def kept(name: str, make: Callable[[], object]) -> object:
+    """What this Python worker keeps between its tasks: one thing at a time, made when it is first asked for."""
+    if name not in _KEPT:
+        let_go()
+        _KEPT[name] = make()
+    return _KEPT[name]
+
+
+def let_go() -> None:
+    """Drop what an earlier operator's tasks kept: a reused worker has it until it ends, beside what comes then."""
+    if _KEPT:
+        _KEPT.clear()
+        pa.default_memory_pool().release_unused()
+
+
 # ------------------------------------------------------------------ hashing
 _M64 = (1 << 64) - 1
 _BASE = 0x9E3779B97F4A7C55          # odd, so it has an inverse modulo 2^64

@@ -21,13 +21,16 @@ million pairs), and only nodes with a pair left get their texts moved.
 So every candidate pair is linked or compared, and no pair is written
 unless it is a link.
 
-Inverse document frequency: ln(1 + N / max(df, N / 20)), so it tells
-apart what over a twentieth of the texts share and is level below
-that. Such runs number at most 20 times the mean length of a text, so
-their exact counts fit a broadcast that is checked before use. They are
-found without shuffling all runs: a fixed array of bucket counts over
-all texts bounds every run's count from above, and only runs in buckets
-above the floor are counted exactly.
+Inverse document frequency: ln(1 + N / df), with the exact number of
+distinct texts that hold the run. What at least a twentieth of the
+texts hold numbers at most 20 times the mean length of a text, so those
+counts fit a broadcast that is checked before use; they are found
+without shuffling all runs: a fixed array of bucket counts over all
+texts bounds every run's count from above, and only runs in buckets
+above that share are counted this way. All other runs are dealt out by
+their hash and counted where equal ones meet; each text gets back the
+counts of those that another text holds, too, and what then has no
+count is its own alone.
 
 Defined cases: a null text counts as an empty one; equal texts, empty
 ones included, are one group; a text without words has no runs and
@@ -47,21 +50,23 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import (digest, drop_held, held, mix64, shingle_hashes, stream64, tasks, text_buffer,
+from .common import (digest, drop_held, held, let_go, mix64, shingle_hashes, stream64, tasks, text_buffer,
                      whole_row, word_hashes)
 from .components import connected_components
 
 WIDTH = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 12, 3
-FLOOR = 20                      # runs rarer than one text in FLOOR weigh alike
+FLOOR = 20                      # runs in one text of FLOOR are counted by a broadcast, rarer ones by a shuffle
 BUCKETS = 1 << 16               # of the bound on document frequencies
 CHUNK = 1 << 12                 # counters in a row of that array
 MEMBERS_PER_TASK = 500
 LEAST = 15                      # samples that a near pair agrees on at least
 CODES = -(-BANDS * ROWS // 8)   # longs that hold one byte of each sample
 BLOCK = 256                     # nodes of a bucket's side that one group of the second step holds
-MAX_FREQUENT = 8_000_000        # rows of the frequent-run table that may be broadcast
+MAX_FREQUENT = 8_000_000        # rows of the frequent-run table that may be broadcast; else the shuffle counts these, too
+PART_RUNS = 1 << 21             # runs that one group of the shuffle holds on average
+DEALT = 1 << 19                 # runs that a task gathers before it deals them out
 
 _U32 = np.uint64(32)
 
@@ -79,19 +84,21 @@ def _bucket_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         names=["chunk", "counts"])
 
 
-def frequent_runs(docs: DataFrame, text_col: str, texts: int) -> tuple[np.ndarray, np.ndarray]:
+def frequent_runs(docs: DataFrame, text_col: str, texts: int) -> tuple[np.ndarray, np.ndarray, int]:
     """Sorted hashes and document counts (over distinct texts) of the runs in
-    at least 1/FLOOR of the texts."""
+    at least 1/FLOOR of the texts, and how many runs all rows have."""
     least = max(2, math.ceil(texts / FLOOR))
     src = docs.select(F.col(text_col).alias("text"))
     counted = (src.mapInArrow(_bucket_counts, "chunk int, counts array<long>")
                .select("chunk", F.posexplode("counts").alias("at", "n"))
-               .groupBy("chunk", "at").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
-               .select((F.col("chunk") * CHUNK + F.col("at")).alias("bucket")))
-    hot = np.zeros(BUCKETS, dtype=bool)
-    hot[[r[0] for r in counted.collect()]] = True              # at most BUCKETS rows
+               .groupBy("chunk", "at").agg(F.sum("n").alias("n")).where("n > 0")
+               .select((F.col("chunk") * CHUNK + F.col("at")).alias("bucket"), "n").toArrow())   # at most BUCKETS rows
+    size = counted.column("n").to_numpy()
+    hot, total = np.zeros(BUCKETS, dtype=bool), int(size.sum())
+    hot[counted.column("bucket").to_numpy()[size >= least]] = True
+    none = np.zeros(0, np.uint64), np.zeros(0, np.int64), total
     if not hot.any():
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        return none
 
     def occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -106,27 +113,111 @@ def frequent_runs(docs: DataFrame, text_col: str, texts: int) -> tuple[np.ndarra
              .mapInArrow(occurrences, "run long, dig long").groupBy("run", "dig").agg(F.lit(1).alias("x")))
     out = held(pairs.groupBy("run").agg(F.sum("x").alias("n")).where(F.col("n") >= least), "frequent-runs")
     if out.count() > MAX_FREQUENT:
-        raise ValueError("frequent runs exceed the broadcast bound: raise MAX_FREQUENT or lower FLOOR")
+        return none
     rows = out.toArrow()
     drop_held(out)
     run = rows.column("run").to_numpy().view(np.uint64)
     order = np.argsort(run)
-    return run[order], rows.column("n").to_numpy()[order]
+    return run[order], rows.column("n").to_numpy()[order], total
+
+
+def _lists(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Values and row offsets of an Arrow list column without nulls."""
+    off = col.offsets.to_numpy().astype(np.int64)
+    return col.flatten().to_numpy(), off - off[0]
+
+
+def _places(runs: np.ndarray, among: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which of ``runs`` are among the sorted ones, and the places of those there."""
+    if not len(among):
+        return np.zeros(len(runs), dtype=bool), np.zeros(0, dtype=np.int64)
+    at = np.minimum(np.searchsorted(among, runs), len(among) - 1)
+    hit = among[at] == runs
+    return hit, at[hit]
+
+
+def _dealt(key: np.ndarray, text: np.ndarray, runs: np.ndarray, parts: int) -> pa.RecordBatch:
+    """One row for each part that these runs fall in: the keys of its texts, how many runs each has there, the runs."""
+    part = (runs % np.uint64(parts)).astype(np.int32)
+    order = np.argsort(part, kind="stable")
+    part, text = part[order], text[order]
+    row = np.flatnonzero(np.diff(part, prepend=-1))
+    own = np.flatnonzero((np.diff(part, prepend=-1) != 0) | (np.diff(text, prepend=-1) != 0))
+    ends = lambda at, n: pa.array(np.append(at, n).astype(np.int32))
+    owners = ends(np.searchsorted(own, row), len(own))
+    return pa.RecordBatch.from_arrays(
+        [pa.array(part[row]), pa.ListArray.from_arrays(owners, pa.array(key[text[own]])),
+         pa.ListArray.from_arrays(owners, pa.array(np.diff(np.append(own, len(part))).astype(np.int32))),
+         pa.ListArray.from_arrays(ends(row, len(part)), pa.array(runs[order].view(np.int64)))],
+        names=["part", "keys", "lens", "runs"])
+
+
+def _deal(frequent: np.ndarray, parts: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
+        keys, texts, runs, size, rows = [], [], [], 0, 0
+        for b in batches:
+            s, off = shingle_hashes(*word_hashes(*text_buffer(b.column(1))), WIDTH)
+            s, _, off = _distinct(s, off)
+            rare = ~_places(s, frequent)[0]
+            keys.append(b.column(0).to_numpy())
+            texts.append(np.repeat(np.arange(rows, rows + len(off) - 1), np.diff(off))[rare])
+            runs.append(s[rare])
+            size, rows = size + len(runs[-1]), rows + len(off) - 1
+            if size >= DEALT:
+                yield _dealt(*map(np.concatenate, (keys, texts, runs)), parts)
+                keys, texts, runs, size, rows = [], [], [], 0, 0
+        if size:
+            yield _dealt(*map(np.concatenate, (keys, texts, runs)), parts)
+    return run
+
+
+def _shared(group: pa.Table) -> pa.Table:
+    """Of all runs of a part: those that several texts hold, a row for each of these, and how many they are."""
+    keys, lens, runs = (group.column(c).combine_chunks().flatten().to_numpy() for c in ("keys", "lens", "runs"))
+    keys, first, text = np.unique(keys, return_index=True, return_inverse=True)
+    once = np.zeros(len(text), dtype=bool)
+    once[first] = True                                           # equal texts have equal runs: one counts
+    owner = np.repeat(np.where(once, text, -1).astype(np.int32), lens)
+    found = []
+    for lo in range(0, 1 << 8, 1 << 5):                          # a slice of the hashes at a time
+        at = np.flatnonzero((owner >= 0) & ((runs >> 48 & 0xE0) == lo))
+        at = at[np.argsort(runs[at])]
+        same = runs[at]
+        cut = np.flatnonzero(np.append(True, same[1:] != same[:-1])) if len(same) else np.zeros(0, np.int64)
+        n = np.diff(np.append(cut, len(same)))
+        n = np.repeat(n, n)
+        found.append((owner[at[n > 1]], same[n > 1], n[n > 1]))
+    owner, runs, n = map(np.concatenate, zip(*found))
+    return pa.Table.from_arrays([pa.array(keys[owner]), pa.array(runs), pa.array(n)], names=["key", "run", "n"])
+
+
+def shared_runs(docs: DataFrame, text_col: str, frequent: np.ndarray, total: int) -> DataFrame:
+    """key (xxhash64 of a text), runs, counts: the runs of each text that other texts hold, too, the
+    frequent ones left out, and how many distinct texts hold them."""
+    parts = max(1, math.ceil(total / PART_RUNS))
+    found = (docs.select(F.xxhash64(F.col(text_col)).alias("key"), F.col(text_col).alias("text"))
+             .mapInArrow(_deal(frequent, parts), "part int, keys array<long>, lens array<int>, runs array<long>")
+             .groupBy("part").applyInArrow(_shared, "key long, run long, n long"))
+    return held(found.groupBy("key").agg(F.collect_list(F.struct("run", "n")).alias("x"))
+                .select("key", F.col("x.run").alias("runs"), F.col("x.n").alias("counts")), "shared-runs")
 
 
 class Weights:
-    """Weight of runs: level for rare ones, less for frequent ones."""
+    """Weight of runs: their times by ln(1 + N / df)."""
 
     def __init__(self, runs: np.ndarray, counts: np.ndarray, texts: int):
-        self.runs, self.level = runs, math.log1p(FLOOR)
-        self.idf = np.log1p(texts / np.maximum(counts, texts / FLOOR)) if len(runs) else np.zeros(0)
+        self.runs, self.texts, self.level = runs, texts, math.log1p(texts)
+        self.idf = np.log1p(texts / counts) if len(runs) else np.zeros(0)
 
-    def of(self, runs: np.ndarray, times: np.ndarray) -> np.ndarray:
+    def of(self, runs: np.ndarray, times: np.ndarray, shared: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """``shared`` and ``counts`` are of the texts that ``runs`` are of."""
         w = np.full(len(runs), self.level)
-        if len(self.runs):
-            at = np.minimum(np.searchsorted(self.runs, runs), len(self.runs) - 1)
-            hit = self.runs[at] == runs
-            w[hit] = self.idf[at[hit]]
+        hit, at = _places(runs, self.runs)
+        w[hit] = self.idf[at]
+        order = np.argsort(shared)
+        hit, at = _places(runs, shared[order])
+        w[hit] = np.log1p(self.texts / counts[order][at])
         return w * times
 
 
@@ -187,22 +278,23 @@ def _signatures(weights: Weights):
         sampler = Sampler(BANDS * ROWS, weights.level)
         turn = stream64(43, ROWS) | np.uint64(1)
         for b in batches:
-            s, off = shingle_hashes(*word_hashes(*text_buffer(b.column(2))), WIDTH)
+            s, off = shingle_hashes(*word_hashes(*text_buffer(b.column("text"))), WIDTH)
             s, times, off = _distinct(s, off)
+            shared, counts = _lists(b.column("runs"))[0].view(np.uint64), _lists(b.column("counts"))[0]
             full = np.flatnonzero(np.diff(off))
             bands = np.zeros((BANDS, len(off) - 1), dtype=np.uint64)
             codes = np.zeros((len(off) - 1, 8 * CODES), dtype=np.uint8)
             if len(full):
-                drawn = sampler.draw(s, weights.of(s, times), off[:-1][full])
+                drawn = sampler.draw(s, weights.of(s, times, shared, counts), off[:-1][full])
                 codes[full, :BANDS * ROWS] = (drawn & np.uint64(0xFF)).T
                 for i in range(BANDS):
                     part = drawn[i * ROWS:(i + 1) * ROWS] * turn[:, None]
                     bands[i, full] = mix64(part.sum(axis=0) + np.uint64(i))
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), pa.array(np.diff(off) > 0)]
+                [b.column("node"), pa.array(np.diff(off) > 0)]
                 + [pa.array(x.view(np.int64)) for x in bands]
                 + [pa.array(np.ascontiguousarray(x)) for x in codes.view(np.int64).T],
-                names=["dig", "id", "full", *(f"b{i}" for i in range(BANDS)), *(f"s{i}" for i in range(CODES))])
+                names=["node", "full", *(f"b{i}" for i in range(BANDS)), *(f"s{i}" for i in range(CODES))])
     return run
 
 
@@ -222,11 +314,18 @@ class Vectors:
     def __init__(self, weights: Weights):
         self.weights = weights
 
-    def of(self, text: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
-        s, off = shingle_hashes(*word_hashes(text, np.array([0, len(text)])), WIDTH)
-        s, times, _ = _distinct(s, off)
-        w = self.weights.of(s, times)
-        return s, w, float(w.sum())
+    def of(self, b: pa.RecordBatch):
+        """Of a batch with text, runs and counts: a function that gives the vector of a row."""
+        data, off = text_buffer(b.column("text"))
+        (shared, cut), (counts, _) = _lists(b.column("runs")), _lists(b.column("counts"))
+
+        def row(i: int) -> tuple[np.ndarray, np.ndarray, float]:
+            text, at = data[off[i]:off[i + 1]], slice(cut[i], cut[i + 1])
+            s, ends = shingle_hashes(*word_hashes(text, np.array([0, len(text)])), WIDTH)
+            s, times, _ = _distinct(s, ends)
+            w = self.weights.of(s, times, shared[at].view(np.uint64), counts[at])
+            return s, w, float(w.sum())
+        return row
 
     @staticmethod
     def alike(a: tuple, b: tuple) -> float:
@@ -246,11 +345,11 @@ def _hub_links(weights: Weights, threshold: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vectors, group, hub = Vectors(weights), None, None
         for b in batches:
-            data, off = text_buffer(b.column("text"))
+            vector = vectors.of(b)
             hubs, salts, nodes = (b.column(c).to_numpy() for c in ("hub", "salt", "node"))
             u, v = [], []
             for i in range(len(nodes)):
-                own = vectors.of(data[off[i]:off[i + 1]])
+                own = vector(i)
                 if nodes[i] == hubs[i]:                        # sorted first in its group
                     group, hub = (hubs[i], salts[i]), own
                     continue
@@ -278,7 +377,7 @@ def hub_links(met: DataFrame, texts: DataFrame, weights: Weights, threshold: flo
     dealt = (members.unionByName(own).join(texts, "node")
              .repartition(tasks(met.sparkSession), "hub", "salt")
              .sortWithinPartitions("hub", "salt", F.col("node") != F.col("hub"), "node")
-             .select("hub", "salt", "node", "text"))
+             .select("hub", "salt", "node", "text", "runs", "counts"))
     return dealt.mapInArrow(_hub_links(weights, threshold), _LINKS)
 
 
@@ -348,9 +447,8 @@ def _group_links(weights: Weights, threshold: float):
 
         def vector(b, i):
             if buffers.get("of") is not b:
-                buffers["of"], buffers["text"] = b, text_buffer(b.column("text"))
-            data, off = buffers["text"]
-            return (vectors.of(data[off[i]:off[i + 1]]),)
+                buffers["of"], buffers["row"] = b, vectors.of(b)
+            return (buffers["row"](i),)
 
         u, v = [], []
         for g in _groups(batches, vector):
@@ -411,31 +509,42 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     threshold: float = THRESHOLD) -> DataFrame:
     """One row per distinct text: dig (its digest), id (its smallest document id),
     copies, group_dig and group_id (of the kept text of the group)."""
-    texts = docs.select(digest(text_col).alias("dig")).distinct().count()
-    weights = Weights(*frequent_runs(docs, text_col, texts), texts)
-    id_type = docs.schema[id_col].dataType.simpleString()
-    bands, codes = [f"b{i}" for i in range(BANDS)], [f"s{i}" for i in range(CODES)]
-    drawn = (docs.select(digest(text_col).alias("dig"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-             .mapInArrow(_signatures(weights), f"dig binary, id {id_type}, full boolean, "
-                         + ", ".join(f"{b} long" for b in bands + codes)))
-    nodes = held(drawn.groupBy("dig").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("copies"),
-                                          F.max("full").alias("full"), *(F.min(b).alias(b) for b in bands + codes))
+    own = docs.select(F.col(id_col).alias("id"), digest(text_col).alias("dig"), F.col(text_col).alias("text"))
+    nodes = held(own.groupBy("dig").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("copies"),
+                                        F.min(F.xxhash64("text")).alias("key"))
                  .withColumn("node", F.monotonically_increasing_id()), "nodes")
+    texts = nodes.count()
+    runs, counts, total = frequent_runs(docs, text_col, texts)
+    weights = Weights(runs, counts, texts)
+    shared = shared_runs(docs, text_col, runs, total)
+    none = F.array().cast("array<long>")
+    known = held(nodes.join(shared, "key", "left").select(
+        "node", F.col("dig").alias("d"), F.col("id").alias("i"),
+        F.coalesce("runs", none).alias("runs"), F.coalesce("counts", none).alias("counts")), "node-runs")
+    drop_held(shared)
+
+    def bodies_of(some: DataFrame) -> DataFrame:
+        return (own.join(some.hint("shuffle_hash"), (own["dig"] == some["d"]) & own["id"].eqNullSafe(some["i"]))
+                .select("node", "text", "runs", "counts"))
+
+    bands, codes = [f"b{i}" for i in range(BANDS)], [f"s{i}" for i in range(CODES)]
+    sign = _signatures(weights)
+    # one function, as each mapInArrow of a chain has Python workers of its own
+    drawn = held(bodies_of(known).mapInArrow(lambda batches: sign(_once(batches)), "node long, full boolean, "
+                                             + ", ".join(f"{b} long" for b in bands + codes)), "signatures")
 
     # nodes that meet others: their buckets, bands, and how many nodes they meet (the degree)
-    rows = nodes.where("full").select("node", F.posexplode(F.array(*bands)).alias("band", "hash"))
+    rows = drawn.where("full").select("node", F.posexplode(F.array(*bands)).alias("band", "hash"))
     # held, so that both sides of the join below are plain exchanges that can be split
     count = held(rows.groupBy("band", "hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "bucket-sizes")
     meets = held(rows.join(count, ["band", "hash"]).groupBy("node")
                  .agg(F.sum("n").alias("degree"), F.collect_list(F.struct("band", "hash")).alias("at"))
-                 .join(nodes.select("node", F.array(*bands).alias("bands"), F.array(*codes).alias("codes")), "node"),
+                 .join(drawn.select("node", F.array(*bands).alias("bands"), F.array(*codes).alias("codes")), "node"),
                  "meeting-nodes")
     met = (meets.select("node", "bands", "codes", "degree", F.explode("at").alias("at"))
            .select("node", "bands", "codes", "degree", "at.band", "at.hash"))
-    wanted = nodes.join(meets.select("node"), "node").select("node", F.col("dig").alias("d"), F.col("id").alias("i"))
-    own = docs.select(F.col(id_col).alias("id"), digest(text_col).alias("dig"), F.col(text_col).alias("text"))
-    bodies = held(own.join(wanted.hint("shuffle_hash"), (own["dig"] == wanted["d"]) & own["id"].eqNullSafe(wanted["i"]))
-                  .select("node", "text").mapInArrow(_once, "node long, text string"), "texts")
+    bodies = held(bodies_of(known.join(meets.select("node"), "node"))
+                  .mapInArrow(_once, "node long, text string, runs array<long>, counts array<long>"), "texts")
 
     linked = connected_components(hub_links(met, bodies, weights, threshold))
     label = held(meets.select("node").join(linked, "node", "left")
