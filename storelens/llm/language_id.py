@@ -30,6 +30,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import let_go
+
 DIM = 1 << 15
 SAMPLE = 2048
 LANDMARKS = 128
@@ -102,6 +104,7 @@ class Model:
 
 
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    let_go()
     for b in batches:
         rows, has = presence(b.column(1).to_pylist())
         bits = [np.packbits(r > 0).tobytes() if ok else None for r, ok in zip(rows, has)]
@@ -172,6 +175,7 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame
     at = keep.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for b in batches:
             names, scores = shared.value.predict(b.column(at).to_pylist())
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(names, pa.string()), pa.array(scores)],

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import held, tasks
+from .common import held, kept, tasks
 
 CAPACITY = 4096
 END_ID = 1
@@ -135,14 +135,9 @@ class WordTokens:
         return [b"".join(map(words.__getitem__, ws)) for ws in rows]
 
 
-_WORKER: dict[str, WordTokens] = {}
-
-
 def word_tokens(path: str) -> WordTokens:
-    """The tokenizer of this Python worker; what it remembers serves its later tasks too."""
-    if path not in _WORKER:
-        _WORKER[path] = WordTokens(path)
-    return _WORKER[path]
+    """The tokenizer of this Python worker; what it remembers serves its later tasks too, until another operator's come."""
+    return kept(f"words of {path}", lambda: WordTokens(path))
 
 
 def _cut(path: str, id_type: pa.DataType, capacity: int, end_id: int):

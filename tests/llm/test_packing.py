@@ -115,3 +115,18 @@ def test_remembered_words_are_bounded_and_ids_stay_right(monkeypatch):
     tok.batch(["y"])
     tok.batch(["z"])
     assert "x" * 5000 not in tok.words.new and "x" * 5000 in tok.words.old
+
+
+def test_other_operators_drop_what_the_tokenizer_remembers():
+    # a reused Python worker kept it for good, beside all that later stages need
+    import pyarrow as pa
+
+    from storelens.llm import common, language_id, near_dedup
+    path = queries.tokenizer_path()
+    batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array(["some words of a text"])], names=["doc_id", "text"])
+    for other in (language_id._packed, near_dedup._deal(np.zeros(0, np.uint64), 1)):
+        tok = packing.word_tokens(path)
+        tok.batch(["some words"])
+        assert packing.word_tokens(path) is tok and common._KEPT
+        list(other(iter([batch])))
+        assert not common._KEPT
