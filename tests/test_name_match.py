@@ -61,3 +61,15 @@ def test_names_are_not_broadcast(spark):
     df.collect()
     plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     assert plan.count("SortMergeJoin [a_id") >= 2 and plan.count("SortMergeJoin [b_id") >= 2
+
+
+def test_numbered_names_are_compared_in_many_tasks_once_each(spark):
+    """Names that differ in digits share frequent trigrams only; few bytes of them make many pairs."""
+    d = spark.createDataFrame([(i, f"Customer#{i:09d}") for i in range(800, 1700)], "id long, text string")
+    sets = nm._sets(d, "id", "text").select("id", "set")
+    pairs = nm.candidate_pairs(sets, sets, 0.8)
+    assert pairs.rdd.getNumPartitions() >= 8
+    rows = pairs.collect()
+    names = {i: _set(f"customer {i}") for i in range(800, 1700)}
+    want = {(i, j) for i, x in names.items() for j, y in names.items() if len(x & y) / math.sqrt(len(x) * len(y)) >= 0.8 - 1e-9}
+    assert len(rows) == len(set(rows)) < 2 * len(want) and want <= {tuple(r) for r in rows}
