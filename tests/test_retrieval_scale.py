@@ -4,6 +4,7 @@ import re
 import time
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -70,6 +71,40 @@ def test_long_text_is_not_read_for_each_window(spark):
     assert time.perf_counter() - start < 60                     # minutes where every window read the text from its start
 
 
+@pytest.mark.parametrize("own", [True, False])
+@pytest.mark.parametrize("kind", ["float", "double"])
+def test_rows_among_themselves_equal_two_sides(spark, monkeypatch, own, kind):
+    monkeypatch.setattr(rt, "QUERY_BLOCK", 16)
+    monkeypatch.setattr(rt, "BASE_BLOCK", 24)
+    rng = np.random.default_rng(8)
+    x = np.vstack([rng.integers(-2, 3, (500, 6)), np.zeros((2, 6)), np.full((1, 6), np.nan)]).astype(float)
+    rows = [(int(i * 5 % 503), [float(f) for f in v]) for i, v in enumerate(x)] + [(900, None), (901, [1.0, None, 0.0, 0.0, 0.0, 2.0])]
+    df = spark.createDataFrame(rows, f"vec_id long, embedding array<{kind}>")
+    q = df.select(F.col("vec_id").alias("query_id"), "embedding")
+    want = rt.vector_search(q, df, 4, exclude_self=own, strategy="base")
+    got = rt.vector_search(q, df, 4, exclude_self=own, strategy="blocked", block_rows=100, same_rows=True)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_two_blocks_meet_once(spark, monkeypatch):
+    """A pair of rows is multiplied once for both of them, and every group has a task of its own."""
+    pairs = []
+    matmul = np.matmul
+    monkeypatch.setattr(np, "matmul", lambda x, y, out: pairs.append(len(x) * y.shape[1]) or matmul(x, y, out=out))
+    x = np.random.default_rng(9).standard_normal((6000, 8)).astype(np.float32)
+    half = [rt._Block(np.arange(lo, lo + 3000), pa.array(list(x[lo:lo + 3000]))) for lo in (0, 3000)]
+    a, b = rt._meet(*half, 3, True)
+    assert sum(pairs) <= 3000 * 3000
+    exact = x / np.linalg.norm(x, axis=1, keepdims=True)
+    far = exact[:3000] @ exact[3000:].T
+    assert (a.match[:, 0] == 3000 + far.argmax(axis=1)).mean() > 0.99 and (b.match[:, 0] == far.argmax(axis=0)).mean() > 0.99
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x[:800])], "match_id long, bv array<double>")
+    found = rt._self_topk(df, 3, True, block_rows=100)
+    assert found.rdd.getNumPartitions() == 36
+    assert sorted(rt._task_numbers(spark, 36)) == sorted(set(rt._task_numbers(spark, 36)))
+    assert found.count() == 800 * 8 * 3
+
+
 def _keys(text, lengths):
     out = set()
     for run in re.findall(r"[a-z0-9]+(?:-+[a-z0-9]+)*", text.lower()):
