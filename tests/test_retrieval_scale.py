@@ -105,6 +105,45 @@ def test_two_blocks_meet_once(spark, monkeypatch):
     assert found.count() == 800 * 8 * 3
 
 
+def test_texts_are_shuffled_once_for_stitching(spark):
+    chunks = [(d, i, f"{d}{i}") for d in "ab" for i in range(-3, 50) if i % 11] + [("a", 15, "twice"), ("a", None, "none"), (None, 4, "no document")]
+    asked = [(n, "ab"[n % 2], n - 2) for n in range(60)] + [(70, "a", None), (71, None, 3), (72, "c", 1), (3, "b", 1)]
+    c = spark.createDataFrame(chunks, "document_filename string, chunk_index long, chunk_content string")
+    m = spark.createDataFrame(asked, "match_id long, document_filename string, chunk_index long")
+    for radius in (1, 2, 7):
+        want = {}
+        for a in asked:
+            near = [(i, x) for d, i, x in chunks if d == a[1] and None not in (d, i, a[2]) and abs(i - a[2]) <= radius] * asked.count(a)
+            if near:
+                want[a] = ("\n".join(x for _, x in sorted(near)), len(near))
+        got = rt.stitch(m, c, radius)
+        assert {tuple(r)[:3]: tuple(r)[3:] for r in got.collect()} == want
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        assert rt.stitch(m, c)._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 2
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
+def test_answers_of_long_documents(spark):
+    rng = np.random.default_rng(4)
+    x = rng.standard_normal((40, 8))
+    chunks = spark.createDataFrame([(i, "m.pdf", i, "T" if i % 3 else None, "E", "gs://m", f"text {i}", [float(f) for f in x[i]]) for i in range(40) if i != 20],
+                                   "vec_id long, document_filename string, chunk_index long, document_title string, equipment_covered string, "
+                                   "source_pdf_uri string, chunk_content string, embedding array<double>")
+    q = spark.createDataFrame([(100 + i, "ask", [float(f) for f in x[i]]) for i in range(40)] + [(7, "nothing", None), (8, None, [0.0] * 8)],
+                              "query_id long, text string, embedding array<double>")
+    out = {r.query_id: r for r in rt.answer(q, chunks).collect()}
+    assert len(out) == 42 and out[7].route == out[8].route == "decline"
+    for i in (0, 14, 15, 16, 17, 19, 21, 31, 32, 39):
+        r = out[100 + i]
+        near = [j for j in (i - 1, i, i + 1) if 0 <= j < 40 and j != 20]
+        assert r.route == "vector" and r.chunk_index == i
+        assert r.answer_text.endswith("Instructions:\n" + "\n".join(f"text {j}" for j in near) + "\n")
+        assert f"**Document Title:** {'T' if i % 3 else 'm.pdf'}\n" in r.answer_text
+
+
 def _keys(text, lengths):
     out = set()
     for run in re.findall(r"[a-z0-9]+(?:-+[a-z0-9]+)*", text.lower()):
